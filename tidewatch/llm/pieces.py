@@ -66,7 +66,7 @@ class Normaliser:
         the alignment if the normalised bytes without the first mark are the original ones, with a mark for a space."""
         if not text:
             return "", None
-        if not self.map.units and not self.squeeze and self.dummy and self.escape and "\0" not in text:
+        if not self.map.units and not self.squeeze and self.dummy and self.escape and MARK not in text:
             return (MARK + text).replace(" ", MARK), None
         raw, out, where, at = text.encode(), bytearray(), [], 0
         while at < len(raw):
