@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that have QUERIES, and perhaps ORACLE_SQL.
-MODULES = ("pieces", "language", "sharding", "media")
+MODULES = ("minhash", "ngram_score", "pieces", "warc", "substrings", "language", "sharding", "mixing", "embeddings", "media")
 
 
 def _merged(name: str) -> dict:
