@@ -13,12 +13,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._text import _powers, mix, utf8
 from ._text import pieces as runs
-from ._text import utf8
 
 #: The character that stands for a space in pieces; fixed by the model format.
 MARK = "▁"
@@ -55,24 +56,33 @@ class CharMap:
 
 
 class Normaliser:
-    """Normalisation as the model's settings say, with the alignment of its output."""
+    """Normalisation as the model's settings say, with the alignment of its output.  A mark is one byte here, a space."""
 
     def __init__(self, spec):
         self.map = CharMap(spec.precompiled_charsmap)
-        self.dummy, self.squeeze, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
-
-    def __call__(self, text: str) -> tuple[str, np.ndarray | None]:
-        """Normalised text, with spaces as marks, and for each of its bytes and its end the original byte; None for
-        the alignment if the normalised bytes without the first mark are the original ones, with a mark for a space."""
-        if not text:
-            return "", None
-        if not self.map.units and not self.squeeze and self.dummy and self.escape and MARK not in text:
-            return (MARK + text).replace(" ", MARK), None
-        raw, out, where, at = text.encode(), bytearray(), [], 0
+        self.dummy, self.squeeze = spec.add_dummy_prefix, spec.remove_extra_whitespaces
+        self.plain = not self.map.units and not self.squeeze and self.dummy
+
+    def rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Normalised bytes of all rows, their offsets, and the place in its row of each byte and of each row's end; None if
+        that is one less than in the normalised row, as a prefix is all that is new."""
+        raw = data[offsets[0] : offsets[-1]]
+        edges = offsets - offsets[0]
+        if self.plain and MARK.encode() not in raw.tobytes():
+            full = np.diff(edges) > 0
+            moved = np.concatenate([[0], np.cumsum(full)])
+            return np.insert(raw, edges[:-1][full], 32), edges + moved, None
+        out = [self.row(raw[i:j].tobytes()) for i, j in zip(edges, edges[1:], strict=False)]
+        sizes = np.array([len(t) for t, _ in out], np.int64)
+        where = np.concatenate([w for _, w in out]) if out else np.zeros(0, np.int64)
+        return np.frombuffer(b"".join(t for t, _ in out), np.uint8), np.concatenate([[0], np.cumsum(sizes)]), where
+
+    def row(self, raw: bytes) -> tuple[bytes, np.ndarray]:
+        out, where, at = bytearray(), [], 0
         while at < len(raw):
             hit = self.map.longest(raw, at)
             n = hit[0] if hit else 1 + (raw[at] >= 0xC0) + (raw[at] >= 0xE0) + (raw[at] >= 0xF0)
-            new = hit[1] if hit else raw[at : at + n]
+            new = (hit[1] if hit else raw[at : at + n]).replace(MARK.encode(), b" ")
             if self.squeeze:
                 while new.startswith(b" ") and (not out or out.endswith(b" ")):
                     new = new[1:]
@@ -83,16 +93,10 @@ class Normaliser:
             while out.endswith(b" "):
                 out.pop()
                 at = where.pop()
-        if not out:
-            return "", np.array([at])
-        if self.dummy:
+        if out and self.dummy:
             out[:0] = b" "
             where.insert(0, where[0])
-        where.append(at)
-        if not self.escape:
-            return out.decode(), np.array(where)
-        wide = np.array([3 if b == 32 else 1 for b in out] + [1])
-        return out.decode().replace(" ", MARK), np.repeat(np.array(where), wide)
+        return bytes(out), np.array([*where, at])
 
 
 class Encoder:
@@ -106,57 +110,84 @@ class Encoder:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         self.stock = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
-        self.end = self.stock.eos_id()
-        self.normalise = Normaliser(model.normalizer_spec)
-        texts = [p.piece for p in model.pieces if p.type != 6]
-        # no piece goes over the start of a run of marks, so such units are segmented one by one, and alike wherever they are
-        self.units = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if not any(re.search(f"[^{MARK}]{MARK}", t) for t in texts) else re.compile(r".+", re.S)
-        if any(p.type == 4 for p in model.pieces):
-            self.units = re.compile(r".+", re.S)  # user-defined symbols are matched over the whole text
+        self.end, self.unknown = self.stock.eos_id(), self.stock.unk_id()
         spec = model.normalizer_spec
+        if not spec.escape_whitespaces or model.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("models without marks before words aren't supported")
+        self.normalise = Normaliser(spec)
+        texts = [p.piece for p in model.pieces if p.type != 6]
+        # where no piece goes over the start of a run of marks, units from there to the next are segmented one by one, and
+        # alike wherever they are; user-defined symbols are matched over the whole text
+        self.split = not any(re.search(f"[^{MARK}]{MARK}", t) for t in texts) and all(p.type != 4 for p in model.pieces)
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = b"", False, False, False
-        self.plain = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
-        self.byte = {i for i in range(self.plain.get_piece_size()) if self.plain.is_byte(i)}
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
-
-    def _learn(self, units: list[str]) -> None:
-        if len(self.known) + len(units) > CACHE_UNITS:
+        self.bare = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+        # bytes of each piece, a mark counting one
+        self.size = np.array([1 if self.bare.is_byte(i) else self._bytes(self.bare.id_to_piece(i)) for i in range(self.bare.get_piece_size())])
+        self.known: dict[bytes, list[int]] = {}
+
+    @staticmethod
+    def _bytes(piece: str) -> int:
+        return len(piece.encode()) - 2 * piece.count(MARK)
+
+    def _ids(self, units: list[bytes]) -> list[list[int]]:
+        new = [u for u in units if u not in self.known]
+        if len(self.known) + len(new) > CACHE_UNITS:
             self.known.clear()
-        ids = self.plain.encode(units, num_threads=1)
-        strings = self.plain.encode(units, out_type=str, num_threads=1)
-        for unit, own, names in zip(units, ids, strings, strict=True):
-            # bytes of a unit with a space for each mark; a byte piece is one byte of a character
-            self.known[unit] = own, [1 if i in self.byte else len(n.encode()) - 2 * n.count(MARK) for i, n in zip(own, names, strict=True)]
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each text: ids with the end id, and where each id's bytes begin and end in the text's UTF-8."""
-        normal = [self.normalise(t) for t in texts]
-        split = [self.units.findall(n) for n, _ in normal]
-        if new := list({u for units in split for u in units} - self.known.keys()):
-            self._learn(new)
-            new = [u for units in split for u in units if u not in self.known]
-            if new:  # the cache was emptied
-                self._learn(list(set(new)))
-        out = []
-        for text, (string, where), units in zip(texts, normal, split, strict=True):
-            own = [self.known[u] for u in units]
-            ids = [i for x in own for i in x[0]]
-            size = np.array([i for x in own for i in x[1]], np.int64)
-            ids.append(self.end)
-            end = np.cumsum(size)
-            n = len(text.encode())
-            if where is None:
-                end = np.maximum(end - 1, 0)  # the first mark stands before the text
-            elif len(size):
-                # ``size`` counts a mark as one byte, the alignment as three
-                wide = np.cumsum([3 if c == MARK else len(c.encode()) for c in string])
-                slim = np.cumsum([1 if c == MARK else len(c.encode()) for c in string])
-                end = where[np.concatenate([[0], np.interp(end, np.concatenate([[0], slim]), np.concatenate([[0], wide])).astype(np.int64)])[1:]]
-            end = np.append(end, n).astype(np.int32)
-            begin = np.concatenate([[0], end[:-1]]).astype(np.int32)
-            begin[-1] = n
-            out.append((np.array(ids, np.int32), begin, end))
-        return out
+            new = units
+        self.known.update(zip(new, self.bare.encode([u.decode().replace(" ", MARK) for u in new], num_threads=1), strict=True))
+        return [self.known[u] for u in units]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For the texts in ``data``: offsets of the rows' ids, ids with the end id, and begin and end of each in its text."""
+        text, edges, where = self.normalise.rows(data, offsets)
+        n = len(edges) - 1
+        sizes = np.diff(edges)
+        space = text == 32
+        starts = np.zeros(len(text), bool)
+        if self.split and len(text):
+            starts[1:] = space[1:] & ~space[:-1]
+        starts[edges[:-1][sizes > 0]] = True
+        begin = np.flatnonzero(starts)
+        end = np.append(begin[1:], len(text))[: len(begin)]
+        row = np.searchsorted(edges, begin, "right") - 1
+        # equal units have equal hashes; each distinct one is segmented once
+        up, down = _powers(1 << max(16, (len(text) + 1).bit_length()))
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[: len(text)], out=sums[1:])
+        _, one, kind = np.unique(mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)), return_index=True, return_inverse=True)
+        raw = text.tobytes()
+        lists = self._ids([raw[i:j] for i, j in zip(begin[one].tolist(), end[one].tolist(), strict=True)])
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter((i for x in lists for i in x), np.int32, int(count.sum()))
+        size = self.size[flat]
+        place = np.cumsum(count) - count
+        for k in np.unique(np.repeat(np.arange(len(lists)), count)[flat == self.unknown]).tolist():
+            unit = raw[begin[one[k]] : end[one[k]]].decode().replace(" ", MARK)
+            size[place[k] : place[k] + count[k]] = [self._bytes(p) if i == self.unknown else self.size[i] for i, p in zip(lists[k], self.bare.encode(unit, out_type=str), strict=True)]
+        # of every unit, the ids of its kind; then an end id for each row
+        own = count[kind]
+        at = np.repeat(place[kind] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        id_row = np.repeat(row, own)
+        per_row = np.bincount(id_row, minlength=n)
+        out_offsets = np.concatenate([[0], np.cumsum(per_row + 1)])
+        last = out_offsets[1:] - 1
+        ids = np.full(out_offsets[-1], self.end, np.int32)
+        inner = np.ones(len(ids), bool)
+        inner[last] = False
+        ids[inner] = flat[at]
+        stop = np.zeros(len(ids), np.int64)
+        stop[inner] = np.cumsum(size[at]) - edges[id_row]  # in the normalised row
+        if where is None:
+            stop[inner] -= 1
+            np.maximum(stop, 0, out=stop)
+        else:
+            stop[inner] = where[stop[inner] + (edges[:-1] + np.arange(n))[id_row]]
+        stop[last] = np.diff(offsets)
+        start = np.zeros(len(ids), np.int64)
+        start[1:] = stop[:-1]
+        start[out_offsets[:-1]] = 0
+        start[last] = stop[last]
+        return out_offsets.astype(np.int32), ids, start.astype(np.int32), stop.astype(np.int32)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.stock.decode(ids, num_threads=1)
@@ -167,11 +198,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
-
-
 def encode(docs: DataFrame, model: str, *, spans: bool = True) -> DataFrame:
     """``docs`` with ``ids`` (with the end id, without sampling) and, if asked for, ``begins`` and ``ends``, the byte
     span of the original text for each id.
@@ -189,11 +215,11 @@ def encode(docs: DataFrame, model: str, *, spans: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         for batch in batches:
-            _, offsets = utf8(batch.column("text"))
+            data, offsets = utf8(batch.column("text"))
             for a, b in runs(offsets, 1 << 21):
-                part = batch.slice(a, b - a)
-                got = e.encode([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns, *(_lists([g[i] for g in got]) for i in range(len(names)))], names=schema.names)
+                edges, *values = e.encode(data, offsets[a : b + 1])
+                lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(v)) for v in values[: len(names)]]
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -208,7 +234,9 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             for a in range(0, len(batch), 200):
                 part = batch.slice(a, 200)
-                texts = e.decode([x or [] for x in part.column("ids").to_pylist()])
+                lists = part.column("ids")
+                values, edges = lists.flatten().to_numpy().tolist(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+                texts = e.decode([values[i:j] for i, j in zip(edges, edges[1:], strict=False)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
