@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: tuple[str, ...] = ()
+MODULES = ("snapshots", "relational", "timeseries", "planning")
 
 
 def _merged(name: str) -> dict:
