@@ -1,0 +1,559 @@
+"""Training-data operators against brute force, round trips and held-out data, with the awkward cases of each."""
+
+import base64
+import collections
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.llm import embeddings, language, media, minhash, mixing, ngram_score, pieces, sharding, substrings, warc
+from tidewatch.llm._store import written
+from tidewatch.llm._text import utf8, words
+from tidewatch.llm.components import components
+
+#: Null, empty, blank, short, repeated, very long, other scripts, control characters, the mark of pieces.
+TEXTS = [None, "", "   \n", "one", "two words", "漢字 かな 😀", "x\0y\x0bz", "▁a ▁", "12 34 !!", "a b c d e f g", "A b C d e F g", "lorem ipsum " * 20_000, "tie", "tie"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, None if i % 3 else "en", None if i % 2 else "s", None) for i, t in enumerate(TEXTS)]
+    rows += [(None, "no id", None, None, 5), (3, "one", "en", "s", 3), (3, "one", "en", "s", 3)]
+    clash = {c: F.lit(0) for c in ("fp", "block", "tokens", "ids", "media", "payload", "score", "row_no", "key", "shard", "_n")}
+    return spark.createDataFrame(rows, SCHEMA).withColumns(clash)
+
+
+@pytest.fixture(scope="module")
+def empty(odd):
+    return odd.where("false")
+
+
+def tokens(text):
+    return (text or "").encode().lower().split()
+
+
+def joined(links, nodes):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_words():
+    data, offsets = utf8(pa.array(["Foo bar\x0bfoo", None, "", " x FOO", "é"]))
+    row, begin, end, h = words(data, offsets)
+    assert row.tolist() == [0, 0, 0, 3, 3, 4]
+    assert [bytes(data[a:b]).lower() for a, b in zip(begin, end)] == [b"foo", b"bar", b"foo", b"x", b"foo", "é".encode()]
+    assert h[0] == h[2] == h[4] and len(set(h.tolist())) == 4
+
+
+def test_components(spark):
+    r = random.Random(1)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(1000, x) for x in range(1001, 1200)] + [(x, x + 1) for x in range(2000, 2200)] + [(5, 5), (None, 1)]
+    got = {x.node: x.component for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    whole = [(a, b) for a, b in links if a is not None]
+    assert got == joined(whole, {x for p in whole for x in p})
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- 1 ---
+
+
+def jaccard_links(texts):
+    sets = {}
+    for i, t in texts.items():
+        w = tokens(t)
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    by = collections.defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            by[x].append(i)
+    pairs = {(a, b) for v in by.values() for a in v for b in v if a < b}
+    return [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+
+
+def test_minhash_finds_all_groups(spark, docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == joined(jaccard_links(texts), texts)
+    kept = minhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
+
+
+def test_minhash_large_near_group(spark):
+    r = random.Random(2)
+    base = [f"w{r.randrange(10**6)}" for _ in range(120)]
+
+    def near():
+        w = base.copy()
+        for _ in range(2):
+            w[r.randrange(len(w))] = f"e{r.randrange(10**6)}"
+        return " ".join(w)
+
+    texts = dict(enumerate([near() for _ in range(150)] + [" ".join(base)] * 60 + [" ".join(f"q{r.randrange(10**6)}" for _ in range(80)) for _ in range(30)]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x.doc_id: x.class_id for x in minhash.near_duplicates(df).collect()}
+    assert got == joined(jaccard_links(texts), texts)
+
+
+def test_minhash_odd_rows(odd, empty):
+    rows = minhash.near_duplicates(odd).collect()
+    assert len(rows) == odd.count()
+    own = {r.doc_id: r.class_id for r in rows}
+    assert own[0] == 0 and own[1] == 1 and own[2] == 2 and own[None] is None
+    assert own[10] == 9 and own[13] == 12
+    kept = minhash.deduplicated(odd)
+    assert kept.columns == odd.columns and kept.where("doc_id = 3").count() == 1
+    assert minhash.near_duplicates(empty).count() == 0 and minhash.deduplicated(empty).count() == 0
+
+
+def test_probminhash_estimates_probability_jaccard():
+    r = np.random.default_rng(0)
+    n, m = 60, 4096
+    element = np.arange(1, n + 1, dtype=np.uint64)
+    a, b = r.uniform(0.2, 3, n), r.uniform(0.2, 3, n)
+    a[:15] = 0
+    b[-15:] = 0
+    row = np.concatenate([np.zeros((a > 0).sum(), int), np.ones((b > 0).sum(), int)])
+    won = minhash.probminhash(row, np.concatenate([element[a > 0], element[b > 0]]), np.concatenate([a[a > 0], b[b > 0]]), 2, m)
+    true = sum(1 / np.maximum(a / a[i], b / b[i]).sum() for i in range(n) if a[i] and b[i])
+    assert abs((won[0] == won[1]).mean() - true) < 4 * math.sqrt(true * (1 - true) / m)
+
+
+# --- 2 ---
+
+
+def test_scores(spark, docs):
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    seen = {i: [*tokens(t), None] for i, t in texts.items()}
+    counts = collections.Counter(t for i, ts in seen.items() if not held(i) for t in ts)
+    total, kinds = sum(counts.values()), len(counts)
+    model = ngram_score.Model(docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 1))
+    got = {r.doc_id: r for r in ngram_score.score(docs.select("doc_id", "text"), model).collect()}
+    for i, ts in seen.items():
+        base = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (kinds + 1))) for t in ts)
+        assert math.isclose(got[i].base_score, base, rel_tol=1e-9)
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(ts), sum(counts[t] > 0 for t in ts), total)
+    own = [r for i, r in got.items() if held(i)]
+    assert sum(r.score for r in own) > sum(r.base_score for r in own)
+    far = {r.doc_id: r.score for r in ngram_score.score(docs.select("doc_id", "text"), model, filter_bytes=0).collect()}
+    assert all(math.isclose(far[i], got[i].score, rel_tol=1e-12) for i in got)
+
+
+def test_rare_tokens_are_joined(docs, monkeypatch):
+    model = ngram_score.Model(docs)
+    whole = {r.doc_id: (r.base_score, r.n_known) for r in ngram_score.score(docs.select("doc_id", "text"), model).collect()}
+    monkeypatch.setattr(ngram_score, "HOT_TOKENS", 50)
+    few = ngram_score.Model(docs)
+    assert len(few.hot()[0]) <= 50
+    for r in ngram_score.score(docs.select("doc_id", "text"), few).collect():
+        assert math.isclose(r.base_score, whole[r.doc_id][0], rel_tol=1e-9) and r.n_known == whole[r.doc_id][1]
+
+
+def test_filter_levels():
+    r = np.random.default_rng(3)
+    keys = r.integers(0, 1 << 63, 20_000).astype(np.uint64)
+    level = r.integers(1, 9, len(keys))
+    s = ngram_score.segment_of(keys, 4)
+    parts = [(ngram_score.UNIGRAM, i, *ngram_score.build(keys[s == i], level[s == i])) for i in range(4)]
+    f = ngram_score.Filter(4, parts)
+    got = f.levels(ngram_score.UNIGRAM, keys)
+    assert (got >= level).all() and (got == level).mean() > 0.95
+    assert (f.levels(ngram_score.UNIGRAM, r.integers(0, 1 << 63, 20_000).astype(np.uint64)) > 0).mean() < 0.05
+
+
+def test_scores_odd_rows(odd, empty):
+    model = ngram_score.Model(odd)
+    rows = ngram_score.score(odd, model).collect()
+    assert len(rows) == odd.count()
+    assert {r.n_tokens for r in rows if r.doc_id in (0, 1, 2)} == {1}
+    assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
+    assert ngram_score.score(empty, model).count() == 0
+    none = ngram_score.score(odd, ngram_score.Model(empty)).collect()
+    assert all(r.n_known == 0 and r.train_tokens == 0 for r in none)
+
+
+# --- 3 ---
+
+
+def test_pieces_are_the_library_s(spark, docs, odd):
+    import sentencepiece
+
+    path = pieces.model_path()
+    stock = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = pieces.decode(pieces.encode(docs.select("doc_id", "text").union(odd.select("doc_id", "text")), path), path).collect()
+    for r in rows:
+        text = r.text or ""
+        ids = stock.encode(text, add_eos=True)
+        assert r.ids == ids and r.decoded == stock.decode(ids)
+        raw = text.encode()
+        assert r.begins[0] == 0 and r.ends[-1] == len(raw) and r.begins[1:] == [*r.ends[:-2], len(raw)][: len(ids) - 1]
+        if "▁" not in text and raw:
+            for i, a, b in list(zip(ids, r.begins, r.ends))[1:-1][:200]:
+                if not stock.is_byte(i):
+                    assert stock.id_to_piece(i).replace("▁", " ").encode() == raw[a:b]
+
+
+def test_pieces_empty_table(empty):
+    path = pieces.model_path()
+    out = pieces.decode(pieces.encode(empty, path), path)
+    assert out.count() == 0 and set(out.columns) == {*empty.columns, "begins", "ends", "decoded"}
+
+
+def test_character_map():
+    """A map made here: longest prefixes win, and offsets follow replacements of any length."""
+    rules = {b"ab": b"X", b"a": b"yy", "é".encode(): b"e"}
+    states, edges = [b""], {}
+    for key in rules:
+        for i in range(1, len(key) + 1):
+            if key[:i] not in states:
+                states.append(key[:i])
+    units, place, used, values = [0] * 4096, {b"": 0}, {0}, b""
+    offsets = {}
+    for key, v in rules.items():
+        offsets[key] = len(values)
+        values += v + b"\0"
+    for s in sorted(states, key=len):  # every node gets a base where its children's cells are free
+        children = [c[-1] for c in states if len(c) == len(s) + 1 and c.startswith(s)]
+        cells = children + [0] * (s in rules)
+        node = place[s]
+        base = next(b for b in range(1, 4096) if all((node ^ b ^ c) not in used for c in cells))
+        used |= {node ^ base ^ c for c in cells}
+        label = s[-1] if s else 0
+        units[node] = base << 10 | (s in rules) << 8 | label
+        for c in children:
+            place[s + bytes([c])] = node ^ base ^ c
+        if s in rules:
+            units[node ^ base] = 1 << 31 | offsets[s]
+    raw = np.array(units, "<u4").tobytes()
+
+    class Spec:
+        precompiled_charsmap = len(raw).to_bytes(4, "little") + raw + values
+        add_dummy_prefix, remove_extra_whitespaces = True, True
+
+    assert edges == {}
+    n = pieces.Normaliser(Spec)
+    assert n.map.longest(b"abc", 0) == (2, b"X") and n.map.longest(b"ac", 0) == (1, b"yy") and n.map.longest(b"zz", 0) is None
+    text, where = n.row("  ab  aé ".encode())
+    assert text == b" X yye" and where.tolist() == [2, 2, 4, 6, 6, 7, 9]
+
+
+# --- 4 ---
+
+
+def payloads(rows):
+    first = {}
+    for p, h in rows:
+        first.setdefault((h or "").encode(), []).append(p)
+    return first
+
+
+def check_records(got, rows, least=0):
+    first = payloads(rows)
+    want = collections.Counter()
+    for p, h in rows:
+        raw = (h or "").encode()
+        top = min(first[raw])
+        again = p != top and len(raw) >= least
+        want[p, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", top if again else None] += 1
+    assert collections.Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+    assert all(r.verified for r in got)
+
+
+def test_warc_round_trip(spark, sf_dir, tmp_path):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    rows += [(10**6 + i, u, h) for i, (u, h) in enumerate([(None, None), ("a\r\nb", ""), ("x", "q" * 300_000), ("y", "q" * 300_000), ("z", "é" * 100_000), ("w", "\r\n\r\n"), ("v", "\r\n\r\n")])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"record_no": F.lit(1), "data": F.lit(2), "last": F.lit(3)})
+    spooled = written(warc.spool(pages), "spool")
+    assert spooled.where("octet_length(data) > 65536").count() == 0
+    chunks = written(warc.archive(spooled), "warc")
+    facts = [(p, h) for p, _, h in rows]
+    got = warc.read_records(chunks).collect()
+    check_records(got, facts)
+    check_records(warc.read_records(warc.archive(spooled, 10)).collect(), facts, 10)
+    paths = warc.export_files(chunks.repartition(3), str(tmp_path)).collect()
+    assert sum(p.records for p in paths) == len(rows)
+    back = warc.read_records(warc.import_files(spark.createDataFrame([(p.path,) for p in paths], "path string"))).collect()
+    assert sorted(map(str, back)) == sorted(map(str, got))
+
+
+def test_warc_odd_rows(spark):
+    rows = [(1, "u", "a"), (1, "u", "a"), (None, "u", "a"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.read_records(written(warc.archive(written(warc.spool(pages), "spool")), "warc")).collect()
+    assert sorted((r.record_type, r.page_id or 0, r.refers_to or 0) for r in got) == [("response", 0, 0), ("response", 1, 0), ("revisit", 0, 1), ("revisit", 1, 1)]
+    assert warc.read_records(written(warc.archive(written(warc.spool(pages.where("false")), "spool")), "warc")).count() == 0
+    broken = written(warc.archive(written(warc.spool(pages), "spool")), "warc").withColumn("data", F.expr("replace(cast(data as string), 'a', 'b')").cast("binary"))
+    assert not all(r.verified for r in warc.read_records(broken).where("record_type = 'response' and payload_bytes > 0").collect())
+
+
+# --- 5 ---
+
+
+def test_passages_are_found(docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    where = collections.defaultdict(set)
+    for i, t in texts.items():
+        w = tokens(t)
+        for k in range(len(w) - 50):
+            where[tuple(w[k : k + 51])].add(i)
+    found = substrings.passages(docs).collect()
+    told = {r.doc_id for r in found}
+    assert all(len(ids - told) <= 1 for ids in where.values())
+    for r in found:
+        raw = texts[r.doc_id].encode()
+        assert len(raw[r.begin : r.end].split()) == r.n_words >= 20
+    cut = {r.doc_id: r for r in substrings.without_passages(docs).collect()}
+    assert set(cut) == set(texts)
+    left = collections.Counter()
+    for r in cut.values():
+        w = tokens(r.text)
+        left.update({tuple(w[k : k + 51]) for k in range(len(w) - 50)})
+        assert r.n_chars == len(r.text) or r.doc_id not in told
+        assert r.doc_id in told or r.text == texts[r.doc_id]
+    assert max(left.values(), default=0) <= 1
+
+
+def test_passages_resist_shifts(spark):
+    r = random.Random(5)
+    text = lambda n: " ".join("".join(r.choices("abcdefgh", k=r.randrange(2, 9))) for _ in range(n))
+    same = 0
+    for _ in range(40):
+        shared = text(60)
+        rows = [text(r.randrange(5, 60)) + " " + shared + " " + text(30), text(r.randrange(1, 90)) + "  " + shared.upper() + "\n" + text(3), text(200)]
+        data, offsets = utf8(pa.array(rows))
+        row, _, _, size, digest = substrings.chunks(data, offsets)
+        both = set(digest[row == 0].tolist()) & set(digest[row == 1].tolist())
+        same += sum(s for s, d, k in zip(size, digest.tolist(), row) if k == 1 and d in both) >= 20
+        assert not both & set(digest[row == 2].tolist())
+    assert same >= 39
+
+
+def test_passages_odd_rows(odd, empty):
+    rows = substrings.passages(odd).collect()
+    assert {r.doc_id for r in rows} == {11}
+    out = substrings.without_passages(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    assert substrings.passages(empty).count() == 0 and substrings.without_passages(empty).count() == 0
+
+
+# --- 6 ---
+
+
+def test_language_held_out(docs):
+    rows = language.language_id(docs).where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_phrases_by_brute_force():
+    r = np.random.default_rng(1)
+    sample = r.integers(0, 5, 300).astype(np.uint8)
+    table = language.automaton(sample)
+    rows = [r.integers(0, 6, n).astype(np.uint8) for n in (1, 50, 0, 2500)]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    got = language.phrases(np.concatenate(rows), offsets, [table])[:, 0]
+    have = sample.tobytes()
+    for x, n in zip(rows, got):
+        want = 0
+        for at in range(0, len(x), language.BLOCK):
+            block, i = x[at : at + language.BLOCK].tobytes(), 0
+            count = 1
+            j = 0
+            for j in range(len(block)):
+                if block[i : j + 1] not in have:
+                    count += 1
+                    i = j if block[j : j + 1] in have else j + 1
+            want += count
+        assert n == want
+
+
+def test_language_odd_rows(odd, empty):
+    rows = {r.doc_id: r for r in language.language_id(odd).collect()}
+    assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (0, 1, 2, 8))
+    assert rows[3].lang_pred == "en"
+    assert language.language_id(empty).count() == 0
+    assert {r.lang_pred for r in language.predict(odd, []).collect()} == {"und"}
+
+
+# --- 7 ---
+
+
+def test_shards(docs, odd):
+    rows = sharding.shard_documents(docs, 8).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    size = collections.Counter()
+    for r in rows:
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(raw) + 1, zlib.crc32(raw))
+        size[r.shard] += r.size
+    assert len(rows) == len(texts) and max(size.values()) - min(size.values()) <= max(r.size for r in rows)
+    for s in range(8):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+    assert sharding.shard_documents(odd, 3).count() == odd.count()
+    assert sharding.shard_documents(odd.where("false"), 3).count() == 0
+
+
+def test_overfull_ranges(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.xxhash64("id")).alias("key"), F.xxhash64(F.col("id") + 1).alias("tie"), (F.col("id") % 50 + 1).alias("size"), "id")
+    out = sharding.shard_by_bytes(rows, 5, ranges=40).collect()
+    assert sorted(r.id for r in out) == list(range(4000))
+    size = collections.Counter()
+    for r in out:
+        size[r.shard] += r.size
+    assert max(size.values()) - min(size.values()) <= 51
+    for s in range(5):
+        assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+
+
+# --- 8 ---
+
+
+def test_mixture(spark):
+    r = random.Random(8)
+    rows = [(i, "w " * r.randrange(1, 60), "big" if i % 10 else f"s{i % 3}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("weight", F.lit("mine"))
+    share = collections.Counter()
+    for _, t, s in rows:
+        share[s] += len(t.split())
+    total = sum(share.values())
+
+    def entropy(e):
+        w = [(v / total) ** e for v in share.values()]
+        return -sum(x / sum(w) * math.log(x / sum(w)) for x in w)
+
+    out = mixing.mixture(df, entropy=0.8, repeats=50.0).collect()
+    weights = {x.source: x.weight for x in out}
+    assert math.isclose(sum(weights.values()), 1, rel_tol=1e-9)
+    assert math.isclose(-sum(w * math.log(w) for w in weights.values()), 0.8 * math.log(len(share)), rel_tol=1e-4) and entropy(1) < 0.8 * math.log(len(share))
+    got = collections.Counter()
+    for x in out:
+        got[x.source] += x.tokens
+    assert all(abs(got[s] - weights[s] * total) < 0.06 * share[s] for s in share)
+    assert all(0 <= x.position <= 1 for x in out)
+    passes = collections.Counter((x.doc_id, x.epoch) for x in out)
+    assert max(passes.values()) == 1
+    held = mixing.mixture(df, entropy=1.0, repeats=1.5).collect()
+    most = max(w * total / share[s] for s, w in {x.source: x.weight for x in held}.items())
+    assert 1.49 < most <= 1.5 + 1e-6
+    cover = mixing.mixture(df, entropy=1.0, repeats=1.25, cover=True).collect()
+    assert {x.doc_id for x in cover} == {i for i, _, _ in rows} and max(collections.Counter(x.doc_id for x in cover).values()) <= 2
+
+
+def test_mixture_odd_rows(odd, empty):
+    out = mixing.mixture(odd, entropy=1.0, repeats=1.25, cover=True)
+    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in odd.collect()}
+    assert mixing.mixture(empty).count() == 0
+    assert mixing.mixture(odd.where("doc_id < 2")).count() == 2
+
+
+# --- 9 ---
+
+
+def check_links(spark, vectors, block=None):
+    rows = [(i, v, lab) for i, (v, lab) in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({"sig": F.lit(1), "rep": F.lit(2), "n": F.lit(3)})
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df).collect()}
+    unit = {}
+    for i, v, lab in rows:
+        x = np.array(v if v and all(c is not None for c in v) else [], np.float32).astype(float)
+        if lab is not None and len(x) and np.isfinite(x).all() and x.any():
+            unit[i] = x / np.linalg.norm(x), lab
+    links = [(a, b) for a in unit for b in unit if a < b and unit[a][1] == unit[b][1] and len(unit[a][0]) == len(unit[b][0]) and unit[a][0] @ unit[b][0] >= 0.93]
+    n = collections.Counter(x for p in links for x in p)
+    group = joined(links, range(len(rows)))
+    assert {i: (r.n_links, r.component_id, r.kept) for i, r in got.items()} == {i: (n[i], group[i], group[i] == i) for i in range(len(rows))}
+    return len(links)
+
+
+def test_embedding_links(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    vectors = []
+    for c in range(40):
+        centre = r.normal(size=24)
+        vectors += [((centre + 0.12 * r.normal(size=24)).tolist(), c % 3) for _ in range(r.integers(1, 12))]
+    centre = r.normal(size=24)
+    vectors += [((centre + 0.1 * r.normal(size=24)).tolist(), 1) for _ in range(150)] + [(centre.tolist(), 1)] * 20 + [((3 * centre).tolist(), 1), (centre.tolist(), None), (centre.tolist(), 2)]
+    assert check_links(spark, vectors) > 1000
+    monkeypatch.setattr(embeddings, "BLOCK", 16)  # large buckets are cut into blocks
+    check_links(spark, vectors)
+
+
+def test_embedding_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [(None, 1), ([], 1), ([0.0, 0.0], 1), ([1.0, None], 1), ([nan, 1.0], 1), ([inf, 1.0], 1), ([1.0], 1), ([2.0], 1), ([-1.0], 1), ([1.0, 0.1], 1), ([1.0, 0.12], 1), ([1e-30, 1e-31], 1), ([3e38, 3e37], 1), ([1.0, 0.1, 0.0], 1)]
+    check_links(spark, vectors)
+    df = spark.createDataFrame([(None, [1.0], 1), (1, [1.0], 1)], "vec_id long, embedding array<float>, label int")
+    assert sorted((r.vec_id or 0, r.n_links) for r in embeddings.near_duplicates(df).collect()) == [(0, 0), (1, 0)]
+    assert embeddings.near_duplicates(df.where("false")).count() == 0
+
+
+def test_more_hashes_find_as_much():
+    tables, hashes = embeddings.plan(3_000_000, 32, 0.93)
+    assert hashes > 1
+    r = np.random.default_rng(4)
+    x = r.normal(size=(1000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = r.normal(size=x.shape)
+    y -= (x * y).sum(1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    y = 0.93 * x + math.sqrt(1 - 0.93**2) * y
+    hit = embeddings.meets(embeddings.signatures(x, tables, hashes, 2), embeddings.signatures(y, tables, hashes, 2)).any(1).mean()
+    assert hit >= 0.98
+
+
+def test_hadamard():
+    x = np.eye(8)
+    h = embeddings.hadamard(x)
+    assert np.allclose(h @ h.T, np.eye(8)) and np.allclose(np.abs(h), 1 / math.sqrt(8))
+
+
+# --- 10 ---
+
+
+def test_media_round_trip(spark, odd):
+    r = random.Random(10)
+    sizes = [1, 64, 1023, 1024, 1025, 8192, 8193, 16 * 1024, 16 * 1024 + 1, 200_001]
+    rows = [(i, r.randbytes(n)) for i, n in enumerate(sizes)] + [(98, b""), (99, None)]
+    df = spark.createDataFrame(rows, "id long, payload binary").withColumn("codec", F.lit("mine"))
+    got = {x.id: x for x in media.inspect(media.pack(df), payload=True).collect()}
+    for i, raw in rows[:-2]:
+        x = got[i]
+        frames = -(-len(raw) // media.FRAME)
+        assert bytes(x.payload) == raw and (x.codec, x.timescale, x.duration, x.n_samples) == ("raw ", 8000, len(raw), frames)
+        keys = [raw[k * media.FRAME : (k + 1) * media.FRAME] for k in range(0, frames, media.KEY_EVERY)]
+        assert [bytes(x.media[a:b]) for a, b in zip(x.key_begins, x.key_ends)] == keys
+    assert got[98].media is None and got[99].codec is None
+    cut = spark.createDataFrame([(b"junk",), (media.container(b"abc")[:-9],), (b"",)], "media binary")
+    assert {x.codec for x in media.inspect(cut).collect()} == {None}
+    assert media.inspect(media.pack(df.where("false"))).count() == 0
+
+
+def test_boxes_are_walked():
+    made = media.container(bytes(70_000))
+    paths = [p for p, _, _ in media.boxes(memoryview(made), 0, len(made))]
+    assert paths[:3] == [b"/ftyp", b"/mdat", b"/moov"]
+    assert b"/moov/trak/mdia/minf/stbl/stsc" in paths
+    large = b"\0\0\0\1free" + (20).to_bytes(8, "big") + b"abcd" + made
+    assert [p for p, _, _ in media.boxes(memoryview(large), 0, len(large))][0] == b"/free"
