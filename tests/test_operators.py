@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import scalars as S
 from tidewatch.operators import diff, index, merge, planner, query, series, state
 from tidewatch.sources import readers, sinks
-from tidewatch.sources.rest import PagedJson
+from tidewatch.sources.rest import register
 from tidewatch.streaming import ticks as streams
 
 
@@ -240,7 +240,7 @@ def test_readers(spark, tmp_path):
 
 
 def test_paged_source(spark, tmp_path):
-    spark.dataSource.register(PagedJson)
+    register(spark)
     for i in range(2):
         (tmp_path / f"{i * 2}.json").write_text(json.dumps({"Items": [{"a": i, "b": "x"}, {"a": i + 10, "b": None}]}))
     df = spark.read.format("paged_json").schema("a long, b string").options(url=f"file://{tmp_path}/{{skip}}.json", pages=3, size=2).load()

@@ -66,3 +66,9 @@ class PagedJsonReader(DataSourceReader):
                     raise
                 time.sleep(2**i)
         return {}
+
+
+def register(spark) -> None:
+    """Makes ``paged_json`` known to the session, with filters pushed down."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
+    spark.dataSource.register(PagedJson)
