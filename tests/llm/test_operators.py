@@ -304,7 +304,7 @@ def test_warc_odd_rows(spark):
     got = warc.read_records(written(warc.archive(written(warc.spool(pages), "spool")), "warc")).collect()
     assert sorted((r.record_type, r.page_id or 0, r.refers_to or 0) for r in got) == [("response", 0, 0), ("response", 1, 0), ("revisit", 0, 1), ("revisit", 1, 1)]
     assert warc.read_records(written(warc.archive(written(warc.spool(pages.where("false")), "spool")), "warc")).count() == 0
-    broken = written(warc.archive(written(warc.spool(pages), "spool")), "warc").withColumn("data", F.expr("replace(cast(data as string), 'a', 'b')").cast("binary"))
+    broken = written(warc.archive(written(warc.spool(pages), "spool")), "warc").withColumn("data", F.replace(F.col("data").cast("string"), F.lit("\r\n\r\na"), F.lit("\r\n\r\nb")).cast("binary"))
     assert not all(r.verified for r in warc.read_records(broken).where("record_type = 'response' and payload_bytes > 0").collect())
 
 
