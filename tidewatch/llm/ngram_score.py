@@ -20,9 +20,11 @@ from ._store import written
 from ._text import mix, pieces, utf8, words
 
 #: Bytes of filter that are broadcast at most; entries of the exact unigram table that are.
-FILTER_BYTES, HOT_TOKENS = 64 << 20, 2_000_000
+FILTER_BYTES, HOT_TOKENS = 64 << 20, 1_000_000
 #: Hash functions of an entry, bits for each (half of them end up set), ratio of a level's counts to those of the one before.
 HASHES, BITS, RATIO = 6, 6 / np.log(2), 1.5
+#: Distinct keys that a task holds before it passes them on, and bytes of text that it works on at once.
+HELD, PIECE = 1_500_000, 2 << 20
 #: Bigrams seen less often are left to the unigrams.
 LEAST_BIGRAM = 2
 #: Pseudo-count of the unigrams in a context's distribution.
@@ -30,10 +32,9 @@ PRIOR = 2.0
 #: Tokens besides the words: the end of a text, and what stands before its first word.
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 UNIGRAM, BIGRAM, CONTEXT = 0, 1, 2
+MOST_LEVELS = 100
 
-_LEVELS = np.ceil(RATIO ** np.arange(120) - 1e-9)
-#: Mean count of each level; level 0 is a count of 0.
-COUNT = np.concatenate([[0.0], (_LEVELS[:-1] + np.maximum(_LEVELS[1:] - 1, _LEVELS[:-1])) / 2])
+_LEVELS = np.ceil(RATIO ** np.arange(MOST_LEVELS) - 1e-9)
 
 
 def level(count: np.ndarray) -> np.ndarray:
@@ -64,7 +65,22 @@ def bigram_key(before: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def segment_of(key: np.ndarray, segments: int) -> np.ndarray:
-    return (mix(key) % np.uint64(segments)).astype(np.int64)
+    return _scaled(mix(key), np.uint64(segments)).astype(np.int64)
+
+
+def _scaled(x: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash as a number under ``size``, which is under 2 ** 32, without a division."""
+    return (x >> np.uint64(32)) * size >> np.uint64(32)
+
+
+def _probes(keys: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes of a level begin, and the step from one to the next."""
+    x = mix(keys + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
+    return x, (x << np.uint64(32)) | np.uint64(1 << 31 | 1)
+
+
+#: Bigrams have no levels under that of their least count: theirs are counted from there.
+LIFT = int(level(np.array([LEAST_BIGRAM]))[0]) - 1
 
 
 class Filter:
@@ -87,13 +103,12 @@ class Filter:
         bits, turn = self.bits[kind], 0
         while len(alive):
             turn += 1
-            x = mix(keys[alive] + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
-            one, step = x >> np.uint64(32), x & np.uint64(0xFFFFFFFF) | np.uint64(1)
-            for i in range(HASHES):
-                at = base[alive] + (one + np.uint64(i) * step) % size[alive]
-                set_ = bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0
-                if not set_.all():
-                    alive, one, step = alive[set_], one[set_], step[set_]
+            x, step = _probes(keys[alive], turn)
+            for _ in range(HASHES):
+                at = base[alive] + _scaled(x, size[alive])
+                found = np.flatnonzero(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+                alive, x, step = alive[found], x[found], step[found]
+                x += step
             out[alive] = turn
         return out
 
@@ -105,10 +120,10 @@ def build(keys: np.ndarray, levels: np.ndarray) -> tuple[int, bytes]:
     turn = 0
     while len(keys):
         turn += 1
-        x = mix(keys + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
-        one, step = x >> np.uint64(32), x & np.uint64(0xFFFFFFFF) | np.uint64(1)
-        for i in range(HASHES):
-            flags[((one + np.uint64(i) * step) % np.uint64(size)).astype(np.int64)] = True
+        x, step = _probes(keys, turn)
+        for _ in range(HASHES):
+            flags[_scaled(x, np.uint64(size))] = True
+            x = x + step
         more = levels > turn
         keys, levels = keys[more], levels[more]
     return size, np.packbits(flags, bitorder="little").tobytes()
@@ -127,7 +142,7 @@ _BLOCK = "segment int, kind int, keys binary, counts binary"
 def _blocks(kind: int, keys: np.ndarray, counts: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
     s = segment_of(keys, segments)
     order = np.argsort(s, kind="stable")
-    keys, counts, s = keys[order], counts[order], s[order]
+    keys, counts, s = keys[order], counts[order].astype(np.int64), s[order]
     edges = np.searchsorted(s, np.arange(segments + 1))
     used = np.flatnonzero(np.diff(edges))
     parts = [(keys[edges[i] : edges[i + 1]].tobytes(), counts[edges[i] : edges[i + 1]].tobytes()) for i in used]
@@ -144,15 +159,15 @@ def _counted(docs: DataFrame, segments: int) -> DataFrame:
         held: dict[int, list] = {UNIGRAM: [], BIGRAM: []}
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            for a, b in pieces(offsets):
+            for a, b in pieces(offsets, PIECE):
                 _, h, before = tokens(data, offsets[a : b + 1])
                 for kind, keys in ((UNIGRAM, h), (BIGRAM, bigram_key(before, h))):
-                    held[kind].append(_summed(keys, np.ones(len(keys), np.int64)))
-                    if sum(len(k) for k, _ in held[kind]) > 6_000_000:
+                    held[kind].append(_summed(keys, np.ones(len(keys), np.int32)))
+                    if sum(len(k) for k, _ in held[kind]) > HELD:
                         yield from _blocks(kind, *_joined(held[kind]), segments)
                         held[kind] = []
-        for kind, parts in held.items():
-            if parts:
+        for kind in (UNIGRAM, BIGRAM):
+            if parts := held.pop(kind):
                 yield from _blocks(kind, *_joined(parts), segments)
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, _BLOCK)
@@ -162,12 +177,12 @@ def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return _summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
 
 
-_SEGMENT = "segment int, kind int, entries long, total long, mass double, histogram array<bigint>, keys binary, counts binary, size long, bits binary"
+_SEGMENT = "segment int, kind int, entries long, total long, histogram array<bigint>, at_level array<bigint>, of_level array<double>, keys binary, counts binary, size long, bits binary"
 
 
 def _merged(blocks: DataFrame, segments: int) -> DataFrame:
-    """A row for each segment and kind: its distinct keys and their sum, the sum of the levels' counts, keys by bits of the
-    count, the filter's bits; ``keys`` and ``counts`` are those of the unigrams, or by context the bigrams' sums."""
+    """A row for each segment and kind: its distinct keys and their sum, keys by bits of the count, keys and sum of counts by
+    level, the filter's bits; ``keys`` and ``counts`` are those of the unigrams, or by context the bigrams' sums."""
 
     def segment(s: int, kind: int, parts: list) -> pa.RecordBatch:
         keys, counts = _joined(parts)
@@ -176,16 +191,13 @@ def _merged(blocks: DataFrame, segments: int) -> DataFrame:
         if kind == BIGRAM:
             kept = counts >= LEAST_BIGRAM
             keys, counts = keys[kept], counts[kept]
-            levels = level(counts) - level(np.array([LEAST_BIGRAM]))[0] + 1
-            mass = COUNT[level(counts)]
-            size, bits = build(keys, levels)
-            keys, counts = _summed(keys >> np.uint64(28), np.rint(mass).astype(np.int64))
-        else:
-            levels = level(counts)
-            mass = COUNT[levels]
-            size, bits = build(keys, levels)
-        own = [[s], [kind], [entries], [total], [float(mass.sum())], [histogram], [keys.tobytes()], [counts.astype(np.int64).tobytes()], [size], [bits]]
-        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+        levels = level(counts)
+        at_level, of_level = np.bincount(levels, minlength=MOST_LEVELS + 1), np.bincount(levels, counts, MOST_LEVELS + 1)
+        size, bits = build(keys, levels - (LIFT if kind == BIGRAM else 0))
+        if kind == BIGRAM:
+            keys, counts = _summed(keys >> np.uint64(28), counts)
+        own = [[s], [kind], [entries], [total], [histogram], [at_level.tolist()], [of_level.tolist()], [keys.tobytes()], [counts.astype(np.int64).tobytes()], [size], [bits]]
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(own, types, strict=True)], names=[x.split()[0] for x in _SEGMENT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +232,14 @@ class Model:
         second = written(_merged(first.where(f"kind = {BIGRAM}").select("keys", "counts").mapInArrow(contexts, _BLOCK), segments), "ngram-contexts")
         self.unigrams = first.where(f"kind = {UNIGRAM}")
         self.filters = first.select("kind", "segment", "size", "bits").union(second.select("kind", "segment", "size", "bits"))
-        sums = self.unigrams.agg(F.sum("entries"), F.sum("total"), F.sum("mass")).first()
-        self.distinct, self.total, self.mass = sums[0] or 0, sums[1] or 0, sums[2] or 0.0
+        sums = self.unigrams.agg(F.sum("entries"), F.sum("total")).first()
+        self.distinct, self.total = sums[0] or 0, sums[1] or 0
+        means = first.select("kind", "at_level", "of_level").union(second.select("kind", "at_level", "of_level"))
+        means = means.select("kind", F.posexplode(F.arrays_zip("at_level", "of_level")).alias("level", "x")).groupBy("kind", "level")
+        #: Mean count of the entries at each level, by kind; 0 for level 0.
+        self.counts = np.zeros((3, MOST_LEVELS + 1))
+        for r in means.agg((F.sum("x.of_level") / F.greatest(F.sum("x.at_level"), F.lit(1))).alias("mean")).collect():
+            self.counts[r["kind"], r["level"]] = r["mean"]
         self.docs = docs.count()
         self.bytes = self.filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
         bins = {r["bin"]: r["n"] for r in self.unigrams.select(F.posexplode("histogram").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect()}
@@ -258,19 +276,21 @@ class Model:
         return Filter(self.segments, [(r["kind"], r["segment"], r["size"], r["bits"]) for r in t])
 
 
-def _log_probability(levels: Callable[[int, np.ndarray], np.ndarray], row: np.ndarray, h: np.ndarray, before: np.ndarray, n: int, model: dict) -> np.ndarray:
-    """log10 of the probability of each row's tokens, given how to find levels."""
-    token, back = np.unique(h, return_inverse=True)
-    unigram = COUNT[levels(UNIGRAM, token)]
-    p = ((unigram + 0.5) / (model["mass"] + 0.5 * (model["distinct"] + 1)))[back]
-    two = levels(BIGRAM, bigram_key(before, h))
-    two = np.where(two > 0, COUNT[two + model["lift"]], 0.0)
-    context, back = np.unique(before, return_inverse=True)
-    kept = COUNT[levels(CONTEXT, context_key(context))]
-    seen = np.where(context == BEGIN, float(model["docs"]), COUNT[levels(UNIGRAM, context)])
+def _log_probability(levels: Callable[[int, np.ndarray], np.ndarray], token: np.ndarray, at: np.ndarray, row: np.ndarray, h: np.ndarray, before: np.ndarray, n: int, model: dict) -> np.ndarray:
+    """log10 of the probability of each row's tokens, given how to find levels; ``h`` is ``token[at]``, which is sorted."""
+    count = model["counts"]
+    unigram = count[UNIGRAM][levels(UNIGRAM, token)]
+    p = ((unigram + 0.5) / (model["total"] + 0.5 * (model["distinct"] + 1)))[at]
+    key, back = np.unique(bigram_key(before, h), return_inverse=True)
+    two = levels(BIGRAM, key)
+    two = np.where(two > 0, count[BIGRAM][two + LIFT], 0.0)[back]
+    context = np.append(context_key(token), context_key(BEGIN))
+    kept = count[CONTEXT][levels(CONTEXT, context)]
     # what the context's kept bigrams leave over goes to the unigrams
-    spare = (np.maximum(0.0, seen - kept) + PRIOR)[back]
-    kept = kept[back]
+    spare = np.maximum(0.0, np.append(unigram, float(model["docs"])) - kept) + PRIOR
+    at = np.concatenate([[len(token)], at[:-1]])  # of the token before
+    at[before == BEGIN] = len(token)
+    kept, spare = kept[at], spare[at]
     p = np.minimum(1.0, (np.minimum(two, kept) + spare * p) / (kept + spare))
     return np.bincount(row, np.log10(p), n)
 
@@ -285,7 +305,7 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
     docs = docs.drop("n_tokens", "n_known", "train_tokens", "base_score", "score")
     others = [c for c in docs.columns if c != "text"]
     whole = model.bytes <= filter_bytes
-    facts = {"mass": model.mass, "distinct": model.distinct, "docs": model.docs, "lift": int(level(np.array([LEAST_BIGRAM]))[0]) - 1}
+    facts = {"counts": model.counts, "total": model.total, "distinct": model.distinct, "docs": model.docs}
     shared = spark.sparkContext.broadcast((*model.hot(), model.filter() if whole else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,19 +313,21 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
         hot, hot_counts, filter_ = shared.value
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            for a, b in pieces(offsets):
+            for a, b in pieces(offsets, PIECE):
                 n = b - a
                 row, h, before = tokens(data, offsets[a : b + 1])
-                at = np.minimum(np.searchsorted(hot, h), max(0, len(hot) - 1))
-                known = hot[at] == h if len(hot) else np.zeros(len(h), bool)
-                base = np.bincount(row[known], np.log10(hot_counts[at[known]] + 0.5), n)
+                token, back = np.unique(h, return_inverse=True)
+                at = np.minimum(np.searchsorted(hot, token), max(0, len(hot) - 1))
+                known = hot[at] == token if len(hot) else np.zeros(len(token), bool)
+                base = np.bincount(row, np.where(known, np.log10((hot_counts[at] if len(hot) else at) + 0.5), 0.0)[back], n)
+                known = known[back]
                 order = np.lexsort((h[~known], row[~known]))
                 far, far_row = h[~known][order], row[~known][order]
                 first = np.flatnonzero(np.append(True, (far[1:] != far[:-1]) | (far_row[1:] != far_row[:-1]))[: len(far)])
                 edges = pa.array(np.searchsorted(far_row[first], np.arange(n + 1)).astype(np.int32))
                 times = np.diff(np.append(first, len(far))).astype(np.int32)
                 if filter_:
-                    s = pa.array(_log_probability(filter_.levels, row, h, before, n, facts))
+                    s = pa.array(_log_probability(filter_.levels, token, back, row, h, before, n, facts))
                 elif "_levels" in batch.schema.names:
                     own = batch.column("_levels").slice(a, n).flatten()
                     kind, key, q = (own.field(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -314,7 +336,7 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
                         some = kind == k
                         keys, one = np.unique(key[some].view(np.uint64), return_index=True)
                         found[k] = keys, q[some][one]
-                    s = pa.array(_log_probability(lambda k, x, f=found: f[k][1][np.searchsorted(f[k][0], x)], row, h, before, n, facts))
+                    s = pa.array(_log_probability(lambda k, x, f=found: f[k][1][np.searchsorted(f[k][0], x)], token, back, row, h, before, n, facts))
                 part = [batch.column(c).slice(a, n) for c in others]
                 yield pa.RecordBatch.from_arrays(
                     [*part, pa.array(np.arange(number, number + n)), pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row[known], minlength=n)), pa.array(base), s,
@@ -329,6 +351,7 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
         source = source.join(_shuffled_levels(source.select("_doc", "text"), model), "_doc").drop("_doc")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     out = written(source.mapInArrow(run, f"{kinds}, _row long, n_tokens long, _known long, _base double, score double, _far array<bigint>, _times array<int>"), "scores")
+    shared.destroy()
     far = out.select("_row", F.explode(F.arrays_zip("_far", "_times")).alias("x")).select("_row", F.col("x._far").alias("key"), F.col("x._times").alias("times"))
     far = far.join(model.rare(), "key", "left").groupBy("_row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("_more"), F.sum(F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0)).alias("_more_known")
@@ -355,7 +378,7 @@ def _shuffled_levels(docs: DataFrame, model: Model) -> DataFrame:
             doc = batch.column("_doc").to_numpy()
             for a, b in pieces(offsets):
                 row, h, before = tokens(data, offsets[a : b + 1])
-                for kind, key, r in ((UNIGRAM, np.concatenate([h, before]), np.concatenate([row, row])), (BIGRAM, bigram_key(before, h), row), (CONTEXT, context_key(before), row)):
+                for kind, key, r in ((UNIGRAM, h, row), (BIGRAM, bigram_key(before, h), row), (CONTEXT, np.append(context_key(h), np.full(b - a, context_key(BEGIN))), np.append(row, np.arange(b - a)))):
                     order = np.lexsort((key, r))
                     key, r = key[order], r[order]
                     first = np.append(True, (key[1:] != key[:-1]) | (r[1:] != r[:-1]))
