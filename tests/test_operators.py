@@ -286,3 +286,19 @@ def test_stream_once_and_windows(spark, tmp_path):
     schema = spark.read.parquet(str(tmp_path / "in")).schema
     got = streams.drained(streams.once(streams.landed(spark, str(tmp_path / "in"), schema), ["k"], "ts"), str(tmp_path), "append")
     assert sorted(r.k for r in got.collect()) == [1, 2]
+
+
+def test_triples(spark):
+    rows = [(f"t{i:02d}", f"z{i % 2}", 1 + i % 3) for i in range(40)] + [(None, "z0", 1)]
+    out = planner.stratified_triples(spark.createDataFrame(rows, "InstanceType string, AZ string, SPS int"), [4, 6], most=20, per_score=4).collect()
+    scores = {(t, z): s for t, z, s in rows}
+    assert {r.total for r in out} == {4, 6}
+    assert all(sum(scores[t, r.AZ] for t in (r.a, r.b, r.c)) == r.total and r.a < r.b < r.c for r in out)
+    assert len({(r.a, r.b, r.c, r.total) for r in out}) == len(out) and all(sum(r.total == t for r in out) <= 20 for t in (4, 6))
+
+
+def test_text_helpers(spark):
+    text = "Location is not supported. List of supported values: 'eastus, westus'."
+    assert one(spark, S.listed_after(F.col("t"), "supported values:"), t=text) == ["eastus", "westus"]
+    assert one(spark, S.joined_key(F.col("t"), F.lit("z")), t="m5") == "m5_z"
+    assert round(one(spark, S.hue(F.col("i")), i=3), 3) == 52.524

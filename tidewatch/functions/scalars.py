@@ -160,3 +160,19 @@ def failure_kind(reason: Column, exit_code: Column) -> Column:
         .when(exit_code.isNotNull() & (exit_code != 0), F.concat(F.lit("exit code "), exit_code.cast("string")))
         .otherwise("unknown")
     )
+
+
+def hue(index: Column) -> Column:
+    """Colour of a series: steps of the golden angle."""
+    return F.pmod(index * 137.508, F.lit(360.0))
+
+
+def listed_after(text: Column, lead: str) -> Column:
+    """The comma-separated names that a message lists in quotes or to its end after some words."""
+    found = F.regexp_extract(text, lead + r"\s*'?([^'.]*)'?", 1)
+    return F.when(found != "", F.split(found, r",\s*"))
+
+
+def joined_key(*parts: Column) -> Column:
+    """Parts joined by underscores, as (type, zone) keys are written."""
+    return F.concat_ws("_", *parts)

@@ -237,3 +237,17 @@ def without(df: DataFrame, column: str, *invalid: DataFrame) -> DataFrame:
 def headroom(calls: DataFrame, subscriptions: int, locations: int, limit: int = CALLS) -> DataFrame:
     """Calls made and calls left in the window over all subscriptions and locations."""
     return calls.agg(F.count("*").alias("made")).withColumn("left", F.lit(subscriptions * locations * limit) - F.col("made"))
+
+
+def stratified_triples(scores: DataFrame, sums: list[int], most: int = 200, per_score: int = 12, seed: int = 0) -> DataFrame:
+    """Random triples of instance types of one zone (``AZ``, ``a``, ``b``, ``c``, ``total``) whose scores have a wanted sum,
+    each once, at most ``most`` for each sum.
+
+    ``scores`` has InstanceType, AZ, SPS.  Of each zone and score ``per_score`` types are drawn by a hash first, so a zone
+    makes a bounded number of triples.
+    """
+    drawn = top_k(scores.select("InstanceType", "AZ", "SPS").dropna("any").distinct(), ["AZ", "SPS"], per_score, F.xxhash64(F.lit(seed), "InstanceType", "AZ"), F.col("InstanceType"))
+    one, two, three = (drawn.select("AZ", F.col("InstanceType").alias(n), F.col("SPS").alias(f"s_{n}")) for n in "abc")
+    triples = one.join(two, "AZ").where("a < b").join(three, "AZ").where("b < c").withColumn("total", F.col("s_a") + F.col("s_b") + F.col("s_c"))
+    triples = triples.where(F.col("total").isin(sums)).select("AZ", "a", "b", "c", "total").dropDuplicates(["a", "b", "c", "total"])
+    return top_k(triples, ["total"], most, F.xxhash64(F.lit(seed), "a", "b", "c"), F.col("a"), F.col("b"), F.col("c"))

@@ -43,7 +43,11 @@ def grouped_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(planner.grouped_requests(_support(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (bin_pack, request_batches, cover_requests, clustered_requests, grouped_requests)}
+def sampled_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planner.stratified_triples(signals(spark, sf_dir)[0], [3, 5, 7, 9])
+
+
+QUERIES = {f.__name__: f for f in (sampled_triples, bin_pack, request_batches, cover_requests, clustered_requests, grouped_requests)}
 
 ORACLE_SQL = {
     "grouped_requests": f"""{SIGNALS}, s AS (SELECT DISTINCT Region AS r, InstanceType AS t FROM scores), p AS (SELECT r, count(*) AS n FROM s GROUP BY r),
