@@ -19,9 +19,9 @@ BLOCK_TOKENS, LEAST_BLOCKS = 200_000, 64
 CUTS, TURNS = 64, 4
 
 
-def _weighed(sources: DataFrame, exponents: DataFrame, budget: float) -> DataFrame:
+def _weighed(sources: DataFrame, exponents: list[float], budget: float) -> DataFrame:
     """For each exponent: entropy of the mixture in nats, most and fewest passes over a source."""
-    power = sources.crossJoin(F.broadcast(exponents)).withColumn("p", F.pow(F.col("tokens") / F.col("total"), F.col("exponent")))  # a row for each source and cut
+    power = sources.withColumn("exponent", F.explode(F.lit(exponents))).withColumn("p", F.pow(F.col("tokens") / F.col("total"), F.col("exponent")))
     power = power.groupBy("exponent").agg(
         F.sum("p").alias("z"), F.sum(F.col("p") * F.ln("p")).alias("plogp"),
         F.max(F.col("p") / F.col("tokens")).alias("high"), F.min(F.col("p") / F.col("tokens")).alias("low"),
@@ -34,10 +34,10 @@ def _weighed(sources: DataFrame, exponents: DataFrame, budget: float) -> DataFra
 
 def _section(sources: DataFrame, budget: float, good, up: bool) -> float:
     """The end of the range of exponents for which ``good`` holds: the largest such if ``up``, else the smallest."""
-    spark, low, high = sources.sparkSession, 0.0, 1.0
+    low, high = 0.0, 1.0
     for _ in range(TURNS):
         cuts = [low + (high - low) * i / CUTS for i in range(CUTS + 1)]
-        rows = {r["exponent"]: good(r) for r in _weighed(sources, spark.createDataFrame([(c,) for c in cuts], "exponent double"), budget).collect()}
+        rows = {r["exponent"]: good(r) for r in _weighed(sources, cuts, budget).collect()}
         held = [rows[c] for c in cuts]
         if up:
             i = max((k for k in range(CUTS + 1) if held[k]), default=0)
@@ -79,7 +79,7 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
         wanted = _section(live, scale, lambda r: r["entropy"] >= target, True)
         limit = _section(live, scale, lambda r: passes(r) <= repeats * (1 + 1e-9), False)
         exponent = max(wanted, limit)
-        found = _weighed(live, docs.sparkSession.createDataFrame([(exponent,)], "exponent double"), scale).first()
+        found = _weighed(live, [exponent], scale).first()
         z = found["z"]
         scale = scale / found["fewest"] if cover else scale
     weight = F.pow(F.col("tokens") / F.col("total"), F.lit(exponent)) / z
