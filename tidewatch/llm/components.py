@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,16 @@ def components(links: DataFrame) -> DataFrame:
     place = written(place, "places")
     least = place.groupBy("at").agg(F.min("node").alias("component"))
     return place.join(least, "at").select("node", "component")
+
+
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For nodes 0 to n-1: those that links reach, and the least node each reaches."""
+    least = np.arange(n)
+    while True:
+        new = least.copy()
+        np.minimum.at(new, a, least[b])
+        np.minimum.at(new, b, least[a])
+        new = new[new]
+        if (new == least).all():
+            return np.flatnonzero(least != np.arange(n)), least
+        least = new

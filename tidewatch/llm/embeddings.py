@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ._store import written
 from ._text import mix
-from .components import components
+from .components import components, forest
 
 #: Candidates of a bucket that one task compares; a larger bucket is cut into blocks of half as many.
 BLOCK = 1024
@@ -91,19 +91,6 @@ def plan(rows: int, dim: int, threshold: float, recall: float = RECALL) -> tuple
     return max(2, math.ceil(math.log(1 - recall) / math.log(max(1e-6, 1 - hit)))), hashes
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """For nodes 0 to n-1: those that links reach, and the least node each reaches."""
-    least = np.arange(n)
-    while True:
-        new = least.copy()
-        np.minimum.at(new, a, least[b])
-        np.minimum.at(new, b, least[a])
-        new = new[new]
-        if (new == least).all():
-            return np.flatnonzero(least != np.arange(n)), least
-        least = new
-
-
 def _compare(threshold: float, probes: int):
     """Verifies the candidates of each group of rows; rows of a group follow each other, over batches."""
 
@@ -134,7 +121,7 @@ def _compare(threshold: float, probes: int):
         links = np.zeros(len(rep), np.int64)
         np.add.at(links, p, size[q])
         np.add.at(links, q, size[p])
-        moved, least = _forest(p, q, len(rep))
+        moved, least = forest(p, q, len(rep))
         some = np.flatnonzero(links)
         yield rep[some], links[some], rep[some]
         yield rep[moved], np.zeros(len(moved), np.int64), rep[least[moved]]

@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 from ._store import written
 from ._text import mix, pieces, utf8, words
-from .components import components
+from .components import components, forest
 
 #: Words of a shingle, least similarity of a link, bands and registers of a band: a pair at 0.8 is missed once in 1500.
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 6
-#: Rounds of comparing with one centre for each bucket before all remaining pairs are compared, whatever their number.
-ROUNDS = 12
+#: Rounds of comparing with one centre for each bucket; rows up to which the rest of a bucket is compared pair by pair; classes
+#: of a block, and shingles that blocks are compared by at once, beyond that.
+ROUNDS, SMALL, BLOCK, COLUMNS = 2, 24, 256, 4096
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -127,20 +128,99 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "fp long, set array<int>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of ``pairs(a, b)`` those whose shingle sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``pairs(a, b)`` with ``linked``, whether their shingle sets are similar enough."""
     one, two = (sets.select(F.col("fp").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     both = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(common >= threshold * (F.size(F.array_distinct("set_a")) + F.size(F.array_distinct("set_b")) - common)).select("a", "b")
+    whole = F.size(F.array_distinct("set_a")) + F.size(F.array_distinct("set_b")) - common
+    return both.select("a", "b", (common >= threshold * whole).alias("linked"))
+
+
+def _blocks_compared(threshold: float):
+    """Links between the two sides of each group of rows, as those of a forest; rows of a group follow each other."""
+
+    def group(side: np.ndarray, fp: np.ndarray, label: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(left) or not len(right):
+            return fp[:0], fp[:0]
+        size = np.array([len(x) for x in sets])
+        value = np.concatenate([sets[i] for i in (*left, *right)])
+        row = np.repeat(np.arange(len(side)), size[np.concatenate([left, right])])
+        _, column = np.unique(value, return_inverse=True)
+        cut = int(size[left].sum())
+        both = np.zeros(column.max() + 1, bool)
+        both[column[:cut]] = True
+        shared = np.zeros_like(both)
+        shared[column[cut:]] = True
+        shared &= both
+        rank = np.cumsum(shared) - 1
+        kept = shared[column]
+        row, column, on_left = row[kept], rank[column[kept]], (np.arange(len(column)) < cut)[kept]
+        row = np.where(on_left, row, row - len(left))
+        order = np.argsort(column, kind="stable")
+        row, column, on_left = row[order], column[order], on_left[order]
+        common = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, int(shared.sum()), COLUMNS):  # sizes of intersections, some shingles at a time
+            part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+            x, y = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
+            one = on_left[part]
+            x[row[part][one], column[part][one] - at] = 1
+            y[row[part][~one], column[part][~one] - at] = 1
+            common += x @ y.T
+        close = common >= threshold * (size[left][:, None] + size[right] - common)
+        p, q = np.nonzero(close & (label[left][:, None] != label[right]))
+        moved, least = forest(left[p], right[q], len(side))
+        return fp[moved], fp[least[moved]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            side, fp, label, sets = zip(*held, strict=True)
+            a, b = group(np.array(side), np.array(fp), np.array(label), list(sets))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("block", "i", "j", "side", "fp", "at")), strict=True)
+            for (block, i, j, side, fp, label), own in zip(keys, batch.column("set"), strict=True):
+                if (block, i, j) != at:
+                    if held:
+                        yield from done()
+                    at, held = (block, i, j), []
+                held.append((side, fp, label, np.unique(own.values.to_numpy())))
+        if held:
+            yield from done()
+
+    return run
+
+
+def _large_compared(state: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links among the classes of large buckets, whatever their labels: those outside the most frequent label of what
+    the buckets hold together, block by block, with all."""
+    least = state.groupBy("bucket").agg(F.min("fp").alias("b"))
+    whole = components(state.join(least, "bucket").select(F.col("fp").alias("a"), "b"))
+    rows = state.select("fp", "at").distinct().join(whole.select(F.col("node").alias("fp"), F.col("component").alias("block")), "fp")
+    per = rows.groupBy("block", "at").agg(F.count("*").alias("m"))
+    main = per.groupBy("block").agg(F.sum("m").alias("n"), F.max(F.struct("m", "at")).alias("top"))
+    main = main.select("block", F.col("top.at").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("all"), F.ceil((F.col("n") - F.col("top.m")) / BLOCK).cast("int").alias("some"))
+    rows = written(rows.join(main, "block").where("some > 0").join(sets, "fp"), "block-rows")
+    spot = lambda c: F.pmod(F.xxhash64("fp"), F.col(c)).cast("int")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    names = ["block", "i", "j", "side", "fp", "at", "set"]
+    left = rows.where("at <> main").withColumns({"i": spot("some"), "side": F.lit(0)}).withColumn("j", upto("all"))
+    right = rows.withColumns({"j": spot("all"), "side": F.lit(1)}).withColumn("i", upto("some"))
+    dealt = left.select(names).unionByName(right.select(names)).repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
+    return dealt.mapInArrow(_blocks_compared(threshold), "a long, b long")
 
 
 def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Links between classes, ``a`` and ``b``, that have the components of all links between candidates.
 
-    Classes that share a band are candidates.  A large bucket is not spread into all its pairs: in each round every
-    class is compared with one centre of each of its buckets, and once few pairs of classes in different components
-    remain, those are all compared.  So no candidate pair stays uncompared unless other links join it already.
+    Classes that share a band are candidates.  A bucket is not spread into all its pairs: in each of ``ROUNDS`` rounds
+    every class is compared with one centre of each of its buckets and takes the label of those it links with.  Then
+    classes with another label than most of their bucket are compared with all of it: pair by pair if the bucket is
+    small, or else in blocks that give only links.  So a candidate pair stays uncompared only where links join it already.
     """
     rows = classes.select(F.explode("bands").alias("bucket"), "fp")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
@@ -148,37 +228,31 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) ->
     wanted = members.select("fp").distinct().join(classes, "fp").select("doc_id")
     sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
     sets = written(sets.join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]), "shingle-sets")
-    spark = docs.sparkSession
-    found = spark.createDataFrame([], "a long, b long")
-    tried, place = found, None
+    compared, labels = None, None
     for turn in range(ROUNDS + 1):
-        state = members if place is None else members.join(place, members["fp"] == place["node"], "left").select("bucket", "fp", F.coalesce("component", "fp").alias("at"))
-        state = written(state if place is not None else state.withColumn("at", F.col("fp")), "band-state")
+        state = members.withColumn("at", F.col("fp")) if labels is None else members.join(labels, "fp")
         per = state.groupBy("bucket", "at").agg(F.count("*").alias("m"))
-        open_ = per.groupBy("bucket").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"), F.max(F.struct("m", "at")).alias("top")).where("m * m > mm")
-        open_ = written(open_.select("bucket", "m", ((F.col("m") * F.col("m") - F.col("mm")) / 2).alias("pairs"), F.col("top.at").alias("main")), "band-open")
-        rest = open_.agg(F.sum("pairs"), F.sum("m")).first()
-        if not rest[0]:
+        open_ = per.groupBy("bucket").agg(F.sum("m").alias("m"), F.count("*").alias("labels"), F.max(F.struct("m", "at")).alias("top")).where("labels > 1")
+        live = written(state.join(open_.select("bucket", "m", F.col("top.at").alias("main")), "bucket"), "band-live")
+        if turn == ROUNDS:
             break
-        last = rest[0] <= rest[1] or turn == ROUNDS
-        live = state.join(open_, "bucket")
-        if last:
-            # every class outside its bucket's largest component, with all classes of other components
-            left = live.where(F.col("at") != F.col("main")).select("bucket", F.col("fp").alias("a"), F.col("at").alias("at_a"))
-            pairs = left.join(live.select("bucket", F.col("fp").alias("b"), F.col("at").alias("at_b")), "bucket").where("at_a <> at_b")
-        else:
-            pick = F.min(F.struct(F.xxhash64(F.lit(turn), "fp").alias("h"), "fp", "at")).alias("c")
-            centre = live.groupBy("bucket").agg(pick).select("bucket", F.col("c.fp").alias("b"), F.col("c.at").alias("at_b"))
-            pairs = live.select("bucket", F.col("fp").alias("a"), F.col("at").alias("at_a")).join(centre, "bucket").where("at_a <> at_b")
+        pick = F.min(F.struct(F.xxhash64(F.lit(turn), "fp").alias("h"), "fp", "at")).alias("c")
+        centre = live.groupBy("bucket").agg(pick).select("bucket", F.col("c.fp").alias("b"), F.col("c.at").alias("at_b"))
+        pairs = live.select("bucket", F.col("fp").alias("a"), F.col("at").alias("at_a")).join(centre, "bucket").where("at_a <> at_b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = written(pairs.join(tried, ["a", "b"], "left_anti") if turn else pairs, "pairs")
-        new = written(_verified(pairs, sets, threshold), "pair-links")
-        found = found.union(new)
-        if last:
-            break
-        tried = tried.union(pairs)
-        place = components(found)
-    return found
+        pairs = pairs if compared is None else pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        new = written(_compared(pairs, sets, threshold), "pairs")
+        compared = new if compared is None else compared.union(new)
+        own = state.select("fp", "at").distinct()
+        ends = new.where("linked").select("a", "b")
+        offers = ends.union(ends.select("b", "a")).join(own.select(F.col("fp").alias("b"), "at"), "b").select(F.col("a").alias("fp"), "at")
+        labels = written(own.union(offers).groupBy("fp").agg(F.min("at").alias("at")), "labels")
+    few, many = live.where(F.col("m") <= SMALL), live.where(F.col("m") > SMALL)
+    left = few.where(F.col("at") != F.col("main")).select("bucket", F.col("fp").alias("a"), F.col("at").alias("at_a"))
+    pairs = left.join(few.select("bucket", F.col("fp").alias("b"), F.col("at").alias("at_b")), "bucket").where("at_a <> at_b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    found = compared.union(_compared(pairs, sets, threshold)).where("linked").select("a", "b")
+    return found.union(_large_compared(many.select("bucket", "fp", "at"), sets, threshold))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
