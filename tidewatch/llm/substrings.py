@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._store import written
-from ._text import _powers, mix, pieces, utf8, words
+from ._text import LOWER, _powers, mix, pieces, utf8, words
 
 #: Bytes that a hash covers; bytes on either side among which a cut is least, so a chunk has about twice as many.
 GEAR_BYTES, RADIUS = 16, 24
@@ -39,7 +39,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     # rows are set apart, so that no hash and no comparison reaches from one to another
     place = np.arange(n) + np.repeat(np.arange(1, len(edges)) * gap, np.diff(edges))
     h = np.zeros(n + len(edges) * gap, np.uint32)
-    h[place] = _GEAR[data[base : base + n]]
+    h[place] = _GEAR[LOWER[data[base : base + n]]]
     span = 1
     while span < GEAR_BYTES:  # sums over twice as many bytes from those over as many
         h[span:] = h[span:] + (h[:-span] << np.uint32(2 * span))
