@@ -23,5 +23,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table read back: cuts lineage, survives lost executors, computes once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
