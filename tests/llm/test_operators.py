@@ -557,3 +557,14 @@ def test_boxes_are_walked():
     assert b"/moov/trak/mdia/minf/stbl/stsc" in paths
     large = b"\0\0\0\1free" + (20).to_bytes(8, "big") + b"abcd" + made
     assert [p for p, _, _ in media.boxes(memoryview(large), 0, len(large))][0] == b"/free"
+
+
+def test_written_tables_are_released(spark):
+    from pathlib import Path
+
+    from tidewatch.llm._store import release, shared_dir
+
+    table = written(spark.range(3).toDF("id"), "three")
+    assert table.count() == 3 and any(Path(shared_dir(spark)).iterdir())
+    release(spark)
+    assert not Path(shared_dir(spark)).exists()

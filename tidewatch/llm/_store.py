@@ -16,12 +16,22 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = getattr(spark, "_tidewatch_shared", None) or tempfile.mkdtemp(prefix="tidewatch-")
         spark._tidewatch_shared = base
-    return base.rstrip("/")
+    return f"{base.rstrip('/')}/tidewatch/{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table read back: cuts lineage, survives lost executors, computes once."""
+    """``df`` as a Parquet table read back: cuts lineage, survives lost executors, computes once.
+
+    Tables stay until ``release``, as results that are not computed yet read them.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all tables this application has written here; call it once their readers' results are stored."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
