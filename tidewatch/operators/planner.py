@@ -158,10 +158,12 @@ def clustered_requests(support: DataFrame, clusters: int = 2, seed: int = 0) ->
 
     def clustered(by: str, other: str) -> DataFrame:
         rows = pairs.groupBy(by).agg(F.array_sort(F.collect_set(other)).alias("has"))
-        vectors = CountVectorizer(inputCol="has", outputCol="features", binary=True).fit(rows).transform(rows)
+        kinds = rows.groupBy("has").agg(F.count("*").alias("weight"))  # equal rows are one point, so that no two centres start alike
+        vectors = CountVectorizer(inputCol="has", outputCol="features", binary=True).fit(kinds).transform(kinds)
         if vectors.count() < clusters:
-            return vectors.select(by, F.lit(0).alias(f"c_{by}"))
-        return KMeans(k=clusters, seed=seed).fit(vectors).transform(vectors).select(by, F.col("prediction").alias(f"c_{by}"))
+            return rows.select(by, F.lit(0).alias(f"c_{by}"))
+        model = KMeans(k=clusters, seed=seed, initMode="random", weightCol="weight").fit(vectors)
+        return rows.join(model.transform(vectors).select("has", F.col("prediction").alias(f"c_{by}")), "has").select(by, f"c_{by}")
 
     labelled = pairs.join(clustered("RegionCode", "InstanceType"), "RegionCode").join(clustered("InstanceType", "RegionCode"), "InstanceType")
     both = ["c_RegionCode", "c_InstanceType"]
