@@ -33,7 +33,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def pieces(offsets: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+#: Bytes of text that a task works on at once, if rows aren't longer.
+PIECE = 1 << 20
+
+
+def pieces(offsets: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``most`` bytes, so that working arrays stay small; a longer row is a run of its own."""
     first = 0
     while first < len(offsets) - 1:
@@ -42,18 +46,41 @@ def pieces(offsets: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]
         first = last
 
 
-@lru_cache(2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(1)
+def _few_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _computed_powers(PIECE + 1)
+
+
+def _computed_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _BASE, np.uint64), np.full(n, _BASE_INVERSE, np.uint64)
     up[:1] = down[:1] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words (runs of other bytes than ASCII white space, A-Z in lower case): row, begin and end in ``data``, hash.
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least the first ``n`` powers of a base and of its inverse; only those for usual sizes are kept."""
+    return _few_powers() if n <= PIECE + 1 else _computed_powers(n)
 
-    A word's hash is a polynomial of its bytes; prefix sums give all of them at once.
-    """
+
+def hashed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of ``data``, which are sorted and apart: a polynomial of the bytes, from prefix sums.  Some stretches
+    at a time, so that memory follows the longest stretch and not the text."""
+    out = np.empty(len(begin), np.uint64)
+    i = 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(end, begin[i] + PIECE, "right")))
+        a, b = int(begin[i]), int(end[j - 1])
+        up, down = powers(b - a + 1)
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
+        first, last = begin[i:j] - a, end[i:j] - a
+        out[i:j] = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+        i = j
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words (runs of other bytes than ASCII white space, A-Z in lower case): row, begin and end in ``data``, hash."""
     base = int(offsets[0])
     raw = data[base : int(offsets[-1])]
     n = len(raw)
@@ -66,8 +93,4 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     before[edges[:-1][edges[:-1] < n]] = False
     after[edges[1:][edges[1:] > 0] - 1] = False
     begin, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    up, down = _powers(1 << max(16, (n + 1).bit_length()))
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    h = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    return np.searchsorted(edges, begin, "right") - 1, begin + base, end + base, h
+    return np.searchsorted(edges, begin, "right") - 1, begin + base, end + base, hashed(LOWER[raw], begin, end)

@@ -23,8 +23,8 @@ from ._text import mix, pieces, utf8, words
 FILTER_BYTES, HOT_TOKENS = 64 << 20, 1_000_000
 #: Hash functions of an entry, bits for each (half of them end up set), ratio of a level's counts to those of the one before.
 HASHES, BITS, RATIO = 6, 6 / np.log(2), 1.5
-#: Distinct keys that a task holds before it passes them on, and bytes of text that it works on at once.
-HELD, PIECE = 1_500_000, 2 << 20
+#: Distinct keys that a task holds before it passes them on.
+HELD = 1_500_000
 #: Bigrams seen less often are left to the unigrams.
 LEAST_BIGRAM = 2
 #: Pseudo-count of the unigrams in a context's distribution.
@@ -159,7 +159,7 @@ def _counted(docs: DataFrame, segments: int) -> DataFrame:
         held: dict[int, list] = {UNIGRAM: [], BIGRAM: []}
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            for a, b in pieces(offsets, PIECE):
+            for a, b in pieces(offsets):
                 _, h, before = tokens(data, offsets[a : b + 1])
                 for kind, keys in ((UNIGRAM, h), (BIGRAM, bigram_key(before, h))):
                     held[kind].append(_summed(keys, np.ones(len(keys), np.int32)))
@@ -313,7 +313,7 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
         hot, hot_counts, filter_ = shared.value
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            for a, b in pieces(offsets, PIECE):
+            for a, b in pieces(offsets):
                 n = b - a
                 row, h, before = tokens(data, offsets[a : b + 1])
                 token, back = np.unique(h, return_inverse=True)

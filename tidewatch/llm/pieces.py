@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._text import _powers, mix, utf8
+from ._text import hashed, utf8
 from ._text import pieces as runs
 
 #: The character that stands for a space in pieces; fixed by the model format.
@@ -151,10 +151,7 @@ class Encoder:
         end = np.append(begin[1:], len(text))[: len(begin)]
         row = np.searchsorted(edges, begin, "right") - 1
         # equal units have equal hashes; each distinct one is segmented once
-        up, down = _powers(1 << max(16, (len(text) + 1).bit_length()))
-        sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[: len(text)], out=sums[1:])
-        _, one, kind = np.unique(mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)), return_index=True, return_inverse=True)
+        _, one, kind = np.unique(hashed(text, begin, end), return_index=True, return_inverse=True)
         raw = text.tobytes()
         lists = self._ids([raw[i:j] for i, j in zip(begin[one].tolist(), end[one].tolist(), strict=True)])
         count = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -216,7 +213,7 @@ def encode(docs: DataFrame, model: str, *, spans: bool = True) -> DataFrame:
         e = encoder(model)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            for a, b in runs(offsets, 1 << 21):
+            for a, b in runs(offsets):
                 edges, *values = e.encode(data, offsets[a : b + 1])
                 lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(v)) for v in values[: len(names)]]
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *lists], names=schema.names)

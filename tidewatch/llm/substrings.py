@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._store import written
-from ._text import LOWER, _powers, mix, pieces, utf8, words
+from ._text import LOWER, mix, pieces, powers, utf8, words
 
 #: Bytes that a hash covers; bytes on either side among which a cut is least, so a chunk has about twice as many.
 GEAR_BYTES, RADIUS = 16, 24
@@ -72,7 +72,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first = np.repeat(first, parts) + inner * MOST_WORDS
         size = np.diff(np.append(first, len(row)))
-    up, down = _powers(1 << max(16, (len(h) + 1).bit_length()))
+    up, down = powers(len(h) + 1)
     sums = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(mix(h) * up[: len(h)], out=sums[1:])
     digest = mix((sums[first + size] - sums[first]) * down[first] + mix(size.astype(np.uint64)))
