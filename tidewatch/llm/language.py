@@ -24,6 +24,8 @@ SAMPLE_SYMBOLS = 16_000
 SAMPLE_DOCS, SAMPLE_EACH = 96, 400
 #: Phrases end at the end of a block of this many symbols, so that blocks of one text are parsed side by side.
 BLOCK = 1024
+#: Bytes of text whose blocks advance together: many, as each step of all of them is one call.
+TOGETHER = 4 << 20
 
 #: Symbol of each byte: a letter without its case, 0 for all other ASCII, or the low bits of a UTF-8 byte, which are
 #: the same for both cases of most accented letters.
@@ -147,7 +149,7 @@ def predict(docs: DataFrame, models: list[tuple[str, np.ndarray, float]]) -> Dat
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             best, score = np.full(len(batch), -1), np.zeros(len(batch))
-            for a, b in pieces(offsets) if names else ():
+            for a, b in pieces(offsets, TOGETHER) if names else ():
                 s, edges = symbols(data, offsets[a : b + 1])
                 cost = phrases(s, edges, shared.value) * bits / np.maximum(1, np.diff(edges))[:, None]
                 best[a:b] = cost.argmin(1)
