@@ -36,8 +36,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every text with their byte spans, and whether decoding gives the text back."""
-    path = pieces.model_path()
-    rows = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    rows = pieces.encode(docs.select("doc_id", "lang", "source", "text"), pieces.model_path(), decoded=True)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
     return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "begins", "ends", same.alias("round_trip"))
 

@@ -202,7 +202,9 @@ def test_pieces_are_the_library_s(spark, docs, odd):
 
     path = pieces.model_path()
     stock = sentencepiece.SentencePieceProcessor(model_file=path)
-    rows = pieces.decode(pieces.encode(docs.select("doc_id", "text").union(odd.select("doc_id", "text")), path), path).collect()
+    texts = docs.select("doc_id", "text").union(odd.select("doc_id", "text"))
+    rows = pieces.decode(pieces.encode(texts, path), path).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, pieces.encode(texts, path, decoded=True).collect()))
     for r in rows:
         text = r.text or ""
         ids = stock.encode(text, add_eos=True)

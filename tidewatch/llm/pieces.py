@@ -186,8 +186,14 @@ class Encoder:
         start[last] = stop[last]
         return out_offsets.astype(np.int32), ids, start.astype(np.int32), stop.astype(np.int32)
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.stock.decode(ids, num_threads=1)
+    def texts(self, edges: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """The text of each row's ids; some rows at a time become lists."""
+        out = []
+        for a in range(0, len(edges) - 1, 200):
+            rows = edges[a : a + 201].tolist()
+            flat = ids[rows[0] : rows[-1]].tolist()
+            out.append(pa.array(self.stock.decode([flat[i - rows[0] : j - rows[0]] for i, j in zip(rows, rows[1:], strict=False)], num_threads=1), pa.string()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
 
 @lru_cache(2)
@@ -195,19 +201,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode(docs: DataFrame, model: str, *, spans: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: str, *, spans: bool = True, decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (with the end id, without sampling) and, if asked for, ``begins`` and ``ends``, the byte
-    span of the original text for each id.
+    span of the original text for each id, and ``decoded``, the library's text for the ids, as ``decode`` gives it: in the
+    same pass, so that a task has one Python worker with one model.
 
     A null text encodes as an empty one: the end id alone.  Texts are encoded whole.  The spans follow each other and
     cover the text up to bytes the normaliser drops; byte pieces have one byte each; the end id's span is empty.
     Other columns pass through; columns of those names are replaced.  ``model`` is read on the executors.
     """
     names = ["ids", "begins", "ends"] if spans else ["ids"]
-    docs = docs.drop("ids", "begins", "ends")
+    docs = docs.drop("ids", "begins", "ends", *(["decoded"] if decoded else []))
     schema = T.StructType(list(docs.schema))
     for n in names:
         schema = schema.add(n, T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
@@ -216,6 +225,8 @@ def encode(docs: DataFrame, model: str, *, spans: bool = True) -> DataFrame:
             for a, b in runs(offsets):
                 edges, *values = e.encode(data, offsets[a : b + 1])
                 lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(v)) for v in values[: len(names)]]
+                if decoded:
+                    lists.append(e.texts(edges, values[0]))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -229,12 +240,9 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
         for batch in batches:
-            for a in range(0, len(batch), 200):
-                part = batch.slice(a, 200)
-                lists = part.column("ids")
-                values, edges = lists.flatten().to_numpy().tolist(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
-                texts = e.decode([values[i:j] for i, j in zip(edges, edges[1:], strict=False)])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+            lists = batch.column("ids")
+            edges = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+            yield pa.RecordBatch.from_arrays([*batch.columns, e.texts(edges, lists.flatten().to_numpy())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -247,13 +255,12 @@ def model_path() -> str:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    rows = encode(docs, model_path()).drop("text")
-    spanned = F.element_at("ends", -1) - F.element_at("begins", 1)
-    rows = rows.select("doc_id", "ids", spanned.cast("long").alias("spanned_bytes"))
-    return decode(rows, model_path()).select(
+    rows = encode(docs, model_path(), decoded=True)
+    spanned = (F.element_at("ends", -1) - F.element_at("begins", 1)).cast("long").alias("spanned_bytes")
+    return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), "spanned_bytes",
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"), spanned,
     )
 
 
