@@ -142,6 +142,21 @@ def test_packing_is_optimal(weights):
     assert planner.packed([11]) is None
 
 
+def test_packing_keeps_large_regions(spark):
+    weights = {"t1": {"r1": 52, "r2": 30, "r3": 11, "r4": 7, "r5": 1}, "t2": {"r1": 3, "r2": 10}, "t3": {"r1": 26}}
+    zones = spark.createDataFrame([(t, r, n) for t, w in weights.items() for r, n in w.items()], "InstanceType string, Region string, n long")
+    bins = planner.bin_packed(zones).cache()
+    held, load = {}, {}
+    for x in bins.collect():
+        held.setdefault(x.InstanceType, {}).setdefault(x.Region, []).append(x.n)
+        load[x.InstanceType, x.bin] = load.get((x.InstanceType, x.bin), 0) + x.n
+    assert {t: {r: sum(n) for r, n in w.items()} for t, w in held.items()} == weights
+    assert max(load.values()) <= planner.PACK
+    assert {t: sum(x[0] == t for x in load) for t in weights} == {"t1": 11, "t2": 2, "t3": 3}
+    queries = [q for b in planner.request_batches(bins).collect() for q in b["queries"]]
+    assert len(queries) == 16 and sum(q.n for q in queries) == 140
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.sets(st.tuples(st.sampled_from("abcdefghijkl"), st.sampled_from("123456789")), max_size=60))
 def test_cover_is_whole(pairs):

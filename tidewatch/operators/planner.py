@@ -75,15 +75,19 @@ def packed(weights: list[int], capacity: int = PACK) -> list[int] | None:
 
 
 def bin_packed(zones: DataFrame, capacity: int = PACK) -> DataFrame:
-    """(InstanceType, Region, n) with the query ``bin`` of each; types that can't be packed are dropped.
+    """(InstanceType, Region, n) with the query ``bin`` of each.  A region of more than ``capacity`` zones has a row and a bin of
+    its own for each full ``capacity`` of them, and a row for the rest, which is packed with those of other regions.
 
     A group is one instance type: it has a row for each region, so its size is bounded by the number of regions.
     """
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("Region")
-        bins = packed(pdf["n"].tolist(), capacity)
-        return pdf.assign(bin=bins if bins is not None else -1)[["InstanceType", "Region", "n", "bin"]].loc[lambda d: d["bin"] >= 0]
+        full = pdf.loc[pdf.index.repeat(pdf["n"] // capacity)].assign(n=capacity)
+        rest = pdf.assign(n=pdf["n"] % capacity)[(pdf["n"] % capacity > 0) | (pdf["n"] == 0)]
+        bins = packed(rest["n"].tolist(), capacity)
+        first = max(bins, default=-1) + 1
+        return pd.concat([rest.assign(bin=bins), full.assign(bin=range(first, first + len(full)))])[["InstanceType", "Region", "n", "bin"]]
 
     return zones.select("InstanceType", "Region", "n").groupBy("InstanceType").applyInPandas(pack, "InstanceType string, Region string, n long, bin int")
 
