@@ -127,6 +127,24 @@ def test_minhash_odd_rows(odd, empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.deduplicated(empty).count() == 0
 
 
+def test_minhash_keeps_a_row_of_each_class(spark):
+    r = random.Random(7)
+    text = lambda n=60: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    near = lambda t: t + " end"
+    a, b, c, d, e, f = (text() for _ in range(6))
+    # rows without an id: unlike each other, exact copies, and one that stands for a class with other members
+    rows = [(None, a), (None, b), (None, b), (None, c), (8, near(c)), (9, c)]
+    # a shared id: one text is a near copy of a smaller id's, the other stands for a class of its own
+    rows += [(1, d), (2, near(d)), (2, e), (3, near(e)), (4, f), (4, f), (4, near(f))]
+    rows += [(5, None), (5, " "), (None, None), (None, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [x.text for x in minhash.deduplicated(df).collect()]
+    words = [t for t in kept if t and t.strip()]
+    assert sorted(t.removesuffix(" end") for t in words) == sorted([a, b, c, d, e, f])
+    assert len(kept) == len(words) + 4
+    assert c in words and d in words and e in words
+
+
 def test_probminhash_estimates_probability_jaccard():
     r = np.random.default_rng(0)
     n, m = 60, 4096

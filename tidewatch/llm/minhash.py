@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._store import written
@@ -94,7 +94,7 @@ def weights(times: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``fp`` (a hash of all words; null if there are none) and ``bands`` (null likewise) of each document."""
+    """``doc_id``, ``text_hash``, ``fp`` (a hash of all words; null if there are none) and ``bands`` (null likewise) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,9 +107,10 @@ def sketches(docs: DataFrame) -> DataFrame:
                     band = mix(band * np.uint64(0xD6E8FEB86659FD93) + won[:, :, i])
                 none = pa.array(whole == 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(band.ravel().view(np.int64)), mask=none)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(whole.view(np.int64), mask=whole == 0), lists], names=["doc_id", "fp", "bands"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_hash")), pa.array(whole.view(np.int64), mask=whole == 0), lists], names=["doc_id", "text_hash", "fp", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long, bands array<bigint>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, "doc_id long, text_hash long, fp long, bands array<bigint>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -255,33 +256,54 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) ->
     return found.union(_large_compared(many.select("bucket", "fp", "at"), sets, threshold))
 
 
+#: A null doc_id counts as this one.
+NO_ID = -(1 << 63)
+#: A byte that is no ASCII white space, so of a word.
+WORD = r"[^ \t\n\x0b\f\r]"
+
+
+def _classified(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``text_hash`` and ``fp`` of each row; and by ``fp`` the class ``at`` that links reach and the smallest
+    ``(doc_id, text_hash)`` that has these words."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+    sketched = written(sketches(docs), "sketches")
+    least = F.min(F.struct("doc_id", "text_hash")).alias("least")
+    classes = sketched.where("fp is not null").groupBy("fp").agg(least, F.first("bands").alias("bands"))
+    classes = written(classes.select("fp", "least.doc_id", "least.text_hash", "bands"), "text-classes")
+    groups = components(links(docs, classes, threshold))
+    ids = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", "text_hash", F.coalesce("component", "fp").alias("at"))
+    return sketched.select("doc_id", "text_hash", "fp"), ids
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``class_id`` and ``kept`` for each row of ``docs(doc_id, text)``: the class is the smallest doc_id that
     links reach, and one document of each class is kept, that with this doc_id.
 
     Words are runs of other bytes than ASCII white space, A-Z in lower case; documents of the same words are alike.
     A null text, or one without words, is like no other and its own class.  A null doc_id counts as the smallest long.
-    Rows that repeat a doc_id share its class.  Whole texts are read; other columns are ignored.
+    Rows that repeat a doc_id each have the class of their text.  Whole texts are read; other columns are ignored.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
-    sketched = written(sketches(docs), "sketches")
-    classes = written(sketched.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "text-classes")
-    groups = components(links(docs, classes, threshold))
-    ids = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", F.coalesce("component", "fp").alias("at"))
+    rows, ids = _classified(docs, threshold)
     least = ids.groupBy("at").agg(F.min("doc_id").alias("class_id"))
     by_text = ids.join(least, "at").select("fp", "class_id")
-    out = sketched.select("doc_id", "fp").join(by_text, "fp", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    none = F.lit(-(1 << 63))
+    out = rows.select("doc_id", "fp").join(by_text, "fp", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    none = F.lit(NO_ID)
     return out.select(F.nullif(F.col("doc_id"), none).alias("doc_id"), F.nullif(F.col("class_id"), none).alias("class_id"), (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class; of rows that repeat a doc_id one stays."""
-    gone = near_duplicates(docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).where("_gone is not null")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    kept = docs.withColumn("_key", key).join(gone, F.col("_key") == F.col("_gone"), "left_anti")
-    first = Window.partitionBy("_key").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_i", F.row_number().over(first)).where("_i = 1").drop("_key", "_i")
+    """``docs`` with one row of each class, that with the smallest doc_id (null first) and then hash of its text.
+
+    Classes are of texts, whatever the ids: rows of other classes that repeat a doc_id, or have none, stay, as does every
+    row without words.
+    """
+    _, ids = _classified(docs, threshold)
+    chosen = ids.groupBy("at").agg(F.min(F.struct("doc_id", "text_hash")).alias("least")).select(F.col("least.doc_id").alias("_key"), F.col("least.text_hash").alias("_hash"))
+    text = F.col("text").cast("string")
+    rows = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": F.xxhash64(text)})
+    has_words = F.coalesce(text.rlike(WORD), F.lit(False))
+    kept = rows.where(has_words).dropDuplicates(["_key", "_hash"]).join(chosen, ["_key", "_hash"], "left_semi")
+    return kept.select(docs.columns).union(docs.where(~has_words))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
