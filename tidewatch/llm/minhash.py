@@ -20,8 +20,11 @@ from ._store import written
 from ._text import mix, pieces, utf8, words
 from .components import components, forest
 
-#: Words of a shingle, least similarity of a link, bands and registers of a band: a pair at 0.8 is missed once in 1500.
-SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 6
+#: How much greater than 1 a weight can be.  With weights of 1 to 1 + SPREAD two texts whose sets have the Jaccard similarity J
+#: agree in a register with the probability J / (1 + SPREAD) at least, however often either repeats a shingle.
+SPREAD = 0.02
+#: Words of a shingle, least similarity of a link, bands and registers of a band: a pair at 0.8 is missed once in 1500 at most.
+SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 28, 6
 #: Rounds of comparing with one centre for each bucket; rows up to which the rest of a bucket is compared pair by pair; classes
 #: of a block, and shingles that blocks are compared by at once, beyond that.
 ROUNDS, SMALL, BLOCK, COLUMNS = 2, 24, 256, 4096
@@ -89,8 +92,8 @@ def probminhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n_rows
 
 
 def weights(times: np.ndarray) -> np.ndarray:
-    """A shingle's weight grows with the logarithm of how often the document has it."""
-    return 1 + np.log(times)
+    """A shingle's weight grows with how often the document has it, to less than 1 + SPREAD: links are of sets."""
+    return 1 + SPREAD * (1 - 1 / times)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
