@@ -25,8 +25,8 @@ FILTER_BYTES, HOT_TOKENS = 64 << 20, 1_000_000
 HASHES, BITS, RATIO = 6, 6 / np.log(2), 1.5
 #: Distinct keys that a task holds before it passes them on.
 HELD = 1_500_000
-#: Bigrams seen less often are left to the unigrams.
-LEAST_BIGRAM = 2
+#: Bigrams seen less often are left to the unigrams: none are.
+LEAST_BIGRAM = 1
 #: Pseudo-count of the unigrams in a context's distribution.
 PRIOR = 2.0
 #: Tokens besides the words: the end of a text, and what stands before its first word.
