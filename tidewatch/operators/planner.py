@@ -16,6 +16,8 @@ PACK, BATCH = 10, 50
 REGIONS, TYPES = 8, 5
 CALLS, WINDOW_MINUTES = 10, 62
 LARGE_REGION = 100
+#: Regions and types of the part of a support relation that one task covers, at most.
+TASK_REGIONS, TASK_TYPES = 64, 1000
 
 
 def packed(weights: list[int], capacity: int = PACK) -> list[int] | None:
@@ -141,15 +143,19 @@ def greedy_cover(pairs: set[tuple[str, str]]) -> Iterator[tuple[list[str], list[
 def covering_requests(support: DataFrame, parts: int = 1) -> DataFrame:
     """Requests (``regions``, ``types``) that together cover the support relation (RegionCode, InstanceType).
 
-    Regions are dealt to ``parts`` groups, each covered in one task; the relation has a row for each region and type.
+    Regions are dealt to ``parts`` groups, and these by name into blocks of at most ``TASK_REGIONS`` regions and
+    ``TASK_TYPES`` types, each covered in one task; the relation has a row for each region and type.
     """
 
     def cover(pdf: pd.DataFrame) -> pd.DataFrame:
         found = list(greedy_cover(set(zip(pdf["RegionCode"], pdf["InstanceType"], strict=True))))
         return pd.DataFrame({"regions": [f[0] for f in found], "types": [f[1] for f in found]})
 
-    dealt = support.dropna("any").distinct().withColumn("_part", F.pmod(F.xxhash64("RegionCode"), F.lit(parts)))
-    return dealt.groupBy("_part").applyInPandas(cover, "regions array<string>, types array<string>")
+    dealt = support.select("RegionCode", "InstanceType").dropna("any").distinct().withColumn("_part", F.pmod(F.xxhash64("RegionCode"), F.lit(parts)))
+    for c, size in (("RegionCode", TASK_REGIONS), ("InstanceType", TASK_TYPES)):
+        i = F.row_number().over(Window.orderBy(c)) - 1  # a row for each name
+        dealt = dealt.join(dealt.select(c).distinct().withColumn(f"_{c}", F.floor(i / size)), c)
+    return dealt.groupBy("_part", "_RegionCode", "_InstanceType").applyInPandas(cover, "regions array<string>, types array<string>")
 
 
 def clustered_requests(support: DataFrame, clusters: int = 2, seed: int = 0) -> DataFrame:
