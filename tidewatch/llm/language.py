@@ -113,22 +113,27 @@ def phrases(s: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray]) -> np.
 def fit(labelled: DataFrame) -> list[tuple[str, np.ndarray, float]]:
     """(language, automaton, bits of a phrase) from ``labelled(doc_id, text, lang)``, sorted by language.
 
-    The sample is bounded: of each language the ``SAMPLE_DOCS`` documents of the smallest hash, ``SAMPLE_EACH`` symbols
-    of each, ``SAMPLE_SYMBOLS`` in all.  Rows without text or language are ignored; no rows give no languages.
+    The sample is bounded: of each language the ``SAMPLE_DOCS`` documents of the smallest hash of doc_id and text, and of
+    each of them equal shares of ``SAMPLE_SYMBOLS``, of which short ones leave the rest to others, but ``SAMPLE_EACH`` at
+    most.  Rows without text or language are ignored, those without doc_id aren't; no rows give no languages.
     """
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id")
-    drawn = rows.select("doc_id", "lang").withColumn("i", F.row_number().over(order)).where(F.col("i") <= SAMPLE_DOCS).collect()
+    rows = rows.select("lang", "text", F.xxhash64(F.lit("sample"), "doc_id", "text").alias("h"))
+    order = Window.partitionBy("lang").orderBy("h")
+    drawn = rows.select("h", "lang").withColumn("i", F.row_number().over(order)).where(F.col("i") <= SAMPLE_DOCS).collect()
     texts: dict[str, list[tuple[int, str]]] = {}
-    for r in rows.where(F.col("doc_id").isin(sorted({x.doc_id for x in drawn}))).select("doc_id", "lang", F.substring("text", 1, 4 * SAMPLE_EACH).alias("text")).collect():
-        texts.setdefault(r.lang, []).append((r.doc_id, r.text))
+    for r in rows.where(F.col("h").isin(sorted({x.h for x in drawn}))).select("h", "lang", F.substring("text", 1, 4 * SAMPLE_EACH).alias("text")).collect():
+        texts.setdefault(r.lang, []).append((r.h, r.text))
     models = []
     for lang in sorted(texts):
-        parts = []
-        for _, text in sorted(texts[lang]):
+        drawn_texts, parts, left = [], [], SAMPLE_SYMBOLS
+        for _, text in sorted(texts[lang])[:SAMPLE_DOCS]:
             data = np.frombuffer(text.encode(), np.uint8)
-            parts += [symbols(data, np.array([0, len(data)]))[0][:SAMPLE_EACH], np.zeros(1, np.uint8)]
-        sample = np.concatenate(parts)[:SAMPLE_SYMBOLS]
+            drawn_texts.append(symbols(data, np.array([0, len(data)]))[0][:SAMPLE_EACH])
+        for i, s in enumerate(sorted(drawn_texts, key=len)):
+            parts += [s[: left // (len(drawn_texts) - i) - 1], np.zeros(1, np.uint8)]
+            left -= len(parts[-2]) + 1
+        sample = np.concatenate(parts)
         models.append((lang, automaton(sample), float(np.log2(len(sample) + 1))))
     return models
 
