@@ -175,7 +175,7 @@ def test_scores(spark, docs):
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(ts), sum(counts[t] > 0 for t in ts), total)
     own = [r for i, r in got.items() if held(i)]
     assert sum(r.score for r in own) > sum(r.base_score for r in own)
-    far = {r.doc_id: r.score for r in ngram_score.score(docs.select("doc_id", "text"), model, filter_bytes=0).collect()}
+    far = {r.doc_id: r.score for r in ngram_score.score(docs.select("doc_id", "text"), model, near_bytes=0).collect()}
     assert all(math.isclose(far[i], got[i].score, rel_tol=1e-12) for i in got)
 
 
@@ -193,12 +193,25 @@ def test_filter_levels():
     r = np.random.default_rng(3)
     keys = r.integers(0, 1 << 63, 20_000).astype(np.uint64)
     level = r.integers(1, 9, len(keys))
-    s = ngram_score.segment_of(keys, 4)
-    parts = [(ngram_score.UNIGRAM, i, *ngram_score.build(keys[s == i], level[s == i])) for i in range(4)]
-    f = ngram_score.Filter(4, parts)
-    got = f.levels(ngram_score.UNIGRAM, keys)
-    assert (got >= level).all() and (got == level).mean() > 0.95
-    assert (f.levels(ngram_score.UNIGRAM, r.integers(0, 1 << 63, 20_000).astype(np.uint64)) > 0).mean() < 0.05
+    for first in (1, 4):
+        s, marks = ngram_score.placed(keys, 4)
+        parts = [(i, *ngram_score.build(marks[(s == i) & (level >= first)], level[(s == i) & (level >= first)], first)) for i in range(4)]
+        f = ngram_score.Filter(4, first, parts)
+        got, want = f.levels(s, marks), np.where(level >= first, level, 0)
+        assert (got >= want).all() and (got == want).mean() > 0.95
+        assert (f.levels(*ngram_score.placed(r.integers(0, 1 << 63, 20_000).astype(np.uint64), 4)) > 0).mean() < 0.05
+
+
+def test_small_heads_score_alike(spark, docs):
+    """With less room in the head its levels begin later, and more is looked up in segments."""
+    few = docs.select("doc_id", "text")
+    wide, narrow = ngram_score.Model(docs), ngram_score.Model(docs, head_bytes=3000)
+    assert narrow.first > wide.first
+    a, b = ({r.doc_id: r for r in ngram_score.score(few, m).collect()} for m in (wide, narrow))
+    c = {r.doc_id: r.score for r in ngram_score.score(few, narrow, near_bytes=0).collect()}
+    assert all(abs(a[i].score - b[i].score) < 0.02 * a[i].n_tokens + 3 for i in a)
+    assert all(math.isclose(a[i].base_score, b[i].base_score, rel_tol=1e-9) for i in a)
+    assert all(math.isclose(c[i], b[i].score, rel_tol=1e-12) for i in c)
 
 
 def test_scores_odd_rows(odd, empty):
