@@ -129,15 +129,15 @@ def jaccard_letters(a: Column, b: Column) -> Column:
 
 
 def best_name(name: Column, candidates: list[str]) -> Column:
-    """The candidate most like the name by characters; equal first two letters are asked for, the first best wins, the name
-    itself if none."""
-    code = lambda c: F.upper(F.coalesce(F.get(F.filter(F.split(c, " "), lambda t: t.rlike("[0-9]")), F.lit(0)), c))
-    own = code(name)
+    """The candidate most like the model in a name such as maker-x100-large: its parts from the first with a digit on,
+    joined, in upper case.  Names are compared as sets of characters; equal first two letters are asked for, the first best
+    wins, the name itself if none or if no part has a digit.  Candidates are taken as they are."""
+    parts = F.split(name, "-")
+    first = F.array_position(F.transform(parts, lambda t: t.rlike("[0-9]")), F.lit(True)).cast("int")
+    own = F.when(first > 0, F.upper(F.array_join(F.slice(parts, first, F.size(parts)), ""))).otherwise("")
+    like = lambda c: F.when((F.substring(own, 1, 2) == c[:2]) & (own != ""), jaccard_letters(own, F.lit(c))).otherwise(0.0)
     out = reduce(
-        lambda acc, c: F.when(
-            (F.substring(own, 1, 2) == F.substring(code(F.lit(c)), 1, 2)) & (jaccard_letters(own, code(F.lit(c))) > acc["s"]),
-            F.struct(jaccard_letters(own, code(F.lit(c))).alias("s"), F.lit(c).alias("n")),
-        ).otherwise(acc),
+        lambda acc, c: F.when(like(c) > acc["s"], F.struct(like(c).alias("s"), F.lit(c).alias("n"))).otherwise(acc),
         candidates,
         F.struct(F.lit(0.0).alias("s"), name.alias("n")),
     )
@@ -173,6 +173,48 @@ def listed_after(text: Column, lead: str) -> Column:
     return F.when(found != "", F.split(found, r",\s*"))
 
 
+def without_items(items: Column, invalid: Column) -> Column:
+    """An array without the items of another, in order and as often as they are; null if none is left."""
+    left = F.filter(items, lambda x: ~F.array_contains(F.coalesce(invalid, F.array().cast("array<string>")), x))
+    return F.when(F.size(left) > 0, left)
+
+
+def day_bounds(day: Column) -> tuple[Column, Column]:
+    """First and last millisecond of a day."""
+    start = F.date_trunc("day", day.cast("timestamp"))
+    return start, start + F.expr("interval 1 day") - F.expr("interval 1 millisecond")
+
+
+def place_and_size(c: Column) -> tuple[Column, Column]:
+    """Both parts of an id such as ``region,size``."""
+    return F.split_part(c, F.lit(","), F.lit(1)), F.split_part(c, F.lit(","), F.lit(2))
+
+
+def path_part(c: Column, number: int) -> Column:
+    """A part of a path of names, from 1."""
+    return F.split_part(c, F.lit("/"), F.lit(number))
+
+
+def log_name(subscription: Column) -> Column:
+    """What of an id is shown in logs: up to the first dash."""
+    return F.split_part(subscription, F.lit("-"), F.lit(1))
+
+
+def spec_request(pairs: Column, subscription: str) -> Column:
+    """The JSON body that asks prices of an array of (region, size, resource)."""
+    own = lambda p: F.concat_ws(",", p["region"], p["size"])
+    sets = F.transform(
+        pairs,
+        lambda p: F.struct(
+            own(p).alias("id"),
+            F.array(F.struct(own(p).alias("id"), p["resource"].alias("resourceId"), F.lit(1).alias("quantity"))).alias("firstParty"),
+            F.array().cast("array<string>").alias("thirdParty"),
+        ),
+    )
+    body = F.struct(F.lit(subscription).alias("subscriptionId"), sets.alias("specResourceSets"), F.transform(pairs, own).alias("specsToAllowZeroCost"), F.lit("Microsoft_Azure_Compute").alias("specType"))
+    return F.to_json(body)
+
+
 def joined_key(*parts: Column) -> Column:
     """Parts joined by underscores, as (type, zone) keys are written."""
     return F.concat_ws("_", *parts)

@@ -46,16 +46,17 @@ def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_i", F.row_number().over(w)).where("_i = 1").drop("_i")
 
 
-def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: list[str], features: list[str], *, removed: bool = True, unchanged: bool = False) -> DataFrame:
+def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: list[str], features: list[str], *, removed: bool = True, unchanged: bool = False, places: dict[str, int] | None = None) -> DataFrame:
     """Keys, features, features before (``prev_*``) and ``change``: new, changed, removed or unchanged.
 
     Null keys equal null keys and null features null features.  Removed rows have null features; a single full outer join
-    makes all of them.
+    makes all of them.  Features in ``places`` are compared rounded to so many decimals.
     """
+    shown = lambda c, f: F.round(c, places[f]) if places and f in places else F.col(c)
     p = prev.select(*(F.col(k).alias(f"_p_{k}") for k in keys), *(F.col(f).alias(f"prev_{f}") for f in features), F.lit(True).alias("_in_p"))
     c = cur.select(*keys, *features, F.lit(True).alias("_in_c"))
     on = reduce(lambda a, b: a & b, (same(F.col(k), F.col(f"_p_{k}")) for k in keys))
-    differs = reduce(lambda a, b: a | b, (~same(F.col(f), F.col(f"prev_{f}")) for f in features))
+    differs = reduce(lambda a, b: a | b, (~same(shown(f, f), shown(f"prev_{f}", f)) for f in features))
     change = F.when(F.col("_in_p").isNull(), "new").when(F.col("_in_c").isNull(), "removed").when(differs, "changed").otherwise("unchanged")
     out = c.join(p, on, "full_outer").withColumn("change", change)
     out = out.select(*(F.when(F.col("_in_c").isNull(), F.col(f"_p_{k}")).otherwise(F.col(k)).alias(k) for k in keys), *features, *(f"prev_{f}" for f in features), "change")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -19,6 +19,18 @@ def association(df: DataFrame, by: str, *others: str) -> DataFrame:
     return df.where(F.col(by) != "nan").groupBy(by).agg(*sets)
 
 
+def value_map(df: DataFrame, key: Column, value: Column, *by: str) -> DataFrame:
+    """Keys and values of a table's rows as one map (for each ``by``): for small lookup tables.  A key may be a struct of
+    columns; of a key's several values the greatest stays."""
+    pairs = df.select(*by, key.alias("_k"), value.alias("_v")).where("_k is not null").groupBy(*by, "_k").agg(F.max("_v").alias("_v"))
+    return pairs.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_v")))).alias("map"))
+
+
+def flattened(pages: DataFrame, items: str) -> DataFrame:
+    """A row for each item of a column of lists; other columns are repeated, empty and null lists have none."""
+    return pages.withColumn(items, F.explode(items))
+
+
 def zone_regions(zones: DataFrame, regions: DataFrame) -> DataFrame:
     """Region of each zone id, prefix-n: the prefix is derived on both sides and compared, so this is an equi-join."""
     prefixed = regions.select("Region", S.zone_prefix(F.col("Region")).alias("_prefix")).where("_prefix is not null")

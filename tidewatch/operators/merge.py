@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -50,6 +50,8 @@ def merge_zonal_outer(scores: DataFrame, interruptions: DataFrame, ondemand: Dat
     return out.select("Time", "InstanceType", "Region", "AZ", "SPS", "T3", "T2", "IF", "OndemandPrice", "SpotPrice", "Savings")
 
 
+#: What ``retail_prices`` gives.
+RETAIL_PRICES = "InstanceTier string, InstanceType string, Region string, armRegionName string, OndemandPrice double, SpotPrice double, Savings double"
 # Meters and places that aren't offers to the public.
 NOT_METERS, NOT_PRODUCTS = ("Priority", "Expired"), ("Windows",)
 GOVERNMENT = "GOV"
@@ -77,30 +79,47 @@ def with_evictions(prices: DataFrame, evictions: DataFrame, *, parity: bool = Fa
     """Prices with the eviction score ``IF`` of their region code and type.
 
     The eviction source writes types in another case; they are compared in lower case, or with ``parity`` as spelled.
-    Without any prices the evictions stand alone, with prices -1 and savings 1.
+    Without any prices the evictions stand alone, with prices -1 and savings 1; which of the two it is shows when the
+    result is computed, no job runs here.
     """
     rates = evictions.select(F.col("location").alias("_code"), S.interruption_type(F.col("skuName")).alias("_type"), S.mapped(F.col("evictionRate"), S.EVICTION_SCORES).alias("IF"))
     case = (lambda c: c) if parity else F.lower
-    if prices.isEmpty():
-        return rates.select(
-            F.lit(None).cast("string").alias("InstanceTier"), F.col("_type").alias("InstanceType"), F.col("_code").alias("Region"), F.col("_code").alias("armRegionName"),
-            F.lit(-1.0).alias("OndemandPrice"), F.lit(-1.0).alias("SpotPrice"), F.lit(1.0).alias("Savings"), "IF",
-        )
+    bare = rates.select(
+        F.lit(None).cast("string").alias("InstanceTier"), F.col("_type").alias("InstanceType"), F.col("_code").alias("Region"), F.col("_code").alias("armRegionName"),
+        F.lit(-1.0).alias("OndemandPrice"), F.lit(-1.0).alias("SpotPrice"), F.lit(1.0).alias("Savings"), "IF",
+    )
+    any_price = F.broadcast(prices.select(F.lit(True).alias("_any")).limit(1))  # one row at most
+    bare = bare.join(any_price, F.col("_any"), "left_anti")
     rates = rates.groupBy("_code", case(F.col("_type")).alias("_type")).agg(F.max("IF").alias("IF"))
     out = prices.withColumn("_t", case(F.col("InstanceType")))
-    return out.join(rates, (out["armRegionName"] == rates["_code"]) & (out["_t"] == rates["_type"]), "left").drop("_code", "_type", "_t")
+    return out.join(rates, (out["armRegionName"] == rates["_code"]) & (out["_t"] == rates["_type"]), "left").drop("_code", "_type", "_t").unionByName(bare, allowMissingColumns=True)
+
+
+def prices_at_hand(prices: DataFrame | None, evictions: DataFrame | None) -> DataFrame:
+    """Prices with evictions when a source may have failed: prices alone have ``IF`` -1, evictions alone their own rows, and
+    with neither there is an empty table of the same columns."""
+    types = {"InstanceTier": "string", "InstanceType": "string", "Region": "string", "armRegionName": "string", "OndemandPrice": "double", "SpotPrice": "double", "Savings": "double", "IF": "double"}
+    if prices is not None and evictions is not None:
+        return with_columns_of(with_evictions(prices, evictions), types)
+    if prices is not None:
+        return with_columns_of(prices.withColumn("IF", F.lit(-1.0)), types)
+    if evictions is not None:
+        return with_columns_of(with_evictions(evictions.sparkSession.createDataFrame([], RETAIL_PRICES), evictions), types)
+    return SparkSession.active().createDataFrame([], ", ".join(f"{c} {t}" for c, t in types.items()))
 
 
 def merge_regional(prices: DataFrame, scores: DataFrame) -> DataFrame:
     """Prices and scores in one row per (tier, type, region, zone, count), without rows that lack one of the two.
 
-    Rows whose four price signals are all missing go, as do government regions and rows without score and zone.
+    Rows whose four price signals are all missing go, as do government regions and rows without score and zone.  A row's time
+    is that of its score, or else of its price, if prices have a ``time``, or N/A.
     """
     keys = {k: f"_s_{k}" for k in ("InstanceTier", "InstanceType", "Region")}
-    p = prices.select(*keys, "OndemandPrice", "SpotPrice", "Savings", "IF")
-    s = scores.select(*(F.col(k).alias(v) for k, v in keys.items()), "DesiredCount", "AvailabilityZone", "Score", F.col("time").alias("Time"), "T2", "T3")
+    priced_at = F.col("time").cast("string") if "time" in prices.columns else F.lit(None).cast("string")
+    p = prices.select(*keys, "OndemandPrice", "SpotPrice", "Savings", "IF", priced_at.alias("_priced_at"))
+    s = scores.select(*(F.col(k).alias(v) for k, v in keys.items()), "DesiredCount", "AvailabilityZone", "Score", F.col("time").cast("string").alias("_scored_at"), "T2", "T3")
     out = p.join(s, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(v)) for k, v in keys.items())), "full_outer")
-    out = out.select(*(F.coalesce(k, v).alias(k) for k, v in keys.items()), "OndemandPrice", "SpotPrice", "Savings", "IF", "DesiredCount", "AvailabilityZone", "Score", "Time", "T2", "T3")
+    out = out.select(*(F.coalesce(k, v).alias(k) for k, v in keys.items()), "OndemandPrice", "SpotPrice", "Savings", "IF", "DesiredCount", "AvailabilityZone", "Score", F.coalesce("_scored_at", "_priced_at", F.lit("N/A")).alias("Time"), "T2", "T3")
     return regional_filters(with_sentinels(out, "azure"))
 
 

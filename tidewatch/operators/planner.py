@@ -217,12 +217,13 @@ def half_swapped(index: Column, day: Column, size: int) -> Column:
     return F.when(day % 2 == 0, index).otherwise(F.when(index < half, index + half).otherwise(index - half))
 
 
-def rate_windows(calls: DataFrame, by: list[str], time: str = "ts", tie: str | None = None, minutes: int = WINDOW_MINUTES, limit: int = CALLS) -> DataFrame:
+def rate_windows(calls: DataFrame, by: list[str], time: str = "ts", minutes: int = WINDOW_MINUTES, limit: int = CALLS, over_limit: Column | None = None) -> DataFrame:
     """``recent``, calls of the group within the window up to each (one just as old as the window isn't), and ``allowed``,
-    whether there is room for another."""
+    whether there is room for another and the group isn't marked as over its limit."""
+    marked = F.coalesce(over_limit, F.lit(False)) if over_limit is not None else F.lit(False)
     seconds = F.unix_micros(F.col(time).cast("timestamp"))
     w = Window.partitionBy(*by).orderBy(seconds).rangeBetween(-minutes * 60_000_000 + 1, Window.currentRow)
-    return calls.withColumn("recent", F.count("*").over(w)).withColumn("allowed", F.col("recent") < limit)
+    return calls.withColumn("recent", F.count("*").over(w)).withColumn("allowed", (F.col("recent") < limit) & ~marked)
 
 
 def allocated(requests: DataFrame, order: list[str], subscriptions: list[str], locations: list[str], after: int = 0) -> DataFrame:
@@ -232,6 +233,33 @@ def allocated(requests: DataFrame, order: list[str], subscriptions: list[str], l
     return requests.withColumns({"subscription": F.element_at(F.lit(subscriptions), (i / m).cast("int") + 1), "location": F.element_at(F.lit(locations), (i % m + 1).cast("int"))})
 
 
+def allocated_with_room(requests: DataFrame, order: list[str], pairs: DataFrame, after: int = -1, limit: int = CALLS) -> DataFrame:
+    """(subscription, location) for each request, in turn, passing over pairs without room: null when none has any left.
+
+    ``pairs`` (subscription, location, ``place`` from 0, ``recent`` calls, ``over_limit``) has a row for each pair; turns
+    resume after the pair at ``after``.  A pair that has room for n calls is in the first n rounds, so the slots are the
+    pairs by round and place, and the k-th request takes the k-th slot.
+    """
+    room = F.when(F.coalesce("over_limit", F.lit(False)), 0).otherwise(limit - F.coalesce("recent", F.lit(0))).cast("int")
+    n = pairs.agg(F.count("*").alias("_n"))
+    turn = F.pmod(F.col("place") - (after + 1), F.col("_n"))
+    slots = pairs.crossJoin(F.broadcast(n)).where(room > 0).select("subscription", "location", turn.alias("_turn"), F.explode(F.sequence(F.lit(1), room)).alias("_round"))  # n is one row
+    slots = slots.select("subscription", "location", F.row_number().over(Window.orderBy("_round", "_turn")).alias("_k"))  # at most limit rows for each pair
+    ranked = requests.withColumn("_k", F.row_number().over(Window.orderBy(*order)))  # a row for each request of a tick
+    return ranked.join(slots, "_k", "left").drop("_k")
+
+
+def credentials_kept(requests: DataFrame, known: DataFrame, key: str, start: int = 0) -> DataFrame:
+    """``requests`` with a ``credential`` number each: what is in ``known(key, credential)`` stays, new requests take the next
+    numbers in the order of their keys.  The result's keys and credentials are the mapping for the next time."""
+    new = requests.select(key).distinct().join(known.select(key), key, "left_anti")
+    used = F.greatest(F.coalesce(F.max("credential") + 1, F.lit(start)), F.lit(start)).alias("_next")
+    i = F.row_number().over(Window.orderBy(key)) - 1  # a row for each new request
+    fresh = new.withColumn("_i", i).crossJoin(F.broadcast(known.agg(used)))  # one row
+    mapping = known.select(key, F.col("credential").cast("long").alias("credential")).unionByName(fresh.select(key, (F.col("_next") + F.col("_i")).cast("long").alias("credential")))
+    return requests.join(mapping, key)
+
+
 def with_missing_pairs(state: DataFrame, subscriptions: DataFrame, locations: DataFrame) -> DataFrame:
     """The call state with an entry, without calls, for each new subscription and location."""
     pairs = subscriptions.select("subscription").crossJoin(locations.select("location"))  # the state has a row for each
@@ -251,14 +279,16 @@ def headroom(calls: DataFrame, subscriptions: int, locations: int, limit: int =
     return calls.agg(F.count("*").alias("made")).withColumn("left", F.lit(subscriptions * locations * limit) - F.col("made"))
 
 
-def stratified_triples(scores: DataFrame, sums: list[int], most: int = 200, per_score: int = 12, seed: int = 0) -> DataFrame:
+def stratified_triples(scores: DataFrame, sums: list[int], most: int = 200, per_score: int | None = None, seed: int = 0) -> DataFrame:
     """Random triples of instance types of one zone (``AZ``, ``a``, ``b``, ``c``, ``total``) whose scores have a wanted sum,
     each once, at most ``most`` for each sum.
 
-    ``scores`` has InstanceType, AZ, SPS.  Of each zone and score ``per_score`` types are drawn by a hash first, so a zone
-    makes a bounded number of triples.
+    ``scores`` has InstanceType, AZ, SPS.  With ``per_score`` so many types of each zone and score are drawn by a hash
+    first, so that a zone makes a bounded number of triples; without it all types count.
     """
-    drawn = top_k(scores.select("InstanceType", "AZ", "SPS").dropna("any").distinct(), ["AZ", "SPS"], per_score, F.xxhash64(F.lit(seed), "InstanceType", "AZ"), F.col("InstanceType"))
+    drawn = scores.select("InstanceType", "AZ", "SPS").dropna("any").distinct()
+    if per_score:
+        drawn = top_k(drawn, ["AZ", "SPS"], per_score, F.xxhash64(F.lit(seed), "InstanceType", "AZ"), F.col("InstanceType"))
     one, two, three = (drawn.select("AZ", F.col("InstanceType").alias(n), F.col("SPS").alias(f"s_{n}")) for n in "abc")
     triples = one.join(two, "AZ").where("a < b").join(three, "AZ").where("b < c").withColumn("total", F.col("s_a") + F.col("s_b") + F.col("s_c"))
     triples = triples.where(F.col("total").isin(sums)).select("AZ", "a", "b", "c", "total").dropDuplicates(["a", "b", "c", "total"])

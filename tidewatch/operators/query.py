@@ -41,6 +41,47 @@ def search(df: DataFrame, text: str, columns: list[str] | None = None) -> DataFr
     return df.where(reduce(lambda a, b: a | b, (F.coalesce(F.contains(F.lower(F.col(c).cast("string")), low), F.lit(False)) for c in columns or df.columns)))
 
 
+#: What a filter of a column can ask, by name: of the column and the values given.
+FILTERS = {
+    "contains": lambda c, v: F.contains(F.lower(c.cast("string")), F.lit(str(v).lower())),
+    "notContains": lambda c, v: ~F.contains(F.lower(c.cast("string")), F.lit(str(v).lower())),
+    "startsWith": lambda c, v: F.startswith(F.lower(c.cast("string")), F.lit(str(v).lower())),
+    "endsWith": lambda c, v: F.endswith(F.lower(c.cast("string")), F.lit(str(v).lower())),
+    "equals": lambda c, v: c == F.lit(v),
+    "notEqual": lambda c, v: ~c.eqNullSafe(F.lit(v)),
+    "lessThan": lambda c, v: c < F.lit(v),
+    "lessThanOrEqual": lambda c, v: c <= F.lit(v),
+    "greaterThan": lambda c, v: c > F.lit(v),
+    "greaterThanOrEqual": lambda c, v: c >= F.lit(v),
+    "inRange": lambda c, v, w: (c > F.lit(v)) & (c < F.lit(w)),
+    "blank": lambda c: c.isNull() | (c.cast("string") == ""),
+    "notBlank": lambda c: c.isNotNull() & (c.cast("string") != ""),
+}
+
+
+def filtered(df: DataFrame, filters: dict[str, tuple]) -> DataFrame:
+    """Rows that pass a filter for each named column: (name in ``FILTERS``, values); texts are compared whatever their case.
+    Numbers, times and texts keep their types, so comparisons reach the scan."""
+    return df.where(reduce(lambda a, b: a & b, (FILTERS[how](F.col(c), *values) for c, (how, *values) in filters.items()), F.lit(True)))
+
+
+def options(keys: DataFrame, chosen: dict[str, str | None], want: str) -> DataFrame:
+    """What can be chosen for the dimension ``want``, sorted, given what is chosen for those before it (``*`` or None: open)."""
+    picked = [F.col(d) == v for d, v in chosen.items() if d != want and v not in (None, "*")]
+    return keys.where(reduce(lambda a, b: a & b, picked, F.col(want).isNotNull())).select(want).distinct().orderBy(want)
+
+
+def still_valid(keys: DataFrame, chosen: dict[str, str | None], order: list[str]) -> dict[str, str | None]:
+    """The choices, in order, with those reset to None that no row has together with the ones before; one row is read."""
+    tests, held = [], F.lit(True)
+    for d in order:
+        if chosen.get(d) not in (None, "*"):
+            held = held & (F.col(d) == chosen[d])
+        tests.append(F.coalesce(F.bool_or(held), F.lit(False)).alias(d))
+    there = keys.agg(*tests).first()
+    return {d: chosen.get(d) if there[d] or chosen.get(d) == "*" else None for d in order}
+
+
 def page(df: DataFrame, number: int, size: int, *order: Column) -> DataFrame:
     """A page of the rows in a total order; the first is 0."""
     if size not in PAGE_SIZES:

@@ -22,15 +22,17 @@ def step(score: Column, t3: Column, t2: Column, capacity: Column, prev_score: Co
     """Score, T3 and T2 after a tick, from those of the tick and those before (null: none).
 
     A capacity that is reached raises the level; one that fails lowers it under that capacity.  The single-node score is the
-    one that is kept; ticks of several nodes can only raise it, and it clears levels it contradicts.
+    one that is kept; ticks of several nodes can only raise it, and it clears levels it contradicts.  A single-node tick
+    without a score counts with the score before; ticks of several nodes without one count as failed.
     """
     zero = F.lit(0)
     p3, p2 = F.coalesce(prev_t3, zero), F.coalesce(prev_t2, zero)
-    seen = F.greatest(F.coalesce(prev_score, score), score)
+    single = capacity == 1
+    known = F.when(single, F.coalesce(score, prev_score)).otherwise(score)
     below = F.coalesce(F.create_map(*(F.lit(x) for pair in FALLBACK.items() for x in pair))[capacity], zero)
-    up3 = F.when(score >= 3, F.greatest(F.coalesce(t3, zero), p3)).otherwise(F.least(below, p3))
-    up2 = F.when(score >= 2, F.greatest(F.coalesce(t2, zero), p2)).otherwise(F.least(below, p2))
-    kept = F.when(capacity == 1, F.coalesce(score, prev_score)).otherwise(seen)
+    up3 = F.when(known >= 3, F.greatest(F.coalesce(t3, zero), p3)).otherwise(F.least(below, p3))
+    up2 = F.when(known >= 2, F.greatest(F.coalesce(t2, zero), p2)).otherwise(F.least(below, p2))
+    kept = F.when(single, known).otherwise(F.greatest(prev_score, score))
     return kept, F.when(kept <= 2, zero).otherwise(up3), F.when(kept < 2, zero).otherwise(up2)
 
 

@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import importlib
+from . import choices, landed, planning, relational, snapshots, timeseries, vendors
 
-MODULES = ("snapshots", "relational", "timeseries", "planning")
-
-
-def _merged(name: str) -> dict:
-    out: dict = {}
-    for m in MODULES:
-        out |= getattr(importlib.import_module(f"{__package__}.{m}"), name, {})
-    return out
+MODULES = (snapshots, relational, timeseries, planning, landed, vendors, choices)
 
 
 def queries() -> dict:
-    return _merged("QUERIES")
+    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _merged("ORACLE_SQL")
+    return {k: v for m in MODULES for k, v in getattr(m, "ORACLE_SQL", {}).items()}

@@ -59,7 +59,7 @@ def region_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def display_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").where("event_id % 7 = 0")
+    e = read(spark, sf_dir, "events")
     n = F.when(F.col("event_id") % 21 == 0, -1).otherwise(F.col("user_id")).cast("int")
     text = F.when(F.col("event_id") % 14 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
     return e.select("event_id", S.shown_number(n).alias("shown"), S.shown_time(text).alias("shown_time"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
@@ -115,7 +115,7 @@ def price_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wildcard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
-    rows = query.wildcard(e, {"event_type": "click", "user_id": "*"}, F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz"), limit=200, order=("event_id",))
+    rows = query.wildcard(e, {"event_type": "click", "user_id": "*"}, F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz"), order=("event_id",))
     return rows.select("event_id", "user_id", "event_type", "value")
 
 
@@ -147,9 +147,13 @@ def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.unionByName(only)
 
 
+GPU_NAMES = ["nvidia-tesla-t4", "nvidia-a100-80gb", "nvidia-tesla-a100", "nvidia-h100-mega-80gb", "nvidia-l4-vws", "some-tpu", "maker-x9"]
+GPU_MODELS = ["T4", "A100", "A100 80GB", "H100", "L4", "L40"]
+
+
 def set_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = read(spark, sf_dir, "nation")
-    return n.select("n_nationkey", F.round(S.jaccard_letters(F.col("n_name"), F.lit("GERMANY")), 6).alias("like"), S.best_name(F.concat(F.lit("n"), F.col("n_nationkey")), ["x N12", "N17", "n2"]).alias("best"))
+    n = read(spark, sf_dir, "nation").withColumn("gpu", F.element_at(F.lit(GPU_NAMES), F.col("n_nationkey") % len(GPU_NAMES) + 1))
+    return n.select("n_nationkey", F.round(S.jaccard_letters(F.col("n_name"), F.lit("GERMANY")), 6).alias("like"), S.best_name(F.col("gpu"), GPU_MODELS).alias("best"))
 
 
 def assoc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,11 +249,6 @@ def record_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.get("dimensions", F.lit(0))["value"].alias("name"), F.get("dimensions", F.lit(1))["value"].alias("nation"), F.get("measures", F.lit(0))["value"].alias("measure"), "time")
 
 
-def export_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where("o_orderdate >= '1995-03-01' and o_orderdate < '1995-04-01'")
-    return o.groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderstatus").alias("vendor")).agg(F.count("*").alias("n"), F.max("o_totalprice").alias("top"))
-
-
 def numbered_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.numbered(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
 
@@ -263,7 +262,7 @@ _NAMES = (
     savings_variants, bucket_score, sku_parse, regex_extract, json_props, filter_not_contains, region_prefix, display_formats, chunk_lists, melted_prices, latest_partition,
     dedup_first, dedup_last, pivot_first, price_formula, wildcard_query, global_search, page_sort, selector_union, union_all_regions, set_ops, set_functions, assoc_index,
     asof_forward, asof_pairs, prefix_join, lookup_replace, cross_chunks, az_counts, signal_counts, capacity_rollup, dup_key_count, value_counts, topk_per_group, first_match,
-    invalid_filtered, last_wins, record_export, export_month, numbered_latest, newest_versions,
+    invalid_filtered, last_wins, record_export, numbered_latest, newest_versions,
 )
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -286,7 +285,7 @@ ORACLE_SQL = {
     "region_prefix": """SELECT n_nationkey, ['us-east-1', 'ap-northeast-2', 'eu-central-1', 'us-gov-west-1', 'ap-southeast-1', 'nowhere'][n_nationkey % 6 + 1] AS region,
       ['use1', 'apne2', 'euc1', NULL, 'apse1', NULL][n_nationkey % 6 + 1] AS prefix FROM nation""",
     "display_formats": """SELECT event_id, CASE WHEN event_id % 21 = 0 THEN 'N/A' ELSE CAST(user_id AS VARCHAR) END AS shown,
-      CASE WHEN event_id % 14 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS shown_time, epoch_us(ts) // 1000 AS ms FROM events WHERE event_id % 7 = 0""",
+      CASE WHEN event_id % 14 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS shown_time, epoch_us(ts) // 1000 AS ms FROM events""",
     "chunk_lists": """WITH d AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer), r AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment) - 1 AS i FROM d)
       SELECT c_nationkey, CAST(i // 2 AS INTEGER) AS chunk, string_agg(c_mktsegment, ',' ORDER BY c_mktsegment) AS items FROM r GROUP BY ALL""",
     "melted_prices": "SELECT s_suppkey, 's_acctbal' AS metric, s_acctbal AS value FROM supplier UNION ALL SELECT s_suppkey, 's_nationkey', CAST(s_nationkey AS DOUBLE) FROM supplier",
@@ -298,7 +297,7 @@ ORACLE_SQL = {
       t AS (SELECT p_type, max(p_retailprice) AS core_new, min(CASE WHEN p_size > 25 THEN p_retailprice END) AS gpu FROM part GROUP BY ALL),
       j AS (SELECT *, coalesce(core, CASE WHEN p_size % 2 = 0 THEN core_new END) AS c FROM part LEFT JOIN b USING (p_brand) LEFT JOIN t USING (p_type))
       SELECT p_partkey, round(greatest(p_size % 4, 1) * c + p_size / 2 * coalesce(mem, 0) + p_size % 2 * coalesce(gpu, 0), 6) AS price, round(p_size + p_partkey * 1e-9, 9) AS unit FROM j""",
-    "wildcard_query": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'click' AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12' ORDER BY ts, event_id LIMIT 200",
+    "wildcard_query": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'click' AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12' ORDER BY ts, event_id LIMIT 20000",
     "global_search": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE contains(lower(CAST(c_custkey AS VARCHAR)), 'auto') OR contains(lower(c_name), 'auto') OR contains(lower(c_mktsegment), 'auto')",
     "page_sort": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 100",
     "selector_union": "SELECT user_id, event_type FROM events WHERE user_id % 2 = 0 AND event_type <> 'error' UNION SELECT user_id, event_type FROM events WHERE user_id % 3 = 0 AND event_type <> 'error'",
@@ -306,12 +305,14 @@ ORACLE_SQL = {
       SELECT s_nationkey, 'supplier', s_acctbal FROM supplier) JOIN nation ON nation = n_nationkey GROUP BY ALL""",
     "set_ops": """WITH a AS (SELECT user_id FROM events WHERE event_type = 'click'), b AS (SELECT user_id FROM events WHERE event_type = 'purchase')
       SELECT *, 'intersect' AS op FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT *, 'except' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)""",
-    "set_functions": """WITH x AS (SELECT n_nationkey, list_distinct(string_split(n_name, '')) AS a, list_distinct(string_split('GERMANY', '')) AS b, 'n' || n_nationkey AS own FROM nation),
-      c AS (SELECT 0 AS i, 'x N12' AS name, 'N12' AS code UNION ALL SELECT 1, 'N17', 'N17' UNION ALL SELECT 2, 'n2', 'N2'),
-      s AS (SELECT n_nationkey, own, name, i, len(list_intersect(list_distinct(string_split(upper(own), '')), list_distinct(string_split(code, '')))) * 1.0 /
-        len(list_distinct(list_concat(string_split(upper(own), ''), string_split(code, '')))) AS v FROM x, c WHERE upper(own)[1:2] = code[1:2]),
+    "set_functions": f"""WITH g AS (SELECT n_nationkey, n_name, {GPU_NAMES}[n_nationkey % {len(GPU_NAMES)} + 1] AS gpu FROM nation),
+      m AS (SELECT *, string_split(gpu, '-') AS parts, list_distinct(string_split(n_name, '')) AS a, list_distinct(string_split('GERMANY', '')) AS b FROM g),
+      x AS (SELECT *, CASE WHEN regexp_matches(gpu, '[0-9]') THEN upper(array_to_string(parts[list_position(list_transform(parts, lambda t: regexp_matches(t, '[0-9]')), true):], '')) ELSE '' END AS own FROM m),
+      c AS (SELECT unnest({GPU_MODELS}) AS name, generate_subscripts({GPU_MODELS}, 1) AS i),
+      s AS (SELECT n_nationkey, name, i, len(list_intersect(list_distinct(string_split(own, '')), list_distinct(string_split(name, '')))) * 1.0 /
+        len(list_distinct(list_concat(string_split(own, ''), string_split(name, '')))) AS v FROM x, c WHERE own <> '' AND own[1:2] = name[1:2]),
       t AS (SELECT n_nationkey, name FROM s WHERE v > 0 QUALIFY row_number() OVER (PARTITION BY n_nationkey ORDER BY v DESC, i) = 1)
-      SELECT n_nationkey, round(len(list_intersect(a, b)) * 1.0::DOUBLE / len(list_distinct(list_concat(a, b))), 6) AS "like", coalesce(name, own) AS best FROM x LEFT JOIN t USING (n_nationkey)""",
+      SELECT n_nationkey, round(len(list_intersect(a, b)) * 1.0::DOUBLE / len(list_distinct(list_concat(a, b))), 6) AS "like", coalesce(name, gpu) AS best FROM x LEFT JOIN t USING (n_nationkey)""",
     "assoc_index": "SELECT c_mktsegment, string_agg(DISTINCT n, ',' ORDER BY n) AS nations FROM (SELECT c_mktsegment, CAST(c_nationkey AS VARCHAR) AS n FROM customer WHERE c_nationkey <> 3) GROUP BY ALL",
     "asof_forward": """SELECT a.event_id, a.user_id, b.ts AS next_ts FROM (SELECT * FROM events WHERE event_type = 'view') a ASOF JOIN (SELECT user_id, ts FROM events WHERE event_type = 'click') b
       ON a.user_id = b.user_id AND b.ts > a.ts""",
@@ -336,7 +337,6 @@ ORACLE_SQL = {
     "invalid_filtered": "SELECT c_custkey, c_nationkey AS nation FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1 OR n_nationkey % 7 = 0)",
     "last_wins": "SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS price FROM orders GROUP BY ALL",
     "record_export": "SELECT s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, CAST(s_suppkey AS VARCHAR) AS measure, CAST(epoch_ms(TIMESTAMP '2025-02-15 00:10:00') AS VARCHAR) AS time FROM supplier",
-    "export_month": "SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS vendor, count(*) AS n, max(o_totalprice) AS top FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1995-03-01' GROUP BY ALL",
     "numbered_latest": "SELECT s_suppkey, s_name, CAST(row_number() OVER (ORDER BY s_suppkey) AS INTEGER) AS id FROM supplier",
     "newest_versions": "SELECT l_linenumber AS line, count(*) AS n, CAST(sum(v) AS BIGINT) AS versions FROM (SELECT l_orderkey, l_linenumber, max(l_partkey) AS v FROM lineitem GROUP BY ALL) GROUP BY ALL",
 }

@@ -102,18 +102,19 @@ REGIONAL = f"""{SIGNALS}, low AS (SELECT InstanceType, Region, min(SpotPrice) AS
   SELECT * FROM (SELECT coalesce(p.tier, s.tier, 'N/A') AS InstanceTier, coalesce(p.InstanceType, s.InstanceType, 'N/A') AS InstanceType, coalesce(p.Region, s.Region, 'N/A') AS Region,
     coalesce(OndemandPrice, -1) AS OndemandPrice, coalesce(SpotPrice, -1) AS SpotPrice, coalesce(Savings, -1) AS Savings, coalesce("IF", -1) AS "IF",
     CASE WHEN s.AZ IS NULL THEN -1 ELSE 1 END AS DesiredCount, coalesce(AZ, 'N/A') AS AvailabilityZone, coalesce(SPS, -1) AS Score,
-    CASE WHEN s.AZ IS NULL THEN NULL ELSE '2025-02-15 00:10:00' END AS Time, coalesce(T2, 0) AS T2, coalesce(T3, 0) AS T3
+    CASE WHEN s.AZ IS NULL THEN 'N/A' ELSE '2025-02-15 00:10:00' END AS Time, coalesce(T2, 0) AS T2, coalesce(T3, 0) AS T3
     FROM prices p FULL JOIN sc s ON p.tier IS NOT DISTINCT FROM s.tier AND p.InstanceType IS NOT DISTINCT FROM s.InstanceType AND p.Region IS NOT DISTINCT FROM s.Region)
   WHERE NOT (OndemandPrice = -1 AND SpotPrice = -1 AND Savings = -1 AND "IF" = -1) AND NOT contains(lower(Region), 'gov') AND NOT (Score = -1 AND AvailabilityZone = 'N/A')"""
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks with a score of 1 to 3 and, by turns, one of the capacities."""
+    """Ticks with a score of 1 to 3, some without, and, by turns, one of the capacities."""
     from pyspark.sql import Window
 
     i = F.row_number().over(Window.partitionBy(*KEYS).orderBy("ts", "event_id")) - 1
     caps = F.element_at(F.lit(list(CAPACITIES)), (i % len(CAPACITIES) + 1).cast("int"))
-    return ticks(spark, sf_dir).select(*KEYS, "ts", "event_id", (1 + F.col("k") % 3).cast("int").alias("score"), caps.alias("capacity"))
+    score = F.when(F.col("k") % 7 != 0, (1 + F.col("k") % 3).cast("int"))
+    return ticks(spark, sf_dir).select(*KEYS, "ts", "event_id", score.alias("score"), caps.alias("capacity"))
 
 
 def t2t3_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,29 +122,35 @@ def t2t3_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t2t3_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state of one half carried to the ticks of the other, at a capacity of 5."""
-    t3, t2 = state.tick_levels(F.col("SPS"), F.lit(5))
-    prev, cur = (h.select(*KEYS, (1 + F.col("k")).alias("SPS"), (F.abs("band") * 5 % 55).cast("int").alias("cap")) for h in _halves(spark, sf_dir))
+    """The state of one half carried to the ticks of the other, at capacities of 1 and 5; some ticks have no score."""
+    at = F.when(F.col("user_id") % 2 == 0, 1).otherwise(5)
+    t3, t2 = state.tick_levels(F.col("SPS"), at)
+    score = F.when(F.col("band") % 4 != 0, 1 + F.col("k"))
+    prev, cur = (h.select(*KEYS, score.alias("SPS"), (F.abs("band") * 5 % 55).cast("int").alias("cap")) for h in _halves(spark, sf_dir))
     prev = prev.select(*KEYS, "SPS", F.when(F.col("SPS") >= 3, F.col("cap")).otherwise(0).alias("T3"), F.when(F.col("SPS") >= 2, F.col("cap")).otherwise(0).alias("T2"))
-    cur = cur.select(*KEYS, "SPS", t3.alias("T3"), t2.alias("T2"), F.lit(5).alias("TargetCapacity"))
+    cur = cur.select(*KEYS, "SPS", t3.alias("T3"), t2.alias("T2"), at.alias("TargetCapacity"))
     return state.capacity_step(prev, cur, KEYS)
 
 
 def _step_sql(score: str, cap: str, pscore: str, p3: str, p2: str) -> tuple[str, str, str]:
     below = "CASE " + " ".join(f"WHEN {cap} = {k} THEN {v}" for k, v in state.FALLBACK.items()) + " ELSE 0 END"
-    kept = f"CASE WHEN {cap} = 1 THEN coalesce({score}, {pscore}) ELSE greatest(coalesce({pscore}, {score}), {score}) END"
-    t3 = f"CASE WHEN {kept} <= 2 THEN 0 WHEN {score} >= 3 THEN greatest(CASE WHEN {score} >= 3 THEN {cap} ELSE 0 END, coalesce({p3}, 0)) ELSE least({below}, coalesce({p3}, 0)) END"
-    t2 = f"CASE WHEN {kept} < 2 THEN 0 WHEN {score} >= 2 THEN greatest(CASE WHEN {score} = 2 THEN {cap} ELSE 0 END, coalesce({p2}, 0)) ELSE least({below}, coalesce({p2}, 0)) END"
+    before = f"coalesce({pscore}, {score})"  # a key without a score before takes the tick's
+    filled = f"(CASE WHEN {cap} = 1 THEN coalesce({score}, {before}) ELSE {score} END)"  # single nodes: filled, then tested
+    raised = f"(CASE WHEN {filled} > {before} THEN {filled} ELSE {before} END)"
+    kept = f"(CASE WHEN {cap} = 1 THEN {filled} ELSE {raised} END)"
+    t3 = f"CASE WHEN {kept} <= 2 THEN 0 WHEN {filled} >= 3 THEN greatest(CASE WHEN {score} >= 3 THEN {cap} ELSE 0 END, coalesce({p3}, 0)) ELSE least({below}, coalesce({p3}, 0)) END"
+    t2 = f"CASE WHEN {kept} < 2 THEN 0 WHEN {filled} >= 2 THEN greatest(CASE WHEN {score} = 2 THEN {cap} ELSE 0 END, coalesce({p2}, 0)) ELSE least({below}, coalesce({p2}, 0)) END"
     return kept, t3, t2
 
 
-_S = _step_sql("s.SPS", "5", "q.SPS", "q.T3", "q.T2")
-STEP = f"""{HALVES}, q AS (SELECT user_id, event_type, 1 + k AS SPS, CASE WHEN 1 + k >= 3 THEN abs(band) * 5 % 55 ELSE 0 END AS T3, CASE WHEN 1 + k >= 2 THEN abs(band) * 5 % 55 ELSE 0 END AS T2 FROM p),
-  s AS (SELECT user_id, event_type, 1 + k AS SPS FROM c)
-  SELECT s.user_id, s.event_type, CAST({_S[0]} AS INTEGER) AS SPS, CAST({_S[1]} AS INTEGER) AS T3, CAST({_S[2]} AS INTEGER) AS T2, 5 AS TargetCapacity FROM s LEFT JOIN q USING (user_id, event_type)"""
+_S = _step_sql("s.SPS", "s.cap", "q.SPS", "q.T3", "q.T2")
+_SCORE = "CASE WHEN band % 4 <> 0 THEN 1 + k END AS SPS"
+STEP = f"""{HALVES}, b AS (SELECT user_id, event_type, band, {_SCORE} FROM p), q AS (SELECT user_id, event_type, SPS, CASE WHEN SPS >= 3 THEN abs(band) * 5 % 55 ELSE 0 END AS T3, CASE WHEN SPS >= 2 THEN abs(band) * 5 % 55 ELSE 0 END AS T2 FROM b),
+  s AS (SELECT user_id, event_type, CASE WHEN user_id % 2 = 0 THEN 1 ELSE 5 END AS cap, {_SCORE} FROM c)
+  SELECT s.user_id, s.event_type, CAST({_S[0]} AS INTEGER) AS SPS, CAST({_S[1]} AS INTEGER) AS T3, CAST({_S[2]} AS INTEGER) AS T2, s.cap AS TargetCapacity FROM s LEFT JOIN q USING (user_id, event_type)"""
 _F = _step_sql("t.score", "t.capacity", "f.sps", "f.t3", "f.t2")
 FOLD = f"""WITH RECURSIVE ticks AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
-  numbered AS (SELECT user_id, event_type, 1 + k % 3 AS score, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM ticks),
+  numbered AS (SELECT user_id, event_type, CASE WHEN k % 7 <> 0 THEN 1 + k % 3 END AS score, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM ticks),
   t AS (SELECT user_id, event_type, score, rn, [{", ".join(map(str, CAPACITIES))}][1 + (rn - 1) % {len(CAPACITIES)}] AS capacity FROM numbered),
   f AS (SELECT user_id, event_type, CAST(0 AS BIGINT) AS rn, CAST(NULL AS INTEGER) AS sps, 0 AS t3, 0 AS t2 FROM t WHERE rn = 1
     UNION ALL SELECT t.user_id, t.event_type, t.rn, CAST({_F[0]} AS INTEGER), CAST({_F[1]} AS INTEGER), CAST({_F[2]} AS INTEGER)
@@ -172,6 +179,29 @@ def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.drained(changes, folder, "append").select(*KEYS, F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "band")
 
 
+def stream_call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls within 62 minutes as a stream; the rows are those of sliding_62m."""
+    folder = shared_folder(spark)
+    path = f"{folder}/calls-{streams.uuid.uuid4().hex}"
+    e = read(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    e.repartition(4, "event_type").write.parquet(path)
+    counted = streams.call_log(streams.landed(spark, path, e.schema), ["event_type"], "ts", ["event_id"], limit=20)
+    return streams.drained(counted, folder, "append").select("event_id", "recent", "allowed")
+
+
+def stream_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots as micro-batches: what the second one changes and removes."""
+    folder = f"{shared_folder(spark)}/removals-{streams.uuid.uuid4().hex}"
+    for i, half in enumerate(_halves(spark, sf_dir)):
+        rows = half.withColumn("tick", F.lit(i)).coalesce(1)
+        rows.write.mode("append").parquet(f"{folder}/landed")
+    schema = rows.schema
+    source = streams.landed(spark, f"{folder}/landed", schema, files_per_batch=1)
+    streams.published_snapshots(source, KEYS, FEATURES, ["tick"], folder).awaitTermination()
+    log = spark.read.parquet(f"{folder}/log")
+    return log.where("batch = 1").select(*KEYS, *FEATURES, "Ceased")
+
+
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-minute counts as a stream with a watermark, in update mode; the last count of each window is kept."""
     folder = shared_folder(spark)
@@ -189,7 +219,7 @@ QUERIES = {
     "snapshot_diff": snapshot_diff, "snapshot_removed": snapshot_removed, "snapshot_changed_left": snapshot_changed_left, "published_changes": published_changes,
     "snapshot_replay": snapshot_replay, "change_log": change_log, "outer_merge_sentinels": outer_merge_sentinels, "left_chain_equiv": left_chain_equiv,
     "azure_merge_filters": azure_merge_filters, "t2t3_step": t2t3_step, "t2t3_fold": t2t3_fold, "stream_tick_state": stream_tick_state,
-    "stream_change_log": stream_change_log, "stream_windows": stream_windows,
+    "stream_change_log": stream_change_log, "stream_windows": stream_windows, "stream_call_log": stream_call_log, "stream_removals": stream_removals,
 }
 
 _CHANGED = f"""SELECT c.user_id, c.event_type, c.band, c.k FROM c LEFT JOIN (SELECT *, true AS there FROM p) p ON {ON}
@@ -213,5 +243,8 @@ ORACLE_SQL = {
     "t2t3_fold": FOLD,
     "stream_tick_state": FOLD,
     "stream_change_log": CHANGES,
+    "stream_call_log": """SELECT event_id, n AS recent, n < 20 AS allowed FROM (SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts)
+      RANGE BETWEEN 3719999999 PRECEDING AND CURRENT ROW) AS n FROM events)""",
+    "stream_removals": f"{HALVES} SELECT *, false AS Ceased FROM ({_CHANGED}) UNION ALL {_GONE}",
     "stream_windows": "SELECT time_bucket(INTERVAL '10 minutes', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

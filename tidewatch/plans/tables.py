@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
     return base or tempfile.mkdtemp(prefix="tidewatch-")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: computed once."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def signals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Scores by (InstanceType, Region, AZ), frequencies and on-demand prices by (InstanceType, Region), spot prices by
     (InstanceType, AZ).  Some frequencies and prices are missing."""
@@ -44,6 +52,7 @@ def signals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
     zone = F.concat(F.lit("az"), F.col("l_suppkey").cast("string"))
     offers = offers.select(F.col("p_brand").alias("InstanceType"), F.concat(F.lit("r"), F.col("s_nationkey").cast("string")).alias("Region"), zone.alias("AZ"), "n", "hi", "lo")
     offers = offers.groupBy("InstanceType", "Region", "AZ").agg(F.sum("n").alias("n"), F.max("hi").alias("hi"), F.min("lo").alias("lo"))
+    offers = stored(offers, "offers")  # all four tables are made of it
     score = (1 + F.col("n") % 3).cast("int")
     scores = offers.select("InstanceType", "Region", "AZ", score.alias("SPS"), F.when(score >= 3, 5).otherwise(0).alias("T3"), F.when(score == 2, 5).otherwise(0).alias("T2"))
     regional = offers.groupBy("InstanceType", "Region").agg(F.sum("n").alias("n"), F.max("hi").alias("hi"))

@@ -69,7 +69,7 @@ def call_headroom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").where("o_orderkey % 5 = 0")
+    o = read(spark, sf_dir, "orders")
     text = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy/MM/dd")).otherwise("never")
     return o.select("o_orderkey", S.parsed_time(text, "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd").cast("timestamp_ntz").alias("ts"))
 
@@ -96,5 +96,5 @@ ORACLE_SQL = {
     "rotation_schedule": f"SELECT i AS tick, TIMESTAMP '2025-02-15 00:00:00' + to_minutes(10 * i) AS ts, [{', '.join(map(str, CAPACITIES))}][1 + i % {len(CAPACITIES)}] AS value FROM range(144) t(i)",
     "credential_swap": "SELECT c_custkey, CASE WHEN c_custkey // 100 % 2 = 0 THEN c_custkey % 100 WHEN c_custkey % 100 < 50 THEN c_custkey % 100 + 50 ELSE c_custkey % 100 - 50 END AS credential FROM customer",
     "call_headroom": "SELECT count(*) AS made, 12000 - count(*) AS \"left\" FROM events WHERE ts >= TIMESTAMP '2024-01-29'",
-    "time_formats": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN date_trunc('second', o_orderdate) WHEN o_orderkey % 3 = 0 THEN CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) END AS ts FROM orders WHERE o_orderkey % 5 = 0""",
+    "time_formats": """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN date_trunc('second', o_orderdate) WHEN o_orderkey % 3 = 0 THEN CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) END AS ts FROM orders""",
 }

@@ -48,10 +48,10 @@ def line_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_path_facts(df: DataFrame) -> DataFrame:
-    """``path_ts`` and ``path_capacity`` from paths such as .../2025/02/15/00-10_sps_50.parquet."""
+    """``path_ts`` and ``path_capacity`` from paths such as .../2025/02/15/00-10_sps_50.parquet, a file or a folder of files."""
     path = F.col("_metadata.file_path")
     day, minute = F.regexp_extract(path, r"(\d{4}/\d{2}/\d{2})/\d{2}-\d{2}", 1), F.regexp_extract(path, r"/(\d{2}-\d{2})[_.]", 1)
-    capacity = F.regexp_extract(path, r"_(\d+)\.[^/]*$", 1)
+    capacity = F.regexp_extract(path, r"/\d{2}-\d{2}[^/]*_(\d+)(?:\.[^/]*)?(?:/[^/]*)?$", 1)
     return df.withColumns({"path_ts": F.try_to_timestamp(F.concat_ws(" ", day, minute), F.lit("yyyy/MM/dd HH-mm")), "path_capacity": capacity.try_cast("int")})
 
 
@@ -67,6 +67,38 @@ def partition(df: DataFrame, day: str, tick: str | None = None) -> DataFrame:
     return out if tick is None else out.where(F.col("hm") == tick)
 
 
+def required(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+    """The tables of all named signals; ValueError that names those that aren't there or have no row."""
+    found, missing = {}, []
+    for name, path in paths.items():
+        try:
+            reader = spark.read.format(fmt)
+            df = (reader.schema(schemas[name]) if schemas and name in schemas else reader).load(path)
+            found[name] = df
+            missing += [name] if df.isEmpty() else []
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e.getCondition()) and "UNABLE_TO_INFER_SCHEMA" not in str(e.getCondition()):
+                raise
+            missing.append(name)
+    if missing:
+        raise ValueError(f"signals are missing: {', '.join(sorted(missing))}")
+    return found
+
+
+def latest(spark: SparkSession, folder: str, vendor: str) -> DataFrame:
+    """The latest snapshot of a vendor, as ``sinks.write_latest`` leaves it, and a view ``latest_<vendor>`` of it."""
+    out = spark.read.json(f"{folder}/latest_{vendor}.json")
+    out.createOrReplaceTempView(f"latest_{vendor}")
+    return out
+
+
+def external_table(spark: SparkSession, name: str, path: str, ddl: str) -> DataFrame:
+    """A table of the catalogue over CSV files with a header that stay where they are; replaced if there is one."""
+    drop(spark, name)
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING csv OPTIONS (header true) LOCATION '{path}'")
+    return spark.table(name)
+
+
 def external_csv(spark: SparkSession, name: str, path: str, ddl: str) -> None:
     """A view over CSV files with a header, replaced if there is one."""
     drop(spark, name)
@@ -102,10 +134,11 @@ def spot_history(history: DataFrame) -> DataFrame:
 
 def eviction_resources(resources: DataFrame) -> DataFrame:
     """Location, SKU and eviction rate from a resource graph: type in any case, rates from JSON properties, blanks dropped."""
-    rate = F.get_json_object("properties", "$.evictionRate")
+    of = lambda name: F.get_json_object("properties", f"$.{name}")
+    sku = F.coalesce(of("skuName"), F.get_json_object("sku", "$.name")) if "sku" in resources.columns else of("skuName")
     own = F.lower("type") == "microsoft.compute/skuspotevictionrate/location"
-    out = resources.where(own).select("location", F.get_json_object("sku", "$.name").alias("skuName"), rate.alias("evictionRate"))
-    return out.where(F.length("evictionRate") > 0)
+    out = resources.where(own).select("location", sku.alias("skuName"), of("evictionRate").alias("evictionRate"))
+    return out.where((F.length("evictionRate") > 0) & (F.length("skuName") > 0) & (F.length("location") > 0))
 
 
 def machine_types(machines: DataFrame, zones: DataFrame) -> DataFrame:
@@ -127,8 +160,11 @@ def hardware_aws(rows: DataFrame) -> DataFrame:
 
 
 def hardware_azure(rows: DataFrame, wanted: list[str]) -> DataFrame:
-    """Capabilities by name as columns, names in lower case; of repeated machines the last by name of family wins."""
-    entries = F.transform("capabilities", lambda c: F.struct(F.lower(c["name"]).alias("k"), c["value"].alias("v")))
+    """Capabilities by name as columns, names in lower case; of a name's several values the last wins, of repeated machines
+    the last by name of family."""
+    named = F.transform("capabilities", lambda c: F.lower(c["name"]))
+    last = F.filter("capabilities", lambda c, i: F.array_position(F.slice(named, i + 2, F.size("capabilities")), F.lower(c["name"])) == 0)
+    entries = F.transform(last, lambda c: F.struct(F.lower(c["name"]).alias("k"), c["value"].alias("v")))
     out = rows.where(F.col("resourceType") == "virtualMachines").withColumn("_m", F.map_from_entries(entries))
     return out.groupBy("name").agg(F.max("family").alias("family"), *(F.max_by(F.col("_m")[w.lower()], "family").alias(w) for w in wanted))
 

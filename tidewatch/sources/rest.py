@@ -1,21 +1,35 @@
-"""Paged REST responses as a data source: one partition for each page, simple filters pushed to the server."""
+"""Paged REST responses as a data source, simple filters pushed to the server.
+
+Pages of a service are found in one of three ways: their number is known, one partition each; offsets are read until a
+page is empty, by a few partitions that take turns; or each page names the next by a token, which one partition follows.
+"""
 
 from __future__ import annotations
 
 import json
 import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 
 class PagedJson(DataSource):
-    """Records of a paged JSON service.  Options: ``url``, ``records`` (name of the list), ``pages``, ``size``, ``skip``
-    (name of the offset parameter), ``filters`` (comma-separated columns the server can compare), ``retries``.
-
-    ``url`` may be file:// with ``{skip}`` in it: landed pages read the same way.  A page that isn't there is empty.
+    """Records of a paged JSON service.  Options:
+
+    ``url``; ``records`` (name of the list, with dots for nested ones); ``filters`` (comma-separated columns the server can
+    compare); ``retries``;
+    ``skip`` (name of the offset parameter), ``size`` (records of a page), and ``pages`` (their number), or without it
+    ``strands`` (partitions that read every so many-th page until one is empty);
+    ``token`` (name in a response of what the next page is asked by; asked for until there is none, or no record) and
+    ``token_param`` (name of the parameter it is sent as);
+    ``body`` (JSON text to send by POST, in which "{token}" and "{skip}" are put in).
+
+    ``url`` may be file:// with ``{skip}`` or ``{token}`` in it: landed pages read the same way.  A page that isn't there is
+    empty.
     """
 
     @classmethod
@@ -29,6 +43,15 @@ class PagedJson(DataSource):
         return PagedJsonReader(self.options, schema)
 
 
+@dataclass
+class Pages(InputPartition):
+    """Pages ``first``, ``first + step``, ... up to ``last``, or to one that is empty."""
+
+    first: int
+    step: int = 1
+    last: int | None = None
+
+
 class PagedJsonReader(DataSourceReader):
     def __init__(self, options, schema):
         self.options, self.schema, self.pushed = options, schema, {}
@@ -41,30 +64,72 @@ class PagedJsonReader(DataSourceReader):
             yield f  # compared again by Spark: servers may be lenient
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(i) for i in range(int(self.options.get("pages", 1)))]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        skip = partition.value * int(self.options.get("size", 1000))
-        url = self.options["url"].replace("{skip}", str(skip))
-        if not url.startswith("file:"):
-            url += "?" + urllib.parse.urlencode({self.options.get("skip", "$skip"): skip, **self.pushed})
-        for record in self._fetched(url).get(self.options.get("records", "Items"), []):
-            yield tuple(record.get(f.name) for f in self.schema.fields)
-
-    def _fetched(self, url: str) -> dict:
+        if "token" in self.options:
+            return [Pages(0)]
+        if "pages" in self.options:
+            return [Pages(i, 1, i) for i in range(int(self.options["pages"]))]
+        strands = int(self.options.get("strands", 12))
+        return [Pages(i, strands) for i in range(strands)]
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        if "token" in self.options:
+            token = ""
+            while token is not None:
+                answer = self._page(0, token)
+                records = self._records(answer)
+                yield from map(self._row, records)
+                following = answer.get(self.options["token"]) or None
+                token = following if records and following != token else None
+            return
+        page = partition.first
+        while partition.last is None or page <= partition.last:
+            records = self._records(self._page(page * int(self.options.get("size", 1000)), ""))
+            yield from map(self._row, records)
+            if not records:
+                return
+            page += partition.step
+
+    def _records(self, answer: dict) -> list:
+        found = answer
+        for part in self.options.get("records", "Items").split("."):
+            found = (found or {}).get(part)
+        return found or []
+
+    def _row(self, record: dict) -> tuple:
+        return tuple(record.get(f.name) for f in self.schema.fields)
+
+    def _page(self, skip: int, token: str) -> dict:
+        url = self.options["url"].replace("{skip}", str(skip)).replace("{token}", urllib.parse.quote(token))
+        if url.startswith("file:"):
+            return self._fetched(url)
+        asked = dict(self.pushed)
+        if "token" in self.options:
+            asked |= {self.options.get("token_param", self.options["token"]): token} if token and "body" not in self.options else {}
+        elif "body" not in self.options:
+            asked[self.options.get("skip", "$skip")] = skip
+        url += "?" + urllib.parse.urlencode(asked) if asked else ""
+        if "body" not in self.options:
+            return self._fetched(url)
+        body = self.options["body"].replace("{token}", json.dumps(token)[1:-1]).replace("{skip}", str(skip))
+        return self._fetched(urllib.request.Request(url, body.encode(), {"Content-Type": "application/json"}))
+
+    def _fetched(self, request) -> dict:
         tries = int(self.options.get("retries", 5))
         for i in range(tries):
             try:
-                with urllib.request.urlopen(url, timeout=60) as f:
+                with urllib.request.urlopen(request, timeout=60) as f:
                     return json.load(f)
-            except FileNotFoundError:
-                return {}
+            except urllib.error.HTTPError as e:
+                if e.code == 404:
+                    return {}
+                if i == tries - 1:
+                    raise
             except OSError as e:
-                if url.startswith("file:") and "No such file" in str(e):
+                if isinstance(e, FileNotFoundError) or "No such file" in str(e):
                     return {}
                 if i == tries - 1:
                     raise
-                time.sleep(2**i)
+            time.sleep(min(2**i, 30) * float(self.options.get("pause", 1)))
         return {}
 
 

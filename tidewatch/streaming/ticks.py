@@ -5,12 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.diff import latest_per_key, published_changes
+from ..operators.planner import CALLS, WINDOW_MINUTES
 from ..operators.state import FALLBACK
 
 
@@ -23,14 +26,11 @@ def landed(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "
 def stepped(score: int | None, capacity: int, state: tuple[int | None, int, int]) -> tuple[int | None, int, int]:
     """One key's state after a tick; ``operators.state.step`` says the same of columns."""
     seen, p3, p2 = state
-    if score is None:
-        high = medium = False
-    else:
-        high, medium = score >= 3, score >= 2
+    known = seen if capacity == 1 and score is None else score
     below = FALLBACK.get(capacity, 0)
-    t3 = max(capacity, p3) if high else min(below, p3)
-    t2 = max(capacity if score == 2 else 0, p2) if medium else min(below, p2)
-    kept = max((x for x in (score, seen) if x is not None), default=None) if capacity != 1 or score is None else score
+    t3 = max(capacity if score is not None and score >= 3 else 0, p3) if known is not None and known >= 3 else min(below, p3)
+    t2 = max(capacity if score == 2 else 0, p2) if known is not None and known >= 2 else min(below, p2)
+    kept = known if capacity == 1 else max((x for x in (score, seen) if x is not None), default=None)
     if kept is not None and kept <= 2:
         t3 = 0
     if kept is not None and kept < 2:
@@ -64,13 +64,53 @@ def changes_only(ticks: DataFrame, keys: list[str], order: list[str], features:
     def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
         rows = pd.concat(frames).sort_values(order)
-        marks = rows[features].astype(object).where(rows[features].notna(), None).apply(lambda r: repr(tuple(r)), axis=1)
+        marks = rows["_mark"]
         before = marks.shift(1)
         before.iloc[0] = last
         state.update((marks.iloc[-1],))
-        yield rows[marks.ne(before)]
-
-    return ticks.groupBy(*keys).applyInPandasWithState(keep, ticks.schema, "mark string", "append", GroupStateTimeout.NoTimeout)
+        yield rows.loc[marks.ne(before), names]
+
+    names = ticks.columns
+    # nulls are written out, so that the text tells all values of the features apart
+    marked = ticks.withColumn("_mark", F.to_json(F.struct(*features), {"ignoreNullFields": "false"}))
+    return marked.groupBy(*keys).applyInPandasWithState(keep, ticks.schema, "mark string", "append", GroupStateTimeout.NoTimeout)
+
+
+def call_log(calls: DataFrame, by: list[str], time: str, order: list[str], minutes: int = WINDOW_MINUTES, limit: int = CALLS) -> DataFrame:
+    """``calls`` with ``recent``, the group's calls within the window up to each, and ``allowed``, whether there is room for
+    another; as ``planner.rate_windows`` tells them in batch.  State is a group's times within the window, older ones
+    expire as calls come.  Calls of a micro-batch are taken in order; a later batch is later."""
+    span = minutes * 60_000_000
+    out = T.StructType([*calls.schema, T.StructField("recent", T.LongType()), T.StructField("allowed", T.BooleanType())])
+
+    def count(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        before = np.array(state.get[0] if state.exists else [], np.int64)
+        rows = pd.concat(frames).sort_values(["_at", *order])
+        at = np.concatenate([before, rows["_at"].to_numpy(np.int64)])
+        # calls at one time count for each other, as in a range of values
+        recent = np.searchsorted(at, at, "right") - np.searchsorted(at, at - span, "right")
+        state.update((at[at > at[-1] - span].tolist(),))
+        recent = recent[len(before) :]
+        yield rows[names].assign(recent=recent, allowed=recent < limit)
+
+    names = calls.columns
+    micros = calls.withColumn("_at", F.unix_micros(F.col(time)))
+    return micros.groupBy(*by).applyInPandasWithState(count, out, "at array<bigint>", "append", GroupStateTimeout.NoTimeout)
+
+
+def published_snapshots(ticks: DataFrame, keys: list[str], features: list[str], order: list[str], folder: str):
+    """Every micro-batch as a snapshot: its changes from the one before, deletion markers among them, are appended to
+    ``folder``/log, and the snapshot is kept beside it for the next.  A batch that is replayed replaces what it wrote."""
+
+    def publish(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        kept = f"{folder}/snapshots/batch={batch}"
+        latest_per_key(rows, keys, *(F.col(c) for c in order)).select(*keys, *features).write.mode("overwrite").parquet(kept)
+        cur = spark.read.parquet(kept)
+        prev = spark.read.schema(cur.schema).parquet(f"{folder}/snapshots/batch={batch - 1}") if batch else cur.limit(0)
+        published_changes(prev, cur, keys, features).write.mode("overwrite").parquet(f"{folder}/log/batch={batch}")
+
+    return published(ticks, publish, f"{folder}/state", "append")
 
 
 def windowed(events: DataFrame, time: str, length: str, slide: str | None = None, late: str = "1 hour", by: tuple[str, ...] = ()) -> DataFrame:
