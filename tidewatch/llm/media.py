@@ -15,10 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._store import written
+
 #: Bytes of a stored frame, frames of a chunk, frames from one keyframe to the next, and 8-bit samples a second.
 FRAME, CHUNK_FRAMES, KEY_EVERY, RATE = 1024, 8, 16, 8000
-#: Boxes that hold boxes, as the format fixes them.
+#: Boxes that hold boxes, as the format fixes them; boxes within boxes that a container has at most.
 NESTED = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta"}
+DEEPEST = 16
+#: Tables of a track that are read.
+TABLES = {b"mdhd", b"stsd", b"stts", b"stss", b"stsc", b"stsz", b"stco", b"co64"}
 
 
 def _box(kind: bytes, *parts: bytes) -> bytes:
@@ -69,29 +74,37 @@ def container(payload: bytes) -> bytes:
     return b"".join((head, data, movie))
 
 
-def boxes(data: memoryview, begin: int, end: int, path: bytes = b"") -> Iterator[tuple[bytes, int, int]]:
+def boxes(data: memoryview, begin: int, end: int) -> Iterator[tuple[bytes, int, int]]:
     """Path, begin and end of the body of every box, nested ones after the box that holds them."""
-    while begin + 8 <= end:
+    open_ = [(begin, end, b"")]
+    while open_:
+        begin, end, path = open_.pop()
+        if begin + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, begin)
         body = begin + 8
         if size == 1:
             size, body = struct.unpack_from(">Q", data, begin + 8)[0], begin + 16
         stop = end if size == 0 else begin + size
-        if stop > end or stop < body:
-            raise ValueError(f"box {kind!r} at {begin} has a wrong size")
+        if stop > end or stop < body or len(open_) >= DEEPEST:
+            raise ValueError(f"box {kind!r} at {begin} has a wrong size, or is too deep")
         yield path + b"/" + kind, body, stop
+        open_.append((stop, end, path))
         if kind in NESTED:
-            yield from boxes(data, body, stop, path + b"/" + kind)
-        begin = stop
+            open_.append((body, stop, path + b"/" + kind))
 
 
 def tracks(data: memoryview) -> list[dict]:
-    """Codec, timescale, duration and, by sample, offset, size and whether it is a keyframe, for each track."""
+    """Codec, timescale, duration and, by sample, offset, size and whether it is a keyframe, for each track.
+
+    ValueError, KeyError, IndexError or struct.error if a table is missing, broken, or tells of more samples or bytes than
+    the container has: no table is believed before its size is checked.
+    """
     out: list[dict] = []
     for path, a, b in boxes(data, 0, len(data)):
         if path == b"/moov/trak":
             out.append({})
-        elif path.startswith(b"/moov/trak/") and (kind := path[-4:]) in (b"mdhd", b"stsd", b"stts", b"stss", b"stsc", b"stsz", b"stco", b"co64"):
+        elif path.startswith(b"/moov/trak/") and (kind := path[-4:]) in TABLES:
             out[-1][kind] = a, b
 
     def table(where: tuple[int, int], width: int, skip: int = 8, kind: str = ">u4") -> np.ndarray:
@@ -102,19 +115,30 @@ def tracks(data: memoryview) -> list[dict]:
     for t in out:
         a, _ = t[b"mdhd"]
         scale, duration = struct.unpack_from(">IQ" if data[a] else ">II", data, a + (20 if data[a] else 12))
-        times = table(t[b"stts"], 2)
         even, count = struct.unpack_from(">II", data, t[b"stsz"][0] + 4)
+        if duration >= 1 << 63 or even * count > len(data):
+            raise ValueError("more than the container has")
         sizes = np.full(count, even) if even else table(t[b"stsz"], 1, 12)[:, 0]
         places = table(t[b"stco"], 1)[:, 0] if b"stco" in t else table(t[b"co64"], 1, 8, ">u8")[:, 0]
         runs = table(t[b"stsc"], 3)
-        frames = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(places) + 1)))  # by chunk
-        chunk = np.repeat(np.arange(len(places)), frames)[:count]
+        if len(places) and runs[0, 0] != 1:
+            raise ValueError("chunks without samples")
+        frames = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(places) + 1))) if len(places) else places  # by chunk
+        if frames.sum() != count:
+            raise ValueError("tables of chunks and of sizes differ")
+        chunk = np.repeat(np.arange(len(places)), frames)
         begun = np.cumsum(sizes) - sizes
         starts = (np.cumsum(frames) - frames)[chunk]
         key = np.zeros(count, bool)
-        key[table(t[b"stss"], 1)[:, 0] - 1 if b"stss" in t else slice(None)] = True
+        offset = places[chunk] + begun - begun[starts]
+        if count and (offset.min() < 0 or (offset + sizes).max() > len(data)):
+            raise ValueError("samples beyond the end")
+        numbers = table(t[b"stss"], 1)[:, 0] if b"stss" in t else np.arange(1, count + 1)
+        if len(numbers) and numbers.min() < 1:
+            raise ValueError("samples are numbered from 1")
+        key[numbers - 1] = True
         codec = bytes(data[t[b"stsd"][0] + 12 : t[b"stsd"][0] + 16]).decode("latin-1")
-        t |= {"codec": codec, "timescale": scale, "duration": duration, "ticks": int((times[:, 0] * times[:, 1]).sum()), "offset": places[chunk] + begun - begun[starts], "size": sizes, "key": key}
+        t |= {"codec": codec, "timescale": scale, "duration": duration, "offset": offset, "size": sizes, "key": key}
     return out
 
 
@@ -135,8 +159,8 @@ def pack(rows: DataFrame, payload: str = "payload", into: str = "media") -> Data
 
 def inspect(rows: DataFrame, media: str = "media", *, payload: bool = False) -> DataFrame:
     """``rows`` with ``codec``, ``timescale``, ``duration``, ``n_samples``, ``key_begins`` and ``key_ends`` of the first
-    track, and if asked for its stored bytes in ``payload``.  A container that is null, broken or without tracks gives nulls;
-    columns of those names are replaced."""
+    track, and if asked for its stored bytes in ``payload``.  A container that is null, broken, forged or without tracks, or
+    whose samples are in fragments, gives nulls; columns of those names are replaced."""
     fields = {"codec": "string", "timescale": "long", "duration": "long", "n_samples": "long", "key_begins": "array<bigint>", "key_ends": "array<bigint>"} | ({"payload": "binary"} if payload else {})
     rows = rows.drop(*(f for f in [*fields, "payload"] if f != media))
     schema = T.StructType(list(rows.schema))
@@ -150,6 +174,8 @@ def inspect(rows: DataFrame, media: str = "media", *, payload: bool = False) ->
             t = tracks(data)[0]
         except (TypeError, ValueError, IndexError, KeyError, struct.error):
             return (None,) * len(fields)
+        if not len(t["offset"]):
+            return (t["codec"], t["timescale"], t["duration"], 0, [], [], b"")[: len(fields)]
         begin, end = t["offset"], t["offset"] + t["size"]
         found = t["codec"], t["timescale"], t["duration"], len(begin), begin[t["key"]].tolist(), end[t["key"]].tolist()
         if not payload:
@@ -175,7 +201,8 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.octet_length(raw).cast("long")
     missing = F.when(n == 0, 64).otherwise(F.pmod(-n, F.lit(64))).cast("int")
     padded = F.concat(raw, F.encode(F.repeat(F.lit("\0"), missing), "UTF-8"))
-    rows = inspect(pack(docs.select("doc_id", n.alias("n_bytes"), padded.alias("payload"))), payload=True)
+    stored = written(pack(docs.select("doc_id", n.alias("n_bytes"), padded.alias("payload"))).drop("payload"), "media")
+    rows = inspect(stored, payload=True)
     ranges = F.array_join(F.zip_with("key_begins", "key_ends", lambda a, b: F.concat_ws("-", a.cast("string"), b.cast("string"))), ",")
     feature = F.concat_ws(";", F.concat(F.lit("codec="), F.trim("codec")), *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in ("timescale", "duration", "n_samples")), F.concat(F.lit("keys="), ranges))
     size = F.octet_length("payload").cast("long")
