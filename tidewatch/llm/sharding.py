@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ._store import written
 
-#: Draws of the sample for each range; the sample has about this many rows times the ranges.
-DRAWS = 32
-#: Rows that a range is planned to have.
-RANGE_ROWS = 500_000
+#: Draws of the sample for each range, and ranges at most; beyond them ranges are overfull and subdivided.
+DRAWS, MOST_RANGES = 32, 4096
+#: Rows that a unit of work, a range or a part of one, is planned to have; units up to which their table is broadcast.
+RANGE_ROWS, FEW = 500_000, 200_000
 #: A range that holds more than so many times the mean is subdivided.
 OVERFULL = 2.0
 
@@ -34,57 +34,72 @@ def _searched(key: Column, splitters: list[int]) -> Column:
     return F.when(full == 0, 0).otherwise((full - 1) * step + F.size(F.filter(within, lambda s: s <= key)))
 
 
+def _quantiles(sample: list[tuple[int, int]], ranges: int) -> list[int]:
+    """Keys that cut a sample of (key, draws) into as many ranges of about equal draws."""
+    total, seen, out = sum(n for _, n in sample), 0, []
+    for value, n in sorted(sample):
+        if seen and len(out) < seen * ranges // total:
+            out.append(value)
+        seen += n
+    return out
+
+
 def shard_by_bytes(rows: DataFrame, shards: int, *, key: str = "key", tie: str = "tie", size: str = "size", ranges: int | None = None) -> DataFrame:
     """``rows`` with ``shard`` int and ``slot`` long, gapless from 0 in each shard.
 
-    Sizes of two shards differ by less than the largest record and equal keys are neighbours.  ``key`` and ``tie``
-    are longs (null sorts as the smallest); records equal in key and tie follow each other in any order.  A null
-    size counts 0.  An empty table gives an empty table.  Columns named ``_range``, ``_part``, ``_end``, ``_row``
-    are taken.
+    Sizes of two shards differ by less than the largest record and equal keys are neighbours, so a key is in two shards only
+    where the boundary falls within it.  ``key`` and ``tie`` are longs (null sorts as the smallest); records equal in key
+    and tie follow each other in any order.  A null size counts 0.  An empty table gives an empty table.  Names of other
+    columns must not begin with ``_shard``.
+
+    An overfull range is subdivided by a hash of its keys, and a key that is overfull by itself by its ties.  The sample
+    has ``DRAWS`` keys for each of at most ``MOST_RANGES`` ranges, whatever the number of rows.
     """
-    spark = rows.sparkSession
     rows = rows.withColumns({key: F.coalesce(F.col(key), F.lit(-(1 << 63))), size: F.coalesce(F.col(size), F.lit(0)).cast("long")})
     n, total = rows.agg(F.count("*"), F.sum(size)).first()
     if not n:
         return rows.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
     total = max(int(total), 1)
-    ranges = ranges or max(64 * shards, math.ceil(n / RANGE_ROWS))
+    units = ranges or max(64 * shards, math.ceil(n / RANGE_ROWS))
+    unit_size, ranges = total / units, min(units, MOST_RANGES)
     draws = DRAWS * ranges
     # Poisson sampling: a record is drawn with probability draws * size / total, by a hash of its keys
     drawn = F.pmod(F.xxhash64(F.lit("draw"), key, tie), F.lit(1 << 40)) / float(1 << 40) * total < F.col(size) * float(draws)
-    sample = sorted(r[0] for r in rows.where(drawn).select(key).limit(4 * draws + 1000).collect())
-    splitters = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
-    dealt = rows.withColumn("_range", _searched(F.col(key), splitters))
-    mean = total / ranges
-    held = dealt.groupBy("_range").agg(F.sum(size).alias("b")).where(F.col("b") > OVERFULL * mean)
-    # more than ranges / OVERFULL ranges can't be overfull, so this is bounded by the number of ranges
-    parts = {int(r["_range"]): math.ceil(r["b"] / mean) for r in held.collect()}
-    part = F.lit(0)
+    sample = rows.where(drawn).groupBy(key, tie).count().groupBy(key).agg(F.sum("count")).collect()
+    splitters = _quantiles([tuple(r) for r in sample], ranges)
+    dealt = rows.withColumn("_shard_range", _searched(F.col(key), splitters))
+    held = dealt.groupBy("_shard_range").agg(F.sum(size).alias("b")).where(F.col("b") > OVERFULL * unit_size)
+    parts = {int(r["_shard_range"]): math.ceil(r["b"] / unit_size) for r in held.collect()}  # a row for each range at most
+    part, sub = F.lit(0), F.lit(0)
     if parts:
-        count = F.coalesce(F.get(F.lit([parts.get(i, 1) for i in range(len(splitters) + 1)]), F.col("_range")), F.lit(1))
-        part = F.pmod(F.xxhash64(F.lit("part"), tie), count).cast("int")
-    dealt = dealt.withColumn("_part", part)
-    unit = Window.partitionBy("_range", "_part").orderBy(key, tie, size)
-    placed = dealt.withColumn("_end", F.sum(size).over(unit.rowsBetween(Window.unboundedPreceding, 0)))
-    units = dealt.groupBy("_range", "_part").agg(F.sum(size).alias("_bytes"))
-    before = F.sum("_bytes").over(Window.orderBy("_range", "_part")) - F.col("_bytes")  # a row for each unit only
-    starts = units.select("_range", "_part", before.alias("_start"))
-    middle = F.col("_start") + F.col("_end") - F.col(size) / 2
-    placed = placed.join(F.broadcast(starts) if ranges + sum(parts.values()) < 200_000 else starts, ["_range", "_part"])
+        count = F.coalesce(F.get(F.lit([parts.get(i, 1) for i in range(len(splitters) + 1)]), F.col("_shard_range")), F.lit(1))
+        dealt = dealt.withColumn("_shard_parts", count)
+        hot = dealt.where("_shard_parts > 1").groupBy(F.col(key).alias("_shard_hot")).agg(F.sum(size).alias("b")).where(F.col("b") > OVERFULL * unit_size)
+        hot = hot.select("_shard_hot", F.ceil(F.col("b") / unit_size).alias("_shard_subs"))  # at most units / OVERFULL rows
+        dealt = dealt.join(F.broadcast(hot) if units < FEW else hot, F.col(key) == F.col("_shard_hot"), "left")
+        part = F.pmod(F.xxhash64(F.lit("part"), key), F.col("_shard_parts")).cast("int")
+        sub = F.coalesce(1 + F.pmod(F.xxhash64(F.lit("sub"), tie), F.col("_shard_subs")), F.lit(0)).cast("int")
+    unit = ["_shard_range", "_shard_part", "_shard_sub"]
+    dealt = dealt.withColumns({"_shard_part": part, "_shard_sub": sub}).drop("_shard_parts", "_shard_hot", "_shard_subs")
+    order = Window.partitionBy(*unit).orderBy(key, tie, size)
+    placed = dealt.withColumns({"_shard_end": F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_shard_row": F.row_number().over(order).cast("long")})
+    sizes = dealt.groupBy(*unit).agg(F.sum(size).alias("_shard_bytes"))
+    before = F.sum("_shard_bytes").over(Window.orderBy(*unit)) - F.col("_shard_bytes")  # a row for each unit only
+    starts = sizes.select(*unit, before.alias("_shard_start"))
+    few = units + sum(parts.values()) < FEW
+    middle = F.col("_shard_start") + F.col("_shard_end") - F.col(size) / 2
+    placed = placed.join(F.broadcast(starts) if few else starts, unit)
     placed = placed.withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle / total * shards)).cast("int"))
-    local = Window.partitionBy("_range", "_part").orderBy(key, tie, size)
-    placed = placed.withColumn("_row", F.row_number().over(local).cast("long"))
-    runs = placed.groupBy("shard", "_range", "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    ahead = F.sum("_n").over(Window.partitionBy("shard").orderBy("_range", "_part")) - F.col("_n") - F.col("_first")
-    runs = runs.select("shard", "_range", "_part", ahead.alias("_ahead"))
-    few = ranges + sum(parts.values()) + shards < 200_000
-    out = placed.join(F.broadcast(runs) if few else runs, ["shard", "_range", "_part"])
-    return out.withColumn("slot", F.col("_row") + F.col("_ahead")).drop("_range", "_part", "_start", "_end", "_row", "_ahead")
+    runs = placed.groupBy("shard", *unit).agg(F.count("*").alias("_n"), F.min("_shard_row").alias("_first"))
+    ahead = F.sum("_n").over(Window.partitionBy("shard").orderBy(*unit)) - F.col("_n") - F.col("_first")
+    runs = runs.select("shard", *unit, ahead.alias("_shard_ahead"))
+    out = placed.join(F.broadcast(runs) if few else runs, ["shard", *unit])
+    return out.withColumn("slot", F.col("_shard_row") + F.col("_shard_ahead")).drop(*unit, "_shard_start", "_shard_end", "_shard_row", "_shard_ahead")
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """Shards of ``docs(doc_id, text)`` by bytes; equal texts are neighbours, so they share a shard unless a boundary or
-    an overfull range falls among them.  A null text has size 1, as an empty one; other columns are ignored.
+    """Shards of ``docs(doc_id, text)`` by bytes; equal texts are neighbours, so they share a shard unless a boundary falls
+    among them.  A null text has size 1, as an empty one; other columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
