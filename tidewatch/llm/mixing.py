@@ -8,13 +8,14 @@ in another order, and the last pass ends once the source's budget is used up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._store import written
 
-#: Tokens planned for a block, and blocks of a source at least: a source gets its budget to within half a block.
-BLOCK_TOKENS, LEAST_BLOCKS = 200_000, 64
+#: Tokens planned for a block, and blocks of a source at least and at most (larger sources have larger blocks, so that its
+#: blocks fit one task): a source gets its budget to within half a block.
+BLOCK_TOKENS, LEAST_BLOCKS, MOST_BLOCKS = 200_000, 64, 1 << 20
 #: Exponents tried at once in a round of the section, and rounds: the exponent is found to within 64 ** -4.
 CUTS, TURNS = 64, 4
 
@@ -48,7 +49,13 @@ def _section(sources: DataFrame, budget: float, good, up: bool) -> float:
     return low if up else high
 
 
-def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budget: float | None = None, cover: bool = False, seed: int = 0) -> DataFrame:
+def token_count(text: Column) -> Column:
+    """Runs of other than white space; a null text has none."""
+    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
+    return F.when(flat == "", 0).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
+
+
+def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budget: float | None = None, cover: bool = False, seed: int = 0, counted: str | None = None) -> DataFrame:
     """Rows of ``docs`` as often as the mixture has them, with ``tokens``, ``block``, ``epoch``, ``position`` and ``weight``.
 
     ``entropy`` is the target as a share of the most possible, ``repeats`` the most passes over a source, ``budget``
@@ -56,16 +63,14 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
     document at least once, and ``repeats`` limits passes with that budget.  ``position`` from 0 to 1 orders the
     mixture: blocks of all sources interleave in proportion.
 
-    Tokens are runs of other than white space.  A null source is a source of its own.  A source without tokens has
+    Tokens are counted in ``text``, or are given by the column ``counted``, so that texts aren't read again.  A null source is a source of its own.  A source without tokens has
     each document once.  If the limit can't be kept (the budget is more than ``repeats`` times all tokens), weights
-    are the shares themselves.  Repeated rows count each.  Columns of those five names are replaced; an empty table
-    gives an empty one.
+    are the shares themselves.  Repeated rows count each.  Columns of those five names are replaced; other columns pass
+    through, their names must not begin with ``_mix``.  An empty table gives an empty one.
     """
-    own = ["tokens", "block", "epoch", "position", "weight"]
-    docs = docs.drop(*own)
-    text = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "))
-    docs = docs.withColumn("tokens", F.when(text == "", 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("long"))
-    slim = written(docs.select(F.coalesce("source", F.lit("\0")).alias("_source"), F.xxhash64(F.lit(seed), "doc_id").alias("_hash"), "tokens"), "mix-tokens")
+    docs = docs.withColumn("_mix_tokens", F.col(counted).cast("long") if counted else token_count(F.col("text"))).drop("tokens", "block", "epoch", "position", "weight")
+    docs = docs.withColumns({"_mix_source": F.coalesce("source", F.lit("\0")), "_mix_hash": F.xxhash64(F.lit(seed), "doc_id")})
+    slim = written(docs.select(F.col("_mix_source").alias("_source"), F.col("_mix_hash").alias("_hash"), F.coalesce("_mix_tokens", F.lit(0)).cast("long").alias("tokens")), "mix-tokens")
     by_source = slim.groupBy("_source").agg(F.sum("tokens").alias("tokens"))
     total = by_source.agg(F.sum("tokens")).first()[0] or 0
     by_source = written(by_source.withColumn("total", F.lit(total)), "mix-sources")
@@ -84,7 +89,7 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
         scale = scale / found["fewest"] if cover else scale
     weight = F.pow(F.col("tokens") / F.col("total"), F.lit(exponent)) / z
     passes = F.when(F.col("tokens") > 0, weight * scale / F.col("tokens")).otherwise(1.0) if total else F.lit(1.0)
-    count = F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.col("tokens") / BLOCK_TOKENS))
+    count = F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.col("tokens") / BLOCK_TOKENS)))
     # a pass just short of a whole one by rounding is a whole one
     plan = by_source.select("_source", "tokens", count.alias("blocks"), F.when(F.col("tokens") > 0, weight).otherwise(0.0).alias("weight") if total else F.lit(0.0).alias("weight"), F.round(passes, 9).alias("passes"))
     blocks = slim.join(plan.select("_source", "blocks"), "_source").groupBy("_source", F.pmod("_hash", "blocks").alias("block")).agg(F.sum("tokens").alias("n"))
@@ -93,14 +98,15 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
     blocks = blocks.withColumn("end", F.sum("n").over(turn.rowsBetween(Window.unboundedPreceding, 0)))
     middle = F.when(F.col("tokens") > 0, (F.col("end") - F.col("n") / 2) / F.col("tokens")).otherwise(0.5) + F.col("epoch")
     blocks = written(blocks.where((middle <= F.col("passes")) | (F.col("passes") >= F.col("epoch") + 1)).select("_source", "block", "epoch", (middle / F.greatest("passes", middle)).alias("position"), "weight"), "mix-blocks")
-    docs = docs.withColumn("_source", F.coalesce("source", F.lit("\0"))).join(plan.select("_source", "blocks"), "_source")
-    docs = docs.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("blocks"))).drop("blocks")
-    return docs.join(blocks, ["_source", "block"]).drop("_source")
+    docs = docs.join(plan.select(F.col("_source").alias("_mix_source"), F.col("blocks").alias("_mix_blocks")), "_mix_source")
+    docs = docs.withColumn("block", F.pmod("_mix_hash", "_mix_blocks")).withColumnRenamed("_mix_tokens", "tokens").drop("_mix_blocks", "_mix_hash")
+    return docs.join(blocks.withColumnRenamed("_source", "_mix_source"), ["_mix_source", "block"]).drop("_mix_source")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mixture(docs, entropy=0.97, repeats=4.0).select("doc_id", "source", "tokens", "block", "epoch", "position", "weight")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    counts = written(docs.select("doc_id", "source", token_count(F.col("text")).alias("tokens")), "token-counts")
+    return mixture(counts, entropy=0.97, repeats=4.0, counted="tokens").select("doc_id", "source", "tokens", "block", "epoch", "position", "weight")
 
 
 QUERIES = {"op8_mixing": op8_mixing}
