@@ -22,16 +22,23 @@ from ._text import pieces, utf8
 SAMPLE_SYMBOLS = 16_000
 #: Labelled documents drawn for each language, and symbols taken from each.
 SAMPLE_DOCS, SAMPLE_EACH = 96, 400
-#: Phrases end at the end of a block of this many symbols, so that blocks of one text are parsed side by side.
+#: Bytes of the automata of all languages, which are broadcast: with more than 32 languages samples are shorter.  Languages
+#: at most, so that each has a sample of 500 symbols.
+TABLE_BYTES, MOST_LANGUAGES = 256 << 20, 1_000
+#: Blocks of this many symbols of a text are parsed side by side, and then joined as if one after the other.
 BLOCK = 1024
+#: Symbols that are looked at at once when a block is read again.
+AHEAD = 48
 #: Bytes of text whose blocks advance together: many, as each step of all of them is one call.
 TOGETHER = 4 << 20
 
-#: Symbol of each byte: a letter without its case, 0 for all other ASCII, or the low bits of a UTF-8 byte, which are
-#: the same for both cases of most accented letters.
+#: Symbol of each byte: a letter without its case, 0 for all other ASCII, six bits of the second and later bytes of a
+#: character in UTF-8, five of the first.
 SYMBOL = np.zeros(256, np.uint8)
 SYMBOL[97:123] = SYMBOL[65:91] = np.arange(1, 27)
-SYMBOL[128:] = 27 + (np.arange(128, 256) & 31)
+SYMBOL[128:192], SYMBOL[192:] = 27 + np.arange(64), 91 + (np.arange(64) & 31)
+#: Symbols that a table has a column for, as a power of two.
+WIDTH = 7
 _END = 1 << 15
 
 
@@ -49,7 +56,7 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def automaton(sample: np.ndarray) -> np.ndarray:
-    """The suffix automaton of ``sample`` as a table [state * 64 + symbol] -> state; where no phrase goes on, the state
+    """The suffix automaton of ``sample`` as a table [state * 128 + symbol] -> state; where no phrase goes on, the state
     after the symbol begins the next phrase, marked with the high bit."""
     if len(sample) > SAMPLE_SYMBOLS:
         raise ValueError("the sample is longer than its bound")
@@ -78,7 +85,7 @@ def automaton(sample: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.empty((len(moves), 64), np.uint16)
+    table = np.empty((len(moves), 1 << WIDTH), np.uint16)
     table[:] = _END
     for c, to in moves[0].items():
         table[:, c] = to | _END
@@ -89,7 +96,12 @@ def automaton(sample: np.ndarray) -> np.ndarray:
 
 
 def phrases(s: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
-    """Phrases of each row by each automaton: [row, table].  All blocks of all rows advance together."""
+    """Phrases of each row by each automaton: [row, table].
+
+    All blocks of all rows advance together, each from the start of a phrase.  Then a block is read again from the state
+    in which the one before it ends, until it is in the state it was in the first time, from where all is the same: after
+    a few phrases, in most texts.
+    """
     sizes = np.diff(offsets)
     blocks = -(-sizes // BLOCK)
     row = np.repeat(np.arange(len(sizes)), blocks)
@@ -97,17 +109,42 @@ def phrases(s: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray]) -> np.
     begin = offsets[row] + at * BLOCK
     size = np.minimum(BLOCK, offsets[row + 1] - begin)
     order = np.argsort(-size, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    later = np.flatnonzero(at > 0)
+    follows = list(zip(place[later - 1].tolist(), place[later].tolist(), strict=True))  # in the order of the texts
     begin, size, row = begin[order], size[order], row[order]
     active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
     out = np.zeros((len(sizes), len(tables)), np.int64)
+    first = np.empty((len(row), len(active)), np.uint16)
+    starts, lengths = begin.tolist(), size.tolist()
     for k, table in enumerate(tables):
-        state, count = np.zeros(len(row), np.int32), np.ones(len(row), np.int32)
+        state, count = np.zeros(len(row), np.int32), np.zeros(len(row), np.int32)
         for i, n in enumerate(active):
-            step = table[(state[:n] << 6) | s[begin[:n] + i]].astype(np.int32)
+            step = table[(state[:n] << WIDTH) | s[begin[:n] + i]]
+            first[:n, i] = step
+            step = step.astype(np.int32)
             count[:n] += step >> 15
             state[:n] = step & (_END - 1)
+        moves, ends = memoryview(table), state.tolist()
+        for a, b in follows:
+            now, more = ends[a], 0
+            for i in range(0, lengths[b], AHEAD):
+                there = min(AHEAD, lengths[b] - i)
+                for c, was in zip(s[starts[b] + i : starts[b] + i + there].tolist(), first[b, i : i + there].tolist(), strict=True):
+                    to = moves[now << WIDTH | c]
+                    more += (to >> 15) - (was >> 15)
+                    now = to & (_END - 1)
+                    if now == was & (_END - 1):
+                        break
+                else:
+                    continue
+                break
+            else:
+                ends[b] = now
+            count[b] += more
         np.add.at(out[:, k], row, count)
-    return out
+    return out + 1
 
 
 def fit(labelled: DataFrame) -> list[tuple[str, np.ndarray, float]]:
@@ -115,18 +152,27 @@ def fit(labelled: DataFrame) -> list[tuple[str, np.ndarray, float]]:
 
     The sample is bounded: of each language the ``SAMPLE_DOCS`` documents of the smallest hash of doc_id and text, and of
     each of them equal shares of ``SAMPLE_SYMBOLS``, of which short ones leave the rest to others, but ``SAMPLE_EACH`` at
-    most.  Rows without text or language are ignored, those without doc_id aren't; no rows give no languages.
+    most.  What is taken of a text begins at a place that its hash tells, anywhere in the text.  Rows without text or
+    language are ignored, those without doc_id aren't; no rows give no languages, more than ``MOST_LANGUAGES`` of them
+    raise ValueError.
     """
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
     rows = rows.select("lang", "text", F.xxhash64(F.lit("sample"), "doc_id", "text").alias("h"))
+    if rows.agg(F.approx_count_distinct("lang", 0.02)).first()[0] > MOST_LANGUAGES:
+        raise ValueError(f"more than about {MOST_LANGUAGES} languages")
     order = Window.partitionBy("lang").orderBy("h")
     drawn = rows.select("h", "lang").withColumn("i", F.row_number().over(order)).where(F.col("i") <= SAMPLE_DOCS).collect()
+    most = 4 * SAMPLE_EACH
+    begin = F.pmod(F.xxhash64(F.lit("begin"), "h"), F.greatest(F.lit(1), F.length("text") - most + 1)) + 1
+    stretch = F.substring(F.col("text"), begin.cast("int"), F.lit(most))
+    chosen = rows.where(F.col("h").isin(sorted({x.h for x in drawn}))).select("h", "lang", stretch.alias("text")).distinct()  # repeated rows once
     texts: dict[str, list[tuple[int, str]]] = {}
-    for r in rows.where(F.col("h").isin(sorted({x.h for x in drawn}))).select("h", "lang", F.substring("text", 1, 4 * SAMPLE_EACH).alias("text")).collect():
+    for r in chosen.collect():
         texts.setdefault(r.lang, []).append((r.h, r.text))
     models = []
+    symbols_each = min(SAMPLE_SYMBOLS, TABLE_BYTES // (4 << WIDTH) // max(1, len(texts)))
     for lang in sorted(texts):
-        drawn_texts, parts, left = [], [], SAMPLE_SYMBOLS
+        drawn_texts, parts, left = [], [], symbols_each
         for _, text in sorted(texts[lang])[:SAMPLE_DOCS]:
             data = np.frombuffer(text.encode(), np.uint8)
             drawn_texts.append(symbols(data, np.array([0, len(data)]))[0][:SAMPLE_EACH])
