@@ -29,6 +29,8 @@ HEAD_BYTES, NEAR_BYTES, HOT_TOKENS = 64 << 20, 32 << 20, 1_000_000
 HASHES, BITS, RATIO = 6, 6 / np.log(2), 1.5
 #: Bytes of training text for each segment, so that a segment has a few million n-grams at most; parts of the head.
 SEGMENT_TEXT, HEAD_PARTS = 16 << 20, 64
+#: Groups that documents pass through the segments' tasks in.
+SPREAD = 4096
 #: Distinct n-grams, and questions, that a task holds before it passes them on.
 HELD, HELD_ASKED = 3_000_000, 1_000_000
 #: Pseudo-count of the unigrams in a context's distribution.
@@ -354,7 +356,7 @@ def score(docs: DataFrame, model: Model, near_bytes: int = NEAR_BYTES) -> DataFr
 
     def of_documents(rows: pa.RecordBatch) -> pa.RecordBatch:
         n, row = len(rows), rows.column("_ngram_row").to_numpy()
-        more = [pa.array(np.full(n, DOCUMENT, np.int32)), pa.array((row % segments).astype(np.int32)), pa.nulls(n, pa.list_(pa.binary()))]
+        more = [pa.array(np.full(n, DOCUMENT, np.int32)), pa.array((row % SPREAD).astype(np.int32)), pa.nulls(n, pa.list_(pa.binary()))]
         return pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, *place])
 
     def of_blocks(schema: pa.Schema, blocks: Iterator[tuple[int, int, list[bytes]]]) -> Iterator[pa.RecordBatch]:

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import importlib
+from . import embeddings, language, media, minhash, mixing, ngram_score, pieces, sharding, substrings, warc
 
 #: Modules that have QUERIES, and perhaps ORACLE_SQL.
-MODULES = ("minhash", "ngram_score", "pieces", "warc", "substrings", "language", "sharding", "mixing", "embeddings", "media")
+MODULES = (minhash, ngram_score, pieces, warc, substrings, language, sharding, mixing, embeddings, media)
 
 
 def _merged(name: str) -> dict:
-    out: dict = {}
-    for m in MODULES:
-        out |= getattr(importlib.import_module(f"{__package__}.{m}"), name, {})
-    return out
+    return {k: v for m in MODULES for k, v in getattr(m, name, {}).items()}
 
 
 def queries() -> dict:
