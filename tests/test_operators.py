@@ -22,7 +22,9 @@ def one(spark, column, **values):
 @pytest.mark.parametrize(
     ("cap", "sps", "prev", "want"),
     [(1, 3, None, (3, 1, 0)), (5, 3, (3, 1, 0), (3, 5, 0)), (10, 1, (3, 5, 0), (3, 5, 0)), (5, 2, (3, 50, 0), (3, 1, 5)), (1, 2, (3, 50, 5), (2, 0, 5)),
-     (50, 3, (1, 0, 0), (3, 50, 0)), (20, -1, (3, 30, 10), (3, 15, 10)), (1, 1, (3, 30, 10), (1, 0, 0)), (45, 1, (2, 0, 40), (2, 0, 40))],
+     (50, 3, (1, 0, 0), (3, 50, 0)), (20, -1, (3, 30, 10), (3, 15, 10)), (1, 1, (3, 30, 10), (1, 0, 0)), (45, 1, (2, 0, 40), (2, 0, 40)),
+     # without a score: a single node counts with the one before, several nodes have failed
+     (1, None, (3, 30, 10), (3, 30, 10)), (1, None, (2, 0, 10), (2, 0, 10)), (1, None, (1, 0, 0), (1, 0, 0)), (1, None, None, (None, 0, 0)), (10, None, (3, 30, 10), (3, 5, 5)), (10, None, None, (None, 0, 0))],
 )
 def test_capacity_step(spark, cap, sps, prev, want):
     cur = spark.createDataFrame([("a", sps, cap)], "k string, SPS int, TargetCapacity int")
@@ -34,7 +36,7 @@ def test_capacity_step(spark, cap, sps, prev, want):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from([-1, 1, 2, 3]), st.sampled_from(S.CAPACITIES)), max_size=30))
+@given(st.lists(st.tuples(st.sampled_from([None, -1, 1, 2, 3]), st.sampled_from(S.CAPACITIES)), max_size=30))
 def test_fold_invariants(ticks):
     now = (None, 0, 0)
     for s, c in ticks:
@@ -42,7 +44,67 @@ def test_fold_invariants(ticks):
         kept, t3, t2 = now
         assert 0 <= t3 <= 50 and 0 <= t2 <= 50
         assert t3 == 0 or kept >= 3
-        assert not (c == 1 and s <= 2 and t3)
+        assert not (c == 1 and s is not None and s <= 2 and t3)
+
+
+def test_folds_of_batch_and_stream_agree(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(k, i, r.choice([None, -1, 1, 2, 3]), r.choice(S.CAPACITIES)) for k in range(40) for i in range(r.randrange(1, 30))]
+    got = {x.k: (x.sps, x.t3, x.t2) for x in state.capacity_fold(spark.createDataFrame(rows, "k int, i int, score int, capacity int"), ["k"], ["i"]).collect()}
+    want = {}
+    for k, _, s, c in rows:
+        want[k] = streams.stepped(s, c, want.get(k, (None, 0, 0)))
+    assert got == want
+
+
+@pytest.mark.parametrize(
+    ("name", "want"),
+    [("nvidia-tesla-t4", "T4"), ("nvidia-a100-80gb", "A100 80GB"), ("nvidia-tesla-a100", "A100"), ("nvidia-h100-mega-80gb", "H100"), ("nvidia-l4-vws", "L4"), ("some-tpu", "some-tpu"), ("maker-x9", "maker-x9"), ("", "")],
+)
+def test_accelerator_names(spark, name, want):
+    assert one(spark, S.best_name(F.col("n"), ["T4", "A100", "A100 80GB", "H100", "L4", "L40"]), n=name) == want
+
+
+def test_lists_days_and_ids(spark):
+    df = spark.createDataFrame([(["a", "b", "a"], ["b"]), (["a"], ["a"]), ([], ["a"]), (["a"], None), (None, ["a"])], "x array<string>, bad array<string>")
+    assert [r[0] for r in df.select(S.without_items(F.col("x"), F.col("bad"))).collect()] == [["a", "a"], None, None, ["a"], None]
+    start, end = (one(spark, c.cast("string"), t="2025-02-28 13:05:00") for c in S.day_bounds(F.col("t")))
+    assert (start, end) == ("2025-02-28 00:00:00", "2025-02-28 23:59:59.999")
+    assert [one(spark, c, t="us,small") for c in S.place_and_size(F.col("t"))] == ["us", "small"]
+
+
+def test_allocation_passes_over_pairs_without_room(spark):
+    rows = [("s1", "l1", 0, 9, False), ("s1", "l2", 1, 10, False), ("s2", "l1", 2, 7, None), ("s2", "l2", 3, 0, True)]
+    pairs = spark.createDataFrame(rows, "subscription string, location string, place int, recent int, over_limit boolean")
+    got = planner.allocated_with_room(spark.range(6), ["id"], pairs, after=0).orderBy("id").collect()
+    assert [(r.subscription, r.location) for r in got] == [("s2", "l1"), ("s1", "l1"), ("s2", "l1"), ("s2", "l1"), (None, None), (None, None)]
+
+
+def test_filters_of_columns(spark):
+    df = spark.createDataFrame([(1, "Alpha", 1.5), (2, "beta", None), (3, None, 9.0), (4, "", 4.0)], "k int, name string, v double")
+    ids = lambda f: [r.k for r in query.filtered(df, f).orderBy("k").collect()]
+    assert ids({"name": ("contains", "A")}) == [1, 2] and ids({"name": ("blank",)}) == [3, 4] and ids({"v": ("inRange", 1, 5)}) == [1, 4]
+    assert ids({"v": ("notEqual", 4.0)}) == [1, 2, 3] and ids({"name": ("startsWith", "al"), "v": ("lessThan", 2)}) == [1] and ids({}) == [1, 2, 3, 4]
+
+
+def test_inputs_that_are_missing(spark):
+    prices = spark.createDataFrame([("Standard", "D2", "US East", "useast", 2.0, 1.0, 50.0)], merge.RETAIL_PRICES)
+    evictions = spark.createDataFrame([("useast", "standard_d2", "0-5"), ("x", "standard_d9", "20+")], "location string, skuName string, evictionRate string")
+    show = lambda df: sorted((r.InstanceType, r.SpotPrice, r.IF) for r in df.collect())
+    assert show(merge.prices_at_hand(prices, evictions)) == [("D2", 1.0, 3.0)]
+    assert show(merge.prices_at_hand(prices, None)) == [("D2", 1.0, -1.0)]
+    assert show(merge.prices_at_hand(None, evictions)) == [("D2", -1.0, 3.0), ("D9", -1.0, 1.0)]
+    none = merge.prices_at_hand(None, None)
+    assert none.count() == 0 and none.columns == merge.prices_at_hand(prices, evictions).columns
+
+
+def test_time_of_a_merged_row(spark):
+    prices = spark.createDataFrame([("Standard", "a", "r", 2.0, 1.0, 50.0, 3.0, "t1"), ("Standard", "b", "r", 2.0, 1.0, 50.0, 3.0, None)], "InstanceTier string, InstanceType string, Region string, OndemandPrice double, SpotPrice double, Savings double, IF double, time string")
+    scores = spark.createDataFrame([("Standard", k, "r", 1, "z", 3, t, 0, 0) for k, t in (("a", None), ("b", None), ("c", "t2"))], "InstanceTier string, InstanceType string, Region string, DesiredCount int, AvailabilityZone string, Score int, time string, T2 int, T3 int")
+    rows = merge.merge_regional(prices, scores.withColumn("T2", F.lit(0))).collect()
+    assert {r.InstanceType: r.Time for r in rows} == {"a": "t1", "b": "N/A"}
 
 
 def test_diff_by_hand(spark):
@@ -249,7 +311,10 @@ def test_readers(spark, tmp_path):
     path.mkdir(parents=True)
     spark.range(1).coalesce(1).write.parquet(str(path / "00-10_sps_50.parquet"))
     facts = readers.with_path_facts(spark.read.parquet(str(path / "00-10_sps_50.parquet"))).first()
-    assert facts.path_capacity is None or facts.path_capacity == 50
+    assert facts.path_capacity == 50 and str(facts.path_ts) == "2025-02-15 00:10:00"
+    spark.range(1).coalesce(1).write.json(str(tmp_path / "files"))
+    (next((tmp_path / "files").glob("part-*.json"))).rename(path / "00-20_sps_5.json")
+    assert readers.with_path_facts(spark.read.json(str(path / "00-20_sps_5.json"))).first().path_capacity == 5
     text = spark.createDataFrame([('x={"a":"1","b":"2","a":"3"}',)], "js string")
     assert readers.scraped_map(text, "js").first().pairs == {"a": "3", "b": "2"}
 

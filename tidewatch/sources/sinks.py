@@ -62,7 +62,8 @@ def records(df: DataFrame, dims: list[str], measures: dict[str, str], time: Colu
 
 def send(df: DataFrame, submit, size: int = 100, retries: int = 10) -> DataFrame:
     """Sends rows in batches of ``size`` from the tasks; ``submit(list of dicts)`` returns those rejected, which are sent
-    again up to ``retries`` times.  Returns ``sent`` and ``rejected`` of each task."""
+    again up to ``retries`` times.  Returns ``sent`` and ``rejected`` of each task.  A task that runs again sends its rows
+    again, so the store has to keep one of equal records, as those that key records by dimensions and time do."""
     names = df.columns
 
     def run(batches):
