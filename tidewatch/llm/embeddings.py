@@ -1,9 +1,12 @@
 """Near duplicates among embeddings: cross-polytope hashing after fast Hadamard rotations, multiprobe buckets, verified pairs.
 
 Equal vectors are one class.  A class has a bucket in each table, that of the largest coordinate (with its sign) after a
-pseudo-random rotation, and probes the buckets of the next largest ones.  Candidates of a bucket are verified by cosine
-in the task that holds them; a bucket that is too large for that is cut into blocks and every two blocks meet in a task
-of their own.  A pair is counted where its first table has it, so nothing is emitted for a pair but sums by vector and
+pseudo-random rotation, and probes the buckets of the next largest ones.  Candidates of a bucket are compared in the task
+that holds them; a bucket that is too large for that is cut into blocks and every two blocks meet in a task of their own.
+
+What goes to a bucket is a copy of the vector in 16 bits a component with a bound on its error.  The copies tell nearly all
+pairs apart from the threshold; the few within the bound of it are compared again, in double precision, from the vectors
+themselves.  A pair is counted where its first table has it, so of all others nothing is emitted but sums by vector and
 links of a spanning forest.
 """
 
@@ -14,15 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._store import written
-from ._text import mix
+from ._text import mix, utf8
 from .components import components, forest
 
 #: Candidates of a bucket that one task compares; a larger bucket is cut into blocks of half as many.
 BLOCK = 1024
+#: Cut buckets up to which their table is broadcast.
+FEW = 1_000_000
 #: Rows that a bucket is planned to have, probes besides the own bucket, and the share of links to be found.
 OCCUPANCY, PROBES, RECALL = 64, 2, 0.999
 
@@ -91,140 +98,175 @@ def plan(rows: int, dim: int, threshold: float, recall: float = RECALL) -> tuple
     return max(2, math.ceil(math.log(1 - recall) / math.log(max(1e-6, 1 - hit)))), hashes
 
 
-def _compare(threshold: float, probes: int):
-    """Verifies the candidates of each group of rows; rows of a group follow each other, over batches."""
+def _copy(dim: int) -> np.dtype:
+    """What goes to a bucket: number and size of a class, label, vector in 16 bits, their unit, and how far off it is."""
+    return np.dtype([("no", "<i8"), ("size", "<i8"), ("label", "<i4"), ("unit", "<f4"), ("slack", "<f4"), ("q", "<i2", (dim,))])
+
+
+def _directions(copies: np.ndarray) -> np.ndarray:
+    x = copies["q"] * copies["unit"].astype(np.float64)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _signed(copies: np.ndarray, x: np.ndarray, tables: int, hashes: int) -> np.ndarray:
+    """Buckets of copies: alike wherever they are computed."""
+    place = mix(copies["label"].astype(np.int64).view(np.uint64) * np.uint64(1 << 20) + np.uint64(x.shape[1]))
+    return mix(signatures(x, tables, hashes, PROBES) + place[:, None, None])
+
+
+def _compare(threshold: float, tables: int, hashes: dict[int, int]):
+    """Compares the candidates of each group of rows; rows of a group follow each other, over batches."""
+    wide = 1 + PROBES
 
-    def group(g: dict[str, np.ndarray], a: int, b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        if b - a < 2 or not g["own"][a:b].any():
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        key, parts = None, []
+        for batch in batches:
+            bucket, i, j, at, block = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "at", "block"))
+            raw, edges = utf8(batch.column("copy"))
+            size = np.diff(edges)
+            new = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]) | (size[1:] != size[:-1])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(batch)] if len(batch) else [0]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                here = (bucket[a], i[a], j[a], size[a])
+                if here != key:
+                    if parts:
+                        yield key, parts
+                    key, parts = here, []
+                parts.append((at[a:b], block[a:b], raw[edges[a] : edges[b]].tobytes()))
+        if parts:
+            yield key, parts
+
+    def compared(key: tuple, parts: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+        at, block = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        own = at % wide == 0
+        if len(at) < 2 or not own.any():
             return
+        copies = np.frombuffer(b"".join(p[2] for p in parts), _copy((int(key[3]) - 28) // 2))
         # vectors of few components can probe a bucket twice: each stays once, as its own bucket's if it is that
-        order = np.lexsort((~g["own"][a:b], g["rep"][a:b])) + a
-        order = order[np.append(True, g["rep"][order[1:]] != g["rep"][order[:-1]])]
-        t, bucket, split = int(g["t"][a]), g["bucket"][a], g["i"][a] != g["j"][a]
-        own, block, x, sig, rep, size = (g[k][order] for k in ("own", "block", "x", "sig", "rep", "size"))
-        unit = x / np.linalg.norm(x, axis=1)[:, None]
-        close = np.triu(unit @ unit.T >= threshold, 1) & (own[:, None] | own)
+        order = np.lexsort((~own, copies["no"]))
+        order = order[np.append(True, copies["no"][order[1:]] != copies["no"][order[:-1]])]
+        t, bucket, split = int(at[0]) // wide, np.int64(key[0]).view(np.uint64), key[1] != key[2]
+        copies, own, block = copies[order], own[order], block[order]
+        x = _directions(copies)
+        slack = 2.001 * copies["slack"].astype(np.float64) + 1e-9
+        far = x @ x.T - threshold
+        margin = slack[:, None] + slack
+        close = np.triu(far > -margin, 1) & (own[:, None] | own) & (copies["label"][:, None] == copies["label"])
         if split:
             close &= block[:, None] != block  # pairs within a block meet in that block's own task
         p, q = np.nonzero(close)
         if not len(p):
             return
-        sp, sq = sig[p], sig[q]
+        some, back = np.unique(np.concatenate([p, q]), return_inverse=True)
+        sig = _signed(copies[some], x[some], tables, hashes[x.shape[1]])
+        sp, sq = sig[back[: len(p)]], sig[back[len(p) :]]
         first = ~meets(sp[:, :t], sq[:, :t]).any(1)
         # two buckets of one table may have the pair: the smaller counts
-        far = np.uint64(0xFFFFFFFFFFFFFFFF)
-        best = np.minimum(np.where((sp[:, t, :1] == sq[:, t]).any(1), sp[:, t, 0], far), np.where((sq[:, t, :1] == sp[:, t]).any(1), sq[:, t, 0], far))
+        none = np.uint64(0xFFFFFFFFFFFFFFFF)
+        best = np.minimum(np.where((sp[:, t, :1] == sq[:, t]).any(1), sp[:, t, 0], none), np.where((sq[:, t, :1] == sp[:, t]).any(1), sq[:, t, 0], none))
         keep = first & (best == bucket)
-        if not keep.any():
-            return
         p, q = p[keep], q[keep]
-        links = np.zeros(len(rep), np.int64)
+        sure = far[p, q] >= margin[p, q]
+        no, size = copies["no"], copies["size"]
+        yield no[p[~sure]], np.zeros((~sure).sum(), np.int64), no[q[~sure]], True
+        p, q = p[sure], q[sure]
+        if not len(p):
+            return
+        links = np.zeros(len(no), np.int64)
         np.add.at(links, p, size[q])
         np.add.at(links, q, size[p])
-        moved, least = forest(p, q, len(rep))
+        moved, least = forest(p, q, len(no))
         some = np.flatnonzero(links)
-        yield rep[some], links[some], rep[some]
-        yield rep[moved], np.zeros(len(moved), np.int64), rep[least[moved]]
-
-    def read(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        g = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "t", "own", "block", "rep", "size")}
-        g["bucket"] = g["bucket"].view(np.uint64)
-        g["x"] = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1).astype(np.float64)
-        g["sig"] = batch.column("sig").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(batch), -1, 1 + probes)
-        return g
-
-    def same(g: dict[str, np.ndarray]) -> np.ndarray:
-        return (g["bucket"][1:] == g["bucket"][:-1]) & (g["i"][1:] == g["i"][:-1]) & (g["j"][1:] == g["j"][:-1]) & (g["label"][1:] == g["label"][:-1]) & (g["t"][1:] == g["t"][:-1])
+        yield no[some], links[some], no[some], False
+        yield no[moved], np.zeros(len(moved), np.int64), no[least[moved]], False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-        for batch in _with_end(batches):
-            if batch is not None and len(batch):
-                # rows of one width at a time; a width is part of what sorts the rows
-                widths = np.diff(batch.column("embedding").offsets.to_numpy())
-                cuts = [0, *(np.flatnonzero(widths[1:] != widths[:-1]) + 1).tolist(), len(batch)]
-                parts = [batch.slice(c, d - c) for c, d in zip(cuts, cuts[1:], strict=False)]
-            else:
-                parts = [None] if batch is None else []
-            for part in parts:
-                out = []
-                new = None
-                if part is not None:
-                    new = read(part)
-                    new["label"] = part.column("label").to_numpy(zero_copy_only=False)
-                if held and (new is None or held["x"].shape[1] != new["x"].shape[1]):
-                    out += list(group(held, 0, len(held["x"])))
-                    held = {}
-                if new is not None:
-                    g = {k: np.concatenate([held[k], v]) for k, v in new.items()} if held else new
-                    edges = [0, *(np.flatnonzero(~same(g)) + 1).tolist()]
-                    for a, b in zip(edges, edges[1:], strict=False):
-                        out += list(group(g, a, b))
-                    held = {k: v[edges[-1] :] for k, v in g.items()}
-                if out:
-                    columns = [np.concatenate([o[i] for o in out]) for i in range(3)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rep", "links", "to"])
+        for key, parts in groups(batches):
+            for a, links, b, open_ in compared(key, parts):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(links, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), open_))], names=["a", "links", "b", "open"])
 
     return run
 
 
-def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+def _cosine(x: str, y: str):
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+    return dot(x, y) / F.sqrt(dot(x, x)) / F.sqrt(dot(y, y))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     """A row for each row of ``vectors(vec_id, embedding, label)``: ``vec_id``, ``n_links``, ``component_id``, ``kept``.
 
-    Two vectors link if their labels are equal and not null, they have as many components and their cosine in double
-    precision is at least ``threshold``.  A vector that is null, empty, zero, or holds a null or non-finite component
-    links with nothing and is its own component, as is a row without vec_id.  Repeated rows link with each other.  Other columns are ignored.  Every
-    reported link is verified; of the links, those just at the threshold are missed with a chance under 1 - ``RECALL``.
+    Two vectors link if their labels, of any type that can be grouped, are equal and not null, they have as many components
+    and their cosine in double precision is at least ``threshold``.  A vector that is null, empty, zero, or holds a null or
+    non-finite component links with nothing and is its own component, as is a row without vec_id.  Repeated rows link
+    with each other.  Other columns are ignored.  Every reported link is verified; of the links, those just at the
+    threshold are missed with a chance under 1 - ``RECALL``.  Equal vectors are told by 128 bits of hash once grouped.
     """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    vectors = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"), "label")
+    single = isinstance(vectors.schema["embedding"].dataType, T.ArrayType) and isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    vectors = vectors.select("vec_id", F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"), "label")
     sound = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    keys = {f"k{i}": F.xxhash64(F.lit(i), "label", "embedding") for i in (1, 2)}
     good = vectors.where(sound)
-    classes = written(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")), "vector-classes")
-    largest = classes.groupBy("label", F.size("embedding").alias("dim")).count().orderBy(F.desc("count")).first()
+    classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
+    classes = written(classes.withColumns(keys | {"hash": F.xxhash64("label")}), "vector-classes")
     alone = vectors.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if largest is None:
+    groups = classes.groupBy("label", F.size("embedding").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("n")).collect()  # a row for each width
+    if not groups:
         return alone.withColumn("kept", F.lit(True))
-    tables, hashes = plan(largest["count"], largest["dim"], threshold)
+    # as many tables as the width that needs most, so that all have the recall
+    plans = [plan(r["n"], r["dim"], threshold) for r in groups]
+    tables, hashes = max(p[0] for p in plans), {r["dim"]: p[1] for r, p in zip(groups, plans, strict=True)}
     wide = 1 + PROBES
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             sizes = np.diff(batch.column("embedding").offsets.to_numpy())
-            sig = np.zeros((len(batch), tables * wide), np.uint64)
-            label = batch.column("label").to_numpy().astype(np.int64).view(np.uint64)
-            for dim in np.unique(sizes):
+            sig, copies = np.zeros((len(batch), tables * wide), np.uint64), [b""] * len(batch)
+            no = number + np.arange(len(batch))
+            label, size = (batch.column(c).to_numpy() for c in ("hash", "size"))
+            for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
                 x = batch.column("embedding").take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), dim).astype(np.float64)
                 x /= np.abs(x).max(1)[:, None]
                 x /= np.linalg.norm(x, axis=1)[:, None]
-                own = signatures(x, tables, hashes, PROBES)
-                sig[rows] = mix(own + mix(label[rows] * np.uint64(1 << 20) + np.uint64(dim))[:, None, None]).reshape(len(rows), -1)
+                own = np.zeros(len(rows), _copy(dim))
+                own["no"], own["size"], own["label"] = no[rows], size[rows], label[rows].astype(np.int32)
+                own["unit"] = np.abs(x).max(1) / 32766
+                own["q"] = np.rint(x / own["unit"].astype(np.float64)[:, None])
+                gap = np.linalg.norm(x - own["q"] * own["unit"].astype(np.float64)[:, None], axis=1)
+                own["slack"] = np.nextafter(gap.astype(np.float32), np.float32(1))
+                sig[rows] = _signed(own, _directions(own), tables, hashes[dim]).reshape(len(rows), -1)
+                for i, r in enumerate(rows.tolist()):
+                    copies[r] = own[i].tobytes()
+            number += len(batch)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * tables * wide), pa.array(sig.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "sig"])
-
-    signed = written(classes.mapInArrow(sign, "label int, embedding array<float>, rep long, size long, sig array<bigint>"), "vector-signatures")
-    rows = signed.select("*", F.posexplode("sig").alias("at", "bucket"))
-    rows = rows.withColumns({"t": F.floor(F.col("at") / wide).cast("int"), "own": F.col("at") % wide == 0}).drop("at")
-    held = signed.select(F.explode("sig").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
-    busy = held.where(F.col("n") > 1).select("bucket", F.when(F.col("n") > BLOCK, F.ceil(F.col("n") / (BLOCK // 2))).otherwise(1).cast("int").alias("blocks"))
-    rows = rows.join(busy, "bucket")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    keys = ["bucket", "i", "j"]
-    rows = rows.repartition(*keys).sortWithinPartitions(F.size("embedding"), *keys, "label", "t")
-    found = written(rows.select(*keys, "t", "own", "block", "rep", "size", "label", "embedding", "sig").mapInArrow(_compare(threshold, PROBES), "rep long, links long, to long"), "vector-links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = components(found.where("rep <> to").select(F.col("rep").alias("a"), F.col("to").alias("b")))
-    by_class = classes.join(links, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left")
-    by_class = by_class.select("label", "embedding", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = good.join(by_class, ["label", "embedding"]).select("vec_id", "n_links", "component_id").unionByName(alone)
+            yield pa.RecordBatch.from_arrays([pa.array(no), *(batch.column(c) for c in ("k1", "k2", "rep", "size")), pa.array(copies, pa.binary()), lists], names=["no", "k1", "k2", "rep", "size", "copy", "sig"])
+
+    rep = classes.schema["rep"].dataType.simpleString()
+    signed = written(classes.mapInArrow(sign, f"no long, k1 long, k2 long, rep {rep}, size long, copy binary, sig array<bigint>"), "vector-signatures")
+    large = signed.select(F.explode("sig").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    large = written(large.select("bucket", F.ceil(F.col("n") / (BLOCK // 2)).cast("int").alias("blocks")), "large-buckets")
+    rows = signed.select("no", "copy", F.posexplode("sig").alias("at", "bucket"))
+    rows = rows.join(F.broadcast(large) if large.count() <= FEW else large, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("no"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "at", "block", "copy")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", F.length("copy"))
+    found = written(rows.mapInArrow(_compare(threshold, tables, hashes), "a long, links long, b long, open boolean"), "vector-links")
+    scaled = F.transform(F.col("embedding").cast("array<double>"), lambda v: v / F.array_max(F.transform("embedding", lambda w: F.abs(w).cast("double"))))
+    vector = signed.select("no", "k1", "k2", "size").join(classes.select("k1", "k2", scaled.alias("x")), ["k1", "k2"])
+    one, two = (vector.select(F.col("no").alias(c), F.col("size").alias(f"size_{c}"), F.col("x").alias(f"x_{c}")) for c in "ab")
+    near = found.where("open").select("a", "b").join(one, "a").join(two, "b")
+    near = written(near.where(_cosine("x_a", "x_b") >= threshold).select("a", "b", "size_a", "size_b"), "vector-near")
+    links = found.where("links > 0").select("a", "links").union(near.select("a", "size_b")).union(near.select("b", "size_a"))
+    links = links.groupBy(F.col("a").alias("no")).agg(F.sum("links").alias("links"))
+    linked = components(found.where("not open and a <> b").select("a", "b").union(near.select("a", "b")))
+    nodes = signed.select("no", "k1", "k2", "rep", "size").join(linked, F.col("no") == F.col("node"), "left").withColumn("component", F.coalesce("component", "no"))
+    least = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    by_class = nodes.join(links, "no", "left").join(least, "component").select("k1", "k2", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+    out = good.select("vec_id", *(c.alias(k) for k, c in keys.items())).join(by_class, ["k1", "k2"]).select("vec_id", "n_links", "component_id").unionByName(alone)
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

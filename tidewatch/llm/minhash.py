@@ -28,6 +28,8 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 28, 6
 #: Rounds of comparing with one centre for each bucket; rows up to which the rest of a bucket is compared pair by pair; classes
 #: of a block, and shingles that blocks are compared by at once, beyond that.
 ROUNDS, SMALL, BLOCK, COLUMNS = 2, 24, 256, 4096
+#: Rows of a bucket that are joined with what is known of it in one task; a larger bucket is dealt out.
+DEALT = 4096
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -227,22 +229,24 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) ->
     small, or else in blocks that give only links.  So a candidate pair stays uncompared only where links join it already.
     """
     rows = classes.select(F.explode("bands").alias("bucket"), "fp")
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = written(rows.join(shared, "bucket"), "band-members")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / DEALT).cast("int").alias("parts"))
+    members = written(rows.join(shared, "bucket").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")), "band-members")
+    dealt = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     wanted = members.select("fp").distinct().join(classes, "fp").select("doc_id")
     sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
     sets = written(sets.join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]), "shingle-sets")
     compared, labels = None, None
     for turn in range(ROUNDS + 1):
         state = members.withColumn("at", F.col("fp")) if labels is None else members.join(labels, "fp")
-        per = state.groupBy("bucket", "at").agg(F.count("*").alias("m"))
-        open_ = per.groupBy("bucket").agg(F.sum("m").alias("m"), F.count("*").alias("labels"), F.max(F.struct("m", "at")).alias("top")).where("labels > 1")
-        live = written(state.join(open_.select("bucket", "m", F.col("top.at").alias("main")), "bucket"), "band-live")
+        per = state.groupBy("bucket", "at").agg(F.count("*").alias("m"), F.max("parts").alias("parts"))
+        open_ = per.groupBy("bucket").agg(F.sum("m").alias("m"), F.count("*").alias("labels"), F.max(F.struct("m", "at")).alias("top"), F.max("parts").alias("parts")).where("labels > 1")
+        open_ = dealt(open_.select("bucket", "m", F.col("top.at").alias("main"), "parts"))
+        live = written(state.join(open_, ["bucket", "part"]), "band-live")
         if turn == ROUNDS:
             break
         pick = F.min(F.struct(F.xxhash64(F.lit(turn), "fp").alias("h"), "fp", "at")).alias("c")
-        centre = live.groupBy("bucket").agg(pick).select("bucket", F.col("c.fp").alias("b"), F.col("c.at").alias("at_b"))
-        pairs = live.select("bucket", F.col("fp").alias("a"), F.col("at").alias("at_a")).join(centre, "bucket").where("at_a <> at_b")
+        centre = dealt(live.groupBy("bucket").agg(pick, F.max("parts").alias("parts")).select("bucket", F.col("c.fp").alias("b"), F.col("c.at").alias("at_b"), "parts"))
+        pairs = live.select("bucket", "part", F.col("fp").alias("a"), F.col("at").alias("at_a")).join(centre, ["bucket", "part"]).where("at_a <> at_b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs if compared is None else pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         new = written(_compared(pairs, sets, threshold), "pairs")
