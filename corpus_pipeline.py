@@ -5,6 +5,8 @@ Every stage takes (spark, docs, sf_dir).  All but the last return the columns of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,25 +15,36 @@ from tidewatch.llm import language, minhash, mixing, pieces, substrings
 from tidewatch.llm._store import written
 
 
+def _aside(docs: DataFrame, names: set[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` of documents, with the columns of documents: those whose names the step takes for itself come back as they were."""
+    own = {c: f"_own_{c}" for c in docs.columns if c.lower() in names}
+    out = step(docs.withColumnsRenamed(own)).drop(*own)
+    return out.withColumnsRenamed({v: k for k, v in own.items()}).select(docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which no language can be told (no text, or no letter in it); a missing label is filled in."""
-    out = language.language_id(docs).where(F.col("lang_pred") != "und")
-    return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+    def step(docs: DataFrame) -> DataFrame:
+        out = language.language_id(docs).where(F.col("lang_pred") != "und")
+        return out.withColumn("lang", F.coalesce("lang", "lang_pred"))
+
+    return _aside(docs, {"held_out", "lang_pred", "score", "_letters"}, step)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
-    return minhash.deduplicated(docs)
+    return _aside(docs, {"_key", "_hash"}, minhash.deduplicated)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that an earlier document has out of the texts; every document stays."""
-    return substrings.without_passages(docs)
+    return _aside(docs, {"_cut", "_cut_text", "_cut_id", "_cut_hash"}, substrings.without_passages)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents of small sources, with at most 1.25 passes over a source; every document stays at least once."""
-    return mixing.mixture(docs, entropy=1.0, repeats=1.25, cover=True).select(docs.columns)
+    return _aside(docs, {"tokens", "block", "epoch", "position", "weight"}, lambda docs: mixing.mixture(docs, entropy=1.0, repeats=1.25, cover=True))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
