@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -100,6 +101,17 @@ def test_minhash_finds_all_groups(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_minhash_at_a_thousand_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()} == joined(jaccard_links(texts), texts)
+
+
+def test_minhash_deals_out_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "DEALT", 16)
+    test_minhash_large_near_group(spark)
+
+
 def test_minhash_large_near_group(spark):
     r = random.Random(2)
     base = [f"w{r.randrange(10**6)}" for _ in range(120)]
@@ -248,6 +260,49 @@ def test_pieces_are_the_library_s(spark, docs, odd):
                     assert stock.id_to_piece(i).replace("▁", " ").encode() == raw[a:b]
 
 
+def test_pieces_query_by_brute_force(spark, sf_dir, tmp_path):
+    import sentencepiece
+
+    stock = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    texts = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()] + [(10**6 + i, t) for i, t in enumerate(TEXTS)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in pieces.op3_sentencepiece(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for i, t in texts:
+        ids = stock.encode(t or "", add_eos=True)
+        r = got[i]
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(stock.decode(ids).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_pieces_with_a_real_character_map(spark, tmp_path, rule):
+    """A map that the library compiles, put into the model: ids are the library's, spans cover the text and normalise to the pieces."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(pieces.model_path(), "rb") as f:
+        model.ParseFromString(f.read())
+    normaliser = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    made = pb.ModelProto()
+    made.ParseFromString(normaliser.serialized_model_proto())
+    model.normalizer_spec.precompiled_charsmap = made.normalizer_spec.precompiled_charsmap
+    model.normalizer_spec.remove_extra_whitespaces = True
+    path = str(tmp_path / "mapped.model")
+    with open(path, "wb") as f:
+        f.write(model.SerializeToString())
+    stock = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert pieces.encoder(path).normalise.map.units
+    r = random.Random(3)
+    texts = ["ﬁne ①②  Ｆｕｌｌ　ｗｉｄｔｈ", "½ ㎏ ﷺ", "é é Å", "  a \u200b b\t\tc ", "㈱ｶﾞ", "", "plain words here", *("".join(r.choices("aé ﬁ①Ｆ　½㎏ｶﾞ\u0301xyz ", k=r.randrange(1, 40))) for _ in range(200))]
+    rows = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path).collect()
+    for x in rows:
+        raw = x.text.encode()
+        assert x.ids == stock.encode(x.text, add_eos=True), x.text
+        assert x.begins[0] == (0 if len(x.ids) > 1 else len(raw)) and x.ends[-1] == len(raw) and all(a <= b for a, b in zip(x.begins, x.ends)) and x.begins[1:] == [*x.ends[:-2], len(raw)][: len(x.ids) - 1]
+
+
 def test_pieces_empty_table(empty):
     path = pieces.model_path()
     out = pieces.decode(pieces.encode(empty, path), path)
@@ -337,8 +392,31 @@ def test_warc_odd_rows(spark):
     got = warc.read_records(written(warc.archive(written(warc.spool(pages), "spool")), "warc")).collect()
     assert sorted((r.record_type, r.page_id or 0, r.refers_to or 0) for r in got) == [("response", 0, 0), ("response", 1, 0), ("revisit", 0, 1), ("revisit", 1, 1)]
     assert warc.read_records(written(warc.archive(written(warc.spool(pages.where("false")), "spool")), "warc")).count() == 0
-    broken = written(warc.archive(written(warc.spool(pages), "spool")), "warc").withColumn("data", F.replace(F.col("data").cast("string"), F.lit("\r\n\r\na"), F.lit("\r\n\r\nb")).cast("binary"))
+    stored = written(warc.archive(written(warc.spool(pages), "spool")), "warc")
+    broken = stored.withColumn("data", F.when(F.col("chunk_no") > 0, F.replace(F.col("data").cast("string"), F.lit("a\r\n"), F.lit("b\r\n")).cast("binary")).otherwise(F.col("data")))
     assert not all(r.verified for r in warc.read_records(broken).where("record_type = 'response' and payload_bytes > 0").collect())
+    assert [r.verified for r in warc.read_records(stored.where("chunk_no = 0")).where("record_type = 'response'").collect()].count(False) == 1
+    junk = stored.withColumn("data", F.lit(b"junk"))
+    assert {(r.page_id, r.record_type, r.verified) for r in warc.read_records(junk).collect()} == {(None, None, False)}
+
+
+def test_warc_oversized_payload_is_linear(spark):
+    """64 MB of html in one row: chunks of 64 KB, in seconds."""
+    big = spark.range(1).select(F.lit(1).alias("page_id"), F.lit("u").alias("url"), F.repeat(F.lit("0123456789abcdef"), 4 << 20).alias("html"))
+    began = time.time()
+    spooled = written(warc.spool(big), "spool")
+    assert spooled.count() == 1024 and spooled.agg(F.max(F.octet_length("data"))).first()[0] == warc.CHUNK
+    (r,) = warc.read_records(written(warc.archive(spooled), "warc")).collect()
+    assert (r.payload_bytes, r.verified) == (64 << 20, True)
+    assert r.payload_digest == base64.b32encode(hashlib.sha1(b"0123456789abcdef" * (4 << 20)).digest()).decode()
+    assert time.time() - began < 60
+
+
+def test_warc_hot_payload(spark):
+    """Most pages have one payload: each is a revisit of the smallest page_id."""
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 > 0, "same").otherwise(F.col("id").cast("string")).alias("html"))
+    got = warc.read_records(written(warc.archive(written(warc.spool(pages), "spool")), "warc"))
+    assert got.where("record_type = 'revisit' and refers_to = 1").count() == 1999 and got.where("verified").count() == 3000
 
 
 # --- 5 ---
@@ -356,7 +434,7 @@ def test_passages_are_found(docs):
     assert all(len(ids - told) <= 1 for ids in where.values())
     for r in found:
         raw = texts[r.doc_id].encode()
-        assert len(raw[r.begin : r.end].split()) == r.n_words >= 20
+        assert len(raw[r.begin : r.end].split()) == r.n_words >= 51
     cut = {r.doc_id: r for r in substrings.without_passages(docs).collect()}
     assert set(cut) == set(texts)
     left = collections.Counter()
@@ -378,11 +456,51 @@ def test_passages_resist_shifts(spark):
         data, offsets = utf8(pa.array(rows))
         row, _, _, size, digest = substrings.chunks(data, offsets)
         both = set(digest[row == 0].tolist()) & set(digest[row == 1].tolist())
-        same += sum(s for s, d, k in zip(size, digest.tolist(), row) if k == 1 and d in both) >= 20
+        same += sum(s for s, d, k in zip(size, digest.tolist(), row) if k == 1 and d in both) >= 20  # words of whole chunks
         assert not both & set(digest[row == 2].tolist())
     assert same >= 39
 
 
+@pytest.mark.parametrize("letters", [1, 2, 3, 9])
+def test_passages_just_over_fifty_words(spark, letters):
+    """Of words of any length; and what is shorter is left alone."""
+    r = random.Random(letters)
+    text = lambda n: [("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=letters)) if letters > 1 else chr(r.randrange(0x4E00, 0x9FFF))) for _ in range(n)]
+    rows, want = [], {}
+    for i in range(120):
+        shared, n = text(60), (51, 40, 60)[i % 3]
+        before, after = text(r.randrange(0, 80)), text(30)
+        rows += [(2 * i, " ".join(text(20) + shared + text(25))), (2 * i + 1, " ".join(before) + "\t " + "  ".join(shared[:n]).upper() + " " + " ".join(after))]
+        if n > 50:
+            want[2 * i + 1] = shared[:n]
+    got = collections.defaultdict(list)
+    texts = dict(rows)
+    for x in substrings.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[x.doc_id].append(texts[x.doc_id].encode()[x.begin : x.end].decode().lower().split())
+    assert set(got) <= set(want) and len(want) - len(got) <= (2 if letters == 2 else 0)  # 51 words of two letters may have no whole chunk
+    assert all(want[i] in g or any(set(want[i]) <= set(x) for x in g) for i, g in got.items())
+
+
+def test_repeated_words_are_passages(spark):
+    rows = [(1, "tie " * 100), (2, "Tie " * 80 + "and then"), (3, "a b " * 60), (4, "x y a b " + "a b " * 40), (5, "tie tie tie " + "other words")]
+    got = {r.doc_id for r in substrings.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {2, 4} <= got and 5 not in got
+
+
+def test_passages_by_brute_force(spark):
+    """Documents of which a window of 51 words is earlier in the corpus, at sf0.01."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: tokens(r.text) for r in docs.collect()}
+    seen, want = set(), set()
+    for i in sorted(texts):
+        own = [tuple(texts[i][k : k + 51]) for k in range(len(texts[i]) - 50)]
+        if len(set(own)) < len(own) or seen.intersection(own):
+            want.add(i)
+        seen.update(own)
+    got = {r.doc_id for r in substrings.passages(docs).collect()}
+    assert len(want - got) <= 0.01 * len(want) and len(got - want) <= 0.02 * len(want)
+
+
 def test_passages_odd_rows(odd, empty):
     rows = substrings.passages(odd).collect()
     assert {r.doc_id for r in rows} == {11}
@@ -400,26 +518,33 @@ def test_language_held_out(docs):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def test_phrases_by_brute_force():
+def test_phrases_by_brute_force(monkeypatch):
     r = np.random.default_rng(1)
     sample = r.integers(0, 5, 300).astype(np.uint8)
     table = language.automaton(sample)
-    rows = [r.integers(0, 6, n).astype(np.uint8) for n in (1, 50, 0, 2500)]
+    rows = [r.integers(0, 6, n).astype(np.uint8) for n in (1, 50, 0, 2500, 64, 128)]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
-    got = language.phrases(np.concatenate(rows), offsets, [table])[:, 0]
     have = sample.tobytes()
-    for x, n in zip(rows, got):
-        want = 0
-        for at in range(0, len(x), language.BLOCK):
-            block, i = x[at : at + language.BLOCK].tobytes(), 0
-            count = 1
-            j = 0
-            for j in range(len(block)):
-                if block[i : j + 1] not in have:
-                    count += 1
-                    i = j if block[j : j + 1] in have else j + 1
-            want += count
-        assert n == want
+    for block in (7, 64, 1024):
+        monkeypatch.setattr(language, "BLOCK", block)
+        got = language.phrases(np.concatenate(rows), offsets, [table])[:, 0]
+        for x, n in zip(rows, got):
+            text, i, want = x.tobytes(), 0, 1
+            for j in range(len(text)):
+                if text[i : j + 1] not in have:
+                    want += 1
+                    i = j if text[j : j + 1] in have else j + 1
+            assert n == want
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    rows = [(i, chr(97 + i % 26) * 50, f"l{i}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "TABLE_BYTES", 80 * 512 * 20)
+    assert all(len(t) <= 2 * 20 * 128 for _, t, _ in language.fit(df))
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 50)
+    with pytest.raises(ValueError):
+        language.fit(df)
 
 
 def test_language_odd_rows(odd, empty):
@@ -448,6 +573,21 @@ def test_shards(docs, odd):
     assert sharding.shard_documents(odd.where("false"), 3).count() == 0
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Groups of equal texts are held together, but where the boundary of a shard falls."""
+    rows = [(i, f"text {i % 97} " * (1 + i % 97)) for i in range(3000)] + [(10_000 + i, "hot " * 30) for i in range(1500)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    split = got.groupBy("text_crc32").agg(F.count_distinct("shard").alias("n")).where("n > 1").count()
+    assert split <= 3
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, _ in rows)
+
+
+def test_repeated_rows_do_not_fill_the_sample(spark):
+    rows = spark.range(60_000).select(F.lit(7).cast("long").alias("key"), F.lit(9).cast("long").alias("tie"), F.lit(5).alias("size"))
+    out = sharding.shard_by_bytes(rows, 3).groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("slots"), F.max("slot").alias("last")).collect()
+    assert sorted((r.n, r.slots, r.last) for r in out) == [(20_000, 20_000, 19_999)] * 3
+
+
 def test_overfull_ranges(spark):
     rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.xxhash64("id")).alias("key"), F.xxhash64(F.col("id") + 1).alias("tie"), (F.col("id") % 50 + 1).alias("size"), "id")
     out = sharding.shard_by_bytes(rows, 5, ranges=40).collect()
@@ -494,6 +634,16 @@ def test_mixture(spark):
     assert {x.doc_id for x in cover} == {i for i, _, _ in rows} and max(collections.Counter(x.doc_id for x in cover).values()) <= 2
 
 
+def test_mixture_counts_given(spark):
+    df = spark.createDataFrame([(i, "w " * (i % 7), "a" if i % 5 else "b") for i in range(500)], "doc_id long, text string, source string")
+    mixed = mixing.mixture(df, entropy=0.9).select("doc_id", "tokens", "epoch", "block", "weight").collect()
+    counted = df.select("doc_id", "source", mixing.token_count(F.col("text")).alias("tokens"))
+    assert sorted(mixed) == sorted(mixing.mixture(counted, entropy=0.9, counted="tokens").select("doc_id", "tokens", "epoch", "block", "weight").collect())
+    clash = df.withColumns({c: F.lit(c) for c in ("blocks", "passes", "n", "end", "_source", "_hash", "total")})
+    out = mixing.mixture(clash, entropy=0.9)
+    assert {(r.blocks, r.passes, r.n, r["_source"], r.total) for r in out.collect()} == {("blocks", "passes", "n", "_source", "total")}
+
+
 def test_mixture_odd_rows(odd, empty):
     out = mixing.mixture(odd, entropy=1.0, repeats=1.25, cover=True)
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in odd.collect()}
@@ -542,6 +692,44 @@ def test_embedding_odd_rows(spark):
     assert embeddings.near_duplicates(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("label", ["bigint", "string", "double"])
+def test_embeddings_of_any_label_and_width(spark, label):
+    """Double components, far apart in size; several widths at once; labels of other types."""
+    r = np.random.default_rng(6)
+    rows, vectors = [], []
+    for dim in (3, 16, 40):
+        for c in range(12):
+            centre = r.normal(size=dim)
+            for _ in range(6):
+                v = (centre + 0.2 * r.normal(size=dim)) * 10.0 ** r.integers(-200, 200)
+                vectors.append((v, c % 2, dim))
+    rows = [(i, v.tolist(), lab) for i, (v, lab, _) in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("label", F.col("label").cast(label))
+    unit = [v / np.abs(v).max() for v, _, _ in vectors]
+    unit = [u / np.linalg.norm(u) for u in unit]
+    links = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if vectors[a][1:] == vectors[b][1:] and unit[a] @ unit[b] >= 0.93]
+    group, n = joined(links, range(len(rows))), collections.Counter(x for p in links for x in p)
+    got = {x.vec_id: (x.n_links, x.component_id) for x in embeddings.near_duplicates(df).collect()}
+    assert len(links) > 100 and got == {i: (n[i], group[i]) for i in range(len(rows))}
+
+
+def test_pairs_at_the_threshold_are_compared_in_double(spark):
+    """Pairs whose cosine is the threshold up to 1e-7, on either side."""
+    r = np.random.default_rng(8)
+    rows, links = [], 0
+    for k in range(60):
+        x = r.normal(size=32)
+        x /= np.linalg.norm(x)
+        y = r.normal(size=32)
+        y -= (x @ y) * x
+        y /= np.linalg.norm(y)
+        c = 0.93 + (1e-7 if k % 2 else -1e-7)
+        rows += [(2 * k, x.tolist(), k), (2 * k + 1, (c * x + math.sqrt(1 - c * c) * y).tolist(), k)]
+        links += k % 2
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).where("n_links > 0").collect()
+    assert {r.vec_id // 2 for r in got} == {k for k in range(60) if k % 2} and len(got) == 2 * links
+
+
 def test_more_hashes_find_as_much():
     tables, hashes = embeddings.plan(3_000_000, 32, 0.93)
     assert hashes > 1
@@ -583,6 +771,44 @@ def test_media_round_trip(spark, odd):
     assert media.inspect(media.pack(df.where("false"))).count() == 0
 
 
+def test_forged_containers_give_nulls(spark):
+    """Deep nests, and tables that tell of more than there is."""
+    good = media.container(bytes(range(256)) * 20)
+
+    def forged(kind, at, value):
+        i = good.index(kind) + 4 + at
+        return good[:i] + value + good[i + 4 :]
+
+    most = b"\xff\xff\xff\xff"
+    nest = b"".join((8 * (1500 - i)).to_bytes(4, "big") + b"moov" for i in range(1500))
+    bad = [nest, forged(b"stsz", 8, most), forged(b"stsc", 12, most), forged(b"stsc", 8, most), forged(b"stco", 4, most), forged(b"stco", 8, most), forged(b"stss", 4, most), forged(b"stss", 8, bytes(4)), forged(b"stts", 4, bytes(4))[:-1], b"\0" * 64]
+    bad += [forged(b"stsz", 4, most), forged(b"moov", -8, bytes(4)), b"\0\0\0\1moov" + b"\xff" * 8, b"\0\0\0\0moov"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate([*bad, good])], "id int, media binary")
+    got = {r.id: r for r in media.inspect(rows, payload=True).collect()}
+    assert all(got[i].n_samples is None and got[i].payload is None for i in range(len(bad)) if i != 11), {i: got[i] for i in range(len(bad)) if got[i].n_samples is not None}
+    assert bytes(got[len(bad)].payload) == bytes(range(256)) * 20
+
+
+def test_media_query_by_brute_force(spark, sf_dir, tmp_path):
+    texts = [r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()] + [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "x" * 64), (10**6 + 3, "é" * 70_000), (10**6 + 4, "x" * 64)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in media.op10_media(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for i, t in texts:
+        raw = (t or "").encode()
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        stored = media.container(payload)
+        r = got[i]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
+        assert (r.tail_crc32, r.media_bytes, r.media_sha256) == (zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest())
+        frames = [(k * media.FRAME, min(len(payload), (k + 1) * media.FRAME)) for k in range(-(-len(payload) // media.FRAME))]
+        assert all(stored[stored.index(b"mdat") + 4 :][a:b] == payload[a:b] for a, b in frames)
+        assert r.feature.startswith(f"codec=raw;timescale=8000;duration={len(payload)};n_samples={len(frames)};keys=")
+        keys = [tuple(map(int, x.split("-"))) for x in r.feature.split("keys=")[1].split(",")]
+        assert [stored[a:b] for a, b in keys] == [payload[a:b] for a, b in frames[:: media.KEY_EVERY]]
+    assert got[10**6 + 2].feature == got[10**6 + 4].feature
+
+
 def test_boxes_are_walked():
     made = media.container(bytes(70_000))
     paths = [p for p, _, _ in media.boxes(memoryview(made), 0, len(made))]
