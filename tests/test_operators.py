@@ -47,9 +47,12 @@ def test_fold_invariants(ticks):
         assert not (c == 1 and s is not None and s <= 2 and t3)
 
 
-def test_folds_of_batch_and_stream_agree(spark):
+@pytest.mark.parametrize("chunk", [3, 1000])
+def test_folds_of_batch_and_stream_agree(spark, monkeypatch, chunk):
     import random
 
+    monkeypatch.setattr(state, "CHUNK", chunk)
+
     r = random.Random(4)
     rows = [(k, i, r.choice([None, -1, 1, 2, 3]), r.choice(S.CAPACITIES)) for k in range(40) for i in range(r.randrange(1, 30))]
     got = {x.k: (x.sps, x.t3, x.t2) for x in state.capacity_fold(spark.createDataFrame(rows, "k int, i int, score int, capacity int"), ["k"], ["i"]).collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import CAPACITIES
@@ -44,17 +44,43 @@ def capacity_step(prev: DataFrame, cur: DataFrame, keys: list[str], score: str =
     return out.withColumns({score: new[0].cast("int"), "T3": new[1].cast("int"), "T2": new[2].cast("int")}).drop("_s", "_t3", "_t2")
 
 
-def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity") -> DataFrame:
-    """Each key's state after all its ticks, in order: one shuffle, then a fold over the key's sorted ticks.
+#: Ticks of a key that are folded at once, and limits that no level reaches.
+CHUNK, LOW, HIGH = 1_000, -1, 1_000
 
-    The history of a key is held in memory; it has a row for each tick, so its size is set by the time covered.
-    """
-    entries = F.array_sort(F.collect_list(F.struct(*order, F.col(score).alias("s"), F.col(capacity).alias("c"))))
-    start = F.struct(F.lit(None).cast("int").alias("sps"), F.lit(0).alias("t3"), F.lit(0).alias("t2"))
 
-    def fold(acc: Column, x: Column) -> Column:
-        new = step(x["s"], *tick_levels(x["s"], x["c"]), x["c"], acc["sps"], acc["t3"], acc["t2"])
-        return F.struct(*(c.cast("int").alias(n) for c, n in zip(new, ("sps", "t3", "t2"), strict=True)))
+def _composed(steps: Column) -> Column:
+    """The steps of an array, each of which moves a level into its bounds, one after the other: again such a step."""
+
+    def after(one: Column, two: Column) -> Column:
+        within = lambda x, t: F.greatest(two[f"lo{t}"], F.least(two[f"hi{t}"], x))
+        return F.struct(*(within(one[f"{side}{t}"], t).alias(f"{side}{t}") for t in (3, 2) for side in ("lo", "hi")))
+
+    none = F.struct(*(F.lit(v).alias(f"{side}{t}") for t in (3, 2) for side, v in (("lo", LOW), ("hi", HIGH))))
+    return F.aggregate(steps, none, after)
 
-    rows = ticks.groupBy(*keys).agg(entries.alias("_ticks"))
-    return rows.withColumn("_end", F.aggregate("_ticks", start, fold)).select(*keys, "_end.sps", "_end.t3", "_end.t2")
+
+def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity") -> DataFrame:
+    """Each key's state after all its ticks, in order: one shuffle by key, however long its history.
+
+    The score that is kept is a running maximum since the last single-node score.  Given it, a tick moves a level into
+    bounds, and so do several ticks together: they are folded ``CHUNK`` at a time, and then the chunks.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    single, s = F.col("_c") == 1, F.col("_s")
+    rows = ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c"))
+    rows = rows.withColumns({"_since": F.count_if(single & s.isNotNull()).over(so_far), "_chunk": F.floor((F.row_number().over(w) - 1) / CHUNK)})
+    rows = rows.withColumn("_kept", F.max("_s").over(Window.partitionBy(*keys, "_since").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_known", F.when(single, F.coalesce(s, F.lag("_kept").over(w))).otherwise(s))
+    below = F.coalesce(F.create_map(*(F.lit(x) for pair in FALLBACK.items() for x in pair))[F.col("_c")], F.lit(0))
+    bounds = []
+    for t, level, cleared in ((3, tick_levels(s, F.col("_c"))[0], F.col("_kept") <= 2), (2, tick_levels(s, F.col("_c"))[1], F.col("_kept") < 2)):
+        up = F.col("_known") >= t
+        bounds += [F.when(cleared, 0).when(up, level).otherwise(LOW).alias(f"lo{t}"), F.when(cleared, 0).when(up, HIGH).otherwise(below).alias(f"hi{t}")]
+    sorted_ = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
+    chunks = rows.groupBy(*keys, "_chunk").agg(sorted_(*order, *bounds).alias("_steps"), F.max_by("_kept", F.struct(*order)).alias("_last"))
+    chunks = chunks.select(*keys, "_chunk", "_last", _composed(F.col("_steps")).alias("_step"))
+    whole = chunks.groupBy(*keys).agg(sorted_("_chunk", *(F.col(f"_step.{side}{t}").alias(f"{side}{t}") for t in (3, 2) for side in ("lo", "hi"))).alias("_steps"), F.max_by("_last", "_chunk").alias("sps"))
+    whole = whole.withColumn("_end", _composed(F.col("_steps")))
+    level = lambda t: F.greatest(F.col(f"_end.lo{t}"), F.least(F.col(f"_end.hi{t}"), F.lit(0))).cast("int").alias(f"t{t}")
+    return whole.select(*keys, "sps", level(3), level(2))
