@@ -116,13 +116,13 @@ def phrases(s: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray]) -> np.
     begin, size, row = begin[order], size[order], row[order]
     active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
     out = np.zeros((len(sizes), len(tables)), np.int64)
-    first = np.empty((len(row), len(active)), np.uint16)
     starts, lengths = begin.tolist(), size.tolist()
     for k, table in enumerate(tables):
         state, count = np.zeros(len(row), np.int32), np.zeros(len(row), np.int32)
+        first = []  # by symbol, where each block got to
         for i, n in enumerate(active):
             step = table[(state[:n] << WIDTH) | s[begin[:n] + i]]
-            first[:n, i] = step
+            first.append(step)
             step = step.astype(np.int32)
             count[:n] += step >> 15
             state[:n] = step & (_END - 1)
@@ -131,8 +131,8 @@ def phrases(s: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray]) -> np.
             now, more = ends[a], 0
             for i in range(0, lengths[b], AHEAD):
                 there = min(AHEAD, lengths[b] - i)
-                for c, was in zip(s[starts[b] + i : starts[b] + i + there].tolist(), first[b, i : i + there].tolist(), strict=True):
-                    to = moves[now << WIDTH | c]
+                for j, c in enumerate(s[starts[b] + i : starts[b] + i + there].tolist(), i):
+                    to, was = moves[now << WIDTH | c], int(first[j][b])
                     more += (to >> 15) - (was >> 15)
                     now = to & (_END - 1)
                     if now == was & (_END - 1):

@@ -201,11 +201,16 @@ def _blocks_compared(threshold: float):
     return run
 
 
+def _dealt(buckets: DataFrame) -> DataFrame:
+    """What is known of each bucket, once for each of the parts that its rows are dealt out to."""
+    return buckets.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
 def _large_compared(state: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links among the classes of large buckets, whatever their labels: those outside the most frequent label of what
     the buckets hold together, block by block, with all."""
-    least = state.groupBy("bucket").agg(F.min("fp").alias("b"))
-    whole = components(state.join(least, "bucket").select(F.col("fp").alias("a"), "b"))
+    least = _dealt(state.groupBy("bucket").agg(F.min("fp").alias("b"), F.max("parts").alias("parts")))
+    whole = components(state.join(least, ["bucket", "part"]).select(F.col("fp").alias("a"), "b"))
     rows = state.select("fp", "at").distinct().join(whole.select(F.col("node").alias("fp"), F.col("component").alias("block")), "fp")
     per = rows.groupBy("block", "at").agg(F.count("*").alias("m"))
     main = per.groupBy("block").agg(F.sum("m").alias("n"), F.max(F.struct("m", "at")).alias("top"))
@@ -231,7 +236,6 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) ->
     rows = classes.select(F.explode("bands").alias("bucket"), "fp")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / DEALT).cast("int").alias("parts"))
     members = written(rows.join(shared, "bucket").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")), "band-members")
-    dealt = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     wanted = members.select("fp").distinct().join(classes, "fp").select("doc_id")
     sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
     sets = written(sets.join(members.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]), "shingle-sets")
@@ -240,12 +244,12 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) ->
         state = members.withColumn("at", F.col("fp")) if labels is None else members.join(labels, "fp")
         per = state.groupBy("bucket", "at").agg(F.count("*").alias("m"), F.max("parts").alias("parts"))
         open_ = per.groupBy("bucket").agg(F.sum("m").alias("m"), F.count("*").alias("labels"), F.max(F.struct("m", "at")).alias("top"), F.max("parts").alias("parts")).where("labels > 1")
-        open_ = dealt(open_.select("bucket", "m", F.col("top.at").alias("main"), "parts"))
+        open_ = _dealt(open_.select("bucket", "m", F.col("top.at").alias("main"), "parts"))
         live = written(state.join(open_, ["bucket", "part"]), "band-live")
         if turn == ROUNDS:
             break
         pick = F.min(F.struct(F.xxhash64(F.lit(turn), "fp").alias("h"), "fp", "at")).alias("c")
-        centre = dealt(live.groupBy("bucket").agg(pick, F.max("parts").alias("parts")).select("bucket", F.col("c.fp").alias("b"), F.col("c.at").alias("at_b"), "parts"))
+        centre = _dealt(live.groupBy("bucket").agg(pick, F.max("parts").alias("parts")).select("bucket", F.col("c.fp").alias("b"), F.col("c.at").alias("at_b"), "parts"))
         pairs = live.select("bucket", "part", F.col("fp").alias("a"), F.col("at").alias("at_a")).join(centre, ["bucket", "part"]).where("at_a <> at_b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs if compared is None else pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
@@ -260,7 +264,7 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) ->
     pairs = left.join(few.select("bucket", F.col("fp").alias("b"), F.col("at").alias("at_b")), "bucket").where("at_a <> at_b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
     found = compared.union(_compared(pairs, sets, threshold)).where("linked").select("a", "b")
-    return found.union(_large_compared(many.select("bucket", "fp", "at"), sets, threshold))
+    return found.union(_large_compared(many.select("bucket", "part", "parts", "fp", "at"), sets, threshold))
 
 
 #: A null doc_id counts as this one.

@@ -230,6 +230,13 @@ def _merged(blocks: DataFrame, segments: int) -> DataFrame:
     return blocks.repartition("kind", "segment").sortWithinPartitions("kind", "segment").mapInArrow(run, _SEGMENT_DDL)
 
 
+def _gathered(rows: DataFrame, parts: int, first: int) -> Filter:
+    """A filter on the driver, from ``rows(segment, sizes, bits)`` of a bounded size; bits are copied once."""
+    t = rows.select("segment", "sizes", "bits").toArrow()
+    bits = ([b.as_buffer() for b in x.values] for x in t.column("bits"))
+    return Filter(parts, first, list(zip(t.column("segment").to_pylist(), t.column("sizes").to_pylist(), bits, strict=True)))
+
+
 class Model:
     """The tables of a model learned from ``docs(text)``, and what is small enough for the driver; null texts are empty."""
 
@@ -276,9 +283,12 @@ class Model:
                 sizes, bits = build(marks, np.concatenate([np.frombuffer(q, np.uint8) for _, q in blocks]), first[kind])
                 yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([sizes], pa.list_(pa.int64())), pa.array([bits], pa.list_(pa.binary()))], names=["kind", "segment", "sizes", "bits"])
 
-        dealt = self.table.select("kind", "keys", "counts").mapInArrow(chosen, _BLOCK).repartition("kind", "segment").sortWithinPartitions("kind", "segment")
-        rows = dealt.mapInArrow(built, "kind int, segment int, sizes array<bigint>, bits array<binary>").toArrow().to_pylist()
-        return [Filter(HEAD_PARTS, first[k], [(r["segment"], r["sizes"], r["bits"]) for r in rows if r["kind"] == k]) for k in (UNIGRAM, BIGRAM)]
+        def gathered(kind: int) -> Filter:
+            own = self.table.where(F.col("kind") == kind).select("kind", "keys", "counts").mapInArrow(chosen, _BLOCK)
+            own = own.repartition("kind", "segment").sortWithinPartitions("kind", "segment")
+            return _gathered(own.mapInArrow(built, "kind int, segment int, sizes array<bigint>, bits array<binary>"), HEAD_PARTS, first[kind])
+
+        return [gathered(UNIGRAM), gathered(BIGRAM)]
 
     def rest(self, kind: int) -> DataFrame:
         """The segments of a kind with the bits of the levels under the head's, exact counts of the unigrams with them."""
@@ -342,7 +352,7 @@ def score(docs: DataFrame, model: Model, near_bytes: int = NEAR_BYTES) -> DataFr
     others = [c for c in docs.columns if c != "text"]
     segments, log_p = model.segments, model.log_probability()
     near = model.near_bytes() <= near_bytes
-    low = Filter(segments, 1, [(r["segment"], r["sizes"], r["bits"]) for r in model.rest(UNIGRAM).drop("keys", "counts").toArrow().to_pylist()]) if near else None
+    low = _gathered(model.rest(UNIGRAM), segments, 1) if near else None
     shared = spark.sparkContext.broadcast((*model.hot(), *model.heads(), low))
     names = ["row", "mark", "uq", "cq"] if near else list(_ASKED)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")

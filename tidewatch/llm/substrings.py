@@ -177,7 +177,8 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     table = written(chunked(docs), "chunks")
     rows = table.select("row_no", "doc_id", F.posexplode("digests").alias("no", "digest"))
     first = rows.groupBy("digest").agg(F.min(F.struct("doc_id", "row_no", "no")).alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").select("digest", "first")
+    # a table of its own, so that the join with a chunk that very many texts have can be split at run time
+    first = written(first.where("n > 1").select("digest", "first"), "first-chunks")
     again = rows.select("row_no", "no", "digest").join(first, "digest")
     again = again.where((F.col("first.row_no") != F.col("row_no")) | (F.col("first.no") != F.col("no"))).select("row_no", "no", "first")
     run = F.col("no") - F.row_number().over(Window.partitionBy("row_no").orderBy("no"))
