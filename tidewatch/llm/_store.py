@@ -27,11 +27,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._tidewatch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes what ``written`` has written, when nothing reads it any more."""
+    _deleted(table.sparkSession, table._tidewatch_path)
 
 
 def release(spark: SparkSession) -> None:
     """Deletes all tables this application has written here; call it once their readers' results are stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    _deleted(spark, shared_dir(spark))
+
+
+def _deleted(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
