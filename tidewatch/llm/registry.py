@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import centroids, codebooks, embeddings, language, media, minhash, mixing, ngram_score, pieces, sharding, substrings, warc
+from . import byte_bpe, centroids, codebooks, embeddings, language, media, minhash, mixing, ngram_score, pieces, sharding, substrings, warc
 
 #: Modules that have QUERIES, and perhaps ORACLE_SQL.
-MODULES = (minhash, ngram_score, pieces, warc, substrings, language, sharding, mixing, embeddings, media, centroids, codebooks)
+MODULES = (minhash, ngram_score, pieces, warc, substrings, language, sharding, mixing, embeddings, media, byte_bpe, centroids, codebooks)
 
 
 def _merged(name: str) -> dict:
