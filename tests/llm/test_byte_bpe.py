@@ -80,7 +80,7 @@ def test_tokens_wait_for_few_bytes(coder, library):
             out += sure
             fed += 1
             assert fed - sum(len(coder.merges.token[i]) for i in out) <= 2 * longest
-        waits = t.states[state][-1][1:]
+        waits = t.states[state][-1][1]
         assert [*out, *waits] == library.encode_ordinary(text)
 
 

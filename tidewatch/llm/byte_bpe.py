@@ -26,7 +26,7 @@ from ._text import pieces as runs
 from ._text import utf8
 
 #: States, stable or unstable neighbours, and words whose ids a worker keeps; a table that is full is begun anew.
-MOST_STATES, MOST_PAIRS, MOST_WORDS, LONG_WORD = 200_000, 500_000, 100_000, 64
+MOST_STATES, MOST_PAIRS, MOST_WORDS, LONG_WORD = 200_000, 500_000, 300_000, 64
 #: Characters of a text that is split at once, matches that a longer one is split into at a time, and ids decoded at once.
 AT_ONCE, MATCHES, IDS = 1 << 20, 1 << 16, 1 << 16
 NEVER = 1 << 62
@@ -45,6 +45,14 @@ class Merges:
         self.token = {r: t for t, r in self.rank.items()}
         if not all(bytes([b]) in self.rank for b in range(256)):
             raise ValueError("every byte has to be a token")
+        #: Tokens that are one together, by both; and the halves of tokens that are so in one way only.
+        self.joined: dict[int, int] = {}
+        self._halves: dict[int, list[int]] = {}
+        for raw, rank in self.rank.items():
+            ways = [[a, b] for i in range(1, len(raw)) if (a := self.rank.get(raw[:i])) is not None and (b := self.rank.get(raw[i:])) is not None]
+            self.joined.update((a << 32 | b, rank) for a, b in ways)
+            if len(ways) == 1:
+                self._halves[rank] = ways[0]
         self._spines: dict[tuple[int, int], list[int]] = {}
         self._pairs: dict[int, bool] = {}
 
@@ -60,17 +68,17 @@ class Merges:
         return [self.rank[t] for t in now]
 
     def spine(self, token: int, side: int) -> list[int]:
-        """What the last (side 1) or first (0) byte of a token becomes by its merges, in turn: the token is the last of them."""
+        """What the last (side 1) or first (0) byte of a token becomes by its merges, in turn, the token last, and ``NEVER``."""
         found = self._spines.get((token, side))
         if found is None:
             raw = self.token[token]
             if len(raw) == 1:
-                found = [token]
+                found = [token, NEVER]
             else:
-                halves = self.merged(raw, 2)
+                halves = self._halves.get(token) or self.merged(raw, 2)
                 if len(halves) != 2 or max(halves) >= token:
                     raise ValueError(f"token {token} isn't made of tokens of lower ranks")
-                found = [*self.spine(halves[side], side), token]
+                found = [*self.spine(halves[side], side)[:-1], token, NEVER]
             self._spines[token, side] = found
         return found
 
@@ -80,21 +88,22 @@ class Merges:
         found = self._pairs.get(a << 32 | b)
         if found is None:
             left, right = self.spine(a, 1), self.spine(b, 0)
-            i = j = 0
-            found = True
+            i = j = 1
+            x, next_x, y, next_y = left[0], left[1], right[0], right[1]
             while True:
-                next_left = left[i + 1] if i + 1 < len(left) else NEVER
-                next_right = right[j + 1] if j + 1 < len(right) else NEVER
-                over = self.rank.get(self.token[left[i]] + self.token[right[j]], NEVER)
-                if over < next_left and over <= next_right:  # of equal ranks the leftmost merge comes first
+                over = self.joined.get(x << 32 | y, NEVER)
+                if over < next_x and over <= next_y:  # of equal ranks the leftmost merge comes first
                     found = False
                     break
-                if next_left == next_right == NEVER:
-                    break
-                if next_left <= next_right:
+                if next_x <= next_y:
+                    if next_x == NEVER:
+                        found = True
+                        break
                     i += 1
+                    x, next_x = next_x, left[i]
                 else:
                     j += 1
+                    y, next_y = next_y, right[j]
             if len(self._pairs) >= MOST_PAIRS:
                 self._pairs.clear()
             self._pairs[a << 32 | b] = found
@@ -103,7 +112,8 @@ class Merges:
 
 class Transducer:
     """From bytes to tokens.  A state is the token emitted last (-1: none) and the guesses, those of longer tokens first: for each
-    the place in the tree of tokens that the bytes since its last token lead to (0: the root), and its tokens that wait."""
+    the place in the tree of tokens that the bytes since its last token lead to (0: the root), times 256, and its tokens that
+    wait."""
 
     def __init__(self, merges: Merges):
         self.stable = merges.stable
@@ -123,7 +133,7 @@ class Transducer:
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
         self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._state((-1, (0,)))
+        self._state((-1, (0, ())))
 
     def _state(self, key: tuple) -> int:
         found = self.number.get(key)
@@ -131,7 +141,7 @@ class Transducer:
             if len(self.states) >= MOST_STATES:
                 for table in (self.states, self.number, self.arcs):
                     table.clear()
-                self._state((-1, (0,)))
+                self._state((-1, (0, ())))
             found = self.number[key] = len(self.states)
             self.states.append(key)
         return found
@@ -140,27 +150,28 @@ class Transducer:
         """The state after a byte and the tokens that are certain by then."""
         key = self.states[state]
         last, new, whole = key[0], [], None
-        for guess in key[1:]:
-            node = self.next.get(guess[0] << 8 | byte)
+        follow, deeper, tokens = self.next.get, self.deeper, self.token
+        for place, wait in key[1:]:
+            node = follow(place | byte)
             if node is None:
                 continue
-            if self.deeper[node]:
-                new.append((node, *guess[1:]))
-            token = self.token[node]
-            if token >= 0 and whole is None:  # of every text there is one sequence
-                before = guess[-1] if len(guess) > 1 else last
-                if before < 0 or self.stable(before, token):
-                    whole = (0, *guess[1:], token)
+            if deeper[node]:
+                new.append((node << 8, wait))
+            if whole is None and tokens[node] >= 0:  # of every text there is one sequence
+                before = wait[-1] if wait else last
+                if before < 0 or self.stable(before, tokens[node]):
+                    whole = (*wait, tokens[node])
         if whole is None:
             raise ValueError("the tokens of a text aren't told by their neighbours")
-        new.append(whole)
-        n = min(map(len, new))
-        if n > 1:
-            while any(guess[1:n] != whole[1:n] for guess in new):
+        new.append((0, whole))
+        sure = ()
+        if new[0][1]:  # else nothing is certain
+            n = min(len(wait) for _, wait in new)
+            while any(wait[:n] != whole[:n] for _, wait in new):
                 n -= 1
-        sure = whole[1:n]
-        if sure:
-            last, new = sure[-1], [(guess[0], *guess[n:]) for guess in new]
+            sure = whole[:n]
+            if sure:
+                last, new = sure[-1], [(place, wait[n:]) for place, wait in new]
         to = self._state((last, *new))
         if state < len(self.states) and self.states[state] is key:  # else the tables are new
             self.arcs[state << 8 | byte] = to, sure
@@ -176,7 +187,7 @@ class Transducer:
             state = found[0]
             if found[1]:
                 out += found[1]
-        out += self.states[state][-1][1:]  # the last guess has a whole token at the end
+        out += self.states[state][-1][1]  # the last guess has a whole token at the end
         return out
 
 
