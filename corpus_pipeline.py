@@ -15,11 +15,15 @@ from tidewatch.llm import language, minhash, mixing, pieces, substrings
 from tidewatch.llm._store import written
 
 
-def _aside(docs: DataFrame, names: set[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``step`` of documents, with the columns of documents: those whose names the step takes for itself come back as they were."""
-    own = {c: f"_own_{c}" for c in docs.columns if c.lower() in names}
-    out = step(docs.withColumnsRenamed(own)).drop(*own)
-    return out.withColumnsRenamed({v: k for k, v in own.items()}).select(docs.columns)
+#: Columns of documents that stages read or write; all others are taken aside, whatever their names.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _aside(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` of documents, with the columns of documents: those that are no stage's business come back as they were, so that
+    no name of theirs clashes with one that a step takes for itself."""
+    names = [c if c in OWN else f"_aside_{i}" for i, c in enumerate(docs.columns)]
+    return step(docs.toDF(*names)).select(names).toDF(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,22 +33,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         out = language.language_id(docs).where(F.col("lang_pred") != "und")
         return out.withColumn("lang", F.coalesce("lang", "lang_pred"))
 
-    return _aside(docs, {"held_out", "lang_pred", "score", "_letters"}, step)
+    return _aside(docs, step)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
-    return _aside(docs, {"_key", "_hash"}, minhash.deduplicated)
+    return _aside(docs, minhash.deduplicated)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that an earlier document has out of the texts; every document stays."""
-    return _aside(docs, {"_cut", "_cut_text", "_cut_id", "_cut_hash"}, substrings.without_passages)
+    return _aside(docs, substrings.without_passages)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents of small sources, with at most 1.25 passes over a source; every document stays at least once."""
-    return _aside(docs, {"tokens", "block", "epoch", "position", "weight"}, lambda docs: mixing.mixture(docs, entropy=1.0, repeats=1.25, cover=True))
+    return _aside(docs, lambda docs: mixing.mixture(docs, entropy=1.0, repeats=1.25, cover=True))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

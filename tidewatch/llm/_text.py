@@ -14,9 +14,6 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose every output bit depends on every input bit."""
@@ -46,39 +43,59 @@ def pieces(offsets: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
         first = last
 
 
-@lru_cache(1)
-def _few_powers() -> tuple[np.ndarray, np.ndarray]:
-    return _computed_powers(PIECE + 1)
+#: Places of a block, each of which has a random number of its own for every byte.
+BLOCK = 64
 
 
-def _computed_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, _BASE_INVERSE, np.uint64)
-    up[:1] = down[:1] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+@lru_cache(1)
+def _numbers() -> np.ndarray:
+    return mix((np.arange(BLOCK * 256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least the first ``n`` powers of a base and of its inverse; only those for usual sizes are kept."""
-    return _few_powers() if n <= PIECE + 1 else _computed_powers(n)
+def _sums(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of stretches of ``values``, modulo 2^64."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return sums[end] - sums[begin]
 
 
 def hashed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of stretches of ``data``, which are sorted and apart: a polynomial of the bytes, from prefix sums.  Some stretches
-    at a time, so that memory follows the longest stretch and not the text."""
+    """Hashes of stretches of ``data``, which are sorted, apart and not empty.
+
+    Blocks of 64 bytes have the sum of a random number for each place and byte, and a stretch that of its blocks, each mixed
+    with its place: sums of unrelated numbers, unlike a polynomial's, are equal by chance alone.  Some stretches at a
+    time, so that memory follows the longest stretch and not the text.
+    """
     out = np.empty(len(begin), np.uint64)
     i = 0
     while i < len(begin):
         j = max(i + 1, int(np.searchsorted(end, begin[i] + PIECE, "right")))
         a, b = int(begin[i]), int(end[j - 1])
-        up, down = powers(b - a + 1)
-        sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
         first, last = begin[i:j] - a, end[i:j] - a
-        out[i:j] = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+        place = np.arange(b - a) - np.repeat(first, np.diff(np.append(first, b - a)))
+        term = _numbers()[(place % BLOCK) * 256 + data[a:b]]
+        size = last - first
+        if size.max() <= BLOCK:
+            x = mix(_sums(term, first, last) + np.uint64(1))
+        else:
+            parts = -(-size // BLOCK)
+            own = np.cumsum(parts) - parts
+            k = np.arange(parts.sum()) - np.repeat(own, parts)
+            start = np.repeat(first, parts) + k * BLOCK
+            x = _sums(term, start, np.minimum(start + BLOCK, np.repeat(last, parts)))
+            x = np.add.reduceat(mix(x + mix(k.astype(np.uint64)) + np.uint64(1)), own)  # the first block's place adds nothing
+        out[i:j] = mix(x + size.astype(np.uint64))
         i = j
     return out
 
 
+def runs_hashed(h: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of runs of hashes that follow each other, ``size`` each from ``first`` on."""
+    place = np.arange(len(h)) - np.repeat(first, size)
+    terms = mix(h + mix(place.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)))
+    return mix(_sums(terms, first, first + size) + mix(size.astype(np.uint64)))
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the words (runs of other bytes than ASCII white space, A-Z in lower case): row, begin and end in ``data``, hash."""
     base = int(offsets[0])

@@ -30,6 +30,8 @@ from .components import components, forest
 BLOCK = 1024
 #: Cut buckets up to which their table is broadcast.
 FEW = 1_000_000
+#: Labels up to which their numbers are broadcast.
+FEW_LABELS = 100_000
 #: Rows that a bucket is planned to have, probes besides the own bucket, and the share of links to be found.
 OCCUPANCY, PROBES, RECALL = 64, 2, 0.999
 
@@ -100,7 +102,7 @@ def plan(rows: int, dim: int, threshold: float, recall: float = RECALL) -> tuple
 
 def _copy(dim: int) -> np.dtype:
     """What goes to a bucket: number and size of a class, label, vector in 16 bits, their unit, and how far off it is."""
-    return np.dtype([("no", "<i8"), ("size", "<i8"), ("label", "<i4"), ("unit", "<f4"), ("slack", "<f4"), ("q", "<i2", (dim,))])
+    return np.dtype([("no", "<i8"), ("size", "<i8"), ("label", "<i8"), ("unit", "<f4"), ("slack", "<f4"), ("q", "<i2", (dim,))])
 
 
 def _directions(copies: np.ndarray) -> np.ndarray:
@@ -110,7 +112,7 @@ def _directions(copies: np.ndarray) -> np.ndarray:
 
 def _signed(copies: np.ndarray, x: np.ndarray, tables: int, hashes: int) -> np.ndarray:
     """Buckets of copies: alike wherever they are computed."""
-    place = mix(copies["label"].astype(np.int64).view(np.uint64) * np.uint64(1 << 20) + np.uint64(x.shape[1]))
+    place = mix(copies["label"].astype(np.uint64) * np.uint64(1 << 20) + np.uint64(x.shape[1]))
     return mix(signatures(x, tables, hashes, PROBES) + place[:, None, None])
 
 
@@ -141,7 +143,7 @@ def _compare(threshold: float, tables: int, hashes: dict[int, int]):
         own = at % wide == 0
         if len(at) < 2 or not own.any():
             return
-        copies = np.frombuffer(b"".join(p[2] for p in parts), _copy((int(key[3]) - 28) // 2))
+        copies = np.frombuffer(b"".join(p[2] for p in parts), _copy((int(key[3]) - 32) // 2))
         # vectors of few components can probe a bucket twice: each stays once, as its own bucket's if it is that
         order = np.lexsort((~own, copies["no"]))
         order = order[np.append(True, copies["no"][order[1:]] != copies["no"][order[:-1]])]
@@ -210,7 +212,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     keys = {f"k{i}": F.xxhash64(F.lit(i), "label", "embedding") for i in (1, 2)}
     good = vectors.where(sound)
     classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
-    classes = written(classes.withColumns(keys | {"hash": F.xxhash64("label")}), "vector-classes")
+    # labels are numbered, so that copies tell them apart exactly
+    labels = written(good.select(F.col("label").alias("of")).distinct(), "vector-labels").withColumn("label_no", F.monotonically_increasing_id())
+    labels = written(labels, "vector-label-numbers")
+    named = F.broadcast(labels) if labels.count() <= FEW_LABELS else labels
+    classes = written(classes.withColumns(keys).join(named, F.col("label") == F.col("of")).drop("of"), "vector-classes")
     alone = vectors.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     groups = classes.groupBy("label", F.size("embedding").alias("dim")).count().groupBy("dim").agg(F.max("count").alias("n")).collect()  # a row for each width
     if not groups:
@@ -226,14 +232,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
             sizes = np.diff(batch.column("embedding").offsets.to_numpy())
             sig, copies = np.zeros((len(batch), tables * wide), np.uint64), [b""] * len(batch)
             no = number + np.arange(len(batch))
-            label, size = (batch.column(c).to_numpy() for c in ("hash", "size"))
+            label, size = (batch.column(c).to_numpy() for c in ("label_no", "size"))
             for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
                 x = batch.column("embedding").take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), dim).astype(np.float64)
                 x /= np.abs(x).max(1)[:, None]
                 x /= np.linalg.norm(x, axis=1)[:, None]
                 own = np.zeros(len(rows), _copy(dim))
-                own["no"], own["size"], own["label"] = no[rows], size[rows], label[rows].astype(np.int32)
+                own["no"], own["size"], own["label"] = no[rows], size[rows], label[rows]
                 own["unit"] = np.abs(x).max(1) / 32766
                 own["q"] = np.rint(x / own["unit"].astype(np.float64)[:, None])
                 gap = np.linalg.norm(x - own["q"] * own["unit"].astype(np.float64)[:, None], axis=1)

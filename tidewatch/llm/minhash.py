@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,9 +100,11 @@ def weights(times: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``fp`` (a hash of all words; null if there are none) and ``bands`` (null likewise) of each document."""
+    """``doc_id``, ``text_hash``, ``row_no``, unique once written, ``fp`` (a hash of all words; null if there are none) and
+    ``bands`` (null likewise) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for a, b in pieces(offsets):
@@ -112,10 +115,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                     band = mix(band * np.uint64(0xD6E8FEB86659FD93) + won[:, :, i])
                 none = pa.array(whole == 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(band.ravel().view(np.int64)), mask=none)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_hash")), pa.array(whole.view(np.int64), mask=whole == 0), lists], names=["doc_id", "text_hash", "fp", "bands"])
+                own = [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_hash")), pa.array(np.arange(number, number + b - a))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(whole.view(np.int64), mask=whole == 0), lists], names=["doc_id", "text_hash", "row_no", "fp", "bands"])
+                number += b - a
 
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, "doc_id long, text_hash long, fp long, bands array<bigint>")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, "doc_id long, text_hash long, row_no long, fp long, bands array<bigint>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -274,32 +279,34 @@ WORD = r"[^ \t\n\x0b\f\r]"
 
 
 def _classified(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """``doc_id``, ``text_hash`` and ``fp`` of each row; and by ``fp`` the class ``at`` that links reach and the smallest
-    ``(doc_id, text_hash)`` that has these words."""
+    """``doc_id``, ``text_hash``, ``row_no`` and ``fp`` of each row; and by ``fp`` the class ``at`` that links reach and the
+    smallest ``(doc_id, text_hash, row_no)`` that has these words."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     sketched = written(sketches(docs), "sketches")
-    least = F.min(F.struct("doc_id", "text_hash")).alias("least")
+    least = F.min(F.struct("doc_id", "text_hash", "row_no")).alias("least")
     classes = sketched.where("fp is not null").groupBy("fp").agg(least, F.first("bands").alias("bands"))
-    classes = written(classes.select("fp", "least.doc_id", "least.text_hash", "bands"), "text-classes")
+    classes = written(classes.select("fp", "least.doc_id", "least.text_hash", "least.row_no", "bands"), "text-classes")
     groups = components(links(docs, classes, threshold))
-    ids = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", "text_hash", F.coalesce("component", "fp").alias("at"))
-    return sketched.select("doc_id", "text_hash", "fp"), ids
+    ids = classes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "doc_id", "text_hash", "row_no", F.coalesce("component", "fp").alias("at"))
+    return sketched.select("doc_id", "text_hash", "row_no", "fp"), ids
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id``, ``class_id`` and ``kept`` for each row of ``docs(doc_id, text)``: the class is the smallest doc_id that
-    links reach, and one document of each class is kept, that with this doc_id.
+    """``doc_id``, ``class_id``, ``class_hash`` and ``kept`` for each row of ``docs(doc_id, text)``: the class is the smallest
+    doc_id that links reach, and one row of each class is kept, one with this doc_id.
 
     Words are runs of other bytes than ASCII white space, A-Z in lower case; documents of the same words are alike.
-    A null text, or one without words, is like no other and its own class.  A null doc_id counts as the smallest long.
-    Rows that repeat a doc_id each have the class of their text.  Whole texts are read; other columns are ignored.
+    A null text, or one without words, is like no other and its own class, which has no hash.  A null doc_id counts as the
+    smallest long.  Rows that repeat a doc_id each have the class of their text; classes that share their smallest doc_id
+    are told apart by ``class_hash``, which no two classes share.  Whole texts are read; other columns are ignored.
     """
     rows, ids = _classified(docs, threshold)
-    least = ids.groupBy("at").agg(F.min("doc_id").alias("class_id"))
-    by_text = ids.join(least, "at").select("fp", "class_id")
-    out = rows.select("doc_id", "fp").join(by_text, "fp", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    least = ids.groupBy("at").agg(F.min(F.struct("doc_id", "text_hash", "row_no")).alias("least"))
+    by_text = ids.select("fp", "at").join(least, "at").select("fp", F.col("at").alias("class_hash"), F.col("least.doc_id").alias("class_id"), F.col("least.row_no").alias("keeps"))
+    out = rows.select("doc_id", "row_no", "fp").join(by_text, "fp", "left")
     none = F.lit(NO_ID)
-    return out.select(F.nullif(F.col("doc_id"), none).alias("doc_id"), F.nullif(F.col("class_id"), none).alias("class_id"), (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    kept = F.col("fp").isNull() | (F.col("row_no") == F.col("keeps"))
+    return out.select(F.nullif(F.col("doc_id"), none).alias("doc_id"), F.nullif(F.coalesce("class_id", "doc_id"), none).alias("class_id"), "class_hash", kept.alias("kept"))
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

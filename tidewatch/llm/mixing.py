@@ -55,7 +55,7 @@ def token_count(text: Column) -> Column:
     return F.when(flat == "", 0).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budget: float | None = None, cover: bool = False, seed: int = 0, counted: str | None = None) -> DataFrame:
+def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budget: float | None = None, cover: bool = False, seed: int = 0, counted: str | None = None, row: str | None = None) -> DataFrame:
     """Rows of ``docs`` as often as the mixture has them, with ``tokens``, ``block``, ``epoch``, ``position`` and ``weight``.
 
     ``entropy`` is the target as a share of the most possible, ``repeats`` the most passes over a source, ``budget``
@@ -63,13 +63,16 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
     document at least once, and ``repeats`` limits passes with that budget.  ``position`` from 0 to 1 orders the
     mixture: blocks of all sources interleave in proportion.
 
-    Tokens are counted in ``text``, or are given by the column ``counted``, so that texts aren't read again.  A null source is a source of its own.  A source without tokens has
+    Blocks are told by ``row``, a column that no two rows share, or without it by doc_id, and by the text where that is null:
+    rows that are equal in this share a block then.  Tokens are counted in ``text``, or are given by the column ``counted``, so that texts aren't read again.  A null source is a source of its own.  A source without tokens has
     each document once.  If the limit can't be kept (the budget is more than ``repeats`` times all tokens), weights
     are the shares themselves.  Repeated rows count each.  Columns of those five names are replaced; other columns pass
     through, their names must not begin with ``_mix``.  An empty table gives an empty one.
     """
+    seeded = lambda *c: F.xxhash64(F.lit(seed), *c)
+    identity = seeded(row) if row else F.when(F.col("doc_id").isNotNull(), seeded("doc_id")).otherwise(seeded(F.lit("text"), *(["text"] if "text" in docs.columns else [])))
     docs = docs.withColumn("_mix_tokens", F.col(counted).cast("long") if counted else token_count(F.col("text"))).drop("tokens", "block", "epoch", "position", "weight")
-    docs = docs.withColumns({"_mix_source": F.coalesce("source", F.lit("\0")), "_mix_hash": F.xxhash64(F.lit(seed), "doc_id")})
+    docs = docs.withColumns({"_mix_source": F.coalesce("source", F.lit("\0")), "_mix_hash": identity})
     slim = written(docs.select(F.col("_mix_source").alias("_source"), F.col("_mix_hash").alias("_hash"), F.coalesce("_mix_tokens", F.lit(0)).cast("long").alias("tokens")), "mix-tokens")
     by_source = slim.groupBy("_source").agg(F.sum("tokens").alias("tokens"))
     total = by_source.agg(F.sum("tokens")).first()[0] or 0
@@ -105,8 +108,9 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    counts = written(docs.select("doc_id", "source", token_count(F.col("text")).alias("tokens")), "token-counts")
-    return mixture(counts, entropy=0.97, repeats=4.0, counted="tokens").select("doc_id", "source", "tokens", "block", "epoch", "position", "weight")
+    counts = docs.select("doc_id", "source", token_count(F.col("text")).alias("tokens"), F.monotonically_increasing_id().alias("row"))
+    counts = written(counts, "token-counts")  # numbers of rows stay as they are once written
+    return mixture(counts, entropy=0.97, repeats=4.0, counted="tokens", row="row").select("doc_id", "source", "tokens", "block", "epoch", "position", "weight")
 
 
 QUERIES = {"op8_mixing": op8_mixing}

@@ -99,6 +99,17 @@ class Normaliser:
         return bytes(out), np.array([*where, at])
 
 
+def alike(text: np.ndarray, begin: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
+    """Whether all stretches of ``text``, which follow each other, have the bytes of those numbered ``other``."""
+    size = end - begin
+    if (size != size[other]).any():
+        return False
+    shift = (begin[other] - begin).astype(np.int32 if len(text) < 1 << 31 else np.int64)
+    place = np.arange(len(text), dtype=shift.dtype)
+    place += np.repeat(shift, size)
+    return bool((text[place] == text).all())
+
+
 class Encoder:
     """A model file as encoder and decoder."""
 
@@ -150,9 +161,13 @@ class Encoder:
         begin = np.flatnonzero(starts)
         end = np.append(begin[1:], len(text))[: len(begin)]
         row = np.searchsorted(edges, begin, "right") - 1
-        # equal units have equal hashes; each distinct one is segmented once
+        # each distinct unit is segmented once; units of one hash are held against its first, byte by byte
         _, one, kind = np.unique(hashed(text, begin, end), return_index=True, return_inverse=True)
         raw = text.tobytes()
+        if not alike(text, begin, end, one[kind]):
+            number: dict[bytes, int] = {}
+            kind = np.array([number.setdefault(raw[i:j], len(number)) for i, j in zip(begin.tolist(), end.tolist(), strict=True)])
+            one = np.unique(kind, return_index=True)[1]
         lists = self._ids([raw[i:j] for i, j in zip(begin[one].tolist(), end[one].tolist(), strict=True)])
         count = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter((i for x in lists for i in x), np.int32, int(count.sum()))

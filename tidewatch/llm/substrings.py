@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._store import written
-from ._text import LOWER, SPACE, mix, pieces, powers, utf8, words
+from ._text import LOWER, SPACE, mix, pieces, runs_hashed, utf8, words
 
 #: Bytes that a hash covers; bytes on either side among which a cut is least, so a chunk has about twice as many.
 GEAR_BYTES, RADIUS = 16, 24
@@ -27,9 +27,9 @@ GEAR_BYTES, RADIUS = 16, 24
 MOST_WORDS = 512
 #: Words that make a passage; the sentences that many documents share are shorter.
 LEAST_WORDS = 51
-#: Bytes by which an end of a run of chunks is moved at most.  What chunks miss of a passage is less: a chunk that reaches
-#: beyond it, and one whose cut depends on what is beyond it.
-REACH = 192
+#: Bytes beyond an end of a run of chunks that are read first.  What chunks miss of a passage is less, as a rule: a chunk that
+#: reaches beyond it, and one whose cut depends on what is beyond it.  Where all of them agree, so many times more are read.
+REACH, FARTHER = 192, 8
 #: Ends that are looked up by a broadcast of their places; more are dealt out with the texts.
 FEW = 2_000_000
 
@@ -87,11 +87,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first = np.repeat(first, parts) + inner * MOST_WORDS
         size = np.diff(np.append(first, len(row)))
-    up, down = powers(len(h) + 1)
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(mix(h) * up[: len(h)], out=sums[1:])
-    digest = mix((sums[first + size] - sums[first]) * down[first] + mix(size.astype(np.uint64)))
-    return row[first], begin[first], end[first + size - 1], size, digest
+    return row[first], begin[first], end[first + size - 1], size, runs_hashed(h, first, size)
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -121,9 +117,10 @@ def _hashes(text: str) -> list[Column]:
     return [F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit("key"), text).alias("text_key")]
 
 
-def _windows(docs: DataFrame, spots: DataFrame) -> DataFrame:
-    """For each of ``spots(text_hash, text_key, pos, side)``, distinct, the words of the text before (side 0) or after (1) the
-    place, from there on: ``words``, 32 bits of their hashes, and ``far``, bytes from the place to the far end of each."""
+def _windows(docs: DataFrame, spots: DataFrame, reach: int) -> DataFrame:
+    """For each of ``spots(text_hash, text_key, pos, side)``, distinct, the words of the text in ``reach`` bytes before (side 0)
+    or after (1) the place, from there on: ``words``, 32 bits of their hashes, ``far``, bytes from the place to the far end
+    of each, and ``more``, whether the text goes on beyond these bytes."""
     keys = ["text_hash", "text_key"]
     # a text has a place for either end of each of its chunks at most
     by_text = written(spots.groupBy(*keys).agg(F.collect_list(F.struct("pos", "side")).alias("spots")), "chunk-spots")
@@ -139,8 +136,8 @@ def _windows(docs: DataFrame, spots: DataFrame) -> DataFrame:
             flat = lists.flatten()
             pos, side = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
             at = offsets[row] + pos
-            a = np.where(side == 0, np.maximum(offsets[row], at - REACH), at)
-            b = np.where(side == 0, at, np.minimum(offsets[row + 1], at + REACH))
+            a = np.where(side == 0, np.maximum(offsets[row], at - reach), at)
+            b = np.where(side == 0, at, np.minimum(offsets[row + 1], at + reach))
             for i, j in pieces(np.concatenate([[0], np.cumsum(b - a)])):
                 raw = b"".join(data[x:y].tobytes() for x, y in zip(a[i:j].tolist(), b[i:j].tolist(), strict=True))
                 starts = np.concatenate([[0], np.cumsum(b[i:j] - a[i:j])])
@@ -155,22 +152,37 @@ def _windows(docs: DataFrame, spots: DataFrame) -> DataFrame:
                 far = np.where(left, starts[spot + 1] - begin, end - starts[spot])
                 order = np.lexsort((far, spot))
                 cuts = pa.array(np.searchsorted(spot, np.arange(j - i + 1)).astype(np.int32))
-                lists_ = [pa.ListArray.from_arrays(cuts, pa.array(v[order])) for v in ((h >> np.uint64(32)).astype(np.uint32).view(np.int32), far.astype(np.int16))]
+                lists_ = [pa.ListArray.from_arrays(cuts, pa.array(v[order])) for v in ((h >> np.uint64(32)).astype(np.uint32).view(np.int32), far.astype(np.int32))]
                 taken = pa.array(row[i:j])
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(taken) for k in keys), pa.array(pos[i:j].astype(np.int32)), pa.array(side[i:j].astype(np.int32)), *lists_], names=[*keys, "pos", "side", "words", "far"])
+                more = np.where(side[i:j] == 0, a[i:j] > offsets[row[i:j]], b[i:j] < offsets[row[i:j] + 1])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(taken) for k in keys), pa.array(pos[i:j].astype(np.int32)), pa.array(side[i:j].astype(np.int32)), *lists_, pa.array(more)], names=[*keys, "pos", "side", "words", "far", "more"])
 
-    found = texts.mapInArrow(run, "text_hash long, text_key long, pos int, side int, words array<int>, far array<smallint>")
+    found = texts.mapInArrow(run, "text_hash long, text_key long, pos int, side int, words array<int>, far array<int>, more boolean")
     return written(found.dropDuplicates([*keys, "pos", "side"]), "chunk-windows")
 
 
-def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def _moved(docs: DataFrame, ends: DataFrame, reach: int) -> DataFrame:
+    """``ends(row_no, a, own, ref)`` with ``side``, ``more`` words that are alike beyond both places, ``by`` how many bytes of
+    the own text, and ``open``, whether they are all that ``reach`` bytes have and there are more."""
+    windows = _windows(docs, ends.select("own.*").union(ends.select("ref.*")).distinct(), reach)
+    for c in ("own", "ref"):
+        side = windows.select(F.struct("text_hash", "text_key", "pos", "side").alias(c), F.col("words").alias(f"{c}_words"), F.col("more").alias(f"{c}_more"), *([F.col("far").alias("far")] if c == "own" else []))
+        ends = ends.join(side, c)
+    differ = F.zip_with("own_words", "ref_words", lambda x, y: x.isNull() | y.isNull() | (x != y))
+    same = F.array_position(differ, F.lit(True)).cast("int")
+    same = F.when(same > 0, same - 1).otherwise(F.size(differ))
+    open_ = ((same == F.size("own_words")) & F.col("own_more")) | ((same == F.size("ref_words")) & F.col("ref_more"))
+    return ends.select("row_no", "a", "own", "ref", F.col("own.side").alias("side"), same.alias("more"), F.coalesce(F.get("far", same - 1), F.lit(0)).alias("by"), open_.alias("open"))
+
+
+def passages(docs: DataFrame, least_words: int = LEAST_WORDS, reach: int = REACH) -> DataFrame:
     """A row for each repeated passage: ``doc_id``, ``text_hash``, ``begin`` and ``end`` in bytes of the text's UTF-8,
     ``n_words``, and ``first_doc_id``, where its first whole chunk is first.
 
     Chunks are first in the document with the smallest doc_id (null first), and there at the smallest place; all later ones
-    repeat them, also within a document.  A passage is a run of repeating chunks and the words on either side, ``REACH`` bytes
-    at most, that are also those beside the first occurrence of the run's first or last chunk; it has at least
-    ``least_words`` words.  Words are compared without the case of A-Z and whatever the white space between them.  Two
+    repeat them, also within a document.  A passage is a run of repeating chunks and the words on either side, as far as they
+    are also those beside the first occurrence of the run's first or last chunk (``reach`` bytes are read first, and more
+    where all of these agree); it has at least ``least_words`` words.  Words are compared without the case of A-Z and whatever the white space between them.  Two
     passages of a text can overlap.  Null and empty texts have no passages.  Rows that repeat a doc_id are told apart, and
     all but one repeat.  Other columns are ignored.
     """
@@ -197,14 +209,14 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     place = F.when(F.col("side") == 0, F.get("begins", F.col("no"))).otherwise(F.get("ends", F.col("no")))
     refs = refs.select(F.col("row_no").alias("there"), "no", "side", F.struct("text_hash", "text_key", place.alias("pos"), "side").alias("ref"))
     ends = written(ends.join(refs, ["there", "no", "side"]).select("row_no", "a", "own", "ref"), "chunk-ends")
-    windows = _windows(docs, ends.select("own.*").union(ends.select("ref.*")).distinct())
-    for c in ("own", "ref"):
-        side = windows.select(F.struct("text_hash", "text_key", "pos", "side").alias(c), F.col("words").alias(f"{c}_words"), *([F.col("far").alias("far")] if c == "own" else []))
-        ends = ends.join(side, c)
-    differ = F.zip_with("own_words", "ref_words", lambda x, y: x.isNull() | y.isNull() | (x != y))
-    same = F.array_position(differ, F.lit(True)).cast("int")
-    same = F.when(same > 0, same - 1).otherwise(F.size(differ))
-    moved = ends.select("row_no", "a", F.col("own.side").alias("side"), same.alias("more"), F.coalesce(F.get("far", same - 1).cast("int"), F.lit(0)).alias("by"))
+    moved = None
+    while True:
+        step = written(_moved(docs, ends, reach), "chunk-moves")
+        done = step.where("not open").select("row_no", "a", "side", "more", "by")
+        moved = done if moved is None else moved.union(done)
+        ends, reach = step.where("open").select("row_no", "a", "own", "ref"), reach * FARTHER
+        if not ends.take(1):
+            break
     by = lambda s: F.sum(F.when(F.col("side") == s, F.col("by")).otherwise(0)).cast("int")
     moved = moved.groupBy("row_no", "a").agg(F.sum("more").cast("int").alias("more"), by(0).alias("back"), by(1).alias("on"))
     found = runs.join(moved, ["row_no", "a"]).withColumn("n_words", F.col("n_words") + F.col("more")).where(F.col("n_words") >= least_words)
