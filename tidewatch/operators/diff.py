@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import slices
+
 
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
@@ -82,11 +84,14 @@ def published_changes(prev: DataFrame, cur: DataFrame, keys: list[str], features
 
 
 def change_log(ticks: DataFrame, keys: list[str], features: list[str], *order: str) -> DataFrame:
-    """Of a history of snapshots, the first row of each key and those that differ from the one before."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """Of a history of snapshots, the first row of each key and those that differ from the one before.  A long history is
+    compared in slices; the first row of a slice is compared with the last one of the slice before."""
+    rows = slices.sliced(ticks, *keys, *order)
     state = F.struct(*features)
-    first = F.row_number().over(w) == 1
-    return ticks.withColumn("_keep", first | ~same(state, F.lag(state).over(w))).where("_keep").drop("_keep")
+    last = rows.groupBy(*keys, slices.SLICE).agg(F.max_by(state, slices.PLACE).alias("_end"))
+    before = F.coalesce(F.lag(state).over(Window.partitionBy(*keys, slices.SLICE).orderBy(slices.PLACE)), F.col("_carried"))
+    out = slices.with_carried(rows, slices.carried(last, keys, F.col("_end")), keys).withColumn("_before", before)
+    return out.where(F.col("_before").isNull() | ~same(F.struct(*features), F.col("_before"))).select(ticks.columns)
 
 
 def applied(prev: DataFrame, changes: DataFrame, keys: list[str], features: list[str]) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import slices
 
 
 def selector_union(known: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -56,12 +57,11 @@ def replaced(df: DataFrame, column: str, mapping: DataFrame, key: str, value: st
 def asof_forward(left: DataFrame, right: DataFrame, keys: list[str], time: str = "ts") -> DataFrame:
     """Rows of ``left`` with the first time of ``right`` strictly after theirs, ``next_ts``; those without one are dropped.
 
-    Both sides go through one window, so rows are shuffled once by key and no pair is compared.
+    Both sides go through one order, so no pair is compared; a key with very many rows is read in slices.
     """
     both = left.withColumn("_right", F.lit(None).cast(right.schema[time].dataType)).unionByName(
         right.select(*keys, time, F.col(time).alias("_right")), allowMissingColumns=True
     )
-    # backwards in time, so that the frame only grows; at one time the left side's rows come before the right side's
-    w = Window.partitionBy(*keys).orderBy(F.col(time).desc(), F.col("_right").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
-    out = both.withColumn("next_ts", F.last("_right", ignorenulls=True).over(w)).where("_right is null and next_ts is not null")
-    return out.drop("_right")
+    # at one time the right side's rows come first, so that those after a row of the left side are strictly later
+    out = slices.last_known(both, keys, [time, F.col("_right").isNull()], "_right", "next_ts", backward=True, strict=True)
+    return out.where("_right is null and next_ts is not null").drop("_right")

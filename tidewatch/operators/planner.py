@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import slices
 
 #: Zones of a query, queries of a batch; regions and types of a request; calls and minutes of a window; types
 #: from which on a region counts as large.
@@ -97,7 +98,7 @@ def bin_packed(zones: DataFrame, capacity: int = PACK) -> DataFrame:
 def request_batches(bins: DataFrame, size: int = BATCH) -> DataFrame:
     """Queries (one for each type and bin) in batches of ``size``: ``batch`` and ``queries`` (instance, regions, n)."""
     one = bins.groupBy("InstanceType", "bin").agg(F.array_sort(F.collect_list("Region")).alias("regions"), F.sum("n").cast("int").alias("n"))
-    ranked = one.withColumn("i", F.row_number().over(Window.orderBy("InstanceType", "bin")))  # a row for each request of a plan
+    ranked = slices.numbered(one, ["InstanceType", "bin"], "i")
     entry = F.struct("i", F.col("InstanceType").alias("instance"), "regions", "n")
     return ranked.groupBy(F.ceil(F.col("i") / size).cast("int").alias("batch")).agg(F.array_sort(F.collect_list(entry)).alias("queries"))
 
@@ -229,8 +230,9 @@ def rate_windows(calls: DataFrame, by: list[str], time: str = "ts", minutes: int
 def allocated(requests: DataFrame, order: list[str], subscriptions: list[str], locations: list[str], after: int = 0) -> DataFrame:
     """(subscription, location) for each request, in turn, resuming after the pair number ``after``."""
     n, m = len(subscriptions), len(locations)
-    i = (F.row_number().over(Window.orderBy(*order)) - 1 + after) % (n * m)  # a row for each request of a tick
-    return requests.withColumns({"subscription": F.element_at(F.lit(subscriptions), (i / m).cast("int") + 1), "location": F.element_at(F.lit(locations), (i % m + 1).cast("int"))})
+    i = F.pmod(F.col("_i"), F.lit(n * m))
+    turns = {"subscription": F.element_at(F.lit(subscriptions), (i / m).cast("int") + 1), "location": F.element_at(F.lit(locations), (i % m + 1).cast("int"))}
+    return slices.numbered(requests, order, "_i", after).withColumns(turns).drop("_i")
 
 
 def allocated_with_room(requests: DataFrame, order: list[str], pairs: DataFrame, after: int = -1, limit: int = CALLS) -> DataFrame:
@@ -244,8 +246,8 @@ def allocated_with_room(requests: DataFrame, order: list[str], pairs: DataFrame,
     n = pairs.agg(F.count("*").alias("_n"))
     turn = F.pmod(F.col("place") - (after + 1), F.col("_n"))
     slots = pairs.crossJoin(F.broadcast(n)).where(room > 0).select("subscription", "location", turn.alias("_turn"), F.explode(F.sequence(F.lit(1), room)).alias("_round"))  # n is one row
-    slots = slots.select("subscription", "location", F.row_number().over(Window.orderBy("_round", "_turn")).alias("_k"))  # at most limit rows for each pair
-    ranked = requests.withColumn("_k", F.row_number().over(Window.orderBy(*order)))  # a row for each request of a tick
+    slots = slices.numbered(slots, ["_round", "_turn"], "_k").select("subscription", "location", "_k")
+    ranked = slices.numbered(requests, order, "_k")
     return ranked.join(slots, "_k", "left").drop("_k")
 
 
@@ -254,8 +256,7 @@ def credentials_kept(requests: DataFrame, known: DataFrame, key: str, start: int
     numbers in the order of their keys.  The result's keys and credentials are the mapping for the next time."""
     new = requests.select(key).distinct().join(known.select(key), key, "left_anti")
     used = F.greatest(F.coalesce(F.max("credential") + 1, F.lit(start)), F.lit(start)).alias("_next")
-    i = F.row_number().over(Window.orderBy(key)) - 1  # a row for each new request
-    fresh = new.withColumn("_i", i).crossJoin(F.broadcast(known.agg(used)))  # one row
+    fresh = slices.numbered(new, [key], "_i", 0).crossJoin(F.broadcast(known.agg(used)))  # one row
     mapping = known.select(key, F.col("credential").cast("long").alias("credential")).unionByName(fresh.select(key, (F.col("_next") + F.col("_i")).cast("long").alias("credential")))
     return requests.join(mapping, key)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import slices
+
 
 def endpoints(points: DataFrame, series: list[str], start: Column, end: Column, time: str = "ts", value: str = "value", tie: str | None = None) -> DataFrame:
     """``start_value`` and ``end_value`` of each series: the last value at or before the time, at the start else the first
@@ -27,9 +29,8 @@ def chart(points: DataFrame, series: list[str], start: Column, end: Column, time
 
 
 def filled(points: DataFrame, series: list[str], order: list[str], value: str = "value") -> DataFrame:
-    """Step interpolation: a null takes the last value before it."""
-    w = Window.partitionBy(*series).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return points.withColumn("filled", F.last(value, ignorenulls=True).over(w))
+    """Step interpolation: a null takes the last value before it.  A long series is filled in slices."""
+    return slices.last_known(points, series, order, value, "filled")
 
 
 def numeric_columns(df: DataFrame, *but: str) -> list[str]:

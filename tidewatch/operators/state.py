@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import CAPACITIES
+from . import slices
 
 #: The next smaller capacity that is asked for.
 FALLBACK = dict(zip(CAPACITIES, (*CAPACITIES[1:], 0), strict=True))
@@ -60,27 +61,37 @@ def _composed(steps: Column) -> Column:
 
 
 def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity") -> DataFrame:
-    """Each key's state after all its ticks, in order: one shuffle by key, however long its history.
+    """Each key's state after all its ticks, in order, however many of the ticks are of one key.
 
-    The score that is kept is a running maximum since the last single-node score.  Given it, a tick moves a level into
-    bounds, and so do several ticks together: they are folded ``CHUNK`` at a time, and then the chunks.
+    The score that is kept is a running maximum since the last single-node score: a slice of the order knows it by itself
+    from its first single-node score on, and before that from its own ticks and the score carried into it.  Given it, a tick
+    moves a level into bounds, and so do several ticks together: they are folded ``CHUNK`` at a time, then the chunks of a
+    slice, then the slices.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    sl, at = slices.SLICE, slices.PLACE
+    rows = slices.sliced(ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c")), *keys, *order)
+    w = Window.partitionBy(*keys, sl).orderBy(at)
+    so_far = (Window.unboundedPreceding, 0)
     single, s = F.col("_c") == 1, F.col("_s")
-    rows = ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c"))
-    rows = rows.withColumns({"_since": F.count_if(single & s.isNotNull()).over(so_far), "_chunk": F.floor((F.row_number().over(w) - 1) / CHUNK)})
-    rows = rows.withColumn("_kept", F.max("_s").over(Window.partitionBy(*keys, "_since").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_known", F.when(single, F.coalesce(s, F.lag("_kept").over(w))).otherwise(s))
+    rows = rows.withColumn("_since", F.count_if(single & s.isNotNull()).over(w.rowsBetween(*so_far)))
+    rows = rows.withColumn("_local", F.max("_s").over(Window.partitionBy(*keys, sl, "_since").orderBy(at).rowsBetween(*so_far)))
+    # a slice with a single-node score begins anew, others go on with what the slices before have kept
+    ends = rows.groupBy(*keys, sl).agg(F.max("_since").alias("_n"), F.max_by("_local", at).alias("_end"))
+    by_key = Window.partitionBy(*keys).orderBy(sl)
+    ends = ends.withColumn("_run", F.count_if(F.col("_n") > 0).over(by_key.rowsBetween(*so_far)))
+    ends = ends.withColumn("_end", F.max("_end").over(Window.partitionBy(*keys, "_run").orderBy(sl).rowsBetween(*so_far)))
+    rows = slices.with_carried(rows, slices.carried(ends, keys, F.col("_end")), keys)
+    rows = rows.withColumn("_kept", F.when(F.col("_since") > 0, F.col("_local")).otherwise(F.greatest("_local", "_carried")))
+    rows = rows.withColumn("_known", F.when(single, F.coalesce(s, F.lag("_kept").over(w), F.col("_carried"))).otherwise(s))
     below = F.coalesce(F.create_map(*(F.lit(x) for pair in FALLBACK.items() for x in pair))[F.col("_c")], F.lit(0))
     bounds = []
     for t, level, cleared in ((3, tick_levels(s, F.col("_c"))[0], F.col("_kept") <= 2), (2, tick_levels(s, F.col("_c"))[1], F.col("_kept") < 2)):
         up = F.col("_known") >= t
         bounds += [F.when(cleared, 0).when(up, level).otherwise(LOW).alias(f"lo{t}"), F.when(cleared, 0).when(up, HIGH).otherwise(below).alias(f"hi{t}")]
-    sorted_ = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
-    chunks = rows.groupBy(*keys, "_chunk").agg(sorted_(*order, *bounds).alias("_steps"), F.max_by("_kept", F.struct(*order)).alias("_last"))
-    chunks = chunks.select(*keys, "_chunk", "_last", _composed(F.col("_steps")).alias("_step"))
-    whole = chunks.groupBy(*keys).agg(sorted_("_chunk", *(F.col(f"_step.{side}{t}").alias(f"{side}{t}") for t in (3, 2) for side in ("lo", "hi"))).alias("_steps"), F.max_by("_last", "_chunk").alias("sps"))
-    whole = whole.withColumn("_end", _composed(F.col("_steps")))
-    level = lambda t: F.greatest(F.col(f"_end.lo{t}"), F.least(F.col(f"_end.hi{t}"), F.lit(0))).cast("int").alias(f"t{t}")
-    return whole.select(*keys, "sps", level(3), level(2))
+    now = rows.select(*keys, sl, F.floor(F.col(at) / CHUNK).alias("_chunk"), at, F.col("_kept").alias("_last"), F.struct(*bounds).alias("_step"))
+    for by, place in (([*keys, sl, "_chunk"], at), ([*keys, sl], "_chunk"), (keys, sl)):
+        steps = F.transform(F.array_sort(F.collect_list(F.struct(place, "_step"))), lambda x: x["_step"])
+        now = now.groupBy(*by).agg(steps.alias("_steps"), F.max_by("_last", place).alias("_last"))
+        now = now.select(*by, "_last", _composed(F.col("_steps")).alias("_step"))
+    level = lambda t: F.greatest(F.col(f"_step.lo{t}"), F.least(F.col(f"_step.hi{t}"), F.lit(0))).cast("int").alias(f"t{t}")
+    return now.select(*keys, F.col("_last").alias("sps"), level(3), level(2))

@@ -250,7 +250,7 @@ def record_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.numbered(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
+    return sinks.numbered(read(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"]).withColumn("id", F.col("id").cast("int"))
 
 
 def newest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import shared_folder, stored  # noqa: F401
+
 KEYS = ["user_id", "event_type"]
 
 
@@ -25,21 +24,6 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 TICKS = "WITH ticks AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a local one of our own only in local mode."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return base or tempfile.mkdtemp(prefix="tidewatch-")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back: computed once."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def signals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Scores by (InstanceType, Region, AZ), frequencies and on-demand prices by (InstanceType, Region), spot prices by
     (InstanceType, AZ).  Some frequencies and prices are missing."""

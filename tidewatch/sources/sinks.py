@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import slices
+
 
 def numbered(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``id`` from 1 in the order of the keys.  For published snapshots, which have a row for each key and are read whole."""
-    return df.withColumn("id", F.row_number().over(Window.orderBy(*keys)))
+    """``id`` from 1 in the order of the keys, counted in slices."""
+    return slices.numbered(df, keys)
 
 
 def write_latest(df: DataFrame, path: str, keys: list[str], *, also_parquet: str | None = None) -> None:
