@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.store import stored
 from . import slices
 
 #: Zones of a query, queries of a batch; regions and types of a request; calls and minutes of a window; types
@@ -21,74 +22,85 @@ LARGE_REGION = 100
 TASK_REGIONS, TASK_TYPES = 64, 1000
 
 
-def packed(weights: list[int], capacity: int = PACK) -> list[int] | None:
-    """A bin for each weight with as few bins as possible; None if one doesn't fit.
+def _in_tens(weights: list[int]) -> list[list[int]]:
+    """Bins of capacity 10, as few as possible, as lists of places in ``weights``, which are from 1 to 10.
 
-    Branch and bound: largest first, bins of equal room are tried once, a bound from the sum ends the search early.
+    In linear time, by three facts.  Two weights of 10 together share a bin in some best packing, as what shared theirs fits one
+    bin.  Ones go last, into what room there is.  Of the rest, loads are told in twos, rounded up: a 4 counts 2, a 3 by itself 2,
+    two of them 3, a 5 counts 3 and with a 3 it counts 4; a bin holds 5, and again 4 and 1, or 3 and 2, share a bin.  How many 3s
+    are by themselves is tried out.
     """
-    if any(w > capacity for w in weights):
+    at: dict[int, list[int]] = {w: [] for w in range(1, 11)}
+    for i, w in enumerate(weights):
+        at[w].append(i)
+    bins = [[i] for i in at[10]]
+    for w in range(1, 6):
+        while at[w] and len(at[10 - w]) > (w == 5):
+            bins.append([at[w].pop(), at[10 - w].pop()])
+    bins += [[i] for i in at[9]]
+
+    def counts(lone: int, joined: int) -> tuple[int, int, int, int]:
+        pairs = (len(at[3]) - joined - lone) // 2
+        return len(at[2]), len(at[4]) + lone, len(at[6]) + pairs + len(at[5]) - joined, len(at[8]) + len(at[7]) + joined
+
+    def needed(one: int, two: int, three: int, four: int) -> int:
+        n = max(one, four) if four > one else four
+        one, m = max(0, one - four), min(two, three)
+        two, three, n = two - m, three - m, n + m + three - m
+        room = 2 * three + (5 * -(-two // 2) - 2 * two)
+        return n + -(-two // 2) + -(-max(0, one - room) // 5)
+
+    ways = [(lone, joined) for joined in range(1 + (len(at[5]) > 0 and len(at[3]) > 0)) for lone in range((len(at[3]) - joined) % 2, len(at[3]) - joined + 1, 2)]
+    lone, joined = min(ways, key=lambda way: needed(*counts(*way)))
+    groups: dict[int, list[list[int]]] = {1: [[i] for i in at[2]], 2: [[i] for i in at[4]], 3: [[i] for i in at[6]], 4: [[i] for i in at[8] + at[7]]}
+    threes, fives = at[3].copy(), at[5].copy()
+    groups[2] += [[threes.pop()] for _ in range(lone)]
+    groups[4] += [[threes.pop(), fives.pop()] for _ in range(joined)]
+    groups[3] += [[i] for i in fives] + [threes[i : i + 2] for i in range(0, len(threes), 2)]
+    rest: list[tuple[int, list[int]]] = []  # room in twos, what is in the bin
+    for small, large in ((1, 4), (2, 3)):
+        while groups[small] and groups[large]:
+            rest.append((0, groups[small].pop() + groups[large].pop()))
+    rest += [(5 - u, g) for u in (4, 3) for g in groups[u]]
+    rest += [(5 - 2 * len(pair), [i for g in pair for i in g]) for k in range(0, len(groups[2]), 2) for pair in [groups[2][k : k + 2]]]
+    twos = groups[1]
+    for room, held in rest:
+        for _ in range(min(room, len(twos))):
+            held += twos.pop()
+    bins += [held for _, held in rest]
+    bins += [[i for g in twos[k : k + 5] for i in g] for k in range(0, len(twos), 5)]
+    ones = at[1]
+    for held in bins:
+        room = 10 - sum(weights[i] for i in held)
+        held += [ones.pop() for _ in range(min(room, len(ones)))]
+    return bins + [ones[k : k + 10] for k in range(0, len(ones), 10)]
+
+
+def packed(weights: list[int]) -> list[int] | None:
+    """A bin of capacity ``PACK`` for each weight with as few bins as possible; None if one doesn't fit.  Weights of 0 are in the
+    first bin."""
+    if any(w > PACK for w in weights):
         return None
-    order = sorted(range(len(weights)), key=lambda i: -weights[i])
-    total = sum(weights)
-    least = max(-(-total // capacity), sum(1 for w in weights if 2 * w > capacity))
-    best: list[int] = []
-    room: list[int] = []
-    for i in order:  # first fit decreasing
-        b = next((b for b, r in enumerate(room) if r >= weights[i]), len(room))
-        if b == len(room):
-            room.append(capacity)
-        room[b] -= weights[i]
-        best.append(b)
-    most = len(room)
-    rest = [0] * (len(order) + 1)
-    for k in range(len(order) - 1, -1, -1):
-        rest[k] = rest[k + 1] + weights[order[k]]
-    place: list[int] = []
-
-    def search(k: int, room: list[int]) -> bool:
-        nonlocal best, most
-        if len(room) + max(0, -(-(rest[k] - sum(room)) // capacity)) >= most:
-            return False
-        if k == len(order):
-            best, most = place.copy(), len(room)
-            return most == least
-        w, seen = weights[order[k]], set()
-        for b, r in enumerate(room):
-            if r >= w and r not in seen:
-                seen.add(r)
-                room[b] -= w
-                place.append(b)
-                if search(k + 1, room):
-                    return True
-                place.pop()
-                room[b] += w
-        room.append(capacity - w)
-        place.append(len(room) - 1)
-        done = search(k + 1, room)
-        place.pop()
-        room.pop()
-        return done
-
-    if most > least:
-        search(0, [])
     out = [0] * len(weights)
-    for i, b in zip(order, best, strict=True):
-        out[i] = b
+    some = [i for i, w in enumerate(weights) if w > 0]
+    for b, held in enumerate(_in_tens([weights[i] for i in some])):
+        for k in held:
+            out[some[k]] = b
     return out
 
 
-def bin_packed(zones: DataFrame, capacity: int = PACK) -> DataFrame:
-    """(InstanceType, Region, n) with the query ``bin`` of each.  A region of more than ``capacity`` zones has a row and a bin of
-    its own for each full ``capacity`` of them, and a row for the rest, which is packed with those of other regions.
+def bin_packed(zones: DataFrame) -> DataFrame:
+    """(InstanceType, Region, n) with the query ``bin`` of each.  A region of more than ``PACK`` zones has a row and a bin of
+    its own for each full ``PACK`` of them, and a row for the rest, which is packed with those of other regions.
 
     A group is one instance type: it has a row for each region, so its size is bounded by the number of regions.
     """
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("Region")
-        full = pdf.loc[pdf.index.repeat(pdf["n"] // capacity)].assign(n=capacity)
-        rest = pdf.assign(n=pdf["n"] % capacity)[(pdf["n"] % capacity > 0) | (pdf["n"] == 0)]
-        bins = packed(rest["n"].tolist(), capacity)
+        full = pdf.loc[pdf.index.repeat(pdf["n"] // PACK)].assign(n=PACK)
+        rest = pdf.assign(n=pdf["n"] % PACK)[(pdf["n"] % PACK > 0) | (pdf["n"] == 0)]
+        bins = packed(rest["n"].tolist())
         first = max(bins, default=-1) + 1
         return pd.concat([rest.assign(bin=bins), full.assign(bin=range(first, first + len(full)))])[["InstanceType", "Region", "n", "bin"]]
 
@@ -280,17 +292,94 @@ def headroom(calls: DataFrame, subscriptions: int, locations: int, limit: int =
     return calls.agg(F.count("*").alias("made")).withColumn("left", F.lit(subscriptions * locations * limit) - F.col("made"))
 
 
+def _choose(n: Column, k: int) -> Column:
+    """Ways to choose 2 or 3 of n."""
+    return F.floor(n * (n - 1) / 2) if k == 2 else F.floor(n * (n - 1) * (n - 2) / 6)
+
+
+def _one_score(scores: DataFrame) -> DataFrame:
+    """A score for each type and zone; of several the largest counts."""
+    return scores.select("InstanceType", "AZ", "SPS").dropna("any").groupBy("InstanceType", "AZ").agg(F.max("SPS").alias("SPS"))
+
+
+def triple_counts(scores: DataFrame, sums: list[int]) -> DataFrame:
+    """How many triples of instance types each zone has by their scores: ``AZ``, ``s1`` <= ``s2`` <= ``s3``, how many types have
+    each (``n1``, ``n2``, ``n3``), their sum ``total``, one of ``sums``, and ``n``.  Made of counts: a few rows for each zone."""
+    per = _one_score(scores).groupBy("AZ", "SPS").agg(F.count("*").alias("n"))
+    one, two, three = (per.select("AZ", F.col("SPS").alias(f"s{i}"), F.col("n").alias(f"n{i}")) for i in (1, 2, 3))
+    all_ = one.join(two, "AZ").where("s1 <= s2").join(three, "AZ").where("s2 <= s3").withColumn("total", F.col("s1") + F.col("s2") + F.col("s3"))
+    a, b, c = F.col("n1"), F.col("n2"), F.col("n3")
+    same = F.col("s1") == F.col("s2"), F.col("s2") == F.col("s3")
+    n = F.when(same[0] & same[1], _choose(a, 3)).when(same[0], _choose(a, 2) * c).when(same[1], a * _choose(b, 2)).otherwise(a * b * c)
+    return all_.where(F.col("total").isin(sums)).withColumn("n", n.cast("long")).where("n > 0")
+
+
+def _largest(rank: Column, k: int) -> Column:
+    """The largest number of which ``_choose`` gives at most ``rank``: near the root, then exactly."""
+    root = F.floor(F.sqrt(2.0 * rank)) if k == 2 else F.floor(F.cbrt(6.0 * rank))
+    near = F.transform(F.sequence(F.lit(-1), F.lit(3)), lambda d: (root + d).cast("long"))
+    return F.array_max(F.filter(near, lambda m: (m >= k - 1) & (_choose(m, k) <= rank)))
+
+
+def _unranked(rank: Column) -> list[Column]:
+    """The places, from 0, in the groups of scores that make the triple of a rank among those of its zone and scores."""
+    a, b = F.col("n1"), F.col("n2")
+
+    def pair(r: Column) -> tuple[Column, Column]:
+        high = _largest(r, 2)
+        return r - _choose(high, 2), high
+
+    top = _largest(rank, 3)
+    ways = (
+        (top, *pair(rank - _choose(top, 3))),
+        (*pair(rank % _choose(a, 2)), F.floor(rank / _choose(a, 2))),
+        (rank % a, *pair(F.floor(rank / a))),
+        (rank % a, F.floor(rank / a) % b, F.floor(rank / a / b)),
+    )
+    same = F.col("s1") == F.col("s2"), F.col("s2") == F.col("s3")
+    return [F.when(same[0] & same[1], x).when(same[0], y).when(same[1], z).otherwise(w).cast("long") for x, y, z, w in zip(*ways, strict=True)]
+
+
 def stratified_triples(scores: DataFrame, sums: list[int], most: int = 200, per_score: int | None = None, seed: int = 0) -> DataFrame:
     """Random triples of instance types of one zone (``AZ``, ``a``, ``b``, ``c``, ``total``) whose scores have a wanted sum,
-    each once, at most ``most`` for each sum.
+    each once, at most ``most`` for each sum, and as many as that if there are.
 
-    ``scores`` has InstanceType, AZ, SPS.  With ``per_score`` so many types of each zone and score are drawn by a hash
-    first, so that a zone makes a bounded number of triples; without it all types count.
+    ``scores`` has InstanceType, AZ, SPS.  Triples aren't made to be drawn from: the number of those of each zone and sum
+    is known from counts, ranks are drawn, and each names its three types.  A sum that has too few different ones
+    among its draws is drawn from again, more often, in the end by all its ranks.  With ``per_score`` only so many types
+    of each zone and score, told by a hash, are drawn from.
     """
-    drawn = scores.select("InstanceType", "AZ", "SPS").dropna("any").distinct()
+    spark = scores.sparkSession
+    types = _one_score(scores)
     if per_score:
-        drawn = top_k(drawn, ["AZ", "SPS"], per_score, F.xxhash64(F.lit(seed), "InstanceType", "AZ"), F.col("InstanceType"))
-    one, two, three = (drawn.select("AZ", F.col("InstanceType").alias(n), F.col("SPS").alias(f"s_{n}")) for n in "abc")
-    triples = one.join(two, "AZ").where("a < b").join(three, "AZ").where("b < c").withColumn("total", F.col("s_a") + F.col("s_b") + F.col("s_c"))
-    triples = triples.where(F.col("total").isin(sums)).select("AZ", "a", "b", "c", "total").dropDuplicates(["a", "b", "c", "total"])
-    return top_k(triples, ["total"], most, F.xxhash64(F.lit(seed), "a", "b", "c"), F.col("a"), F.col("b"), F.col("c"))
+        types = top_k(types, ["AZ", "SPS"], per_score, F.xxhash64(F.lit(seed), "InstanceType", "AZ"), F.col("InstanceType"))
+    types = slices.numbered(types, ["AZ", "SPS", "InstanceType"], "_no", 0)
+    group = types.groupBy("AZ", "SPS").agg(F.min("_no").alias("_first"))
+    types = stored(types.join(group, ["AZ", "SPS"]).select("InstanceType", "AZ", "SPS", (F.col("_no") - F.col("_first")).alias("_place")), "typed-scores")
+    w = Window.partitionBy("total").orderBy("AZ", "s1", "s2", "s3")  # a few rows for each zone
+    counts = stored(triple_counts(types, sums).withColumn("_from", F.sum("n").over(w) - F.col("n")), "triple-counts")
+    left = {r["total"]: r["n"] for r in counts.groupBy("total").agg(F.sum("n").alias("n")).collect()}  # a row for each sum
+    draws, found = 2 * most, None
+    while left:
+        asked = spark.createDataFrame(list(left.items()), "total long, _all long").withColumn("_i", F.explode(F.sequence(F.lit(0), F.least(F.lit(draws), F.col("_all")) - 1)))
+        by_hash = F.pmod(F.xxhash64(F.lit(seed), "total", "_i"), F.col("_all"))
+        asked = asked.select("total", "_i", F.when(F.col("_all") <= draws, F.col("_i")).otherwise(by_hash).alias("_rank"), F.xxhash64(F.lit(seed), "total", "_i").alias("_turn"))
+        # the last zone and scores that begin at or before a rank
+        both = counts.select(F.col("total").cast("long").alias("total"), F.col("_from").alias("_rank"), F.struct("AZ", "_from", "s1", "s2", "s3", "n1", "n2").alias("_of"))
+        both = both.unionByName(asked, allowMissingColumns=True)
+        order = Window.partitionBy("total").orderBy("_rank", F.col("_i").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        picks = both.withColumn("_of", F.last("_of", ignorenulls=True).over(order)).where("_i is not null").select("total", "_i", "_turn", "_rank", "_of.*")
+        places = _unranked(F.col("_rank") - F.col("_from"))
+        named = F.array(*(F.struct(F.col(f"s{k}").alias("SPS"), p.alias("_place")) for k, p in zip((1, 2, 3), places, strict=True)))
+        picks = picks.select("total", "_i", "_turn", "AZ", F.explode(named).alias("_t")).select("total", "_i", "_turn", "AZ", "_t.*")
+        triples = types.join(F.broadcast(picks), ["AZ", "SPS", "_place"]).groupBy("total", "_i", "_turn", "AZ").agg(F.array_sort(F.collect_list("InstanceType")).alias("_three"))
+        triples = triples.groupBy("total", "_three").agg(F.min(F.struct("_turn", "_i", "AZ")).alias("_f"))
+        done = stored(top_k(triples, ["total"], most, F.col("_f")).select("_f.AZ", *(F.col("_three")[k].alias(n) for k, n in enumerate("abc")), "total"), "triples")
+        held = {r["total"]: r["n"] for r in done.groupBy("total").agg(F.count("*").alias("n")).collect()}
+        full = [t for t, n in left.items() if n <= draws or held.get(t, 0) >= most]
+        part = done.where(F.col("total").isin(full))
+        found = part if found is None else found.unionByName(part)
+        left, draws = {t: n for t, n in left.items() if t not in full}, draws * 8
+    kinds = scores.schema
+    empty = spark.createDataFrame([], "AZ string, a string, b string, c string, total long") if found is None else found
+    return empty.withColumn("total", F.col("total").cast(kinds["SPS"].dataType))
