@@ -14,7 +14,7 @@ import urllib.request
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, InputPartition
 
 
 class PagedJson(DataSource):
@@ -30,6 +30,9 @@ class PagedJson(DataSource):
 
     ``url`` may be file:// with ``{skip}`` or ``{token}`` in it: landed pages read the same way.  A page that isn't there is
     empty.
+
+    As a stream it reads what has come since: its offset is a page and how many of its records were read, so a collection
+    that stops goes on after the last of them, also where the last page has grown.  Pages mustn't change otherwise.
     """
 
     @classmethod
@@ -42,6 +45,9 @@ class PagedJson(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return PagedJsonReader(self.options, schema)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return PagedJsonStream(self.options, schema)
+
 
 @dataclass
 class Pages(InputPartition):
@@ -52,43 +58,32 @@ class Pages(InputPartition):
     last: int | None = None
 
 
-class PagedJsonReader(DataSourceReader):
-    def __init__(self, options, schema):
-        self.options, self.schema, self.pushed = options, schema, {}
+@dataclass
+class Span(InputPartition):
+    """Records of pages from ``first`` on (asked by ``token``, if pages are), without the first ``skip`` of that page, up to so
+    many of page ``last``."""
 
-    def pushFilters(self, filters: list[Filter]):
-        known = set(self.options.get("filters", "").split(","))
-        for f in filters:
-            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in known:
-                self.pushed[f.attribute[0]] = f.value
-            yield f  # compared again by Spark: servers may be lenient
+    first: int
+    token: str
+    skip: int
+    last: int
+    records: int
 
-    def partitions(self) -> list[InputPartition]:
-        if "token" in self.options:
-            return [Pages(0)]
-        if "pages" in self.options:
-            return [Pages(i, 1, i) for i in range(int(self.options["pages"]))]
-        strands = int(self.options.get("strands", 12))
-        return [Pages(i, strands) for i in range(strands)]
 
-    def read(self, partition: Pages) -> Iterator[tuple]:
-        if "token" in self.options:
-            token = ""
-            while token is not None:
-                answer = self._page(0, token)
-                records = self._records(answer)
-                yield from map(self._row, records)
-                following = answer.get(self.options["token"]) or None
-                token = following if records and following != token else None
-            return
-        page = partition.first
-        while partition.last is None or page <= partition.last:
-            records = self._records(self._page(page * int(self.options.get("size", 1000)), ""))
-            yield from map(self._row, records)
-            if not records:
-                return
-            page += partition.step
+class _Service:
+    """Asking for pages."""
 
+    def __init__(self, options, schema):
+        self.options, self.schema, self.pushed = options, schema, {}
+
+    @property
+    def size(self) -> int:
+        return int(self.options.get("size", 1000))
+
+    def _following(self, answer: dict, token: str) -> str | None:
+        """What the page after this one is asked by, if there is one."""
+        following = answer.get(self.options["token"]) or None
+        return following if self._records(answer) and following != token else None
     def _records(self, answer: dict) -> list:
         found = answer
         for part in self.options.get("records", "Items").split("."):
@@ -133,6 +128,93 @@ class PagedJsonReader(DataSourceReader):
         return {}
 
 
+class PagedJsonReader(_Service, DataSourceReader):
+    def pushFilters(self, filters: list[Filter]):
+        known = set(self.options.get("filters", "").split(","))
+        for f in filters:
+            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in known:
+                self.pushed[f.attribute[0]] = f.value
+            yield f  # compared again by Spark: servers may be lenient
+
+    def partitions(self) -> list[InputPartition]:
+        if "token" in self.options:
+            return [Pages(0)]
+        if "pages" in self.options:
+            return [Pages(i, 1, i) for i in range(int(self.options["pages"]))]
+        strands = int(self.options.get("strands", 12))
+        return [Pages(i, strands) for i in range(strands)]
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        if "token" in self.options:
+            token = ""
+            while token is not None:
+                answer = self._page(0, token)
+                records = self._records(answer)
+                yield from map(self._row, records)
+                token = self._following(answer, token)
+            return
+        page = partition.first
+        while partition.last is None or page <= partition.last:
+            records = self._records(self._page(page * self.size, ""))
+            yield from map(self._row, records)
+            if not records:
+                return
+            page += partition.step
+
+
+class PagedJsonStream(_Service, DataSourceStreamReader):
+    def __init__(self, options, schema):
+        super().__init__(options, schema)
+        self.seen = 0, ""  # the last page that is known, and its token
+
+    def initialOffset(self) -> dict:
+        return {"page": 0, "token": "", "records": 0}
+
+    def latestOffset(self) -> dict:
+        """The last page with a record and how many it has: found by tokens from the last page known, or else by doubling and
+        halving the number of the page."""
+        if "token" in self.options:
+            page, token = self.seen
+            answer = self._page(0, token)
+            while (following := self._following(answer, token)) is not None:
+                after = self._page(0, following)
+                if not self._records(after):
+                    break
+                page, token, answer = page + 1, following, after
+            self.seen = page, token
+            return {"page": page, "token": token, "records": len(self._records(answer))}
+        count = lambda p: len(self._records(self._page(p * self.size, "")))
+        low, high = 0, 1
+        while count(high):
+            low, high = high, high * 2
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if count(middle) else (low, middle)
+        return {"page": low, "token": "", "records": count(low)}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        if "token" in self.options:
+            return [Span(start["page"], start["token"], start["records"], end["page"], end["records"])]
+        out = []
+        for page in range(start["page"], end["page"] + 1):
+            out.append(Span(page, "", start["records"] if page == start["page"] else 0, page, end["records"] if page == end["page"] else self.size))
+        return out
+
+    def read(self, partition: Span) -> Iterator[tuple]:
+        page, token, skip = partition.first, partition.token, partition.skip
+        while True:
+            answer = self._page(page * self.size, token)
+            records = self._records(answer)
+            yield from map(self._row, records[skip : partition.records if page == partition.last else None])
+            if page == partition.last:
+                return
+            page, skip = page + 1, 0
+            if "token" in self.options:
+                token = self._following(answer, token)
+                if token is None:
+                    raise ValueError("a page that was there names no other")
+
+
 def register(spark) -> None:
     """Makes ``paged_json`` known to the session, with filters pushed down."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", True)

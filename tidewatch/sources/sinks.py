@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import slices
+from .store import stored
 
 
 def numbered(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -85,6 +86,38 @@ def send(df: DataFrame, submit, size: int = 100, retries: int = 10) -> DataFrame
     return df.mapInPandas(run, "sent long, rejected long")
 
 
+def write_pages(df: DataFrame, path: str, order: list[str], size: int = 1000, token: str | None = None) -> int:
+    """Rows as pages of a JSON service, ``size`` in each, in a folder that all executors share: ``page-<first>.json`` with the
+    list ``Items``; with ``token`` the pages are ``page-<token>.json``, the first has none, and each but the last names the
+    next by that key.  Returns the number of pages."""
+    rows = slices.numbered(df, order, "_no", 0)
+    page = F.floor(F.col("_no") / size)
+    items = F.transform(F.array_sort(F.collect_list(F.struct("_no", F.struct(*df.columns).alias("item")))), lambda x: x["item"])
+    pages = rows.groupBy(page.alias("page")).agg(items.alias("Items")).select("page", F.to_json(F.struct("Items")).alias("text"))  # size rows each
+    pages = stored(pages, "pages")
+    n = pages.count()
+
+    def write(batches):
+        import json
+
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(path)
+        store.create_dir(base)
+        for pdf in batches:
+            for number, text in zip(pdf["page"].tolist(), pdf["text"].tolist(), strict=True):
+                name = number * size
+                if token:
+                    name = f"t{number}" if number else ""
+                    text = json.dumps(json.loads(text) | ({token: f"t{number + 1}"} if number < n - 1 else {}))
+                with store.open_output_stream(f"{base}/page-{name}.json") as f:
+                    f.write(text.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return pages.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def write_selector(known: DataFrame, new: DataFrame, path: str, keys: list[str]) -> None:
     """Adds new keys to the selector table: written beside it first, as it is also read."""
     from ..operators.index import selector_union

@@ -10,7 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from ..operators.diff import latest_per_key, published_changes
 from ..operators.planner import CALLS, WINDOW_MINUTES
@@ -76,26 +78,53 @@ def changes_only(ticks: DataFrame, keys: list[str], order: list[str], features:
     return marked.groupBy(*keys).applyInPandasWithState(keep, ticks.schema, "mark string", "append", GroupStateTimeout.NoTimeout)
 
 
-def call_log(calls: DataFrame, by: list[str], time: str, order: list[str], minutes: int = WINDOW_MINUTES, limit: int = CALLS) -> DataFrame:
+#: The store that stateful processors with timers need; it keeps state on disk, so groups aren't bounded by memory.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Calls(StatefulProcessor):
+    """A group's calls within the window, as a list; a timer clears it when the last of them is too old to count."""
+
+    def __init__(self, names: list[str], order: list[str], span: int, limit: int):
+        self.names, self.order, self.span, self.limit = names, order, span, limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.times = handle, handle.getListState("times", "at long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        before = np.array([r[0] for r in self.times.get()], np.int64)
+        # names that begin with an underscore don't come as they are
+        new = pd.concat(rows).set_axis([*self.names, "_at"], axis=1).sort_values(["_at", *self.order])
+        at = np.concatenate([before, new["_at"].to_numpy(np.int64)])
+        # calls at one time count for each other, as in a range of values
+        recent = (np.searchsorted(at, at, "right") - np.searchsorted(at, at - self.span, "right"))[len(before) :]
+        self.times.put([(x,) for x in at[at > at[-1] - self.span].tolist()])
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer((int(at[-1]) + self.span) // 1000 + 1)
+        yield new[self.names].assign(recent=recent, allowed=recent < self.limit)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.times.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def call_log(calls: DataFrame, by: list[str], time: str, order: list[str], minutes: int = WINDOW_MINUTES, limit: int = CALLS, late: str = "1 hour") -> DataFrame:
     """``calls`` with ``recent``, the group's calls within the window up to each, and ``allowed``, whether there is room for
-    another; as ``planner.rate_windows`` tells them in batch.  State is a group's times within the window, older ones
-    expire as calls come.  Calls of a micro-batch are taken in order; a later batch is later."""
+    another; as ``planner.rate_windows`` tells them in batch.
+
+    State is a list of a group's times within the window.  It goes when the watermark, ``late`` behind the newest call of all
+    groups, passes the window of the group's last call, so a group that is idle keeps none.  Calls of a micro-batch are taken
+    in order; a later batch is later, and calls behind the watermark are dropped.
+    """
     span = minutes * 60_000_000
+    calls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     out = T.StructType([*calls.schema, T.StructField("recent", T.LongType()), T.StructField("allowed", T.BooleanType())])
-
-    def count(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = np.array(state.get[0] if state.exists else [], np.int64)
-        rows = pd.concat(frames).sort_values(["_at", *order])
-        at = np.concatenate([before, rows["_at"].to_numpy(np.int64)])
-        # calls at one time count for each other, as in a range of values
-        recent = np.searchsorted(at, at, "right") - np.searchsorted(at, at - span, "right")
-        state.update((at[at > at[-1] - span].tolist(),))
-        recent = recent[len(before) :]
-        yield rows[names].assign(recent=recent, allowed=recent < limit)
-
-    names = calls.columns
-    micros = calls.withColumn("_at", F.unix_micros(F.col(time)))
-    return micros.groupBy(*by).applyInPandasWithState(count, out, "at array<bigint>", "append", GroupStateTimeout.NoTimeout)
+    micros = calls.withWatermark(time, late).withColumn("_at", F.unix_micros(F.col(time)))
+    return micros.groupBy(*by).transformWithStateInPandas(_Calls(calls.columns, order, span, limit), out, "append", "EventTime")
 
 
 def published_snapshots(ticks: DataFrame, keys: list[str], features: list[str], order: list[str], folder: str):
