@@ -213,8 +213,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     good = vectors.where(sound)
     classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
     # labels are numbered, so that copies tell them apart exactly
-    labels = written(good.select(F.col("label").alias("of")).distinct(), "vector-labels").withColumn("label_no", F.monotonically_increasing_id())
-    labels = written(labels, "vector-label-numbers")
+    labels = written(good.select(F.col("label").alias("of")).distinct().withColumn("label_no", F.monotonically_increasing_id()), "vector-labels")
     named = F.broadcast(labels) if labels.count() <= FEW_LABELS else labels
     classes = written(classes.withColumns(keys).join(named, F.col("label") == F.col("of")).drop("of"), "vector-classes")
     alone = vectors.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
