@@ -14,10 +14,16 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def without(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key ``other`` hasn't; null keys equal null keys."""
+def _on(keys: list[str], prefix: str, nulls: bool) -> Column:
+    """Equal keys; without ``nulls`` they are taken to have none, and columns are compared as they are, which is what
+    tables laid out by their keys need to be joined in place."""
+    return reduce(lambda a, b: a & b, (same(F.col(k), F.col(f"{prefix}{k}")) if nulls else F.col(k) == F.col(f"{prefix}{k}") for k in keys))
+
+
+def without(df: DataFrame, other: DataFrame, keys: list[str], *, nulls: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key ``other`` hasn't; null keys equal null keys (without ``nulls`` there are none)."""
     there = other.select(*(F.col(k).alias(f"_o_{k}") for k in keys))
-    return df.join(there, reduce(lambda a, b: a & b, (same(F.col(k), F.col(f"_o_{k}")) for k in keys)), "left_anti")
+    return df.join(there, _on(keys, "_o_", nulls), "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,27 +54,26 @@ def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_i", F.row_number().over(w)).where("_i = 1").drop("_i")
 
 
-def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: list[str], features: list[str], *, removed: bool = True, unchanged: bool = False, places: dict[str, int] | None = None) -> DataFrame:
+def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: list[str], features: list[str], *, removed: bool = True, unchanged: bool = False, places: dict[str, int] | None = None, nulls: bool = True) -> DataFrame:
     """Keys, features, features before (``prev_*``) and ``change``: new, changed, removed or unchanged.
 
-    Null keys equal null keys and null features null features.  Removed rows have null features; a single full outer join
+    Null keys equal null keys (without ``nulls`` there are none) and null features null features.  Removed rows have null features; a single full outer join
     makes all of them.  Features in ``places`` are compared rounded to so many decimals.
     """
     shown = lambda c, f: F.round(c, places[f]) if places and f in places else F.col(c)
     p = prev.select(*(F.col(k).alias(f"_p_{k}") for k in keys), *(F.col(f).alias(f"prev_{f}") for f in features), F.lit(True).alias("_in_p"))
     c = cur.select(*keys, *features, F.lit(True).alias("_in_c"))
-    on = reduce(lambda a, b: a & b, (same(F.col(k), F.col(f"_p_{k}")) for k in keys))
     differs = reduce(lambda a, b: a | b, (~same(shown(f, f), shown(f"prev_{f}", f)) for f in features))
     change = F.when(F.col("_in_p").isNull(), "new").when(F.col("_in_c").isNull(), "removed").when(differs, "changed").otherwise("unchanged")
-    out = c.join(p, on, "full_outer").withColumn("change", change)
+    out = c.join(p, _on(keys, "_p_", nulls), "full_outer").withColumn("change", change)
     out = out.select(*(F.when(F.col("_in_c").isNull(), F.col(f"_p_{k}")).otherwise(F.col(k)).alias(k) for k in keys), *features, *(f"prev_{f}" for f in features), "change")
     out = out if removed else out.where("change <> 'removed'")
     return out if unchanged else out.where("change <> 'unchanged'")
 
 
-def removed_rows(prev: DataFrame, cur: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+def removed_rows(prev: DataFrame, cur: DataFrame, keys: list[str], features: list[str], *, nulls: bool = True) -> DataFrame:
     """Deletion markers: keys of ``prev`` that ``cur`` hasn't, with features 0 and ``Ceased`` true."""
-    gone = without(prev, cur, keys)
+    gone = without(prev, cur, keys, nulls=nulls)
     return gone.select(*keys, *(F.lit(0).cast(prev.schema[f].dataType).alias(f) for f in features), F.lit(True).alias("Ceased"))
 
 

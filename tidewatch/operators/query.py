@@ -35,6 +35,12 @@ def wildcard(df: DataFrame, dims: dict[str, str], start, end, time: str = "ts",
     return out.orderBy(time, *order).limit(limit)
 
 
+def wildcard_by_day(log: DataFrame, dims: dict[str, str], start, end, time: str = "ts", limit: int = MOST_ROWS, order: tuple[str, ...] = ()) -> DataFrame:
+    """``wildcard`` over a log that is partitioned by the day ``dt`` of its time: the range names the days, others aren't listed."""
+    day = lambda at: F.date_format(F.lit(at).cast("timestamp"), "yyyy-MM-dd")
+    return wildcard(log.where(F.col("dt").between(day(start), day(end))), dims, start, end, time, limit, order)
+
+
 def search(df: DataFrame, text: str, columns: list[str] | None = None) -> DataFrame:
     """Rows with the text in any column, whatever its case."""
     low = F.lit(text.lower())

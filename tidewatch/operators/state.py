@@ -37,10 +37,12 @@ def step(score: Column, t3: Column, t2: Column, capacity: Column, prev_score: Co
     return kept, F.when(kept <= 2, zero).otherwise(up3), F.when(kept < 2, zero).otherwise(up2)
 
 
-def capacity_step(prev: DataFrame, cur: DataFrame, keys: list[str], score: str = "SPS") -> DataFrame:
-    """``cur`` (keys, score, T3, T2, TargetCapacity) with the state of ``prev`` carried on: one left join."""
-    p = prev.select(*keys, F.col(score).alias("_s"), F.col("T3").alias("_t3"), F.col("T2").alias("_t2"))
-    out = cur.join(p, keys, "left")
+def capacity_step(prev: DataFrame, cur: DataFrame, keys: list[str], score: str = "SPS", unknown: int | None = None) -> DataFrame:
+    """``cur`` (keys, score, T3, T2, TargetCapacity) with the state of ``prev`` carried on: one left join.  With ``unknown`` a null
+    score of either is that number, as some sources write it; a key that ``prev`` hasn't has none."""
+    known = F.col(score) if unknown is None else F.coalesce(F.col(score), F.lit(unknown))
+    p = prev.select(*keys, known.alias("_s"), F.col("T3").alias("_t3"), F.col("T2").alias("_t2"))
+    out = cur.withColumn(score, known).join(p, keys, "left")
     new = step(*(F.col(c) for c in (score, "T3", "T2", "TargetCapacity", "_s", "_t3", "_t2")))
     return out.withColumns({score: new[0].cast("int"), "T3": new[1].cast("int"), "T2": new[2].cast("int")}).drop("_s", "_t3", "_t2")
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import choices, landed, planning, relational, snapshots, timeseries, vendors
+from . import choices, landed, planning, relational, services, snapshots, timeseries, vendors
 
-MODULES = (snapshots, relational, timeseries, planning, landed, vendors, choices)
+MODULES = (snapshots, relational, timeseries, planning, landed, vendors, choices, services)
 
 
 def queries() -> dict:

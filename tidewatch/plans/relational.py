@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import diff, index, merge, planner, query
-from ..sources import sinks
-from .tables import SIGNALS, TICKS, read, signals, ticks
+from ..sources import records, sinks
+from .tables import SIGNALS, TICKS, read, shared_folder, signals, ticks
 
 
 def savings_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +247,9 @@ def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier").withColumn("ts", F.lit("2025-02-15 00:10:00").cast("timestamp"))
-    r = sinks.records(s, ["s_name", "s_nationkey"], {"s_suppkey": "BIGINT"}, F.col("ts"))
+    path = f"{shared_folder(spark)}/records-{uuid.uuid4().hex}"
+    records.publish(sinks.records(s, ["s_name", "s_nationkey"], {"s_suppkey": "BIGINT"}, F.col("ts")), path)
+    r = records.published(spark, path)
     return r.select(F.get("dimensions", F.lit(0))["value"].alias("name"), F.get("dimensions", F.lit(1))["value"].alias("nation"), F.get("measures", F.lit(0))["value"].alias("measure"), "time")
 
 

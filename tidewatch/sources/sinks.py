@@ -41,6 +41,24 @@ def write_raw(df: DataFrame, path: str, time: str) -> None:
     rows.write.mode("append").partitionBy("dt").option("header", True).option("compression", "gzip").csv(path)
 
 
+def write_laid_out(df: DataFrame, table: str, path: str, keys: list[str], buckets: int = 64) -> DataFrame:
+    """A snapshot as a table of the catalogue in buckets of its keys, sorted: joins by these keys of tables with as many buckets
+    shuffle and sort neither.  Returns the table."""
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def append_clustered(df: DataFrame, path: str, by: list[str], files: int | None = None, time: str = "ts") -> None:
+    """Appends to the change log by day, each day in files of ranges of ``by``, with Bloom filters on these columns: a query of
+    a day and some of their values reads few of its files' parts."""
+    rows = df.withColumn("dt", F.date_format(time, "yyyy-MM-dd"))
+    rows = rows.repartitionByRange(*([files] if files else []), "dt", *by).sortWithinPartitions("dt", *by)
+    writer = rows.write.mode("append").partitionBy("dt").option("parquet.block.size", 8 << 20)
+    for c in by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+
+
 def append_changes(df: DataFrame, path: str, time: str = "ts", batch: str | None = None) -> None:
     """Appends to the change log by day; with a batch name a batch written again replaces its own rows, so retries are safe."""
     rows = df.withColumn("dt", F.date_format(time, "yyyy-MM-dd"))
