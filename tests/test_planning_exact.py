@@ -116,3 +116,20 @@ def test_same_types_in_many_zones(spark):
     assert len({(x.a, x.b, x.c) for x in out}) == len(out) == 15
     assert planner.stratified_triples(of(spark, rows[:0]), [9]).count() == 0
     assert planner.stratified_triples(of(spark, [("a", "z", 1), ("a", "z", 2), (None, "z", 1)]), [3]).count() == 0
+
+
+def test_cover_of_many_blocks_is_near_that_of_one(spark, monkeypatch):
+    """Types go together in groups that have little to do with the names of regions and types."""
+    r = random.Random(6)
+    groups = [(r.sample(range(160), 14), r.sample(range(60), 9)) for _ in range(12)]
+    pairs = sorted({(f"r{x:03d}", f"t{y:02d}") for a, b in groups for x in a for y in b if r.random() < 0.9})
+    one = len(list(planner.greedy_cover(set(pairs))))
+    monkeypatch.setattr(planner, "TASK_REGIONS", 32)
+    monkeypatch.setattr(planner, "TASK_TYPES", 20)
+    rows = planner.covering_requests(spark.createDataFrame(pairs, "RegionCode string, InstanceType string")).collect()
+    assert all(len(x.regions) <= 8 and len(x.types) <= 5 for x in rows)
+    assert set(pairs) <= {(x, y) for q in rows for x in q.regions for y in q.types}
+    monkeypatch.setattr(planner, "GAINS", (1,))
+    apart = planner.covering_requests(spark.createDataFrame(pairs, "RegionCode string, InstanceType string")).count()
+    print(one, len(rows), apart)
+    assert len(rows) <= 1.5 * one and len(rows) < apart

@@ -18,6 +18,8 @@ PACK, BATCH = 10, 50
 REGIONS, TYPES = 8, 5
 CALLS, WINDOW_MINUTES = 10, 62
 LARGE_REGION = 100
+#: New pairs that a request has to cover to be made, round by round; the most are REGIONS * TYPES.
+GAINS = (30, 15, 5, 1)
 #: Regions and types of the part of a support relation that one task covers, at most.
 TASK_REGIONS, TASK_TYPES = 64, 1000
 
@@ -153,22 +155,47 @@ def greedy_cover(pairs: set[tuple[str, str]]) -> Iterator[tuple[list[str], list[
         yield sorted(regions), sorted(types)
 
 
+def _dealt(pairs: DataFrame, turn: int, parts: int) -> DataFrame:
+    """``pairs`` with the block of each: names that share a partner, told by a hash of the turn, are next to each other, and
+    ``TASK_REGIONS`` regions and ``TASK_TYPES`` types that follow each other are a block."""
+    out = pairs.withColumn("_part", F.pmod(F.xxhash64("RegionCode"), F.lit(parts)))
+    for c, other, size in (("RegionCode", "InstanceType", TASK_REGIONS), ("InstanceType", "RegionCode", TASK_TYPES)):
+        names = pairs.groupBy(c).agg(F.min(F.xxhash64(F.lit(turn), other)).alias("_like"))
+        names = slices.numbered(names, ["_like", c], "_i", 0).select(c, F.floor(F.col("_i") / size).alias(f"_{c}"))
+        out = out.join(names, c)
+    return out
+
+
 def covering_requests(support: DataFrame, parts: int = 1) -> DataFrame:
     """Requests (``regions``, ``types``) that together cover the support relation (RegionCode, InstanceType).
 
-    Regions are dealt to ``parts`` groups, and these by name into blocks of at most ``TASK_REGIONS`` regions and
-    ``TASK_TYPES`` types, each covered in one task; the relation has a row for each region and type.
+    Regions are dealt to ``parts`` groups, and names into blocks of at most ``TASK_REGIONS`` regions and ``TASK_TYPES`` types,
+    each covered in one task by growing requests.  A request that covers less than a round asks for isn't made: its pairs go
+    to the next round, which asks for less and deals out anew what is left, so that pairs of different blocks that go
+    together meet.  The last round takes every pair.
     """
 
-    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = list(greedy_cover(set(zip(pdf["RegionCode"], pdf["InstanceType"], strict=True))))
-        return pd.DataFrame({"regions": [f[0] for f in found], "types": [f[1] for f in found]})
-
-    dealt = support.select("RegionCode", "InstanceType").dropna("any").distinct().withColumn("_part", F.pmod(F.xxhash64("RegionCode"), F.lit(parts)))
-    for c, size in (("RegionCode", TASK_REGIONS), ("InstanceType", TASK_TYPES)):
-        i = F.row_number().over(Window.orderBy(c)) - 1  # a row for each name
-        dealt = dealt.join(dealt.select(c).distinct().withColumn(f"_{c}", F.floor(i / size)), c)
-    return dealt.groupBy("_part", "_RegionCode", "_InstanceType").applyInPandas(cover, "regions array<string>, types array<string>")
+    def cover(least: int):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            left = set(zip(pdf["RegionCode"], pdf["InstanceType"], strict=True))
+            made, out = list(greedy_cover(left)), []
+            for regions, types in made:
+                new = {(r, t) for r in regions for t in types} & left
+                left -= new
+                out += [(regions, types, None, None)] if len(new) >= least else [(None, None, r, t) for r, t in new]
+            return pd.DataFrame(out, columns=["regions", "types", "RegionCode", "InstanceType"])
+
+        return run
+
+    left, found = stored(support.select("RegionCode", "InstanceType").dropna("any").distinct(), "cover-pairs"), None
+    for turn, least in enumerate(GAINS):
+        out = _dealt(left, turn, parts).groupBy("_part", "_RegionCode", "_InstanceType").applyInPandas(cover(least), "regions array<string>, types array<string>, RegionCode string, InstanceType string")
+        out = stored(out, "cover")
+        made, left = out.where("regions is not null").select("regions", "types"), out.where("regions is null").select("RegionCode", "InstanceType")
+        found = made if found is None else found.unionByName(made)
+        if not left.take(1):
+            break
+    return found
 
 
 def clustered_requests(support: DataFrame, clusters: int = 2, seed: int = 0) -> DataFrame:
