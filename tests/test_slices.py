@@ -11,8 +11,9 @@ from tidewatch.streaming import ticks as streams
 
 
 @pytest.fixture
-def many(spark):
-    """Eight shuffle partitions that aren't put together, so that slices are many."""
+def many(spark, monkeypatch):
+    """Keys are cut from 500 rows on; eight shuffle partitions that aren't put together."""
+    monkeypatch.setattr(slices, "SLICE_ROWS", 500)
     own = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {k: spark.conf.get(k) for k in own}
     for k, v in own.items():
@@ -42,10 +43,19 @@ def test_numbering_has_no_single_task(many):
     assert "SinglePartition" not in plan and "Window" not in plan
 
 
-def test_slices_are_even_whatever_the_key(many):
+def test_slices_are_small_whatever_the_key(many):
     rows = many.createDataFrame(one_key(random.Random(1)), "k string, t int, i int, v int")
-    sizes = [r["count"] for r in slices.sliced(rows, "k", "t", "i").groupBy(slices.SLICE).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
+    cut = slices.sliced(rows, ["k"], "t")
+    sizes = {(r.k, r[slices.SLICE]): r["count"] for r in cut.rows.groupBy(*cut.by_slice()).count().collect()}
+    assert cut.cut == 1 and {s for k, s in sizes if k != "hot"} == {-1}
+    assert sum(k == "hot" for k, _ in sizes) > 8 and max(sizes.values()) <= 500
+
+
+def test_keys_that_are_small_are_shuffled_once(many):
+    rows = many.createDataFrame([(i % 90, i, i) for i in range(900)], "k int, t int, v int")
+    assert slices.sliced(rows, ["k"], "t").cut == 0
+    plan = series.filled(rows, ["k"], ["t"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -89,8 +99,10 @@ def test_fold_of_one_hot_key(many, monkeypatch, chunk):
         assert got == want
 
 
-def test_carried_rows_are_at_most_one_for_a_slice(many):
-    rows = slices.sliced(many.createDataFrame(one_key(random.Random(6)), "k string, t int, i int, v int"), "k", "t", "i")
-    ends = rows.groupBy("k", slices.SLICE).agg(F.max("i").alias("end"))
-    per = slices.carried(ends, ["k"], F.col("end")).groupBy(slices.SLICE).count().collect()
-    assert per and all(r["count"] == 1 for r in per)
+def test_many_cut_keys_are_joined(many, monkeypatch):
+    monkeypatch.setattr(slices, "FEW", 0)
+    rows = many.createDataFrame(one_key(random.Random(6)), "k string, t int, i int, v int")
+    w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = rows.withColumn("filled", F.last("v", ignorenulls=True).over(w))
+    got = series.filled(rows, ["k"], ["t", "i"], "v")
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))

@@ -91,12 +91,12 @@ def published_changes(prev: DataFrame, cur: DataFrame, keys: list[str], features
 def change_log(ticks: DataFrame, keys: list[str], features: list[str], *order: str) -> DataFrame:
     """Of a history of snapshots, the first row of each key and those that differ from the one before.  A long history is
     compared in slices; the first row of a slice is compared with the last one of the slice before."""
-    rows = slices.sliced(ticks, *keys, *order)
-    state = F.struct(*features)
-    last = rows.groupBy(*keys, slices.SLICE).agg(F.max_by(state, slices.PLACE).alias("_end"))
-    before = F.coalesce(F.lag(state).over(Window.partitionBy(*keys, slices.SLICE).orderBy(slices.PLACE)), F.col("_carried"))
-    out = slices.with_carried(rows, slices.carried(last, keys, F.col("_end")), keys).withColumn("_before", before)
-    return out.where(F.col("_before").isNull() | ~same(F.struct(*features), F.col("_before"))).select(ticks.columns)
+    state, s = F.struct(*features), slices.sliced(ticks, keys, order[0])
+    w = Window.partitionBy(*s.by_slice()).orderBy(*order)
+    last = F.max_by(state, F.struct(*order)).alias("_end")
+    s = s.with_carried(lambda rows: rows.groupBy(*s.by_slice()).agg(last), F.col("_end"))
+    out = s.rows.withColumn("_before", F.coalesce(F.lag(state).over(w), F.col("_carried")))
+    return out.where(F.col("_before").isNull() | ~same(state, F.col("_before"))).select(ticks.columns)
 
 
 def applied(prev: DataFrame, changes: DataFrame, keys: list[str], features: list[str]) -> DataFrame:

@@ -63,5 +63,6 @@ def asof_forward(left: DataFrame, right: DataFrame, keys: list[str], time: str =
         right.select(*keys, time, F.col(time).alias("_right")), allowMissingColumns=True
     )
     # at one time the right side's rows come first, so that those after a row of the left side are strictly later
-    out = slices.last_known(both, keys, [time, F.col("_right").isNull()], "_right", "next_ts", backward=True, strict=True)
-    return out.where("_right is null and next_ts is not null").drop("_right")
+    both = both.withColumn("_left", F.col("_right").isNull())
+    out = slices.last_known(both, keys, [time, "_left"], "_right", "next_ts", backward=True, strict=True)
+    return out.where("_left and next_ts is not null").drop("_right", "_left")

@@ -70,19 +70,21 @@ def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: st
     moves a level into bounds, and so do several ticks together: they are folded ``CHUNK`` at a time, then the chunks of a
     slice, then the slices.
     """
-    sl, at = slices.SLICE, slices.PLACE
-    rows = slices.sliced(ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c")), *keys, *order)
-    w = Window.partitionBy(*keys, sl).orderBy(at)
+    sl, at = slices.SLICE, F.struct(*order)
+    cut = slices.sliced(ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c")), keys, order[0])
+    w = Window.partitionBy(*keys, sl).orderBy(*order)
     so_far = (Window.unboundedPreceding, 0)
     single, s = F.col("_c") == 1, F.col("_s")
-    rows = rows.withColumn("_since", F.count_if(single & s.isNotNull()).over(w.rowsBetween(*so_far)))
-    rows = rows.withColumn("_local", F.max("_s").over(Window.partitionBy(*keys, sl, "_since").orderBy(at).rowsBetween(*so_far)))
-    # a slice with a single-node score begins anew, others go on with what the slices before have kept
-    ends = rows.groupBy(*keys, sl).agg(F.max("_since").alias("_n"), F.max_by("_local", at).alias("_end"))
-    by_key = Window.partitionBy(*keys).orderBy(sl)
-    ends = ends.withColumn("_run", F.count_if(F.col("_n") > 0).over(by_key.rowsBetween(*so_far)))
-    ends = ends.withColumn("_end", F.max("_end").over(Window.partitionBy(*keys, "_run").orderBy(sl).rowsBetween(*so_far)))
-    rows = slices.with_carried(rows, slices.carried(ends, keys, F.col("_end")), keys)
+    cut.rows = cut.rows.withColumns({"_since": F.count_if(single & s.isNotNull()).over(w.rowsBetween(*so_far)), "_chunk": F.floor((F.row_number().over(w) - 1) / CHUNK)})
+    cut.rows = cut.rows.withColumn("_local", F.max("_s").over(Window.partitionBy(*keys, sl, "_since").orderBy(*order).rowsBetween(*so_far)))
+
+    def ends(rows: DataFrame) -> DataFrame:
+        """The score kept after each slice: one with a single-node score begins anew, others go on with what was kept before."""
+        out = rows.groupBy(*keys, sl).agg(F.max("_since").alias("_n"), F.max_by("_local", at).alias("_end"))
+        out = out.withColumn("_run", F.count_if(F.col("_n") > 0).over(Window.partitionBy(*keys).orderBy(sl).rowsBetween(*so_far)))
+        return out.withColumn("_end", F.max("_end").over(Window.partitionBy(*keys, "_run").orderBy(sl).rowsBetween(*so_far)))
+
+    rows = cut.with_carried(ends, F.col("_end")).rows
     rows = rows.withColumn("_kept", F.when(F.col("_since") > 0, F.col("_local")).otherwise(F.greatest("_local", "_carried")))
     rows = rows.withColumn("_known", F.when(single, F.coalesce(s, F.lag("_kept").over(w), F.col("_carried"))).otherwise(s))
     below = F.coalesce(F.create_map(*(F.lit(x) for pair in FALLBACK.items() for x in pair))[F.col("_c")], F.lit(0))
@@ -90,8 +92,8 @@ def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: st
     for t, level, cleared in ((3, tick_levels(s, F.col("_c"))[0], F.col("_kept") <= 2), (2, tick_levels(s, F.col("_c"))[1], F.col("_kept") < 2)):
         up = F.col("_known") >= t
         bounds += [F.when(cleared, 0).when(up, level).otherwise(LOW).alias(f"lo{t}"), F.when(cleared, 0).when(up, HIGH).otherwise(below).alias(f"hi{t}")]
-    now = rows.select(*keys, sl, F.floor(F.col(at) / CHUNK).alias("_chunk"), at, F.col("_kept").alias("_last"), F.struct(*bounds).alias("_step"))
-    for by, place in (([*keys, sl, "_chunk"], at), ([*keys, sl], "_chunk"), (keys, sl)):
+    now = rows.select(*keys, sl, "_chunk", at.alias("_at"), F.col("_kept").alias("_last"), F.struct(*bounds).alias("_step"))
+    for by, place in (([*keys, sl, "_chunk"], "_at"), ([*keys, sl], "_chunk"), (keys, sl)):
         steps = F.transform(F.array_sort(F.collect_list(F.struct(place, "_step"))), lambda x: x["_step"])
         now = now.groupBy(*by).agg(steps.alias("_steps"), F.max_by("_last", place).alias("_last"))
         now = now.select(*by, "_last", _composed(F.col("_steps")).alias("_step"))
