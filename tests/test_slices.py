@@ -106,3 +106,18 @@ def test_many_cut_keys_are_joined(many, monkeypatch):
     want = rows.withColumn("filled", F.last("v", ignorenulls=True).over(w))
     got = series.filled(rows, ["k"], ["t", "i"], "v")
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_late_ticks_are_folded_in(many):
+    r = random.Random(8)
+    capacities = list(state.FALLBACK)
+    rows = [("hot" if r.random() < 0.6 else f"k{r.randrange(8)}", i, r.choice([None, -1, 1, 2, 3]), r.choice(capacities)) for i in range(2500)]
+    df = many.createDataFrame(rows, "k string, i int, score int, capacity int")
+    late = F.col("k").isin("hot", "k1") & ((F.col("i") % 60 == 0) | (F.col("i") >= 2480)) & (F.col("i") >= 1000)
+    early, since = df.where("i < 1000"), df.where((F.col("i") >= 1000) & ~late)
+    before = state.capacity_fold(early, ["k"], ["i"])
+    after = state.capacity_fold(since, ["k"], ["i"], initial=before)
+    whole = lambda d: sorted(map(tuple, state.capacity_fold(d, ["k"], ["i"]).collect()))
+    assert sorted(map(tuple, after.collect())) == whole(df.where(~late))
+    got = state.backfilled(before, after, since, df.where(late), ["k"], ["i"])
+    assert sorted(map(tuple, got.collect())) == whole(df) != whole(df.where(~late))

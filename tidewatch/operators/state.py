@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,8 +64,9 @@ def _composed(steps: Column) -> Column:
     return F.aggregate(steps, none, after)
 
 
-def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity") -> DataFrame:
-    """Each key's state after all its ticks, in order, however many of the ticks are of one key.
+def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity", initial: DataFrame | None = None) -> DataFrame:
+    """Each key's state after all its ticks, in order, however many of the ticks are of one key; from ``initial``, states
+    (keys, ``sps``, ``t3``, ``t2``) before the first tick, which those keys keep that have no ticks.
 
     The score that is kept is a running maximum since the last single-node score: a slice of the order knows it by itself
     from its first single-node score on, and before that from its own ticks and the score carried into it.  Given it, a tick
@@ -71,7 +74,13 @@ def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: st
     slice, then the slices.
     """
     sl, at = slices.SLICE, F.struct(*order)
-    cut = slices.sliced(ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c")), keys, order[0])
+    ticks = ticks.select(*keys, *order, F.col(score).cast("int").alias("_s"), F.col(capacity).cast("int").alias("_c"))
+    levels = {t: F.lit(None).cast("int").alias(f"_t{t}") for t in (3, 2)}
+    ticks = ticks.select("*", *levels.values())
+    if initial is not None:  # a single-node score without a time, before all others, that sets the levels
+        first = initial.select(*keys, F.col("sps").cast("int").alias("_s"), F.lit(1).alias("_c"), *(F.coalesce(f"t{t}", F.lit(0)).cast("int").alias(f"_t{t}") for t in (3, 2)))
+        ticks = ticks.unionByName(first, allowMissingColumns=True)
+    cut = slices.sliced(ticks, keys, order[0])
     w = Window.partitionBy(*keys, sl).orderBy(*order)
     so_far = (Window.unboundedPreceding, 0)
     single, s = F.col("_c") == 1, F.col("_s")
@@ -91,7 +100,8 @@ def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: st
     bounds = []
     for t, level, cleared in ((3, tick_levels(s, F.col("_c"))[0], F.col("_kept") <= 2), (2, tick_levels(s, F.col("_c"))[1], F.col("_kept") < 2)):
         up = F.col("_known") >= t
-        bounds += [F.when(cleared, 0).when(up, level).otherwise(LOW).alias(f"lo{t}"), F.when(cleared, 0).when(up, HIGH).otherwise(below).alias(f"hi{t}")]
+        given = F.when(F.col(f"_t{t}").isNotNull(), F.col(f"_t{t}"))
+        bounds += [given.when(cleared, 0).when(up, level).otherwise(LOW).alias(f"lo{t}"), given.when(cleared, 0).when(up, HIGH).otherwise(below).alias(f"hi{t}")]
     now = rows.select(*keys, sl, "_chunk", at.alias("_at"), F.col("_kept").alias("_last"), F.struct(*bounds).alias("_step"))
     for by, place in (([*keys, sl, "_chunk"], "_at"), ([*keys, sl], "_chunk"), (keys, sl)):
         steps = F.transform(F.array_sort(F.collect_list(F.struct(place, "_step"))), lambda x: x["_step"])
@@ -99,3 +109,17 @@ def capacity_fold(ticks: DataFrame, keys: list[str], order: list[str], score: st
         now = now.select(*by, "_last", _composed(F.col("_steps")).alias("_step"))
     level = lambda t: F.greatest(F.col(f"_step.lo{t}"), F.least(F.col(f"_step.hi{t}"), F.lit(0))).cast("int").alias(f"t{t}")
     return now.select(*keys, F.col("_last").alias("sps"), level(3), level(2))
+
+
+def backfilled(before: DataFrame, after: DataFrame, ticks: DataFrame, late: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity") -> DataFrame:
+    """``after``, the states (keys, ``sps``, ``t3``, ``t2``) of a fold, as they are with ticks that came ``late``.
+
+    ``before`` are the states at some time before all late ticks, ``ticks`` those folded since that time.  Only the keys of
+    late ticks are folded again, from there; the others are passed on.
+    """
+    touched = late.select(*(F.col(k).alias(f"_l{k}") for k in keys)).distinct()
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_l{k}")) for k in keys))
+    of = lambda df: df.join(touched, on, "left_semi")
+    columns = [*keys, *order, score, capacity]
+    again = capacity_fold(of(ticks.select(columns)).unionByName(late.select(columns)), keys, order, score, capacity, initial=of(before))
+    return after.join(touched, on, "left_anti").select(*keys, "sps", "t3", "t2").unionByName(again)

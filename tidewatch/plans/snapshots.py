@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import CAPACITIES
 from ..operators import diff, merge, state
 from ..streaming import ticks as streams
-from .tables import KEYS, SIGNALS, TICKS, read, shared_folder, signals, ticks
+from .tables import KEYS, SIGNALS, TICKS, read, shared_folder, signals, stored, ticks
 
 #: The two halves that are compared, and the features that are: a band of the value, so that some rows don't change.
 PREV, CUR, FEATURES = ("2024-01-10", "2024-01-15"), ("2024-01-15", "2024-01-20"), ["band", "k"]
@@ -121,6 +121,16 @@ def t2t3_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.capacity_fold(_scored(spark, sf_dir), KEYS, ["ts", "event_id"])
 
 
+def fold_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold of all ticks, made of one that lacked some and of states before these: only their keys are folded again."""
+    scored, day = stored(_scored(spark, sf_dir), "scored"), F.lit("2024-01-20").cast("timestamp_ntz")
+    came_late = (F.col("event_id") % 97 == 0) & (F.col("ts") >= day)
+    order, early = ["ts", "event_id"], stored(state.capacity_fold(scored.where(F.col("ts") < day), KEYS, ["ts", "event_id"]), "states")
+    since = scored.where((F.col("ts") >= day) & ~came_late)
+    after = state.capacity_fold(since, KEYS, order, initial=early)
+    return state.backfilled(early, after, since, scored.where(came_late), KEYS, order)
+
+
 def t2t3_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state of one half carried to the ticks of the other, at capacities of 1 and 5; some ticks have no score."""
     at = F.when(F.col("user_id") % 2 == 0, 1).otherwise(5)
@@ -218,7 +228,7 @@ CHANGES = f"""{TICKS}, b AS (SELECT user_id, event_type, ts, event_id, CAST(floo
 QUERIES = {
     "snapshot_diff": snapshot_diff, "snapshot_removed": snapshot_removed, "snapshot_changed_left": snapshot_changed_left, "published_changes": published_changes,
     "snapshot_replay": snapshot_replay, "change_log": change_log, "outer_merge_sentinels": outer_merge_sentinels, "left_chain_equiv": left_chain_equiv,
-    "azure_merge_filters": azure_merge_filters, "t2t3_step": t2t3_step, "t2t3_fold": t2t3_fold, "stream_tick_state": stream_tick_state,
+    "azure_merge_filters": azure_merge_filters, "t2t3_step": t2t3_step, "t2t3_fold": t2t3_fold, "fold_backfill": fold_backfill, "stream_tick_state": stream_tick_state,
     "stream_change_log": stream_change_log, "stream_windows": stream_windows, "stream_call_log": stream_call_log, "stream_removals": stream_removals,
 }
 
@@ -241,6 +251,7 @@ ORACLE_SQL = {
     "azure_merge_filters": REGIONAL,
     "t2t3_step": STEP,
     "t2t3_fold": FOLD,
+    "fold_backfill": FOLD,
     "stream_tick_state": FOLD,
     "stream_change_log": CHANGES,
     "stream_call_log": """SELECT event_id, n AS recent, n < 20 AS allowed FROM (SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts)
