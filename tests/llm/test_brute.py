@@ -115,3 +115,12 @@ def test_blocks_are_those_of_the_plan(spark):
                     if middle <= passes or passes >= epoch + 1:
                         want.update((r.doc_id, s, r.n, b, epoch) for r in blocks[b])
         assert collections.Counter((r.doc_id, r.source, r.tokens, r.block, r.epoch) for r in out) == want
+
+
+def test_many_sources_are_weighed_alike(spark, monkeypatch):
+    rows = [(i, (i * 37) % 50, f"s{i % 7 if i % 3 else 0}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, n long, source string")
+    few = {(r.doc_id, r.epoch): (r.block, round(r.weight, 12)) for r in mixing.mixture(df, entropy=0.95, repeats=3.0, counted="n").collect()}
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    many = {(r.doc_id, r.epoch): (r.block, round(r.weight, 12)) for r in mixing.mixture(df, entropy=0.95, repeats=3.0, counted="n").collect()}
+    assert few == many

@@ -8,6 +8,7 @@ in another order, and the last pass ends once the source's budget is used up.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from ._store import written
 BLOCK_TOKENS, LEAST_BLOCKS, MOST_BLOCKS = 200_000, 64, 1 << 20
 #: Exponents tried at once in a round of the section, and rounds: the exponent is found to within 64 ** -4.
 CUTS, TURNS = 64, 4
+#: Sources up to which their tokens are weighed on the driver.
+FEW_SOURCES = 10_000
 
 
 def _weighed(sources: DataFrame, exponents: list[float], budget: float) -> DataFrame:
@@ -33,12 +36,32 @@ def _weighed(sources: DataFrame, exponents: list[float], budget: float) -> DataF
     )
 
 
-def _section(sources: DataFrame, budget: float, good, up: bool) -> float:
+def _weigher(sources: DataFrame, budget: float):
+    """From exponents to what ``_weighed`` says of each: on the driver for few sources, whose tokens are all it takes, and by a
+    job each time for more, to the same values but for rounding."""
+    if sources.count() > FEW_SOURCES:
+        return lambda exponents: {r["exponent"]: r.asDict() for r in _weighed(sources, exponents, budget).collect()}
+    rows = sorted((r["tokens"], r["total"]) for r in sources.select("tokens", "total").collect())
+    tokens = np.array([t for t, _ in rows], np.float64)
+    share = tokens / np.array([n for _, n in rows], np.float64)
+
+    def weighed(exponents: list[float]) -> dict[float, dict[str, float]]:
+        out = {}
+        for e in exponents:
+            p = share**e
+            z = p.sum()
+            out[e] = {"entropy": np.log(z) - (p * np.log(p)).sum() / z, "most": (p / tokens).max() / z * budget, "fewest": (p / tokens).min() / z * budget, "z": z}
+        return {e: {k: float(v) for k, v in x.items()} for e, x in out.items()}
+
+    return weighed
+
+
+def _section(weighed, good, up: bool) -> float:
     """The end of the range of exponents for which ``good`` holds: the largest such if ``up``, else the smallest."""
     low, high = 0.0, 1.0
     for _ in range(TURNS):
         cuts = [low + (high - low) * i / CUTS for i in range(CUTS + 1)]
-        rows = {r["exponent"]: good(r) for r in _weighed(sources, cuts, budget).collect()}
+        rows = {e: good(r) for e, r in weighed(cuts).items()}
         held = [rows[c] for c in cuts]
         if up:
             i = max((k for k in range(CUTS + 1) if held[k]), default=0)
@@ -84,10 +107,11 @@ def mixture(docs: DataFrame, *, entropy: float = 0.9, repeats: float = 4.0, budg
         passes = (lambda r: r["most"] / r["fewest"]) if cover else (lambda r: r["most"])
         most = F.ln(F.count("*").cast("double")).alias("h")
         target = entropy * live.agg(most).first()[0]
-        wanted = _section(live, scale, lambda r: r["entropy"] >= target, True)
-        limit = _section(live, scale, lambda r: passes(r) <= repeats * (1 + 1e-9), False)
+        weighed = _weigher(live, scale)
+        wanted = _section(weighed, lambda r: r["entropy"] >= target, True)
+        limit = _section(weighed, lambda r: passes(r) <= repeats * (1 + 1e-9), False)
         exponent = max(wanted, limit)
-        found = _weighed(live, [exponent], scale).first()
+        found = weighed([exponent])[exponent]
         z = found["z"]
         scale = scale / found["fewest"] if cover else scale
     weight = F.pow(F.col("tokens") / F.col("total"), F.lit(exponent)) / z
