@@ -164,3 +164,24 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op12_centroid_clustering": op12_centroid_clustering}
+
+
+def _sql(k: int = 40, rounds: int = 5) -> str:
+    """The query round by round: all distances, sums by centroid, floors of the means."""
+    parts = [
+        """WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS c, q FROM v QUALIFY c < {k})",
+    ]
+    for r in range(rounds + 1):
+        d = "list_dot_product(v.q, v.q) - 2 * list_dot_product(v.q, c.q) + list_dot_product(c.q, c.q)"
+        parts.append(f"a{r} AS MATERIALIZED (SELECT rid, min(struct_pack(d := {d}, c := c.c)) AS m FROM v, c{r} c GROUP BY rid)")
+        if r < rounds:
+            parts.append(f"""s{r} AS (SELECT a.m.c AS c, i, floor(sum(v.q[i]) / count(*)) AS x FROM a{r} a JOIN v USING (rid), range(1, 65) t(i) GROUP BY a.m.c, i),
+      c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(n.q, c.q) AS q FROM c{r} c LEFT JOIN (SELECT c, list(x ORDER BY i) AS q FROM s{r} GROUP BY c) n ON n.c = c.c)""")
+    return ",\n  ".join(parts) + f"""
+  SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(list_transform(c.q, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256 FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} c ON c.c = a.m.c"""
+
+
+ORACLE_SQL = {"op12_centroid_clustering": _sql()}

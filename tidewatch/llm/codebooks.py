@@ -146,3 +146,27 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op13_vector_codes": op13_vector_codes}
+
+
+def _sql(entries: int = 256, rounds: int = 4) -> str:
+    """The query round by round: all distances of parts, sums by entry, floors of the means."""
+    parts = [
+        """WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+      WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))""",
+        "x AS MATERIALIZED (SELECT rid, p, q[p * (len(q) // 4) + 1 : (p + 1) * (len(q) // 4)] AS s FROM v, range(4) t(p))",
+        f"f AS (SELECT rid, row_number() OVER (ORDER BY vec_id, q) - 1 AS e FROM v QUALIFY e < {entries})",
+        "b0 AS MATERIALIZED (SELECT p, e, s FROM x JOIN f USING (rid))",
+    ]
+    for r in range(rounds + 1):
+        d = "list_dot_product(x.s, x.s) - 2 * list_dot_product(x.s, b.s) + list_dot_product(b.s, b.s)"
+        parts.append(f"a{r} AS MATERIALIZED (SELECT rid, x.p AS p, min(struct_pack(d := {d}, e := b.e)) AS m FROM x JOIN b{r} b ON b.p = x.p GROUP BY rid, x.p)")
+        if r < rounds:
+            parts.append(f"""s{r} AS (SELECT a.p AS p, a.m.e AS e, i, floor(sum(x.s[i]) / count(*)) AS y FROM a{r} a JOIN x ON x.rid = a.rid AND x.p = a.p, range(1, 17) t(i) GROUP BY a.p, a.m.e, i),
+      b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.s, b.s) AS s FROM b{r} b LEFT JOIN (SELECT p, e, list(y ORDER BY i) AS s FROM s{r} GROUP BY p, e) n ON n.p = b.p AND n.e = b.e)""")
+    return ",\n  ".join(parts) + f""",
+  g AS (SELECT rid, string_agg(format('{{:02x}}', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid)
+  SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(array_to_string(list_transform(s, lambda y: CAST(y AS BIGINT)), ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256 FROM g JOIN v USING (rid)"""
+
+
+ORACLE_SQL = {"op13_vector_codes": _sql()}
