@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import planner
+from tidewatch.operators import planner, slices, state
 from tidewatch.sources import records, rest, sinks
 from tidewatch.streaming import signals
 from tidewatch.streaming import ticks as streams
@@ -60,6 +60,28 @@ def test_call_log_is_the_batch_s(spark, tmp_path):
     assert sorted(map(tuple, got.select("id", "recent", "allowed").collect())) == sorted(map(tuple, want.select("id", "recent", "allowed").collect()))
 
 
+@pytest.mark.parametrize("most", [1_000_000, 20])
+def test_states_as_tables(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(slices, "SLICE_ROWS", most)  # 20: the hot key of each batch is cut
+    r = random.Random(3)
+    rows = [("hot" if r.random() < 0.6 else f"k{r.randrange(9)}", i, r.choice([None, 1, 2, 3]), r.choice([1, 5, 10, 50])) for i in range(300)]
+    schema = "k string, i int, score int, capacity int"
+    for part in range(4):
+        land(spark, rows[part * 75 : part * 75 + 75], schema, tmp_path / "in")
+    ticks = spark.read.parquet(str(tmp_path / "in"))
+    for _ in range(2):  # nothing is new the second time
+        source = streams.landed(spark, str(tmp_path / "in"), ticks.schema, files_per_batch=1)
+        streams.folded_states(source, ["k"], ["i"], str(tmp_path / "out")).awaitTermination()
+    assert sorted(p.name for p in (tmp_path / "out" / "states").iterdir()) == ["batch=2", "batch=3"]
+    assert not list((tmp_path / "out" / "ticks").iterdir())
+    got = spark.read.parquet(str(tmp_path / "out" / "states" / "batch=3"))
+    want = {}
+    for k, _, score, capacity in rows:
+        want[k] = streams.stepped(score, capacity, want.get(k, (None, 0, 0)))
+    assert {x.k: (x.sps, x.t3, x.t2) for x in got.collect()} == want
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, state.capacity_fold(ticks, ["k"], ["i"]).select(got.columns).collect()))
+
+
 def signal_rows(r, ticks=12):
     at = [START + timedelta(minutes=10 * i) for i in range(ticks)]
     scores = [(t, f"k{k}", r.randrange(1, 4)) for t in at for k in range(5)]

@@ -179,6 +179,18 @@ def stream_tick_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.latest_per_key(states, KEYS, F.col("batch_id")).select(*KEYS, "sps", "t3", "t2")
 
 
+def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold as micro-batches whose state is a table; ticks land in three parts of time."""
+    scored = stored(_scored(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")), "scored")
+    folder = f"{shared_folder(spark)}/fold-{streams.uuid.uuid4().hex}"
+    at = F.when(F.col("ts") < F.lit("2024-01-10").cast("timestamp"), 0).when(F.col("ts") < F.lit("2024-01-20").cast("timestamp"), 1).otherwise(2)
+    for part in range(3):
+        scored.where(at == part).coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+    landed = streams.landed(spark, f"{folder}/landed", scored.schema, files_per_batch=1)
+    streams.folded_states(landed, KEYS, ["ts", "event_id"], folder).awaitTermination()
+    return spark.read.parquet(f"{folder}/states/batch=2").select(*KEYS, "sps", "t3", "t2")
+
+
 def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change suppression as a stream; the rows are those of change_log."""
     folder = shared_folder(spark)
@@ -228,7 +240,7 @@ CHANGES = f"""{TICKS}, b AS (SELECT user_id, event_type, ts, event_id, CAST(floo
 QUERIES = {
     "snapshot_diff": snapshot_diff, "snapshot_removed": snapshot_removed, "snapshot_changed_left": snapshot_changed_left, "published_changes": published_changes,
     "snapshot_replay": snapshot_replay, "change_log": change_log, "outer_merge_sentinels": outer_merge_sentinels, "left_chain_equiv": left_chain_equiv,
-    "azure_merge_filters": azure_merge_filters, "t2t3_step": t2t3_step, "t2t3_fold": t2t3_fold, "fold_backfill": fold_backfill, "stream_tick_state": stream_tick_state,
+    "azure_merge_filters": azure_merge_filters, "t2t3_step": t2t3_step, "t2t3_fold": t2t3_fold, "fold_backfill": fold_backfill, "stream_tick_state": stream_tick_state, "stream_fold": stream_fold,
     "stream_change_log": stream_change_log, "stream_windows": stream_windows, "stream_call_log": stream_call_log, "stream_removals": stream_removals,
 }
 
@@ -253,6 +265,7 @@ ORACLE_SQL = {
     "t2t3_fold": FOLD,
     "fold_backfill": FOLD,
     "stream_tick_state": FOLD,
+    "stream_fold": FOLD,
     "stream_change_log": CHANGES,
     "stream_call_log": """SELECT event_id, n AS recent, n < 20 AS allowed FROM (SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts)
       RANGE BETWEEN 3719999999 PRECEDING AND CURRENT ROW) AS n FROM events)""",

@@ -16,7 +16,8 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValu
 
 from ..operators.diff import latest_per_key, published_changes
 from ..operators.planner import CALLS, WINDOW_MINUTES
-from ..operators.state import FALLBACK
+from ..operators.state import FALLBACK, capacity_fold
+from ..sources.store import removed
 
 
 def landed(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -60,6 +61,27 @@ def capacity_states(ticks: DataFrame, keys: list[str], order: list[str], score:
     return slim.groupBy(*keys).applyInPandasWithState(fold, out, "sps int, t3 int, t2 int", "update", GroupStateTimeout.NoTimeout)
 
 
+def folded_states(ticks: DataFrame, keys: list[str], order: list[str], folder: str, score: str = "score", capacity: str = "capacity"):
+    """``capacity_states`` for ticks of which many are of one key: state is a table in ``folder``/states, by micro-batch.
+
+    A micro-batch is folded as a table is, in slices of the order, onto the states before it; keys without ticks keep theirs.
+    One that is replayed begins from the same states and replaces what it wrote; the states of the last two are kept.
+    A key of very many ticks isn't one task's, as it is where Python holds a key's state.
+    """
+
+    def fold(rows: DataFrame, batch: int) -> None:
+        spark, at, now = rows.sparkSession, f"{folder}/states/batch=", f"{folder}/ticks/batch={batch}"
+        slim = rows.select(*keys, *order, score, capacity)
+        slim.write.mode("overwrite").parquet(now)  # it is read several times
+        before = spark.read.parquet(f"{at}{batch - 1}") if batch else None
+        capacity_fold(spark.read.schema(slim.schema).parquet(now), keys, order, score, capacity, initial=before).write.mode("overwrite").parquet(f"{at}{batch}")
+        removed(spark, now)
+        if batch > 1:
+            removed(spark, f"{at}{batch - 2}")
+
+    return published(ticks, fold, f"{folder}/progress", "append")
+
+
 def changes_only(ticks: DataFrame, keys: list[str], order: list[str], features: list[str]) -> DataFrame:
     """Ticks whose features differ from the key's last ones; state is a fingerprint a key."""
 
