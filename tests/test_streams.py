@@ -60,6 +60,35 @@ def test_call_log_is_the_batch_s(spark, tmp_path):
     assert sorted(map(tuple, got.select("id", "recent", "allowed").collect())) == sorted(map(tuple, want.select("id", "recent", "allowed").collect()))
 
 
+CELL_KEYS = "g long, k string, i int, score int, capacity int"
+
+
+def cell_ticks(spark, folder):
+    """Ticks of many keys in four parts, some keys null and some too large for floats; and what Spark reads of them."""
+    r = random.Random(5)
+    keys = [(None if j % 11 == 0 else (1 << 60) + j // 2, r.choice([None, "", "a", "b"])) for j in range(150)]
+    rows = [(*r.choice(keys), i, r.choice([None, 1, 2, 3]), r.choice([1, 5, 10, 50])) for i in range(1200)]
+    for part in range(4):
+        land(spark, rows[part * 300 : part * 300 + 300], CELL_KEYS, folder / "in")
+    return rows, streams.landed(spark, str(folder / "in"), spark.read.parquet(str(folder / "in")).schema, files_per_batch=1)
+
+
+def rows_of_state(spark, folder):
+    return spark.read.format("statestore").load(f"{folder}/out/state").count()
+
+
+def test_states_are_held_by_cells_of_keys(spark, tmp_path):
+    rows, source = cell_ticks(spark, tmp_path)
+    got = drained_again(streams.capacity_states(source, ["g", "k"], ["i"], cells=8), tmp_path / "out", "update")
+    assert rows_of_state(spark, tmp_path) == 8  # one call and one row of state for the keys of a cell, not for each key
+    want, after = {}, set()
+    for n, (g, k, _, score, capacity) in enumerate(rows, 1):
+        want[g, k] = streams.stepped(score, capacity, want.get((g, k), (None, 0, 0)))
+        if n % 300 == 0:  # a micro-batch gives the keys that it has ticks of
+            after |= {(n, *key, *want[key]) for key in {x[:2] for x in rows[n - 300 : n]}}
+    assert sorted(repr(tuple(x)) for x in got.collect()) == sorted(repr(x[1:]) for x in after)
+
+
 @pytest.mark.parametrize("most", [1_000_000, 20])
 def test_states_as_tables(spark, tmp_path, monkeypatch, most):
     monkeypatch.setattr(slices, "SLICE_ROWS", most)  # 20: the hot key of each batch is cut

@@ -173,7 +173,7 @@ def stream_tick_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _scored(spark, sf_dir)
     folder = shared_folder(spark)
     path = f"{folder}/ticks-{streams.uuid.uuid4().hex}"
-    scored.withColumn("ts", F.col("ts").cast("timestamp")).repartition(4, *KEYS).write.parquet(path)
+    scored.withColumn("ts", F.col("ts").cast("timestamp")).repartition(*KEYS).write.parquet(path)
     schema = spark.read.parquet(path).schema
     states = streams.drained(streams.capacity_states(streams.landed(spark, path, schema), KEYS, ["ts", "event_id"]), folder)
     return diff.latest_per_key(states, KEYS, F.col("batch_id")).select(*KEYS, "sps", "t3", "t2")

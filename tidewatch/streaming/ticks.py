@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -41,24 +42,60 @@ def stepped(score: int | None, capacity: int, state: tuple[int | None, int, int]
     return kept, t3, t2
 
 
-def capacity_states(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity") -> DataFrame:
-    """Each key's ``sps``, ``t3``, ``t2`` after every micro-batch that has ticks of it; state is three numbers a key.
+#: Cells of a stream's keys.  Python is called, and state is kept, once for a cell's keys: calls cost far more than rows.
+CELLS = 2_048
+#: Keys as text that tells all of them apart.
+_EXACT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _in_cells(ticks: DataFrame, keys: list[str], cells: int) -> DataFrame:
+    """``ticks`` with ``_key``, their key as text, and ``_cell``, the key's cell."""
+    keyed = ticks.withColumn("_key", F.to_json(F.struct(*keys), _EXACT))
+    return keyed.withColumn("_cell", F.pmod(F.xxhash64("_key"), F.lit(cells)).cast("int"))
+
+
+def _through_pandas(df: DataFrame, columns: list[str], prefix: str) -> dict[str, Column]:
+    """Copies of columns by new names, longs as text: pandas makes floats of those that stand beside nulls."""
+    return {f"{prefix}{i}": F.col(c).cast("string") if isinstance(df.schema[c].dataType, T.LongType) else F.col(c) for i, c in enumerate(columns)}
+
+
+def _from_pandas(df: DataFrame, columns: list[str], prefix: str) -> list[Column]:
+    return [F.col(f"{prefix}{i}").cast(df.schema[c].dataType).alias(c) for i, c in enumerate(columns)]
+
+
+def _held(state: GroupState) -> dict:
+    """A cell's state: a value for each text of a key."""
+    return json.loads(state.get[0]) if state.exists else {}
+
+
+def _hold(state: GroupState, held: dict) -> None:
+    state.update((json.dumps(held),))
+
+
+def capacity_states(ticks: DataFrame, keys: list[str], order: list[str], score: str = "score", capacity: str = "capacity", cells: int = CELLS) -> DataFrame:
+    """Each key's ``sps``, ``t3``, ``t2`` after every micro-batch that has ticks of it; state is three numbers a key, held by cells
+    of keys, whose number is the checkpoint's for good.
 
     Rows of a micro-batch are taken in order; a later batch is later.
     """
-    key_types = [ticks.schema[k] for k in keys]
-    out = T.StructType([*key_types, *(T.StructField(n, T.IntegerType()) for n in ("sps", "t3", "t2"))])
+    slim = ticks.select(*keys, *(c for c in dict.fromkeys([*order, score, capacity]) if c not in keys))
+    copies = _through_pandas(ticks, keys, "_k")
+    slim, names = _in_cells(slim.withColumns(copies), keys, cells), list(copies)
+    out = T.StructType([*(slim.schema[n] for n in names), *(T.StructField(n, T.IntegerType()) for n in ("sps", "t3", "t2"))])
 
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get if state.exists else (None, 0, 0)
+    def fold(cell: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = _held(state)
         rows = pd.concat(frames).sort_values(order)
-        for s, c in zip(rows[score].tolist(), rows[capacity].tolist(), strict=True):
-            now = stepped(None if pd.isna(s) else int(s), int(c), tuple(now))
-        state.update(tuple(now))
-        yield pd.DataFrame([[*key, *now]], columns=[*keys, "sps", "t3", "t2"])
-
-    slim = ticks.select(*keys, *order, score, capacity)
-    return slim.groupBy(*keys).applyInPandasWithState(fold, out, "sps int, t3 int, t2 int", "update", GroupStateTimeout.NoTimeout)
+        now = {}
+        for k, s, c in zip(rows["_key"].tolist(), rows[score].tolist(), rows[capacity].tolist(), strict=True):
+            now[k] = stepped(None if s is None or s != s else int(s), int(c), now.get(k) or held.get(k, (None, 0, 0)))
+        _hold(state, held | now)
+        last = pd.DataFrame(list(now.values()), columns=["sps", "t3", "t2"], dtype=object)
+        first = rows.drop_duplicates("_key")[names].reset_index(drop=True)  # as the keys of ``now`` came
+        yield pd.concat([first, last], axis=1)
+
+    states = slim.groupBy("_cell").applyInPandasWithState(fold, out, "held string", "update", GroupStateTimeout.NoTimeout)
+    return states.select(*_from_pandas(ticks, keys, "_k"), "sps", "t3", "t2")
 
 
 def folded_states(ticks: DataFrame, keys: list[str], order: list[str], folder: str, score: str = "score", capacity: str = "capacity"):
