@@ -89,6 +89,18 @@ def test_states_are_held_by_cells_of_keys(spark, tmp_path):
     assert sorted(repr(tuple(x)) for x in got.collect()) == sorted(repr(x[1:]) for x in after)
 
 
+def test_changes_are_told_by_cells_of_keys(spark, tmp_path):
+    rows, source = cell_ticks(spark, tmp_path)
+    got = drained_again(streams.changes_only(source, ["g", "k"], ["i"], ["score"], cells=8), tmp_path / "out")
+    assert rows_of_state(spark, tmp_path) == 8
+    last, want = {}, []
+    for g, k, i, score, _ in rows:
+        if (g, k) not in last or last[g, k] != score:
+            want.append((g, k, i, score))
+        last[g, k] = score
+    assert sorted(map(repr, map(tuple, got.select("g", "k", "i", "score").collect()))) == sorted(map(repr, want))
+
+
 @pytest.mark.parametrize("most", [1_000_000, 20])
 def test_states_as_tables(spark, tmp_path, monkeypatch, most):
     monkeypatch.setattr(slices, "SLICE_ROWS", most)  # 20: the hot key of each batch is cut

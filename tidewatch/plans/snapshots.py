@@ -196,7 +196,7 @@ def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     path = f"{folder}/ticks-{streams.uuid.uuid4().hex}"
     e = ticks(spark, sf_dir).select(*KEYS, F.col("ts").cast("timestamp").alias("ts"), "event_id", F.floor(F.col("value") / 100).cast("int").alias("band"))
-    e.repartition(4, *KEYS).write.parquet(path)
+    e.repartition(*KEYS).write.parquet(path)
     changes = streams.changes_only(streams.landed(spark, path, e.schema), KEYS, ["ts", "event_id"], ["band"])
     return streams.drained(changes, folder, "append").select(*KEYS, F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "band")
 

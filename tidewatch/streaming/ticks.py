@@ -119,22 +119,29 @@ def folded_states(ticks: DataFrame, keys: list[str], order: list[str], folder: s
     return published(ticks, fold, f"{folder}/progress", "append")
 
 
-def changes_only(ticks: DataFrame, keys: list[str], order: list[str], features: list[str]) -> DataFrame:
-    """Ticks whose features differ from the key's last ones; state is a fingerprint a key."""
+def changes_only(ticks: DataFrame, keys: list[str], order: list[str], features: list[str], cells: int = CELLS) -> DataFrame:
+    """Ticks whose features differ from the key's last ones; state is a fingerprint a key, held by cells of keys, whose number is
+    the checkpoint's for good."""
 
-    def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(frames).sort_values(order)
-        marks = rows["_mark"]
-        before = marks.shift(1)
-        before.iloc[0] = last
-        state.update((marks.iloc[-1],))
-        yield rows.loc[marks.ne(before), names]
-
-    names = ticks.columns
+    def keep(cell: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = _held(state)
+        rows = pd.concat(frames, ignore_index=True).sort_values(order)
+        by = rows.groupby("_key", sort=False)["_mark"]
+        before = by.shift(1)
+        first = ~rows["_key"].duplicated()
+        before[first] = rows.loc[first, "_key"].map(held)
+        last = ~rows["_key"].duplicated(keep="last")
+        _hold(state, held | dict(zip(rows.loc[last, "_key"].tolist(), rows.loc[last, "_mark"].tolist(), strict=True)))
+        yield rows.loc[rows["_mark"].ne(before), names]
+
+    copies = _through_pandas(ticks, ticks.columns, "_v")
+    names = list(copies)
     # nulls are written out, so that the text tells all values of the features apart
-    marked = ticks.withColumn("_mark", F.to_json(F.struct(*features), {"ignoreNullFields": "false"}))
-    return marked.groupBy(*keys).applyInPandasWithState(keep, ticks.schema, "mark string", "append", GroupStateTimeout.NoTimeout)
+    copies |= {"_mark": F.to_json(F.struct(*features), {"ignoreNullFields": "false"})}
+    slim = _in_cells(ticks.withColumns(copies), keys, cells)
+    slim, out = slim.select("_cell", "_key", "_mark", *order, *names), T.StructType([slim.schema[n] for n in names])
+    changed = slim.groupBy("_cell").applyInPandasWithState(keep, out, "held string", "append", GroupStateTimeout.NoTimeout)
+    return changed.select(*_from_pandas(ticks, ticks.columns, "_v"))
 
 
 #: The store that stateful processors with timers need; it keeps state on disk, so groups aren't bounded by memory.
