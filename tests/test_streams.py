@@ -209,6 +209,17 @@ def test_pages_are_read_on_after_a_restart(spark, tmp_path, service, how):
     assert read.count(0) <= 3  # the first page is only looked at
 
 
+@pytest.mark.parametrize(("had", "has", "parts"), [((0, 0), (10_000, 7), 51), ((3, 4), (3, 9), 1), ((3, 4), (5, 1), 3), ((0, 0), (99, 10), 12)])
+def test_pages_are_read_in_runs(had, has, parts):
+    stream = rest.PagedJsonStream({"url": "", "size": 10}, None)
+    stream._page = lambda skip, token: {"Items": [{"id": i} for i in range(skip, skip + 10)]}  # the last page has grown since
+    stream._row = lambda record: record["id"]
+    start, end = ({"page": p, "token": "", "records": n} for p, n in (had, has))
+    spans = stream.partitions(start, end)
+    assert len(spans) == parts  # not one for each page
+    assert [i for s in spans for i in stream.read(s)] == list(range(had[0] * 10 + had[1], has[0] * 10 + has[1]))
+
+
 RECORD = "dimensions array<struct<name string, value string>>, measures array<struct<name string, value string, type string>>, time string"
 
 

@@ -32,7 +32,8 @@ class PagedJson(DataSource):
     empty.
 
     As a stream it reads what has come since: its offset is a page and how many of its records were read, so a collection
-    that stops goes on after the last of them, also where the last page has grown.  Pages mustn't change otherwise.
+    that stops goes on after the last of them, also where the last page has grown.  Pages mustn't change otherwise.  Pages by
+    offset are read in runs, ``strands`` of them or, of very many pages, more.
     """
 
     @classmethod
@@ -49,6 +50,10 @@ class PagedJson(DataSource):
         return PagedJsonStream(self.options, schema)
 
 
+#: Pages by offset that one partition of a stream reads at most: a task for each page costs more than its records.
+PAGES = 200
+
+
 @dataclass
 class Pages(InputPartition):
     """Pages ``first``, ``first + step``, ... up to ``last``, or to one that is empty."""
@@ -195,9 +200,12 @@ class PagedJsonStream(_Service, DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         if "token" in self.options:
             return [Span(start["page"], start["token"], start["records"], end["page"], end["records"])]
+        first, n = start["page"], end["page"] + 1 - start["page"]
+        parts = min(n, max(int(self.options.get("strands", 12)), -(-n // PAGES)))
         out = []
-        for page in range(start["page"], end["page"] + 1):
-            out.append(Span(page, "", start["records"] if page == start["page"] else 0, page, end["records"] if page == end["page"] else self.size))
+        for i in range(parts):
+            page, last = first + n * i // parts, first + n * (i + 1) // parts - 1
+            out.append(Span(page, "", start["records"] if page == first else 0, last, end["records"] if last == end["page"] else self.size))
         return out
 
     def read(self, partition: Span) -> Iterator[tuple]:
